@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding
+from . import fingerprint, jaccard_join, mixing, packing, quality, sharding, warc
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_jaccard_join": jaccard_join.op1_jaccard_join,
+        "op2_warc_normalise": warc.op2_warc_normalise,
         "op5_mix_sources": mixing.op5_mix_sources,
+        "op6_pack_complement": packing.op6_pack_complement,
+        "op8_minhash_fingerprint": fingerprint.op8_minhash_fingerprint,
+        "op9_quality_gam": quality.op9_quality_gam,
         "op10_shard_minimax": sharding.op10_shard_minimax,
+        "pipeline": _pipeline,
     }
 
 
