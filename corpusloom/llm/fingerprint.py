@@ -25,6 +25,7 @@ empty result. Only doc_id and text are read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,10 +78,11 @@ def with_successors(docs: DataFrame, parts: int | None = None) -> DataFrame:
     key = F.coalesce(F.col("doc_id"), F.lit(LOWEST))
     cuts = docs.select(F.percentile_approx(key, [i / parts for i in range(1, parts)], 100 * parts).alias("q")).first()["q"] or []  # `parts` numbers
     bounds = sorted(set(cuts))
-    part = F.lit(0)
-    for step in [1 << i for i in reversed(range(max(len(bounds), 1).bit_length()))]:  # a binary search over the bounds
-        probe = F.get(F.array(*[F.lit(x).cast("long") for x in bounds]), part + step - 1) if bounds else F.lit(None).cast("long")
-        part = F.when(probe < key, part + step).otherwise(part)
+    # how many bounds lie below the key: first among the last bounds of blocks of about sqrt(n), then inside one block
+    step = max(1, math.isqrt(len(bounds)))
+    array = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs]) if xs else F.array().cast("array<long>")
+    block = F.size(F.filter(array(bounds[step - 1 :: step]), lambda x: x < key))
+    part = block * step + F.size(F.filter(F.slice(array(bounds), block * step + 1, step), lambda x: x < key))
     rows = docs.select(key.alias("key"), "doc_id", "text", part.alias("part"))
     heads = sorted((r["part"], r["key"]) for r in rows.groupBy("part").agg(F.min("key").alias("key")).collect())  # one row for each range
     ghosts = spark.createDataFrame([(k, heads[i - 1][0]) for i, (_, k) in enumerate(heads)], "key long, to int")

@@ -7,7 +7,7 @@ Tiles. Set sizes are put in bands so that two linked sets lie in one band or in
 For a band with upper size hi, linked sets differ in at most H = hi * (1 - t) / t elements. The hash
 range is cut into more than H segments; two linked sets then agree in at least one whole segment. A
 tile is (band of the smaller set, segment, hash of the set's part in it), and a class goes to one
-tile for each of its non-empty segments, in its own band and the one below. Agreement in empty
+tile for each of its non-empty segments, in its own band and, if near enough, the one below. Agreement in empty
 segments alone is possible only when both sets have unusually many of them (they are "sparse");
 only such sets also go to the tiles of their empty segments. So no link can be missed.
 
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, running, table
+from .common import cut, release, running, table
 from .textkernel import mix, runs, shingle_sets, utf8
 
 K = 5
@@ -47,10 +47,10 @@ _U = np.uint64
 
 
 def bands(num: int = NUM, den: int = DEN, top: int = 1 << 40) -> np.ndarray:
-    """Upper sizes of the bands: a set linked with one of band b has at most the upper size of band b + 1."""
+    """Upper sizes of the bands, a half apart or more: a set linked with one of band b has at most the upper size of band b + 1."""
     out = [1]
     while out[-1] < top:
-        out.append(max(out[-1] + 1, out[-1] * den // num))
+        out.append(max(out[-1] + 1, out[-1] * den // num, out[-1] * 3 // 2))
     return np.array(out, np.int64)
 
 
@@ -88,6 +88,8 @@ def tiles(h: np.ndarray, at: np.ndarray, num: int = NUM, den: int = DEN) -> tupl
         p = band - below
         most = _differ(upper[np.maximum(p, 0)], num, den)
         use = (size > 0) & (p >= 0) & (most > 0)
+        if below:  # only sets that a smaller one of that band can be linked with
+            use &= size * num <= upper[np.maximum(p, 0)] * den
         if not use.any():
             continue
         k = np.where(use, most + most * 6 // 100 + 5, 1)
@@ -301,6 +303,9 @@ def join_components(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN)
     rows = tile_rows(docs, k, num, den).withColumns({"_lo": F.min("cls").over(own), "_hi": F.max("cls").over(own)})
     found = cut(rows.where("lead <> 0 or _lo <> _hi").select("tile", "cls", F.when(F.col("lead") == 0, F.col("_lo")).otherwise(F.col("lead")).alias("lead")))
 
+    del rows
+    release(docs.sparkSession)
+
     needed = found.select("cls").union(found.select("lead")).distinct().join(classes.select("cls", "rep"), "cls").select("rep.*").distinct()
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64("text").alias("text_hash"), "text")
     sets = cut(set_rows(texts.join(needed, ["id", "text_hash"]).dropDuplicates(["id", "text_hash"]), k))

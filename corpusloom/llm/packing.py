@@ -15,8 +15,9 @@ each length, whatever the number of documents:
 Pieces are then numbered inside their length by a two-level running count, and each number finds its
 sequence and offset by a binary search in its length's part of the plan.
 
-Words (runs without space, tab or line end) are tokenised once for each worker and remembered, since the
-tokenizer never merges over white space; results are the same as for whole texts.
+Words are tokenised once for each worker and remembered, since the tokenizer never merges over white space nor
+between letters, digits and marks; results are the same as for whole texts. Texts with any character
+outside a plain set (apostrophes, angle brackets, other scripts) are only cut at white space.
 
 Cases: null and empty texts are packed as the end id alone. Repeated rows are packed as often as
 they stand. Null doc_ids are kept. An empty table gives an empty result. Only doc_id and text are read.
@@ -41,8 +42,12 @@ from .common import cut, running, table
 LENGTH = 2048
 END_ID = 0
 BUCKETS = 512
-CACHE_WORDS = 400_000
-_SPLIT = re.compile(r"[^ \t\r\n]+").findall
+CACHE_WORDS = 800_000
+TEXTS_AT_ONCE = 128
+_split = re.compile(r"[^ \t\r\n]+").findall
+#: Letters whose lower case and normal form stand alone, digits, white space, and marks that neither join letters nor begin a special token.
+_OTHER = re.compile(r"[^A-Za-zÀ-ÖØ-öø-ÿ0-9 \t\r\n!\"#$%&()*+,\-./:;=?@\[\\\]^_`{|}~]").search
+_plain = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t\r\n]+").findall
 _cache: dict[str, dict[str, bytes]] = {}
 _held: dict[str, object] = {}
 
@@ -56,20 +61,24 @@ def _tokenizer(path: str):  # noqa: ANN202
     return _held[path], _cache[path]
 
 
+def _words(text: str) -> list[str]:
+    """Parts of a text that the tokenizer treats alone: where all characters are plain, runs of letters, single digits and runs of marks, in lower case; else runs without white space."""
+    return _split(text) if _OTHER(text) else _plain(text.lower())
+
+
 def token_bytes(texts: list[str | None], path: str, end_id: int = END_ID) -> Iterator[bytes]:
     """The little-endian 32-bit ids of each text with the end id."""
     tok, cache = _tokenizer(path)
     end = np.array([end_id], "<u4").tobytes()
-    for text in texts:
-        words = _SPLIT(text or "")
-        fresh = list({w for w in words if w not in cache})
-        if fresh:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-                fresh = list(set(words))
-            for w, e in zip(fresh, tok.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        yield b"".join([cache[w] for w in words]) + end
+    for i in range(0, len(texts), TEXTS_AT_ONCE):
+        words = [_words(t or "") for t in texts[i : i + TEXTS_AT_ONCE]]
+        if len(cache) > CACHE_WORDS:
+            cache.clear()
+        fresh = list(set().union(*words).difference(cache))
+        for w, e in zip(fresh, tok.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            cache[w] = np.array(e.ids, "<u4").tobytes()
+        for w in words:
+            yield b"".join(map(cache.__getitem__, w)) + end
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, jaccard_join, mixing, packing, quality, sharding, warc
+from . import ann, fingerprint, html_extract, jaccard_join, language_model, mixing, packing, quality, sharding, warc
 
 
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +19,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_jaccard_join": jaccard_join.op1_jaccard_join,
         "op2_warc_normalise": warc.op2_warc_normalise,
+        "op3_maxent_score": language_model.op3_maxent_score,
+        "op4_ann_multiprobe": ann.op4_ann_multiprobe,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_pack_complement": packing.op6_pack_complement,
+        "op7_html_difference": html_extract.op7_html_difference,
         "op8_minhash_fingerprint": fingerprint.op8_minhash_fingerprint,
         "op9_quality_gam": quality.op9_quality_gam,
         "op10_shard_minimax": sharding.op10_shard_minimax,
