@@ -87,6 +87,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def _single(x: np.ndarray) -> pa.Array:
+    """Rows of a matrix as lists of floats: near enough to choose candidates, which are then scored in double precision."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.astype(np.float32).reshape(-1)))
+
+
 def valid(vectors: DataFrame) -> DataFrame:
     """vec_id, embedding (double) of the rows that take part."""
     v = F.col("embedding")
@@ -118,13 +123,14 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, tables: in
             x = _unit(_matrix(b.column("embedding"), dim))
             for t in range(tables):
                 code = hasher.buckets(x, t)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), t, np.int32)), pa.array(code % slots), pa.array(code), b.column("cls"), b.column("embedding")], ["t", "slot", "code", "cls", "embedding"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), t, np.int32)), pa.array(code % slots), pa.array(code), b.column("cls"), _single(x)], ["t", "slot", "code", "cls", "v"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 200):
                 part = b.slice(i, 200)
                 x = _unit(_matrix(part.column("embedding"), dim))
+                v = _single(x)
                 for t in range(tables):
                     code = np.sort(hasher.probes(x, t, probes), axis=1)
                     slot = code % slots
@@ -133,33 +139,33 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, tables: in
                         codes = [code[w][slot[w] == s] for w in who]
                         lists = pa.array(codes, pa.list_(pa.int64()))
                         take = pa.array(who)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), t, np.int32)), pa.array(np.full(len(who), s, np.int64)), lists, part.column("q").take(take), part.column("embedding").take(take)], ["t", "slot", "codes", "q", "embedding"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), t, np.int32)), pa.array(np.full(len(who), s, np.int64)), lists, part.column("q").take(take), v.take(take)], ["t", "slot", "codes", "q", "v"])
 
-    data = classes.select("cls", "embedding").mapInArrow(index, "t int, slot long, code long, cls long, embedding array<double>")
+    data = classes.select("cls", "embedding").mapInArrow(index, "t int, slot long, code long, cls long, v array<float>")
     counts = data.groupBy("t", "slot").agg(F.ceil(F.count("*") / (2.0 * SLOT)).alias("blocks"))
-    data = data.join(counts, ["t", "slot"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
-    asked = wanted.mapInArrow(ask, "t int, slot long, codes array<long>, q long, embedding array<double>")
-    asked = asked.join(counts, ["t", "slot"]).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    data = data.join(counts, ["t", "slot"]).select("t", "slot", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("block"), "code", "cls", "v")
+    asked = wanted.mapInArrow(ask, "t int, slot long, codes array<long>, q long, v array<float>")
+    asked = asked.join(counts, ["t", "slot"]).select("t", "slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "codes", "q", "v")
 
     def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """The k + 1 nearest classes in this block for each query, among the rows of the buckets it visits."""
         empty = pd.DataFrame({"q": np.zeros(0, np.int64), "cls": np.zeros(0, np.int64), "score": np.zeros(0)})
         if not len(left) or not len(right):
             return empty
-        x = _unit(np.vstack(left["embedding"].to_numpy()))
+        x = np.vstack(left["v"].to_numpy())
         code, cls = left["code"].to_numpy(), left["cls"].to_numpy()
         order = np.argsort(code, kind="stable")
         code, cls, x = code[order], cls[order], x[order]
         out = []
-        for q, codes, v in zip(right["q"], right["codes"], right["embedding"], strict=True):
+        for q, codes, v in zip(right["q"], right["codes"], right["v"], strict=True):
             lo, hi = np.searchsorted(code, codes, "left"), np.searchsorted(code, codes, "right")
             n = hi - lo
             if not n.sum():
                 continue
             at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            score = x[at] @ _unit(np.asarray(v, float)[None])[0]
+            score = x[at] @ v
             best = np.lexsort((cls[at], -score))[: k + 1]
-            out.append(pd.DataFrame({"q": q, "cls": cls[at][best], "score": score[best]}))
+            out.append(pd.DataFrame({"q": q, "cls": cls[at][best], "score": score[best].astype(float)}))
         return pd.concat(out) if out else empty
 
     grouped = data.groupBy("t", "slot", "block").cogroup(asked.groupBy("t", "slot", "block"))
