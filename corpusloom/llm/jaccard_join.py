@@ -33,7 +33,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, release, running, table
@@ -139,7 +140,27 @@ def memberships(docs: DataFrame, k: int = K) -> DataFrame:
 
 
 def tile_rows(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
-    """(tile, cls, lead): lead is the batch's leader of the tile, or 0 for the leader itself. A class appears once for each task at most."""
+    """(tile, cls, lead) of the classes that share a tile: each with its Arrow batch's leader, and the batches' leaders with the tile's leader.
+
+    Most tiles have one class only and end here. They cross the shuffle packed: a batch's leaders of
+    one part of the tiles are one row, with 4 bytes for a tile (its part stands for the other
+    bits; a mix-up only adds a candidate) and 8 for a class. The other classes of a batch's tiles
+    are already paired with their leader and only pass by, spread over all parts. A class appears
+    once for each task at most.
+    """
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * n
+    schema = "part int, tiles binary, classes binary, leads binary"
+    names = ["part", "tiles", "classes", "leads"]
+
+    def packed(part: np.ndarray, columns: list[np.ndarray], width: int) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(part, kind="stable")
+        columns = [c[order] for c in columns]
+        edge = np.searchsorted(part[order], np.arange(parts + 1))
+        some = np.flatnonzero(np.diff(edge))
+        blobs = [pa.array([c[edge[i] : edge[i + 1]].tobytes() for i in some], pa.binary()) for c in columns]
+        blobs += [pa.nulls(len(some), pa.binary())] * (width - len(blobs))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *blobs], names)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -159,30 +180,93 @@ def tile_rows(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> Da
             if not len(key):
                 continue
             cls = np.concatenate(classes)
+            part = (key % _U(parts)).astype(np.int64)
+            key = (key >> _U(32) << _U(32)) | part.astype(_U)
             order = np.argsort(key)
-            key, cls = key[order], cls[order]
+            key, cls, part = key[order], cls[order], part[order]
             start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             lead = np.repeat(np.minimum.reduceat(cls, start), np.diff(np.append(start, len(key))))
-            lead[lead == cls] = 0
-            for i in range(0, len(key), 50_000):
+            own = lead == cls
+            yield from packed(part[own], [(key[own] >> _U(32)).astype(np.uint32), cls[own]], 3)
+            if not own.all():
+                # spread by class, so a tile that very many share goes to no one task
+                yield from packed((mix(cls[~own].view(_U)) % _U(parts)).astype(np.int64), [key[~own], cls[~own], lead[~own]], 3)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[bytes, bytes]] = []
+        at = -1
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            tile = np.frombuffer(b"".join(t for t, _ in held), np.uint32)
+            cls = np.frombuffer(b"".join(c for _, c in held), np.int64)
+            order = np.argsort(tile, kind="stable")
+            tile = tile[order]
+            new = np.concatenate([[True], tile[1:] != tile[:-1]])
+            start = np.flatnonzero(new)
+            size = np.diff(np.append(start, len(tile)))
+            many = np.repeat(size > 1, size)
+            tile, cls = tile[many], cls[order[many]]
+            if len(tile):
+                start = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
+                size = np.diff(np.append(start, len(tile)))
+                low, high = (np.repeat(f.reduceat(cls, start), size) for f in (np.minimum, np.maximum))
+                yield from rows((tile[low < high].astype(_U) << _U(32)) | _U(at), cls[low < high], low[low < high])
+
+        def rows(tile: np.ndarray, cls: np.ndarray, lead: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for i in range(0, len(tile), 50_000):
                 s = slice(i, i + 50_000)
-                yield pa.RecordBatch.from_arrays([_long(key[s]), pa.array(cls[s]), pa.array(lead[s])], ["tile", "cls", "lead"])
+                yield pa.RecordBatch.from_arrays([_long(tile[s]), pa.array(cls[s]), pa.array(lead[s])], ["tile", "cls", "lead"])
+
+        for b in batches:
+            for part, tile, cls, lead in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if lead is not None:
+                    yield from rows(np.frombuffer(tile, _U), np.frombuffer(cls, np.int64), np.frombuffer(lead, np.int64))
+                    continue
+                if part != at:
+                    if held:
+                        yield from flush()
+                    held, at = [], part
+                held.append((tile, cls))
+        if held:
+            yield from flush()
+
+    found = docs.select("text").mapInArrow(make, schema)
+    return found.repartition(n, "part").sortWithinPartitions("part").mapInArrow(meet, "tile long, cls long, lead long")
+
+
+#: Bits of the table that marks the rows whose sets are needed: of fixed size, and only a first sieve.
+MARKS = 1 << 25
 
-    return docs.select("text").mapInArrow(make, "tile long, cls long, lead long")
 
+def marks(wanted: DataFrame, key: str) -> Broadcast:
+    """A table with the bits of the keys (hashes) of wanted set; MARKS / 8 bytes, whatever the input."""
+    at = F.pmod(F.col(key), F.lit(MARKS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(`{key}`, 64L) as int))")
+    words = wanted.select(F.floor(at / 64).cast("int").alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    held = np.zeros(MARKS // 64, np.int64)
+    held[words["w"].to_numpy()] = words["b"].to_numpy()
+    return wanted.sparkSession.sparkContext.broadcast(held.view(np.uint8))
 
-def set_rows(docs: DataFrame, k: int = K) -> DataFrame:
-    """cls, n, bits (signature) and hashes (sorted set) of every row of docs (text)."""
+
+def _marked(batch: pa.RecordBatch, key: str, held: np.ndarray) -> pa.RecordBatch:
+    """The rows whose key may be among those of the table: all that are, and few others while they are fewer than MARKS."""
+    at = np.asarray(batch.column(key)) % MARKS
+    return batch.filter(pa.array((held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+
+
+def set_rows(docs: DataFrame, held: Broadcast, k: int = K) -> DataFrame:
+    """cls, n, bits (signature) and hashes (sorted set) of the rows of docs (mark, text) whose mark is held; others may be among them."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, _, h, at in _sets(b, k):
+            b = _marked(b, "mark", held.value)
+            for _, _, h, at in _sets(b, k) if b.num_rows else ():
                 words = signatures(h, at)
                 bits = pa.ListArray.from_arrays(pa.array(np.arange(0, words.size + 1, BITS // 64, dtype=np.int32)), _long(words.reshape(-1)))
                 hashes = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), _long(h))
                 yield pa.RecordBatch.from_arrays([_long(class_keys(h, at)[0]), pa.array(np.diff(at)), bits, hashes], ["cls", "n", "bits", "hashes"])
 
-    return docs.select("text").mapInArrow(make, "cls long, n long, bits array<long>, hashes array<long>")
+    return docs.select("mark", "text").mapInArrow(make, "cls long, n long, bits array<long>, hashes array<long>")
 
 
 def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,16 +383,13 @@ def join_components(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN)
     key = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "text_hash")
     classes = cut(members.where("n > 0").groupBy("cls", "cls2", "n").agg(F.min("doc_id").alias("class_id"), F.min(key).alias("rep")))
 
-    own = Window.partitionBy("tile", "lead")
-    rows = tile_rows(docs, k, num, den).withColumns({"_lo": F.min("cls").over(own), "_hi": F.max("cls").over(own)})
-    found = cut(rows.where("lead <> 0 or _lo <> _hi").select("tile", "cls", F.when(F.col("lead") == 0, F.col("_lo")).otherwise(F.col("lead")).alias("lead")))
-
-    del rows
+    found = cut(tile_rows(docs, k, num, den))
     release(docs.sparkSession)
 
-    needed = found.select("cls").union(found.select("lead")).distinct().join(classes.select("cls", "rep"), "cls").select("rep.*").distinct()
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64("text").alias("text_hash"), "text")
-    sets = cut(set_rows(texts.join(needed, ["id", "text_hash"]).dropDuplicates(["id", "text_hash"]), k))
+    needed = found.select("cls").union(found.select("lead")).distinct().join(classes.select("cls", "rep"), "cls")
+    needed = needed.select(F.xxhash64("rep.id", "rep.text_hash").alias("mark"))
+    texts = docs.select(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64("text")).alias("mark"), "text")
+    sets = cut(set_rows(texts, marks(needed, "mark"), k).dropDuplicates(["cls"]))
 
     first = cut(linked(found.where("cls <> lead").select(F.col("cls").alias("a"), F.col("lead").alias("b")).distinct(), sets, num, den))
     comp = cut(components(first))
