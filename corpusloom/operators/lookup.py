@@ -53,15 +53,15 @@ def range_bucket(value: Column, ranges: list[tuple[int, int, str]], default: str
     return out.otherwise(F.lit(default))
 
 
-def substring_match(df: DataFrame, table: DataFrame, name: str, term: str, order: list[Column], least: int = 4) -> DataFrame:
-    """Each row with its first (by order) entry of a small table whose term holds the name or is held by it; names and terms under `least` letters don't match."""
+def substring_match(df: DataFrame, table: DataFrame, name: str, term: str, order: list[Column], least: int = 4, held: str | None = None) -> DataFrame:
+    """Each row with its first (by order) entry of a small table whose term is in the name, or holds the name (or the column `held`); names and terms under `least` letters don't match."""
     long = (F.length(name) >= least) & (F.length(term) >= least)
-    hit = long & (F.contains(F.col(name), F.col(term)) | F.contains(F.col(term), F.col(name)))
+    hit = long & (F.contains(F.col(name), F.col(term)) | F.contains(F.col(term), F.col(held or name)))
     return pick_best(df.join(checked_broadcast(table), hit), [name], order)
 
 
-def window_match(left: DataFrame, right: DataFrame, key: str, start: str, when: str, days: int, order: list[Column]) -> DataFrame:
-    """For each left row the best right row of its key whose date lies 0 to `days` days after the start.
+def window_pairs(left: DataFrame, right: DataFrame, key: str, start: str, when: str, days: int) -> DataFrame:
+    """Left rows (numbered in _row) with the right rows of their key whose date lies 0 to `days` days after the start.
 
     Dates are put in buckets of `days` + 1 days and joined on (key, bucket), so a key with many rows
     is spread over its buckets and no pair far outside the window is formed.
@@ -71,8 +71,20 @@ def window_match(left: DataFrame, right: DataFrame, key: str, start: str, when:
     a = left.withColumn("_row", F.monotonically_increasing_id()).withColumn("_bucket", F.explode(F.array(number(start), number(start) + 1)))
     b = right.withColumn("_bucket", number(when))
     gap = F.datediff(F.col(when), F.col(start))
-    pairs = a.join(b, [key, "_bucket"]).withColumn("days", gap).where(F.col("days").between(0, days))
-    return pick_best(pairs, ["_row"], order).drop("_row", "_bucket")
+    return a.join(b, [key, "_bucket"]).withColumn("days", gap).where(F.col("days").between(0, days)).drop("_bucket")
+
+
+def window_match(left: DataFrame, right: DataFrame, key: str, start: str, when: str, days: int, order: list[Column]) -> DataFrame:
+    """For each left row its best right row in the window, if any."""
+    return pick_best(window_pairs(left, right, key, start, when, days), ["_row"], order).drop("_row")
+
+
+def by_key_or_place(chunks: DataFrame, answers: DataFrame, group: str, chunk: str, key: str, place: str) -> DataFrame:
+    """Chunks with their answers, by key; by place in groups whose answers have no key at all. Both are one equality join on a tagged key."""
+    keyed = answers.groupBy(group).agg((F.count(key) > 0).alias("_keyed"))
+    right = answers.join(keyed, group).withColumn("_k", F.when(F.col("_keyed"), F.col(key)).otherwise(F.col(place))).drop(key, place, "_keyed")
+    left = chunks.join(keyed, group, "left").withColumn("_k", F.when(F.coalesce("_keyed", F.lit(True)), F.col(chunk)).otherwise(F.col(place)))
+    return left.join(right, [group, "_k"], "left").drop("_k", "_keyed")
 
 
 def greedy_assign(pairs: DataFrame, key: str, visit: list[str], prefer: list[str], left_id: str, right_id: str) -> DataFrame:
@@ -97,7 +109,7 @@ def greedy_assign(pairs: DataFrame, key: str, visit: list[str], prefer: list[str
     return pairs.groupBy(key).applyInPandas(walk, f"{key} {kinds[key]}, {left_id} {kinds[left_id]}, {right_id} {kinds[right_id]}")
 
 
-def best_token_match(source: DataFrame, target: DataFrame, least: float, id_a: str = "a", id_b: str = "b", text: str = "text", rare: int | None = None) -> DataFrame:
+def best_token_match(source: DataFrame, target: DataFrame, least: float, id_a: str = "a", id_b: str = "b", text: str = "text") -> DataFrame:
     """For each source the target with the largest Dice score of token sets, at least `least`; ties go to the smaller target id.
 
     Candidates share a token: a Dice score of at least t needs a common token among each side's first

@@ -25,6 +25,11 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFr
     return ranked(df, keys, order).where(F.col("rank") <= n)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str = "number") -> DataFrame:
+    """Rows of a small table numbered from 1 in order (the order is global)."""
+    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+
+
 def shard_of(df: DataFrame, order: list[Column], shards: int) -> DataFrame:
     """Adds `shard`: contiguous parts [n (i - 1) / k, n i / k) of the ordered rows, for i from 1. For small control tables: the order is global."""
     place = F.row_number().over(Window.orderBy(*order)) - 1

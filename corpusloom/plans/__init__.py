@@ -1 +1,12 @@
+"""Named queries over the harness tables."""
 
+from __future__ import annotations
+
+from . import cube_queries, merge_queries, selection_queries
+from .registry import QUERIES, SQL, Query
+
+__all__ = ["QUERIES", "SQL", "all_queries", "cube_queries", "merge_queries", "selection_queries"]
+
+
+def all_queries() -> dict[str, Query]:
+    return dict(QUERIES)
