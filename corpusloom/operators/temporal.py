@@ -18,7 +18,7 @@ def clusters(df: DataFrame, key: str, date: str, days: int = 90, tie: str = "id"
     """Adds `cluster` (from 1): a new one starts when the gap to the row before is `days` or more."""
     order = Window.partitionBy(key).orderBy(date, tie)
     starts = F.coalesce((F.datediff(F.col(date), F.lag(date).over(order)) >= days).cast("int"), F.lit(1))
-    return df.withColumn("_new", starts).withColumn("cluster", F.sum("_new").over(order)).drop("_new")
+    return df.withColumn("_new", starts).withColumn("cluster", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
 def cluster_summary(df: DataFrame, key: str, value: str, confidence: str) -> DataFrame:
@@ -46,7 +46,7 @@ def merged_intervals(df: DataFrame, key: str, start: str, end: str, adjacent: bo
     order = Window.partitionBy(key).orderBy(start, end)
     reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
     apart = (F.col(start) > reach + 1) if adjacent else (F.col(start) >= reach)
-    rows = df.withColumn("_new", F.coalesce(apart.cast("int"), F.lit(1))).withColumn("_island", F.sum("_new").over(order))
+    rows = df.withColumn("_new", F.coalesce(apart.cast("int"), F.lit(1))).withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return rows.groupBy(key, "_island").agg(F.min(start).alias("start"), F.max(end).alias("end"), F.count("*").alias("parts")).drop("_island")
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import cube_queries, merge_queries, selection_queries
+from . import cube_queries, merge_queries, selection_queries, temporal_queries
 from .registry import QUERIES, SQL, Query
 
-__all__ = ["QUERIES", "SQL", "all_queries", "cube_queries", "merge_queries", "selection_queries"]
+__all__ = ["QUERIES", "SQL", "all_queries", "cube_queries", "merge_queries", "selection_queries", "temporal_queries"]
 
 
 def all_queries() -> dict[str, Query]:

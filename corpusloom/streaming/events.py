@@ -16,9 +16,14 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def stream(spark: SparkSession, path: str, files: int = 8) -> DataFrame:
-    """A folder or file of Parquet as a stream, a few files at a time."""
+    """A folder or file of Parquet as a stream, a few files at a time. Times without a zone become UTC times, as watermarks need them.
+
+    The path is given as a pattern that only it matches: a plain path would have to be a folder.
+    """
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{path[:-1]}[{path[-1]}]")
+    zoneless = [f.name for f in schema if f.dataType.typeName() == "timestamp_ntz"]
+    return rows.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
 
 
 def windowed_counts(events: DataFrame, size: str = "1 hour", late: str = "1 day") -> DataFrame:
