@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,9 +33,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of plans that nothing refers to any more, before the next large step."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark's cleaner delete the shuffle files of plans that nothing refers to any more, before the next large step.
+
+    Python's references go first, then the driver's; each round frees what the one before it has let go.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -127,16 +127,18 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, int, np.ndarray,
 
 
 def memberships(docs: DataFrame, k: int = K) -> DataFrame:
-    """doc_id, text_hash, n (set size), cls and cls2 (hashes of the set) of every row."""
+    """doc_id, text_hash, n (set size), cls and cls2 (hashes of the set) and bits (its signature) of every row."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(np.diff(at), *class_keys(h, at)) for _, _, h, at in _sets(b, k)]
-            n, c, d = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, _U), np.zeros(0, _U))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(n), _long(c), _long(d)], ["doc_id", "text_hash", "n", "cls", "cls2"])
+            for i, j, h, at in _sets(b, k):
+                c, d = class_keys(h, at)
+                bits = pa.array([x.tobytes() for x in signatures(h, at)], pa.binary())
+                rows = b.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("text_hash"), pa.array(np.diff(at)), _long(c), _long(d), bits], ["doc_id", "text_hash", "n", "cls", "cls2", "bits"])
 
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return df.mapInArrow(make, "doc_id long, text_hash long, n long, cls long, cls2 long")
+    return df.mapInArrow(make, "doc_id long, text_hash long, n long, cls long, cls2 long, bits binary")
 
 
 def tile_rows(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -255,18 +257,16 @@ def _marked(batch: pa.RecordBatch, key: str, held: np.ndarray) -> pa.RecordBatch
 
 
 def set_rows(docs: DataFrame, held: Broadcast, k: int = K) -> DataFrame:
-    """cls, n, bits (signature) and hashes (sorted set) of the rows of docs (mark, text) whose mark is held; others may be among them."""
+    """cls, n and hashes (sorted set) of the rows of docs (mark, text) whose mark is held; others may be among them."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             b = _marked(b, "mark", held.value)
             for _, _, h, at in _sets(b, k) if b.num_rows else ():
-                words = signatures(h, at)
-                bits = pa.ListArray.from_arrays(pa.array(np.arange(0, words.size + 1, BITS // 64, dtype=np.int32)), _long(words.reshape(-1)))
                 hashes = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), _long(h))
-                yield pa.RecordBatch.from_arrays([_long(class_keys(h, at)[0]), pa.array(np.diff(at)), bits, hashes], ["cls", "n", "bits", "hashes"])
+                yield pa.RecordBatch.from_arrays([_long(class_keys(h, at)[0]), pa.array(np.diff(at)), hashes], ["cls", "n", "hashes"])
 
-    return docs.select("mark", "text").mapInArrow(make, "cls long, n long, bits array<long>, hashes array<long>")
+    return docs.select("mark", "text").mapInArrow(make, "cls long, n long, hashes array<long>")
 
 
 def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,13 +279,31 @@ def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), b.column("n_a"), b.column("n_b"), pa.array(sizes, pa.int64())], ["a", "b", "n_a", "n_b", "shared"])
 
 
-def linked(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """The pairs (a, b) whose sets link: first by the bound from bit counts, then exactly."""
-    side = lambda x, *cols: sets.select(F.col("cls").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    bounded = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
-    bounded = bounded.where((num + den) * (F.col("n_a") + F.col("n_b") - apart) >= 2 * num * (F.col("n_a") + F.col("n_b"))).select("a", "b")
-    both = bounded.join(side("a", "n", "hashes"), "a").join(side("b", "n", "hashes"), "b")
+def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds `apart`, the number of differing signature bits of each row."""
+    for b in batches:
+        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), _U).reshape(b.num_rows, -1) for c in ("bits_a", "bits_b"))
+        apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("a", "b", "n_a", "n_b")), pa.array(apart)], ["a", "b", "n_a", "n_b", "apart"])
+
+
+def bounded(pairs: DataFrame, classes: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """The pairs (a, b) whose bit counts leave room for a link."""
+    side = lambda x: classes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where((F.col("n_a") * num <= F.col("n_b") * den) & (F.col("n_b") * num <= F.col("n_a") * den))
+    counted = both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(bound, "a long, b long, n_a long, n_b long, apart long")
+    return counted.where((num + den) * (F.col("n_a") + F.col("n_b") - F.col("apart")) >= 2 * num * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+
+def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
+    """The bounded pairs (a, b) that link by the exact intersection. Sets are made again, only for the classes that pairs name."""
+    needed = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(classes.select("cls", "rep"), "cls")
+    needed = needed.select(F.xxhash64("rep.id", "rep.text_hash").alias("mark"))
+    texts = docs.select(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64("text")).alias("mark"), "text")
+    sets = cut(set_rows(texts, marks(needed, "mark"), k).dropDuplicates(["cls"]))
+    release(docs.sparkSession)
+    side = lambda x: sets.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("hashes").alias(f"hashes_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
     exact = both.select("a", "b", "n_a", "n_b", "hashes_a", "hashes_b").mapInArrow(overlap, "a long, b long, n_a long, n_b long, shared long")
     return exact.where(den * F.col("shared") >= num * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
 
@@ -348,7 +366,7 @@ def _block_pairs(num: int, den: int):  # noqa: ANN202
             if not b.num_rows:
                 continue
             now = [np.asarray(b.column(c)) for c in ("cell", "cls", "comp", "n")]
-            now.append(np.asarray(b.column("bits").flatten()).view(_U).reshape(b.num_rows, -1))
+            now.append(np.frombuffer(b"".join(b.column("bits").to_pylist()), _U).reshape(b.num_rows, -1))
             now.append(np.asarray(b.column("side")))
             if held is not None:
                 now = [np.concatenate(x) for x in zip(held, now, strict=True)]
@@ -362,7 +380,7 @@ def _block_pairs(num: int, den: int):  # noqa: ANN202
     return make
 
 
-def rest_pairs(candidates: DataFrame, comp: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+def rest_pairs(candidates: DataFrame, comp: DataFrame, classes: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """Pairs of classes of different components in one tile that the signatures don't rule out."""
     rows = candidates.select("tile", "cls").union(candidates.select("tile", "lead")).distinct().join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left")
     rows = rows.withColumn("comp", F.coalesce("comp", "cls"))
@@ -372,7 +390,7 @@ def rest_pairs(candidates: DataFrame, comp: DataFrame, sets: DataFrame, num: int
     block, blocks = F.floor(F.col("rank0") / BLOCK), F.ceil(F.col("_n") / BLOCK)
     cells = ranked.select("tile", "cls", "comp", block.alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
     cell = F.xxhash64("tile", F.least("side", "other"), F.greatest("side", "other"))
-    cells = cells.select(cell.alias("cell"), "cls", "comp", "side").join(sets.select("cls", "n", "bits"), "cls")
+    cells = cells.select(cell.alias("cell"), "cls", "comp", "side").join(classes.select("cls", "n", "bits"), "cls")
     cells = cells.select("cell", "cls", "comp", "n", "bits", "side").repartition("cell").sortWithinPartitions("cell")
     return cells.mapInArrow(_block_pairs(num, den), "a long, b long").distinct()
 
@@ -381,26 +399,25 @@ def join_components(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN)
     """doc_id, text_hash, n_shingles, class_id (smallest id with an equal set) and component_id of every row of docs (doc_id, text)."""
     members = cut(memberships(docs, k))
     key = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "text_hash")
-    classes = cut(members.where("n > 0").groupBy("cls", "cls2", "n").agg(F.min("doc_id").alias("class_id"), F.min(key).alias("rep")))
-
+    classes = members.where("n > 0").groupBy("cls", "cls2", "n").agg(F.min("doc_id").alias("class_id"), F.min(key).alias("rep"), F.min("bits").alias("bits"))
+    classes = cut(classes)
     found = cut(tile_rows(docs, k, num, den))
     release(docs.sparkSession)
 
-    needed = found.select("cls").union(found.select("lead")).distinct().join(classes.select("cls", "rep"), "cls")
-    needed = needed.select(F.xxhash64("rep.id", "rep.text_hash").alias("mark"))
-    texts = docs.select(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64("text")).alias("mark"), "text")
-    sets = cut(set_rows(texts, marks(needed, "mark"), k).dropDuplicates(["cls"]))
-
-    first = cut(linked(found.where("cls <> lead").select(F.col("cls").alias("a"), F.col("lead").alias("b")).distinct(), sets, num, den))
+    pairs = found.where("cls <> lead").select(F.col("cls").alias("a"), F.col("lead").alias("b")).distinct()
+    first = cut(linked(cut(bounded(pairs, classes, num, den)), classes, docs, k, num, den))
+    del pairs
+    release(docs.sparkSession)
     comp = cut(components(first))
-    rest = linked(rest_pairs(found, comp, sets, num, den), sets, num, den)
-    comp = components(first.union(rest))
+    rest = cut(rest_pairs(found, comp, classes, num, den))
+    if not rest.isEmpty():
+        comp = components(first.union(linked(rest, classes, docs, k, num, den)))
 
-    near = classes.join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    near = classes.drop("bits").join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     near = cut(near.select("cls", "cls2", "n", "class_id", "comp"))
     lowest = near.groupBy("comp").agg(F.min("class_id").alias("component_id"))
     ids = near.join(lowest, "comp").select("cls", "cls2", "n", "class_id", "component_id")
-    out = members.join(ids, ["cls", "cls2", "n"], "left")
+    out = members.drop("bits").join(ids, ["cls", "cls2", "n"], "left")
     return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
