@@ -104,7 +104,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
             lo, hi = (o0 if r == r0 else 0), (o1 if r == r1 else runs[r][1])
             if hi > lo:
                 spans.append((runs[r][0], lo, hi, k))
-    split = {s for s, lo, hi, _ in spans if (lo, hi) != (0, dict(runs)[s])} if spans else set()
+    totals = dict(runs)
+    split = {s for s, lo, hi, _ in spans if (lo, hi) != (0, totals[s])}
     # one row for each distinct size, and at most `shards` more
     places = spark.createDataFrame(spans or [(-1, 0, 0, 0)], "group_size long, lo long, hi long, shard int")
     whole = groups.where(~F.col("group_size").isin(*split)) if split else groups
