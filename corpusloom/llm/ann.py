@@ -13,9 +13,9 @@ into slots of about `SLOT` vectors, a slot with more is cut into blocks, and que
 their slots, so no task holds an unbounded bucket. A query that finds fewer than k rows in its
 buckets is searched exactly, against all classes, in blocks of queries.
 
-Every valid row is indexed; nothing is sampled. Defaults reach a recall of more than 0.9 on noise in 64
-dimensions, where neighbours are hardly nearer than others and about half of all rows must be visited;
-clustered vectors need far less.
+Every valid row is indexed; nothing is sampled. Defaults reach a recall of about 0.97 on noise in 64
+dimensions, where neighbours are hardly nearer than others and about seven tenths of all rows must be visited
+for that; clustered vectors need far less.
 
 Cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, as query or
 candidate, nor do vectors whose dimension isn't the most frequent one (ties: the smaller). Rows without vec_id
@@ -38,7 +38,7 @@ from .common import cut, table
 
 EVERY = 50
 NEAREST = 5
-TABLES, DIMS, WIDTH, PROBES = 12, 5, 1.4, 90
+TABLES, DIMS, WIDTH, PROBES = 6, 6, 2.0, 30
 SLOT = 4000
 QUERIES_AT_ONCE = 2048
 SEED = 404
@@ -156,17 +156,23 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, tables: in
         code, cls = left["code"].to_numpy(), left["cls"].to_numpy()
         order = np.argsort(code, kind="stable")
         code, cls, x = code[order], cls[order], x[order]
-        out = []
+        asked, names, scores = [], [], []
         for q, codes, v in zip(right["q"], right["codes"], right["v"], strict=True):
             lo, hi = np.searchsorted(code, codes, "left"), np.searchsorted(code, codes, "right")
             n = hi - lo
-            if not n.sum():
+            total = int(n.sum())
+            if not total:
                 continue
-            at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(total)
             score = x[at] @ v
+            if total > k + 1:  # the k + 1 best, and all that tie with the last of them
+                some = score >= np.partition(score, total - k - 1)[total - k - 1]
+                at, score = at[some], score[some]
             best = np.lexsort((cls[at], -score))[: k + 1]
-            out.append(pd.DataFrame({"q": q, "cls": cls[at][best], "score": score[best].astype(float)}))
-        return pd.concat(out) if out else empty
+            asked.append(np.full(len(best), q))
+            names.append(cls[at[best]])
+            scores.append(score[best].astype(float))
+        return pd.DataFrame({"q": np.concatenate(asked), "cls": np.concatenate(names), "score": np.concatenate(scores)}) if asked else empty
 
     grouped = data.groupBy("t", "slot", "block").cogroup(asked.groupBy("t", "slot", "block"))
     found = grouped.applyInPandas(rerank, "q long, cls long, score double").groupBy("q", "cls").agg(F.max("score").alias("score"))
