@@ -74,8 +74,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     """doc_id, size, s_name, source_size, target, times and taken of every row of docs (doc_id, text, source)."""
     own = F.col(weight_col).cast("double") if weight_col else text_quality(F.col("text"))
     own = F.when((own > 0) & ~F.isnan(own) & (own < float("inf")), own).otherwise(F.lit(1e-6))
-    draw = F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed))
-    u = (F.shiftrightunsigned(draw, 11).cast("double") + 0.5) / float(1 << 53)
+    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))), 1, 12), 16, 10)
+    u = (draw.cast("double") + 0.5) / float(1 << 48)
     rows = cut(
         docs.select(
             "doc_id",
@@ -97,5 +97,21 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     return found.withColumn("taken", F.col("times") * F.col("size")).select("doc_id", "text_hash", "size", F.when(~F.col("s_null"), F.col("s_name")).alias("source"), "source_size", "target", "times", "taken", "key")
 
 
+#: The same mix in DuckDB's SQL: one pass over the sources for the level, one running sum for the draws.
+SQL = f"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+  1.1 - CASE WHEN text IS NULL THEN 1.0 ELSE length(regexp_replace(text, '[\\p{{L}} \\n]+', '', 'g')) / greatest(length(text), 1) END AS own,
+  (CAST(CAST('0x' || substr(md5(concat_ws(':', {SEED}, doc_id)), 1, 12) AS UBIGINT) AS DOUBLE) + 0.5) / {1 << 48}.0 AS u FROM documents),
+ z AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY source),
+ w AS (SELECT *, [5.0, 2.0, 1.0][i % 3 + 1] AS weight, {MOST} * source_size AS cap FROM z),
+ o AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / weight, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_,
+  sum(weight) OVER (ORDER BY cap / weight, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_, {SHARE} * sum(source_size) OVER () AS total FROM w),
+ v AS (SELECT coalesce(max((total - full_) / open_) FILTER (WHERE (total - full_) / open_ * weight <= cap), 'inf'::DOUBLE) AS level FROM o),
+ t AS (SELECT source, source_size, least(level * weight, cap) AS target FROM o CROSS JOIN v),
+ r AS (SELECT d.*, source_size, target, coalesce(floor(target / nullif(source_size, 0)), 0) AS epochs,
+  coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY -ln(u) / own, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source, CAST(source_size AS BIGINT) AS source_size, target,
+ CAST(size * (epochs + CASE WHEN size > 0 AND before + size / 2 <= target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r"""
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source", "source_size", "target", "taken")
