@@ -15,7 +15,7 @@ def csv(spark: SparkSession, path: str, trim: bool = False) -> DataFrame:
 def csv_after_preamble(spark: SparkSession, path: str, first_cells: tuple[str, str], columns: list[str]) -> DataFrame:
     """CSV files with text before the header: rows after the line that starts with these two cells; blank and short rows go."""
     lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line", "t"))
-    cells = F.transform(F.split("t", ","), F.trim)
+    cells = F.transform(F.split("t", ","), lambda x: F.trim(x))
     rows = lines.withColumn("cells", cells)
     head = F.when((F.get("cells", F.lit(0)) == first_cells[0]) & (F.get("cells", F.lit(1)) == first_cells[1]), F.col("line"))
     rows = rows.withColumn("_head", F.min(head).over(Window.partitionBy("file"))).where("line > _head").where(F.size("cells") >= len(columns)).where(F.trim("t") != "")
