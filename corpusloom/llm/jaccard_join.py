@@ -11,8 +11,11 @@ tile for each of its non-empty segments, in its own band and, if near enough, th
 segments alone is possible only when both sets have unusually many of them (they are "sparse");
 only such sets also go to the tiles of their empty segments. So no link can be missed.
 
+Two linked sets agree in most segments, not in one: a class leaves as many of its most crowded tiles as
+that bound allows (`candidates`), so a passage that many documents share brings no one together.
+
 Links. First, each class of a tile is compared with one leader, the class with the smallest hash
-there. Leaders are chosen inside each Arrow batch and then among the batches' leaders, so no task
+there. The tiles' members are told inside each Arrow batch and then among the batches' leaders, so no task
 ever holds a hot tile whole. Links found join classes to components. Then, for tiles that still hold
 several components, all pairs of classes of different components are compared, in blocks of
 at most `BLOCK` classes a side. Pairs inside one component need no comparison: they can't change it.
@@ -34,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, release, running, table
@@ -61,12 +64,12 @@ def _differ(size: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def class_keys(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of each set."""
+    """Two independent hashes of each set; the lowest bit of the first is free."""
     out = []
     for salt in (0x243F6A8885A308D3, 0x13198A2E03707344):
         total = np.concatenate([np.zeros(1, _U), np.cumsum(mix(h ^ _U(salt)), dtype=_U)])
         out.append(mix(total[at[1:]] - total[at[:-1]] + np.diff(at).astype(_U)))
-    return out[0], out[1]
+    return out[0] & ~_U(1), out[1]
 
 
 def signatures(h: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -78,42 +81,52 @@ def signatures(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.packbits(odd, axis=1, bitorder="little").view(_U).reshape(n, BITS // 64)
 
 
-def tiles(h: np.ndarray, at: np.ndarray, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray]:
-    """Tile keys of the sets, and each key's set number."""
+def _filled(h: np.ndarray, at: np.ndarray, below: int, num: int, den: int) -> tuple[np.ndarray, ...]:
+    """For the band of each set (or the one below): whether the set goes there, the band, its number of segments, and how many of the set's
+    filled segments any linked set must share with it; then the set, segment and bounds of each filled segment."""
     upper, size = bands(num, den), np.diff(at)
-    band = np.searchsorted(upper, size, "left")
+    p = np.searchsorted(upper, size, "left") - below
+    top = upper[np.maximum(p, 0)]
+    most = _differ(top, num, den)
+    use = (size > 0) & (p >= 0) & (most > 0)
+    if below:  # only sets that a smaller one of that band can be linked with
+        use &= size * num <= top * den
+    k = np.where(use, most + most * 6 // 100 + 5, 1)
+    first = np.concatenate([[0], np.cumsum(k)])
+    owner = np.repeat(np.arange(len(size)), size)
+    # sets are in rising hash order, so a segment is a run of its set
+    seg = first[owner] + (((h >> _U(32)) * k[owner].astype(_U)) >> _U(32)).astype(np.int64)
+    start = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]])) if len(seg) else np.zeros(0, np.int64)
+    end = np.append(start[1:], len(seg))
+    who = owner[start]
+    # every element that only one of two linked sets has spoils one segment at most
+    apart = 2 * size * (den - num) // (den + num) if below else _differ(size, num, den)
+    need = np.where(use, np.bincount(who, minlength=len(size)) - np.minimum(apart, most), 0)
+    return use, p, k, need, who, seg[start] - first[who], start, end
+
+
+def needs(h: np.ndarray, at: np.ndarray, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray]:
+    """How many tiles in its own band, and in the one below, a set shares at least with every set linked there (0 or less: no bound)."""
+    return tuple(_filled(h, at, below, num, den)[3] for below in (0, 1))
+
+
+def tiles(h: np.ndarray, at: np.ndarray, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tile keys of the sets, each key's set number, and 1 where it is of the band below."""
     parts = mix(h ^ _U(0x082EFA98EC4E6C89))
     total = np.concatenate([np.zeros(1, _U), np.cumsum(parts, dtype=_U)])
-    keys, owners = [], []
+    keys, owners, sides = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for below in (0, 1):
-        p = band - below
-        most = _differ(upper[np.maximum(p, 0)], num, den)
-        use = (size > 0) & (p >= 0) & (most > 0)
-        if below:  # only sets that a smaller one of that band can be linked with
-            use &= size * num <= upper[np.maximum(p, 0)] * den
-        if not use.any():
-            continue
-        k = np.where(use, most + most * 6 // 100 + 5, 1)
-        first = np.concatenate([[0], np.cumsum(k)])
-        owner = np.repeat(np.arange(len(size)), size)
-        # sets are in rising hash order, so a segment is a run of its set
-        seg = first[owner] + (((h >> _U(32)) * k[owner].astype(_U)) >> _U(32)).astype(np.int64)
-        start = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]])) if len(seg) else np.zeros(0, np.int64)
-        end = np.append(start[1:], len(seg))
-        who = owner[start]
-        key = total[end] - total[start] + mix((seg[start] - first[who]).astype(_U) + (p[who].astype(_U) << _U(48)))
+        use, p, k, need, who, seg, start, end = _filled(h, at, below, num, den)
+        key = mix(total[end] - total[start] + mix(seg.astype(_U) + (p[who].astype(_U) << _U(48))))
         good = use[who]
-        keys.append(mix(key[good]))
+        keys.append(key[good])
         owners.append(who[good])
-        filled = np.bincount(who, minlength=len(size))
-        sparse = np.flatnonzero(use & (k - np.minimum(_differ(size, num, den), most) - (k - filled) < 1))
-        for i in sparse:
-            empty = np.setdiff1d(np.arange(k[i]), seg[at[i] : at[i + 1]] - first[i])
+        for i in np.flatnonzero(use & (need < 1)):  # sparse: agreement may be in empty segments alone
+            empty = np.setdiff1d(np.arange(k[i]), seg[who == i])
             keys.append(mix(mix(empty.astype(_U) + (_U(p[i]) << _U(48))) + _U(0x452821E638D01377)))
             owners.append(np.full(len(empty), i))
-    if not keys:
-        return np.zeros(0, _U), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+        sides.append(np.full(sum(map(len, keys)) - sum(map(len, sides)), below))
+    return np.concatenate(keys), np.concatenate(owners), np.concatenate(sides)
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -126,8 +139,8 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, int, np.ndarray,
         yield i, j, *shingle_sets(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
 
 
-def memberships(docs: DataFrame, k: int = K) -> DataFrame:
-    """doc_id, text_hash, n (set size), cls and cls2 (hashes of the set) and bits (its signature) of every row."""
+def memberships(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
+    """doc_id, text_hash, n (set size), cls and cls2 (hashes of the set), bits (its signature), need0 and need1 (see needs) of every row."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -135,15 +148,18 @@ def memberships(docs: DataFrame, k: int = K) -> DataFrame:
                 c, d = class_keys(h, at)
                 bits = pa.array([x.tobytes() for x in signatures(h, at)], pa.binary())
                 rows = b.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("text_hash"), pa.array(np.diff(at)), _long(c), _long(d), bits], ["doc_id", "text_hash", "n", "cls", "cls2", "bits"])
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("text_hash"), pa.array(np.diff(at)), _long(c), _long(d), bits, *map(pa.array, needs(h, at, num, den))], names)
 
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return df.mapInArrow(make, "doc_id long, text_hash long, n long, cls long, cls2 long, bits binary")
+    names = ["doc_id", "text_hash", "n", "cls", "cls2", "bits", "need0", "need1"]
+    return df.mapInArrow(make, "doc_id long, text_hash long, n long, cls long, cls2 long, bits binary, need0 long, need1 long")
 
 
 def tile_rows(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
     """(tile, cls, lead) of the classes that share a tile: each with its Arrow batch's leader, and the batches' leaders with the tile's leader.
 
+    In both class columns the lowest bit is 1 if the tile is of the band below the class's own.
+
     Most tiles have one class only and end here. They cross the shuffle packed: a batch's leaders of
     one part of the tiles are one row, with 4 bytes for a tile (its part stands for the other
     bits; a mix-up only adds a candidate) and 8 for a class. The other classes of a batch's tiles
@@ -174,10 +190,10 @@ def tile_rows(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> Da
                 for x in c.tolist():
                     fresh.append(x not in seen)
                     seen.add(x)
-                key, owner = tiles(h, at, num, den)
+                key, owner, side = tiles(h, at, num, den)
                 use = np.array(fresh, bool)[owner]
                 keys.append(key[use])
-                classes.append(c[owner[use]])
+                classes.append(c[owner[use]] | side[use])
             key = np.concatenate(keys) if keys else np.zeros(0, _U)
             if not len(key):
                 continue
@@ -382,7 +398,7 @@ def _block_pairs(num: int, den: int):  # noqa: ANN202
 
 def rest_pairs(candidates: DataFrame, comp: DataFrame, classes: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """Pairs of classes of different components in one tile that the signatures don't rule out."""
-    rows = candidates.select("tile", "cls").union(candidates.select("tile", "lead")).distinct().join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left")
+    rows = candidates.join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left")
     rows = rows.withColumn("comp", F.coalesce("comp", "cls"))
     mixed = rows.groupBy("tile").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count("*").alias("_n")).where("_lo <> _hi").select("tile", "_n")
     rows = cut(rows.join(mixed, "tile"))
@@ -395,29 +411,51 @@ def rest_pairs(candidates: DataFrame, comp: DataFrame, classes: DataFrame, num:
     return cells.mapInArrow(_block_pairs(num, den), "a long, b long").distinct()
 
 
+def candidates(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """(tile, cls): tile mates that can still be linked.
+
+    A class shares at least `need` tiles of a band with every class linked there. So it may leave its need - 1
+    tiles with most classes: of the tiles that two linked classes share, that with the fewest classes stays for both. Classes
+    that share only a passage or some lines with others have fewer shared tiles than that and are gone.
+    """
+    rows = found.select("tile", F.col("cls").alias("m")).union(found.select("tile", "lead")).distinct()
+    rows = rows.join(rows.groupBy("tile").agg(F.count("*").alias("_n")), "tile")
+    bounds = F.explode(F.array(F.struct(F.col("cls").alias("m"), F.col("need0").alias("need")), F.struct(F.col("cls").bitwiseOR(F.lit(1)).alias("m"), F.col("need1").alias("need"))))
+    rows = rows.join(classes.select(bounds.alias("_x")).select("_x.*"), "m")
+    place = F.row_number().over(Window.partitionBy("m").orderBy(F.desc("_n"), "tile"))  # a class has a bounded number of tiles
+    return rows.withColumn("_place", place).where("_place >= need").select("tile", F.col("m").bitwiseAND(F.lit(-2)).alias("cls"))
+
+
+def leader_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b): every class of a tile with the smallest one."""
+    low = rows.groupBy("tile").agg(F.min("cls").alias("b"), F.max("cls").alias("_high")).where("b <> _high").select("tile", "b")
+    return rows.join(low, "tile").where("cls <> b").select(F.col("cls").alias("a"), "b").distinct()
+
+
 def join_components(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, text_hash, n_shingles, class_id (smallest id with an equal set) and component_id of every row of docs (doc_id, text)."""
-    members = cut(memberships(docs, k))
+    members = cut(memberships(docs, k, num, den))
     key = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "text_hash")
-    classes = members.where("n > 0").groupBy("cls", "cls2", "n").agg(F.min("doc_id").alias("class_id"), F.min(key).alias("rep"), F.min("bits").alias("bits"))
+    classes = members.where("n > 0").groupBy("cls", "cls2", "n", "need0", "need1").agg(F.min("doc_id").alias("class_id"), F.min(key).alias("rep"), F.min("bits").alias("bits"))
     classes = cut(classes)
     found = cut(tile_rows(docs, k, num, den))
     release(docs.sparkSession)
+    rows = cut(candidates(found, classes))
+    del found
+    release(docs.sparkSession)
 
-    pairs = found.where("cls <> lead").select(F.col("cls").alias("a"), F.col("lead").alias("b")).distinct()
-    first = cut(linked(cut(bounded(pairs, classes, num, den)), classes, docs, k, num, den))
-    del pairs
+    first = cut(linked(cut(bounded(leader_pairs(rows), classes, num, den)), classes, docs, k, num, den))
     release(docs.sparkSession)
     comp = cut(components(first))
-    rest = cut(rest_pairs(found, comp, classes, num, den))
+    rest = cut(rest_pairs(rows, comp, classes, num, den))
     if not rest.isEmpty():
         comp = components(first.union(linked(rest, classes, docs, k, num, den)))
 
-    near = classes.drop("bits").join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    near = classes.drop("bits", "need0", "need1").join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     near = cut(near.select("cls", "cls2", "n", "class_id", "comp"))
     lowest = near.groupBy("comp").agg(F.min("class_id").alias("component_id"))
     ids = near.join(lowest, "comp").select("cls", "cls2", "n", "class_id", "component_id")
-    out = members.drop("bits").join(ids, ["cls", "cls2", "n"], "left")
+    out = members.drop("bits", "need0", "need1").join(ids, ["cls", "cls2", "n"], "left")
     return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

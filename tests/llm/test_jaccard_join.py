@@ -90,5 +90,12 @@ def test_linked_sets_share_a_tile() -> None:
             b = np.sort(np.concatenate([same, rng.integers(0, 1 << 63, rng.integers(0, most + 1), dtype=np.uint64)]))
             if 100 * n < 80 * (len(a) + len(b) - n) or np.array_equal(a, b):  # equal sets are one class
                 continue
-            key, who = jaccard_join.tiles(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
-            assert set(key[who == 0]) & set(key[who == 1])
+            h, at = np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])
+            key, who, side = jaccard_join.tiles(h, at)
+            need = jaccard_join.needs(h, at)
+            both = set(key[who == 0]) & set(key[who == 1])
+            assert both
+            for x in (0, 1):
+                for s in (0, 1):
+                    mine = set(key[(who == x) & (side == s)])
+                    assert not (mine & both) or len(mine & both) >= need[s][x]
