@@ -14,8 +14,7 @@ only such sets also go to the tiles of their empty segments. So no link can be m
 Two linked sets agree in most segments, not in one: a class leaves as many of its most crowded tiles as
 that bound allows (`candidates`), so a passage that many documents share brings no one together.
 
-Links. First, each class of a tile is compared with one leader, the class with the smallest hash
-there. The tiles' members are told inside each Arrow batch and then among the batches' leaders, so no task
+Links. First, each class of a tile is compared with one leader, the class whose tiles hold most classes. The tiles' members are told inside each Arrow batch and then among the batches' leaders, so no task
 ever holds a hot tile whole. Links found join classes to components. Then, for tiles that still hold
 several components, all pairs of classes of different components are compared, in blocks of
 at most `BLOCK` classes a side. Pairs inside one component need no comparison: they can't change it.
@@ -412,7 +411,7 @@ def rest_pairs(candidates: DataFrame, comp: DataFrame, classes: DataFrame, num:
 
 
 def candidates(found: DataFrame, classes: DataFrame) -> DataFrame:
-    """(tile, cls): tile mates that can still be linked.
+    """(tile, cls, weight): tile mates that can still be linked; weight is how many classes all tiles of the class hold.
 
     A class shares at least `need` tiles of a band with every class linked there. So it may leave its need - 1
     tiles with most classes: of the tiles that two linked classes share, that with the fewest classes stays for both. Classes
@@ -422,14 +421,16 @@ def candidates(found: DataFrame, classes: DataFrame) -> DataFrame:
     rows = rows.join(rows.groupBy("tile").agg(F.count("*").alias("_n")), "tile")
     bounds = F.explode(F.array(F.struct(F.col("cls").alias("m"), F.col("need0").alias("need")), F.struct(F.col("cls").bitwiseOR(F.lit(1)).alias("m"), F.col("need1").alias("need"))))
     rows = rows.join(classes.select(bounds.alias("_x")).select("_x.*"), "m")
-    place = F.row_number().over(Window.partitionBy("m").orderBy(F.desc("_n"), "tile"))  # a class has a bounded number of tiles
-    return rows.withColumn("_place", place).where("_place >= need").select("tile", F.col("m").bitwiseAND(F.lit(-2)).alias("cls"))
+    own = Window.partitionBy("m")  # a class has a bounded number of tiles
+    rows = rows.withColumn("_place", F.row_number().over(own.orderBy(F.desc("_n"), "tile"))).withColumn("weight", F.sum("_n").over(own))
+    return rows.where("_place >= need").select("tile", F.col("m").bitwiseAND(F.lit(-2)).alias("cls"), "weight")
 
 
 def leader_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b): every class of a tile with the smallest one."""
-    low = rows.groupBy("tile").agg(F.min("cls").alias("b"), F.max("cls").alias("_high")).where("b <> _high").select("tile", "b")
-    return rows.join(low, "tile").where("cls <> b").select(F.col("cls").alias("a"), "b").distinct()
+    """(a, b): every class of a tile with its leader, the one whose tiles hold most classes: of a group of near copies, that nearest to all others."""
+    low = rows.groupBy("tile").agg(F.max_by("cls", F.struct("weight", "cls")).alias("lead"), F.min("cls").alias("_low"), F.max("cls").alias("_high")).where("_low <> _high")
+    pairs = rows.join(low.select("tile", "lead"), "tile").where("cls <> lead")
+    return pairs.select(F.greatest("cls", "lead").alias("a"), F.least("cls", "lead").alias("b")).distinct()
 
 
 def join_components(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
