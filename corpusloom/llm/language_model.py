@@ -42,6 +42,7 @@ FREQUENT = 1 << 18
 BATCH = 4096
 RATE = 0.4
 BLOCK = 256
+COUNTED = 1 << 20
 END = np.uint64(0x5BD1E9955BD1E995)
 _START = CLASSES
 
@@ -149,19 +150,25 @@ def _fold(column: str = "doc_id") -> F.Column:
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """w, tail and c of every token type of docs; counted inside each batch before the shuffle."""
+    """w, tail and c of every token type of docs; counted over about COUNTED tokens at a time, then by Spark before and after the shuffle."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def counted() -> pa.RecordBatch:
+            h, tail = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            w, first, c = np.unique(h, return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(tail[first].astype(np.int32)), pa.array(c)], ["w", "tail", "c"])
+
         for b in batches:
             raw, offsets = utf8(b.column("text"))
-            found = [_tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])[:2] for i, j in runs(offsets)]
-            if not found:
-                continue
-            h, tail = (np.concatenate(x) for x in zip(*found, strict=True))
-            w, first, c = np.unique(h, return_index=True, return_counts=True)
-            for i in range(0, len(w), 100_000):
-                s = slice(i, i + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(w[s].view(np.int64)), pa.array(tail[first[s]].astype(np.int32)), pa.array(c[s])], ["w", "tail", "c"])
+            for i, j in runs(offsets):
+                held.append(_tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])[:2])
+                if sum(len(h) for h, _ in held) > COUNTED:
+                    yield counted()
+        if held:
+            yield counted()
 
     return docs.select("text").mapInArrow(make, "w long, tail int, c long").groupBy("w").agg(F.min("tail").alias("tail"), F.sum("c").alias("c"))
 
