@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, shared_dir, table
+from .common import cut, release, shared_dir, table
 
 LEAST = 100
 PAGES_PER_FILE = 4000
@@ -90,11 +90,12 @@ def firsts(pages: DataFrame, least: int = LEAST) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str, files: int, least: int = LEAST) -> DataFrame:
     """Writes one monolithic gzip archive for each task and returns their names (archive)."""
     html = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", "url", html.alias("html"), F.sha2(html, 256).alias("digest"))
-    known = firsts(pages, least).select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "first")
-    same = F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest"))
-    rows = rows.join(known, same, "left").select("page_id", "url", "html", "digest", "first")
-    rows = rows.repartition(files, F.xxhash64("page_id", "url", "digest")).sortWithinPartitions("page_id", "url", "digest")
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("_key")
+    # both sides are dealt alike, so the payloads are shuffled once, for the join and for the files
+    rows = pages.select("page_id", "url", html.alias("html"), F.sha2(html, 256).alias("digest"), key).repartition(files, "_key", "digest")
+    known = firsts(pages, least).select(key, "digest", "first").repartition(files, "_key", "digest")
+    rows = rows.join(known, ["_key", "digest"], "left").select("page_id", "url", "html", "digest", "first")
+    rows = rows.sortWithinPartitions("page_id", "url", "digest")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"{folder}/whole/part-{TaskContext.get().partitionId():06d}.warc.gz"
@@ -229,6 +230,7 @@ def archive(pages: DataFrame, folder: str | None = None, least: int = LEAST, pag
         fs.create_dir(f"{path}/{part}", recursive=True)
     files = max(1, -(-pages.count() // pages_per_file))
     written = cut(write_archives(pages, folder, files, least))
+    release(spark)
     cut(normalise(written.repartition("archive"), folder))
     return folder
 
