@@ -1,6 +1,6 @@
-"""LM scoring by a hashed maximum-entropy model with class-factored softmax.
+"""LM scoring by a hashed maximum-entropy model with class-factored softmax and features of the words themselves.
 
-P(word | history) = P(class | history) * P(word | class). Classes: one for the end of a text, one for each of
+The model starts from P0(word | history) = P(class | history) * P(word | class). Classes: one for the end of a text, one for each of
 the most frequent training words, and the others for all remaining words by a hash of their last two bytes. P(class |
 history) is a softmax over sums of weight rows: the classes of the three words before give n-gram
 features (c1), (c1, c2) and skip features (c2), (c3), (c1, c3), each hashed to a row of one weight
@@ -12,9 +12,16 @@ Training covers all training texts. In each of `ROUNDS` rounds the tasks take th
 squared gradients) starting from the common weights, and their weights are averaged row by row,
 weighted by how often each task used the row. Averaging streams through fixed blocks of rows.
 
-Counting and scoring: tokens are 64-bit word hashes. Words frequent enough for a table of at most
-`FREQUENT` entries are looked up inside the tasks; all others go through a shuffled join with the count table,
-so nothing that grows with the vocabulary is broadcast.
+Features of the words themselves follow: the skip (w2, w), the pair (w1, w) and the triple (w2, w1, w). Each step is
+P(w | history) = (count(feature) + s * P'(w | history)) / (count(its history) + s), where P' is the step before. That is the
+exponential model P' * exp(weight) / Z whose weight for a feature is log(1 + count / (s * P')) and Z is 1 + count(history) / s:
+the weights are set in closed form, not by gradient, and the probabilities still add up to 1. The counts cover every
+feature of all training texts; a training text's own features are among them.
+
+Counting and scoring: tokens are 64-bit word hashes, features 64-bit hashes of them. Words frequent enough for a table of at most
+`FREQUENT` entries are looked up inside the tasks. All other words and all features meet in blocks of the key space, whose
+number grows with the input (`feature_counts`); a chunk of texts sends each of its keys once and gets the count over all
+training texts back, so nothing that grows with the vocabulary is broadcast and a common key is no larger than a rare one.
 
 Cases: null and empty texts consist of the end token alone. Null doc_ids are scored and count as held
 out (their remainder is null). Repeated rows are counted and scored as often as they stand. Without training rows all
@@ -23,6 +30,7 @@ counts are 0, N and V are 0, and the class softmax is uniform. An empty table gi
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, release, table
 from .textkernel import mix, runs, utf8, word_bounds, word_hashes
 
 FOLDS, HELD_OUT = 5, 1
@@ -43,6 +51,10 @@ BATCH = 4096
 RATE = 0.4
 BLOCK = 256
 COUNTED = 1 << 20
+CHUNK = 4 << 20
+BLOCK_KEYS = 1 << 22
+PASSES = 4
+STRENGTH = (20.0, 10.0, 4.0)
 END = np.uint64(0x5BD1E9955BD1E995)
 _START = CLASSES
 
@@ -93,6 +105,12 @@ class Model:
         out[h == END] = 0
         return out
 
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        """Which of the hashes are frequent words'."""
+        if not len(self.words):
+            return np.zeros(len(h), bool)
+        return self.words[np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)] == h
+
 
 def features(cls: np.ndarray, token_at: np.ndarray) -> np.ndarray:
     """Rows of the weight table for each token."""
@@ -269,58 +287,200 @@ def average_sums(sums):  # noqa: ANN001, ANN201
     return make
 
 
+def keys_of(h: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+    """64-bit keys of each token's word features: (w1, w), (w2, w1, w), the skip (w2, w), and the skip's history (w2)."""
+    place = np.arange(len(h)) - np.repeat(at[:-1], np.diff(at))
+    back = lambda x, d: np.concatenate([np.zeros(min(d, len(x)), np.uint64), x[: max(len(x) - d, 0)]])
+    w1, w2 = (np.where(place >= d, back(h, d), np.uint64(d)) for d in (1, 2))
+    two = mix(mix(w1 + np.uint64(0xB1)) + h)
+    past = mix(w2 + np.uint64(0x5C1B))
+    return {"two": two, "three": mix(mix(back(two, 1) + np.uint64(0x731)) + h), "skip": mix(past + h), "past": past, "place": place}
+
+
+def _pieces(keys: np.ndarray, counts: np.ndarray, blocks: int, lo: int, hi: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Sorted keys and their counts by block of the key space, for the blocks lo to hi - 1."""
+    bounds = np.searchsorted(keys, _bounds(blocks)[lo : hi + 1]) if hi < blocks else np.append(np.searchsorted(keys, _bounds(blocks)[lo:hi]), len(keys))
+    for k, (i, j) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        if j > i:
+            yield lo + k, keys[i:j], counts[i:j]
+
+
+def _bounds(blocks: int) -> np.ndarray:
+    return np.array([(k << 64) // blocks for k in range(blocks)], np.uint64)
+
+
+def _chunk_keys(model: Model, texts: pa.Array, train: np.ndarray, lo: np.uint64 = np.uint64(0), hi: np.uint64 | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of a chunk from lo to before hi, and how often its training texts have each. Words are there too, but are counted elsewhere."""
+    raw, offsets = utf8(texts)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for i, j in runs(offsets):
+        h, _, at = _tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        learns = np.repeat(train[i:j], np.diff(at))
+        features_ = keys_of(h, at)
+        late, place = features_["place"] >= 2, features_["place"]
+        rare = ~model.holds(h)
+        for key, use, counted in ((h, rare, False), (features_["two"], None, True), (features_["three"], place >= 1, True), (features_["skip"], late, True), (features_["past"], late, True)):
+            inside = key >= lo if hi is None else (key >= lo) & (key < hi)
+            inside = inside if use is None else inside & use
+            found.append((key[inside], learns[inside] & counted))
+    keys, counted = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0, bool))
+    order = np.argsort(keys)
+    keys = keys[order]
+    if not len(keys):
+        return keys, np.zeros(0, np.uint32)
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[start], np.add.reduceat(counted[order].astype(np.uint32), start)
+
+
+def chunked(docs: DataFrame) -> DataFrame:
+    """docs as rows of about CHUNK bytes of text: number, doc_ids, texts and which of them are training texts; written once, so a chunk stays what it is."""
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def packed() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held).combine_chunks()
+            whole = lambda c: pa.ListArray.from_arrays(pa.array([0, t.num_rows], pa.int32()), t[c].combine_chunks())
+            return pa.RecordBatch.from_arrays([t["rid"].combine_chunks()[:1], whole("doc_id"), whole("text"), whole("train")], ["chunk", "doc_id", "text", "train"])
+
+        for b in batches:
+            width = np.diff(utf8(b.column("text"))[1])
+            i = 0
+            for j in range(b.num_rows):
+                size += int(width[j])
+                if size >= CHUNK:
+                    held.append(b.slice(i, j + 1 - i))
+                    yield packed()
+                    held.clear()
+                    i, size = j + 1, 0
+            if i < b.num_rows:
+                held.append(b.slice(i))
+        if held:
+            yield packed()
+
+    rows = docs.select("doc_id", "text", (_fold() != HELD_OUT).alias("train"), F.monotonically_increasing_id().alias("rid"))
+    return cut(rows.mapInArrow(make, f"chunk long, doc_id array<{kind}>, text array<string>, train array<boolean>"))
+
+
+def feature_counts(chunks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
+    """(chunk, block, c): how often the training texts have each of a chunk's keys, in the order of the keys.
+
+    The key space is cut into blocks of about BLOCK_KEYS keys, whose number grows with the input; a chunk sends each key once to its block,
+    where all chunks' counts meet. PASSES parts of the space follow each other, so that only one part's keys are on disk at a time.
+    """
+    spark = chunks.sparkSession
+    held = spark.sparkContext.broadcast(model)
+    size = chunks.select(F.sum(F.aggregate("text", F.lit(0).cast("long"), lambda n, t: n + F.coalesce(F.octet_length(t), F.lit(0))))).first()[0] or 0
+    blocks = PASSES * max(1, -(-size // (PASSES * BLOCK_KEYS * 2)))  # a text has about one distinct key for every two bytes
+    schema = "chunk long, block int, keys binary, counts binary"
+    least = int(model.counts.min()) if len(model.counts) else 1 << 62
+    rest = counts.where(F.col("c") < least).select("w", "c")  # the words that aren't in the model
+    names = ["chunk", "block", "keys", "counts"]
+
+    def row(chunk: int, k: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([k], pa.int32()), pa.array([keys.tobytes()], pa.binary()), pa.array([n.astype(np.int64).tobytes() if chunk < 0 else n.astype(np.uint32).tobytes()], pa.binary())], names)
+
+    def meet(group: pa.Table) -> pa.Table:
+        chunk, block = group["chunk"].to_pylist(), group["block"][0].as_py()
+        keys = [np.frombuffer(x, np.uint64) for x in group["keys"].to_pylist()]
+        n = [np.frombuffer(x, np.int64 if c < 0 else np.uint32) for c, x in zip(chunk, group["counts"].to_pylist(), strict=True)]
+        space = np.unique(np.concatenate(keys))
+        sums = np.zeros(len(space), np.int64)
+        for k, c in zip(keys, n, strict=True):
+            sums[np.searchsorted(space, k)] += c
+        out = [(c, zlib.compress(sums[np.searchsorted(space, k)].tobytes(), 1)) for c, k in zip(chunk, keys, strict=True) if c >= 0]
+        return pa.table({"chunk": pa.array([c for c, _ in out], pa.int64()), "block": pa.array([block] * len(out), pa.int32()), "c": pa.array([x for _, x in out], pa.binary())})
+
+    parts = []
+    for p in range(PASSES):
+        lo, hi = p * blocks // PASSES, (p + 1) * blocks // PASSES
+
+        def of_chunks(batches: Iterator[pa.RecordBatch], lo=lo, hi=hi) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            edges = _bounds(blocks)
+            for b in batches:
+                for i in range(b.num_rows):
+                    keys, n = _chunk_keys(held.value, b.column("text")[i].values, np.asarray(b.column("train")[i].values.to_numpy(zero_copy_only=False), bool), edges[lo], edges[hi] if hi < blocks else None)
+                    for k, x, y in _pieces(keys, n, blocks, lo, hi):
+                        yield row(b.column("chunk")[i].as_py(), k, x, y)
+
+        def of_words(batches: Iterator[pa.RecordBatch], lo=lo, hi=hi) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            for b in batches:
+                w, c = b.column("w").to_numpy().view(np.uint64), b.column("c").to_numpy()
+                order = np.argsort(w)
+                for k, x, y in _pieces(w[order], c[order], blocks, lo, hi):
+                    yield row(-1, k, x, y)
+
+        both = chunks.select("chunk", "text", "train").mapInArrow(of_chunks, schema).union(rest.mapInArrow(of_words, schema))
+        parts.append(cut(both.groupBy("block").applyInArrow(meet, "chunk long, block int, c binary")))
+        del both
+        release(spark)
+    found = parts[0]
+    for x in parts[1:]:
+        found = found.union(x)
+    return found
+
+
 def score(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score of every row of docs."""
+    """doc_id, n_tokens, n_known, base_score and score of every row of docs; counts are those of the words of docs' training folds."""
+    chunks = chunked(docs)
     held = docs.sparkSession.sparkContext.broadcast(model)
     kind = dict(docs.dtypes)["doc_id"]
-    names = ["rid", "w", "tf", "own"]
-    struct = pa.struct([("doc_id", pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()), ("n", pa.int64()), ("known", pa.int64()), ("logs", pa.float64()), ("inside", pa.float64()), ("cls", pa.float64())])
+    floor = float(np.log10(model.total + 0.5 * (model.distinct + 1)))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         for b in batches:
-            raw, offsets = utf8(b.column("text"))
-            ids, rids = b.column("doc_id"), np.asarray(b.column("rid"))
-            for i, j in runs(offsets):
-                h, tail, at = _tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                owner = np.repeat(np.arange(j - i), np.diff(at))
-                cls = m.classes(h, tail)
-                of_class = class_scores(m, cls, at) - m.norm[cls]
-                place = np.minimum(np.searchsorted(m.words, h), max(len(m.words) - 1, 0))
-                hit = m.words[place] == h if len(m.words) else np.zeros(len(h), bool)
-                c = np.zeros(len(h))
-                c[hit] = m.counts[place[hit]]
-                logs = np.where(hit, np.log10(c + 0.5), 0.0)
-                shared = (cls > WORD_CLASSES) | (cls > len(m.own))  # classes of several words
-                total = lambda x: np.bincount(owner, weights=x, minlength=j - i)  # noqa: E731, B023
-                rows = [pa.array(np.diff(at)), pa.array(total(hit).astype(np.int64)), pa.array(total(logs)), pa.array(total(np.where(shared, logs, 0.0))), pa.array(total(of_class))]
-                summary = pa.StructArray.from_arrays([ids.slice(i, j - i).cast(struct[0].type), *rows], fields=list(struct))
-                # a summary's w is arbitrary: it only spreads these rows over the join's tasks
-                yield pa.RecordBatch.from_arrays([pa.array(rids[i:j]), pa.array(mix(rids[i:j].astype(np.uint64)).view(np.int64)), pa.array(np.zeros(j - i, np.int64)), summary], names)
-                rare = np.flatnonzero(~hit)
-                if len(rare):
-                    order = rare[np.lexsort((h[rare], owner[rare]))]
-                    new = np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1])])
-                    start = np.flatnonzero(new)
-                    tf = np.diff(np.append(start, len(order)))
-                    first = order[start]
-                    yield pa.RecordBatch.from_arrays([pa.array(rids[i:j][owner[first]]), pa.array(h[first].view(np.int64)), pa.array(tf), pa.nulls(len(tf), struct)], names)
-
-    df = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("rid"))
-    schema = f"rid long, w long, tf long, own struct<doc_id: {kind}, n: long, known: long, logs: double, inside: double, cls: double>"
-    least = int(model.counts.min()) if len(model.counts) else 1 << 62
-    rest = counts.where(F.col("c") < least).select("w", "c")  # the words that aren't in the model
-    rows = df.mapInArrow(make, schema).join(rest, "w", "left")
-    c = F.coalesce("c", F.lit(0))
-    sums = rows.groupBy("rid").agg(
-        F.max("own").alias("own"),
-        F.sum(F.when(F.col("tf") > 0, F.col("tf") * F.log10(c + 0.5)).otherwise(0.0)).alias("logs"),
-        F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("known"),
-    )
-    n, logs = F.col("own.n"), F.col("own.logs") + F.col("logs")
-    base = logs - n * float(np.log10(model.total + 0.5 * (model.distinct + 1)))
-    # words outside the model have no class of their own, so all their logs belong to classes of several words
-    return sums.select("own.doc_id", n.alias("n_tokens"), (F.col("own.known") + F.col("known")).alias("n_known"), base.alias("base_score"), (F.col("own.inside") + F.col("logs") + F.col("own.cls")).alias("score"))
+            for r in range(b.num_rows):
+                ids, texts = b.column("doc_id")[r].values, b.column("text")[r].values
+                train = np.zeros(len(texts), bool)
+                keys, _ = _chunk_keys(m, texts, train)
+                parts = sorted((x["block"], x["c"]) for x in (b.column("parts")[r].as_py() or []))
+                found = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(zlib.decompress(x), np.int64) for _, x in parts)])
+                assert len(found) == len(keys), "a chunk's counts don't fit its keys"
+                look = lambda k: found[np.minimum(np.searchsorted(keys, k), len(keys) - 1)]  # noqa: E731, B023
+                raw, offsets = utf8(texts)
+                for i, j in runs(offsets):
+                    h, tail, at = _tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                    c = np.zeros(len(h), np.int64)
+                    hit = m.holds(h)
+                    c[hit] = m.counts[np.searchsorted(m.words, h[hit])]
+                    if not hit.all():
+                        c[~hit] = look(h[~hit])
+                    logs = np.log10(c + 0.5)
+                    cls = m.classes(h, tail)
+                    shared = (cls > WORD_CLASSES) | (cls > len(m.own))  # classes of several words
+                    p = 10 ** (class_scores(m, cls, at) - m.norm[cls] + np.where(shared, logs, 0.0))
+                    p = with_words(p, h, at, c, look)
+                    owner = np.repeat(np.arange(j - i), np.diff(at))
+                    total = lambda x: np.bincount(owner, weights=x, minlength=j - i)  # noqa: E731, B023
+                    n = np.diff(at)
+                    yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(n), pa.array(total(c > 0).astype(np.int64)), pa.array(total(logs) - n * floor), pa.array(total(np.log10(np.maximum(p, 1e-300))))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    parts = feature_counts(chunks, counts, model).groupBy("chunk").agg(F.collect_list(F.struct("block", "c")).alias("parts"))
+    rows = chunks.join(parts, "chunk", "left").select("doc_id", "text", "parts")
+    return rows.mapInArrow(make, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
+
+
+def with_words(p: np.ndarray, h: np.ndarray, at: np.ndarray, c: np.ndarray, look) -> np.ndarray:  # noqa: ANN001
+    """p of each token after the skip, pair and triple features of the words: each step is (count + STRENGTH * p) / (history's count + STRENGTH).
+
+    The history of a pair is its first word, or the start of a text (as many as ends); that of a triple is the pair before it.
+    """
+    f = keys_of(h, at)
+    place = f["place"]
+    late, later = place >= 1, place >= 2
+    count = np.zeros((2, len(h)), np.int64)
+    count[0, later], count[1, later] = look(f["skip"][later]), look(f["past"][later])
+    p = (count[0] + STRENGTH[0] * p) / (count[1] + STRENGTH[0])
+    two = look(f["two"])
+    before = np.repeat(c[at[1:] - 1], np.diff(at))
+    before[late] = c[np.flatnonzero(late) - 1]
+    p = (two + STRENGTH[1] * p) / (before + STRENGTH[1])
+    count[:] = 0
+    count[0, late], count[1, late] = look(f["three"][late]), two[np.flatnonzero(late) - 1]
+    return (count[0] + STRENGTH[2] * p) / (count[1] + STRENGTH[2])
 
 
 def score_documents(docs: DataFrame) -> DataFrame:

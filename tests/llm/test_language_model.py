@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import SparkSession
 
@@ -92,3 +93,59 @@ def test_edge_cases(spark: SparkSession) -> None:
     only_held_out = [(i, "x y", *"abcd") for i in range(200) if fold(i, 5) == 1]
     assert {r["train_tokens"] for r in lm.score_documents(spark.createDataFrame(only_held_out, DOCS)).collect()} == {0}
     assert lm.score_documents(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_word_pairs_and_passages_seen_in_training_are_learned(spark: SparkSession) -> None:
+    """Two held-out texts of the same classes, words and word counts: the one whose passages stand in training texts scores much higher."""
+    train, held = [i for i in range(400) if fold(i, 5) != 1], [i for i in range(400) if fold(i, 5) == 1]
+    names = [f"{x}{y}{z}wo" for x in "bdfgklmnprst" for y in "aeiou" for z in "bdfgklmnprst"]  # one tail: all outside the commonest are of one class
+    texts = [" ".join(names[(7 * i + k) % len(names)] for k in range(40)) for i in train]
+    seen = " ".join(names[100 + k] for k in range(30))
+    mixed = " ".join(sorted(seen.split(), key=lambda x: x[::-1]))
+    rows = [*zip(train, texts, strict=True), (held[0], seen), (held[1], mixed)]
+    by = {r["doc_id"]: r for r in lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    a, b = by[held[0]], by[held[1]]
+    assert a["base_score"] == pytest.approx(b["base_score"]) and a["score"] > b["score"] + 15
+
+
+def test_word_features_match_plain_counts(spark: SparkSession, monkeypatch: pytest.MonkeyPatch) -> None:
+    """Small chunks and many blocks: the counts that meet are those of plain Python."""
+    monkeypatch.setattr(lm, "CHUNK", 50)
+    monkeypatch.setattr(lm, "BLOCK_KEYS", 16)
+    rows = [(i, " ".join("abcde"[(i * i + k * k) % 5] for k in range(i % 9))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = lm.count_words(docs.where(lm._fold() != lm.HELD_OUT))
+    model = lm.prepare(counts)
+    pairs: Counter = Counter()
+    uni, skip, past, three = Counter(), Counter(), Counter(), Counter()
+    token = lambda t: [*words(t), None]
+    for i, t in rows:
+        if fold(i, 5) != 1:
+            x = token(t)
+            uni.update(x)
+            pairs.update(zip(["^", *x], x, strict=False))
+            skip.update(zip(x, x[2:], strict=False))
+            past.update(x[:-2])
+            three.update(zip(["^", *x], x, x[1:], strict=False))
+    a, b, c = lm.STRENGTH
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, counts, model).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        x, total = token(t), 0.0
+        raw, at = lm.utf8(pa.array([t]))
+        h, tail, at = lm._tokens(raw, at)
+        cls = model.classes(h, tail)
+        p0 = 10 ** (lm.class_scores(model, cls, at) - model.norm[cls])
+        for k, w in enumerate(x):
+            p = p0[k] * (uni[w] + 0.5 if cls[k] > len(model.own) else 1)
+            if k >= 2:
+                p = (skip[x[k - 2], w] + a * p) / (past[x[k - 2]] + a)
+            else:
+                p = p * a / a
+            first = x[k - 1] if k else "^"
+            p = (pairs[first, w] + b * p) / ((uni[first] if k else uni[None]) + b)
+            if k:
+                before = x[k - 2] if k > 1 else "^"
+                p = (three[before, x[k - 1], w] + c * p) / (pairs[before, x[k - 1]] + c)
+            total += math.log10(p)
+        assert got[i] == pytest.approx(total, abs=1e-6)
