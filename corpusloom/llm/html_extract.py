@@ -1,18 +1,15 @@
-"""Main text of HTML pages by nearest-URL page differencing, guarded by the page's own structure.
-
-A page is read into text lines, one for each block, in page order. Structure decides first: lines inside
-an article or main element are the page's own; lines of menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts and styles (by element, or by class, id and role words) are
-not. What structure leaves open are the lines of pages without an article element: there,
-each page is paired with its nearest page by URL path within its host (before it, else after it, in
-path order), the two pages' lines are aligned by longest common subsequence, and shared lines are
-deleted as the host's boilerplate. Pages whose lines are all shared are mirrors of each other, which says nothing
-about boilerplate, so they keep their lines.
-
-Differencing alone can't give the article where menus, adverts and footers differ from page to page, and it would
-delete an article that stands under two URLs; that is why it doesn't touch lines that structure has decided.
-
-Hosts with many open pages are cut into groups of about `GROUP` pages by a hash of the page, and
+"""Main text of HTML pages by nearest-URL page differencing, checked by the page's own structure.
+
+A page is read into text lines, one for each block, in page order, without those of menus, headers, footers, sidebars,
+notices, adverts, forms, comments, scripts and styles (by element, or by class, id and role words): they are never
+main text, also where they differ from page to page. Each page is paired with its nearest page by URL path within its host (before
+it, else after it, in path order), the two pages' lines are aligned by longest common subsequence, and shared lines are
+deleted as the host's boilerplate. Structure then restores shared lines inside article and main elements, so an
+article under two URLs stays. Pages without such elements whose lines are all shared are mirrors of each other, which says
+nothing about boilerplate, so they keep their lines. Lines outside the article stay if the neighbour lacks them: they may
+be the story of a page whose article elements are only teasers.
+
+Hosts with many pages are cut into groups of about `GROUP` pages by a hash of the page, and
 pages are paired inside a group, so no host is gathered in one task.
 
 Cases: a null html is an empty page, and a page without main text gives an empty text. A null url is of the empty host
@@ -26,6 +23,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -127,33 +125,41 @@ def shared(a: list[str], b: list[str]) -> list[bool]:
     return out
 
 
-def _parsed(pages: DataFrame, open_pages: bool) -> DataFrame:
-    """Pages with their lines; those with open lines and no article, or the others with their text."""
+def _packed(text: list[str], open_: list[bool]) -> bytes:
+    """Lines (which hold no line feed), each after a mark of whether it is open."""
+    return zlib.compress("\n".join("ao"[o] + x for x, o in zip(text, open_, strict=True)).encode("utf-8", "replace"), 1)
+
+
+def _unpacked(page: bytes) -> list[str]:
+    return [x for x in zlib.decompress(page).decode().split("\n") if x]
+
+
+def _parsed(pages: DataFrame) -> DataFrame:
+    """Every page with its packed lines."""
     kind = dict(pages.dtypes)["page_id"]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found, take = [], []
-            for i, page in enumerate(b.column("html").to_pylist()):
-                text, loose = lines(page or "")
-                own = [x for x, o in zip(text, loose, strict=True) if not o]
-                if open_pages == (bool(text) and not own):
-                    found.append(text if open_pages else own)
-                    take.append(i)
-            at = pa.array(take, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("page_id").take(at), b.column("url").take(at), pa.array(found, pa.list_(pa.string()))], ["page_id", "url", "lines"])
+            found = [_packed(*lines(page or "")) for page in b.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(found, pa.binary())], ["page_id", "url", "page"])
+
+    return pages.select("page_id", "url", "html").mapInArrow(make, f"page_id {kind}, url string, page binary")
+
 
-    return pages.select("page_id", "url", "html").mapInArrow(make, f"page_id {kind}, url string, lines array<string>")
+def main_lines(page: bytes, other: bytes | None) -> list[str]:
+    """A page's main text: its lines without those shared with the other page, but with all article lines; a mirror without any keeps its lines."""
+    own = _unpacked(page)
+    mask = shared([x[1:] for x in own], [x[1:] for x in _unpacked(other)]) if other is not None else [False] * len(own)
+    kept = [x[1:] for x, m in zip(own, mask, strict=True) if not m or x[0] == "a"]
+    return kept or [x[1:] for x in own]
 
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out = []
-        for own, before, after in zip(*(b.column(c).to_pylist() for c in ("lines", "before", "after")), strict=True):
-            other = before if before is not None else after
-            mask = shared(own, other) if other else [False] * len(own)
-            out.append(own if all(mask) else [x for x, m in zip(own, mask, strict=True) if not m])
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.list_(pa.string()))], ["page_id", "url", "lines"])
+        for own, before, after in zip(*(b.column(c).to_pylist() for c in ("page", "before", "after")), strict=True):
+            out.append(" ".join(main_lines(own, before if before is not None else after)))
+        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
@@ -161,14 +167,13 @@ def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
     url = F.coalesce("url", F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
-    loose = _parsed(pages, True).withColumn("host", host).withColumn("path", path)
-    sizes = loose.groupBy("host").agg(F.ceil(F.count("*") / group).alias("groups"))
-    loose = loose.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("path", "page_id"), F.col("groups")))
-    near = Window.partitionBy("host", "part").orderBy("path", "page_id", "lines")
-    loose = loose.withColumn("before", F.lag("lines").over(near)).withColumn("after", F.lead("lines").over(near))
+    rows = _parsed(pages).withColumn("host", host).withColumn("path", path)
+    sizes = rows.groupBy("host").agg(F.ceil(F.count("*") / group).alias("groups"))
+    rows = rows.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("path", "page_id"), F.col("groups")))
+    near = Window.partitionBy("host", "part").orderBy("path", "page_id", "page")
+    rows = rows.withColumn("before", F.lag("page").over(near)).withColumn("after", F.lead("page").over(near))
     kind = dict(pages.dtypes)["page_id"]
-    cleaned = loose.select("page_id", "url", "lines", "before", "after").mapInArrow(_differences, f"page_id {kind}, url string, lines array<string>")
-    return _parsed(pages, False).union(cleaned).select("page_id", "url", F.array_join("lines", " ").alias("text"))
+    return rows.select("page_id", "url", "page", "before", "after").mapInArrow(_differences, f"page_id {kind}, url string, text string")
 
 
 def op7_html_difference(spark: SparkSession, sf_dir: str) -> DataFrame:

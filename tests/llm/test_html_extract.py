@@ -74,3 +74,11 @@ def test_whole_table_and_empty_table(spark: SparkSession, sf_dir: str) -> None:
         assert r["n_chars"] == len(r["text"]) > 0
         assert "<" not in r["text"] and "track(" not in r["text"] and "&copy;" not in r["text"]
     assert html_extract.extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_story_outside_the_article_elements_is_kept(spark: SparkSession) -> None:
+    """Article elements are only teasers here: the story stands in a div, and what the pages share outside is deleted."""
+    page = lambda i: f"<body><p>Welcome</p><div><p>Story {i}</p></div><article>Teaser {i}</article><article>Same teaser</article><p>Rights</p></body>"
+    rows = [(i, f"http://h/{i}", page(i), "", "", "") for i in range(4)]
+    found = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found == {i: f"Story {i} Teaser {i} Same teaser" for i in range(4)}
