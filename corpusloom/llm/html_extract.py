@@ -2,15 +2,16 @@
 
 A page is read into text lines, one for each block, in page order, without those of menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts and styles (by element, or by class, id and role words): they are never
-main text, also where they differ from page to page. Each page is paired with its nearest page by URL path within its host (before
-it, else after it, in path order), the two pages' lines are aligned by longest common subsequence, and shared lines are
+main text, also where they differ from page to page. Each page is paired with its nearest page by URL path within its host (of the
+pages before and after it in path order the one with the longer common start, else the one before), the two pages' lines are aligned by longest common subsequence, and shared lines are
 deleted as the host's boilerplate. Structure then restores shared lines inside article and main elements, so an
 article under two URLs stays. Pages without such elements whose lines are all shared are mirrors of each other, which says
 nothing about boilerplate, so they keep their lines. Lines outside the article stay if the neighbour lacks them: they may
 be the story of a page whose article elements are only teasers.
 
-Hosts with many pages are cut into groups of about `GROUP` pages by a hash of the page, and
-pages are paired inside a group, so no host is gathered in one task.
+Pages are sorted by host, path and page_id in ranges, and each range's first and last page are known to the
+ranges beside it, so every page meets its nearest URL however many pages its host has, and no host is gathered in one task. The bounds of the
+ranges never decide the result.
 
 Cases: a null html is an empty page, and a page without main text gives an empty text. A null url is of the empty host
 and path. Repeated rows are neighbours of each other; as mirrors they keep their lines. Unclosed
@@ -22,17 +23,17 @@ html are read.
 from __future__ import annotations
 
 import html as _html
+import os
 import re
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table
 
-GROUP = 500
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|object|title|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)(/?)>|<[!?/][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -154,26 +155,70 @@ def main_lines(page: bytes, other: bytes | None) -> list[str]:
     return kept or [x[1:] for x in own]
 
 
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _alike(a: str, b: str) -> int:
+    """The length of the common start of two paths."""
+    return len(os.path.commonprefix([a, b]))
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first and the last row of a range."""
+    first = last = None
     for b in batches:
-        out = []
-        for own, before, after in zip(*(b.column(c).to_pylist() for c in ("page", "before", "after")), strict=True):
-            out.append(" ".join(main_lines(own, before if before is not None else after)))
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
+        if b.num_rows:
+            first = b.slice(0, 1) if first is None else first
+            last = b.slice(b.num_rows - 1)
+    if first is not None:
+        for end, row in enumerate((first, last)):
+            yield pa.RecordBatch.from_arrays([pa.array([end], pa.int32()), *row.columns], ["end", *row.schema.names])
 
 
-def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
+def extract(pages: DataFrame, parts: int | None = None) -> DataFrame:
     """page_id, url and text of every row of pages (page_id, url, html)."""
     url = F.coalesce("url", F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
-    rows = _parsed(pages).withColumn("host", host).withColumn("path", path)
-    sizes = rows.groupBy("host").agg(F.ceil(F.count("*") / group).alias("groups"))
-    rows = rows.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("path", "page_id"), F.col("groups")))
-    near = Window.partitionBy("host", "part").orderBy("path", "page_id", "page")
-    rows = rows.withColumn("before", F.lag("page").over(near)).withColumn("after", F.lead("page").over(near))
     kind = dict(pages.dtypes)["page_id"]
-    return rows.select("page_id", "url", "page", "before", "after").mapInArrow(_differences, f"page_id {kind}, url string, text string")
+    order = ["host", "path", "page_id", "page"]
+    rows = _parsed(pages).select("page_id", "url", "page", host.alias("host"), path.alias("path"))
+    parts = parts or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = cut(rows.repartitionByRange(parts, *order[:3]).sortWithinPartitions(*order)).withColumn("range", F.spark_partition_id())
+    near = rows.select("range", "host", "path", "page")
+    found = near.mapInArrow(_edges, "end int, range int, host string, path string, page binary").collect()  # two rows for each range
+    edges = {(r["range"], r["end"]): (r["host"], r["path"], bytes(r["page"])) for r in found}
+    ranges = sorted({k for k, _ in edges})
+    beside = {k: (edges.get((before, 1)), edges.get((after, 0))) for before, k, after in zip([None, *ranges], ranges, [*ranges[1:], None], strict=False)}
+    held = pages.sparkSession.sparkContext.broadcast(beside)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = after = now = None
+        out: list[tuple] = []
+
+        def answer(row: tuple, before: tuple | None, after: tuple | None) -> None:
+            own_id, own_url, own = row
+            others = [x for x in (before, after) if x is not None and x[0] == own[0]]
+            other = max(others, key=lambda x: _alike(own[1], x[1]), default=None)  # the one before, if both are as near
+            out.append((own_id, own_url, " ".join(main_lines(own[2], other and other[2]))))
+
+        def taken() -> pa.RecordBatch:
+            ids, urls, texts = zip(*out, strict=True)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(ids), pa.array(urls, pa.string()), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+        for b in batches:
+            for i, (k, u, *own) in enumerate(zip(*(b.column(c).to_pylist() for c in ("range", "url", "host", "path", "page")), strict=True)):
+                if now is None:
+                    before, after = held.value[k]
+                else:
+                    answer(now, before, tuple(own))
+                    before = now[2]
+                now = (b.column("page_id").slice(i, 1), u, tuple(own))
+            if out:
+                yield taken()
+        if now is not None:
+            answer(now, before, after)
+            yield taken()
+
+    return rows.mapInArrow(make, f"page_id {kind}, url string, text string")
 
 
 def op7_html_difference(spark: SparkSession, sf_dir: str) -> DataFrame:

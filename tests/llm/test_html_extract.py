@@ -82,3 +82,19 @@ def test_story_outside_the_article_elements_is_kept(spark: SparkSession) -> None
     rows = [(i, f"http://h/{i}", page(i), "", "", "") for i in range(4)]
     found = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, PAGES)).collect()}
     assert found == {i: f"Story {i} Teaser {i} Same teaser" for i in range(4)}
+
+
+@pytest.mark.parametrize("parts", [1, 7, 200])
+def test_pages_of_a_large_host_meet_their_nearest_url(spark: SparkSession, parts: int) -> None:
+    """A host with over a thousand pages in sections of three: each section's own menu is shared only by neighbouring paths, and goes."""
+    page = lambda i: f"<body><p>Menu of section {i // 3}</p><p>Story {i}</p></body>"
+    rows = [(i, f"http://h/{i // 3:04d}/{i % 3}", page(i), "", "", "") for i in range(1200)]
+    found = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, PAGES), parts).collect()}
+    assert found == {i: f"Story {i}" for i in range(1200)}
+
+
+def test_large_hosts_by_the_default_ranges(spark: SparkSession) -> None:
+    page = lambda i: f"<body><p>Menu of section {i // 3}</p><p>Story {i}</p></body>"
+    rows = [(i, f"http://h/{i // 3:04d}/{i % 3}", page(i), "", "", "") for i in range(1200)]
+    found = html_extract.extract(spark.createDataFrame(rows, PAGES)).collect()
+    assert {r["text"] for r in found} == {f"Story {i}" for i in range(1200)}
