@@ -143,9 +143,13 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.stream(spark, f"{sf_dir}/events.parquet")
 
 
+def _late(spark: SparkSession, sf_dir: str) -> str:
+    return streaming.lateness(spark, f"{sf_dir}/events.parquet")
+
+
 @query('SELECT date_trunc(\'hour\', ts) AS "start", event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL')
 def streaming_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = streaming.windowed_counts(_events(spark, sf_dir))
+    counts = streaming.windowed_counts(_events(spark, sf_dir), late=_late(spark, sf_dir))
     done = streaming.drain(counts, "update", ["start", "event_type"])
     return done.withColumn("total", F.round("total", 4))
 
@@ -153,7 +157,7 @@ def streaming_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, any_value(user_id) AS user_id FROM events GROUP BY event_id")
 def streaming_unique_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _events(spark, sf_dir)
-    return streaming.drain(streaming.unique_events(rows.select("event_id", "user_id", "ts"))).select("event_id", "user_id")
+    return streaming.drain(streaming.unique_events(rows.select("event_id", "user_id", "ts"), late=_late(spark, sf_dir))).select("event_id", "user_id")
 
 
 @query("""WITH l AS (SELECT user_id, ts, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
@@ -166,8 +170,8 @@ def batch_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def streaming_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream writes a session once the watermark has passed it, so the last ones stay in its state."""
-    return streaming.drain(streaming.sessions(_events(spark, sf_dir)))
+    """All sessions of the stream, also the last ones, which no watermark passes: each batch gives all sessions, and the last one counts."""
+    return streaming.drain(streaming.sessions(_events(spark, sf_dir), late=_late(spark, sf_dir)), "complete")
 
 
 @query("SELECT event_id, user_id FROM events WHERE event_type <> 'view' AND event_id NOT IN (SELECT event_id FROM events WHERE event_id % 7 = 0)")

@@ -26,6 +26,13 @@ def stream(spark: SparkSession, path: str, files: int = 8) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
 
 
+def lateness(spark: SparkSession, path: str, column: str = "ts") -> str:
+    """The whole spread of a table's times and a second: with a watermark that much behind, no row is late, in whatever order its files are read."""
+    time = F.col(column).cast("timestamp")
+    spread = spark.read.parquet(path).agg((F.unix_micros(F.max(time)) - F.unix_micros(F.min(time))).alias("us")).first()["us"] or 0
+    return f"{spread // 1_000_000 + 2} seconds"
+
+
 def windowed_counts(events: DataFrame, size: str = "1 hour", late: str = "1 day") -> DataFrame:
     rows = events.withWatermark("ts", late).groupBy(F.window("ts", size), "event_type")
     return rows.agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
@@ -43,7 +50,8 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 day") ->
 def drain(result: DataFrame, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
     """Runs a stream over all data that is there, with its state and progress in the shared folder, and returns what it wrote.
 
-    In `update` mode each batch holds new values of changed keys; the last one of each key counts.
+    In `update` mode each batch holds new values of changed keys; the last one of each key counts. In `complete` mode each batch
+    holds the whole result, also what a watermark hasn't passed; the last batch counts.
     """
     spark = result.sparkSession
     folder = work_folder(spark)
@@ -58,5 +66,8 @@ def drain(result: DataFrame, mode: str = "append", keys: list[str] | None = None
     query = result.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     query.awaitTermination()
     rows = spark.read.parquet(f"{folder}/out")
+    if mode == "complete":
+        last = rows.agg(F.max("number")).first()[0]
+        return rows.where(F.col("number") == F.lit(-1 if last is None else last)).select(*result.columns)
     values = [c for c in result.columns if c not in keys]
     return rows.groupBy(*keys).agg(*(F.max_by(c, "_batch").alias(c) for c in values)).select(*result.columns)
