@@ -34,11 +34,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, release, shared_dir, table
+from .common import cut, shared_dir, table
 
 LEAST = 100
 PAGES_PER_FILE = 4000
 CHUNK = 1 << 18
+STRETCH = 8 << 20
 _NOW = "2024-01-01T00:00:00Z"  # fixed, so that reruns write the same bytes
 
 
@@ -52,9 +53,18 @@ class _Placed:
     def __init__(self, uri: str) -> None:
         self.fs, self.path = _open(uri)
         self.beside = f"{self.path}.{uuid.uuid4().hex}.tmp"
-        self.out = self.fs.open_output_stream(self.beside, compression=None)
+        self.out: pa.NativeFile | None = None
+
+    def there(self) -> bool:
+        return self.fs.get_file_info(self.path).type == pafs.FileType.File
+
+    def write(self, data: bytes) -> None:
+        if self.out is None:
+            self.out = self.fs.open_output_stream(self.beside, compression=None)
+        self.out.write(data)
 
     def done(self) -> None:
+        self.write(b"")
         self.out.close()
         self.fs.move(self.beside, self.path)
 
@@ -103,8 +113,8 @@ def write_archives(pages: DataFrame, folder: str, files: int, least: int = LEAST
         for b in batches:
             for page_id, url, text, digest, first in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "digest", "first")), strict=True):
                 again = first is not None and page_id != first
-                placed.out.write(packer.compress(record(page_id, url, text.encode(), digest, first, again)))
-        placed.out.write(packer.flush())
+                placed.write(packer.compress(record(page_id, url, text.encode(), digest, first, again)))
+        placed.write(packer.flush())
         placed.done()
         yield pa.RecordBatch.from_arrays([pa.array([name])], ["archive"])
 
@@ -157,8 +167,12 @@ def _inflate(source: pa.NativeFile) -> Iterator[bytes]:
         yield out
 
 
-def normalise(archives: DataFrame, folder: str) -> DataFrame:
-    """Rewrites each archive with a member for each record, with a sidecar index; returns archive and records."""
+def normalise(archives: DataFrame, folder: str, keep: bool = False) -> DataFrame:
+    """Rewrites each archive with a member for each record, with a sidecar index; returns archive and records.
+
+    archives has one name in each of its partitions, so each archive is a task of its own. A monolithic archive is deleted as soon as its
+    members and index are in place (unless `keep`); a task that is run again after that takes what stands there.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -167,16 +181,23 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 target, index = _Placed(f"{folder}/members/{base}.warc.gz"), _Placed(f"{folder}/index/{base}.jsonl")
                 fs, path = _open(name)
                 offset = n = 0
+                if fs.get_file_info(path).type == pafs.FileType.NotFound and target.there() and index.there():
+                    with index.fs.open_input_stream(index.path, compression=None) as lines:
+                        n = sum(part.count(b"\n") for part in iter(lambda: lines.read(CHUNK), b""))
+                    yield pa.RecordBatch.from_arrays([pa.array([base]), pa.array([n])], ["archive", "records"])
+                    continue
                 with fs.open_input_stream(path, compression=None) as source:
                     for head, whole, _ in _records(_inflate(source)):
                         packer = zlib.compressobj(3, zlib.DEFLATED, 31)
                         member = packer.compress(whole) + packer.flush()
                         line = {"archive": base, "offset": offset, "length": len(member), "id": head["WARC-Record-ID"], "type": head["WARC-Type"], "page": head.get("X-Page-ID"), "digest": head["WARC-Payload-Digest"]}
-                        target.out.write(member)
-                        index.out.write(json.dumps(line).encode() + b"\n")
+                        target.write(member)
+                        index.write(json.dumps(line).encode() + b"\n")
                         offset, n = offset + len(member), n + 1
                 target.done()
                 index.done()
+                if not keep:
+                    fs.delete_file(path)
                 yield pa.RecordBatch.from_arrays([pa.array([base]), pa.array([n])], ["archive", "records"])
 
     return archives.mapInArrow(make, "archive string, records long")
@@ -192,7 +213,10 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     revisit gives the size and digest that its headers state, and a null payload.
     """
     index = spark.read.schema(INDEX).json(f"{folder}/index")
-    rows = index.select("archive", "offset", "length").repartition("archive", F.floor(F.col("offset") / (8 << 20))).sortWithinPartitions("archive", "offset")
+    stretch = F.floor(F.col("offset") / STRETCH)
+    rows = index.select("archive", "offset", "length")
+    n = rows.select("archive", stretch).distinct().count()  # a task for each stretch of an archive, however small the index is
+    rows = rows.repartition(max(1, n), "archive", stretch).sortWithinPartitions("archive", "offset")
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
     names = [x.split()[0] for x in schema.split(", ")]
 
@@ -220,8 +244,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     return rows.mapInArrow(make, schema)
 
 
-def archive(pages: DataFrame, folder: str | None = None, least: int = LEAST, pages_per_file: int = PAGES_PER_FILE) -> str:
-    """Writes pages as normalised archives and returns their folder (members/, index/ and the monolithic whole/)."""
+def archive(pages: DataFrame, folder: str | None = None, least: int = LEAST, pages_per_file: int = PAGES_PER_FILE, keep: bool = False) -> str:
+    """Writes pages as normalised archives and returns their folder (members/ and index/; with `keep` also the monolithic whole/)."""
     spark = pages.sparkSession
     folder = folder or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     folder = folder if "://" in folder else "file://" + folder.removeprefix("file:")
@@ -229,9 +253,7 @@ def archive(pages: DataFrame, folder: str | None = None, least: int = LEAST, pag
     for part in ("whole", "members", "index"):
         fs.create_dir(f"{path}/{part}", recursive=True)
     files = max(1, -(-pages.count() // pages_per_file))
-    written = cut(write_archives(pages, folder, files, least))
-    release(spark)
-    cut(normalise(written.repartition("archive"), folder))
+    cut(normalise(cut(write_archives(pages, folder, files, least)), folder, keep))
     return folder
 
 

@@ -36,7 +36,7 @@ ROWS = [
 
 
 def test_round_trip(spark: SparkSession) -> None:
-    folder = warc.archive(spark.createDataFrame(ROWS, PAGES), pages_per_file=4)
+    folder = warc.archive(spark.createDataFrame(ROWS, PAGES), pages_per_file=4, keep=True)
     back = warc.read_archives(spark, folder)
     assert sorted(map(str, _found(back))) == sorted(map(str, _want(ROWS)))
     for r in back.where("payload is not null").collect():
@@ -62,3 +62,25 @@ def test_whole_table_and_empty_table(spark: SparkSession, sf_dir: str) -> None:
     assert sorted(_found(warc.op2_warc_normalise(spark, sf_dir))) == sorted(_want(rows))
     empty = spark.createDataFrame([], PAGES)
     assert warc.read_archives(spark, warc.archive(empty)).count() == 0
+
+
+def test_archives_are_dealt_to_many_tasks(spark: SparkSession) -> None:
+    """20 archives: each is rewritten in a task of its own, and reading them back takes as many."""
+    pages = spark.range(200).selectExpr("id as page_id", "concat('http://h/', id) as url", "repeat(cast(id as string), 100) as html")
+    folder = warc.archive(pages, pages_per_file=10)
+    assert len([n for n in os.listdir(folder.removeprefix("file://") + "/index") if n.endswith(".jsonl")]) == 20
+    assert os.listdir(folder.removeprefix("file://") + "/whole") == []  # dropped once the members stand
+    back = warc.read_archives(spark, folder)
+    assert back.rdd.getNumPartitions() >= 20 and back.count() == 200
+    again = f"{folder}/twice"
+    names = warc.cut(warc.write_archives(pages, _made(again), 20))
+    assert names.rdd.getNumPartitions() == 20
+    first = warc.normalise(names, again)
+    assert first.rdd.getNumPartitions() == 20 and first.groupBy().sum("records").first()[0] == 200
+    assert first.groupBy().sum("records").first()[0] == 200  # a task that is run again after its archive was dropped
+
+
+def _made(folder: str) -> str:
+    for part in ("whole", "members", "index"):
+        os.makedirs(f"{folder.removeprefix('file://')}/{part}")
+    return folder
