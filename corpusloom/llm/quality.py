@@ -254,12 +254,16 @@ def feature_rows(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     return df.mapInArrow(make, schema)
 
 
-def learn(rows: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, **settings: float) -> Model:
-    """A model from feature rows (doc_id, features) and labels (doc_id, quality) of the training folds."""
+def lessons(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """doc_id and quality of at most max_rows labels of the training folds whose documents are in docs (doc_id), those with the smallest hashes of doc_id."""
     fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS
-    chosen = labels.where((fold != HELD_OUT) & F.col("quality").isNotNull()).select("doc_id", "quality")
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_rows)
-    found = rows.select("doc_id", "features").join(chosen, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_rows).toArrow()
+    usable = labels.where((fold != HELD_OUT) & F.col("quality").isNotNull()).select("doc_id", "quality")
+    return usable.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_rows)
+
+
+def learn(rows: DataFrame, chosen: DataFrame, max_rows: int = MAX_ROWS, **settings: float) -> Model:
+    """A model from feature rows (doc_id, features) and the chosen labels (doc_id, quality), which are at most max_rows."""
+    found = rows.select("doc_id", "features").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_rows).toArrow()
     x = np.array(found["features"].combine_chunks().flatten(), np.float32).reshape(-1, len(FEATURES))
     y = (found["quality"].to_numpy() > 0).astype(float)
     order = np.lexsort([*x.T[::-1], y])  # the fit doesn't depend on the order in which rows came
@@ -295,7 +299,7 @@ def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Da
     """doc_id, text_hash, held_out, score and predicted for every row of docs."""
     rows = cut(feature_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), keep=("doc_id", "text_hash")))
     fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS
-    found = scored(rows, learn(rows, labels, max_rows))
+    found = scored(rows, learn(rows, cut(lessons(rows, labels, max_rows)), max_rows))
     return found.select("doc_id", "text_hash", F.coalesce(fold == HELD_OUT, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
