@@ -12,45 +12,47 @@ member has an id (then one stays).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm import jaccard_join, mixing, packing, quality
 from corpusloom.llm.common import cut, table
 
 LOWEST = -(1 << 63)
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _keyed(df: DataFrame) -> DataFrame:
-    return df.withColumn("_id", F.coalesce(F.col("doc_id"), F.lit(LOWEST)))
+def _rows(docs: DataFrame) -> DataFrame:
+    """Whole rows as one column `row`, so that no column of theirs can clash, beside what decides on them."""
+    return docs.select(F.struct("*").alias("row"), _key().alias("id"), F.xxhash64("text").alias("hash"), F.col("source").alias("origin"))
+
+
+def _key() -> Column:
+    return F.coalesce(F.col("doc_id"), F.lit(LOWEST))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored 0.5 or more. The model is learnt once, then applied while the documents stream by."""
-    rows = cut(quality.feature_rows(docs))
-    model = quality.learn(rows, table(spark, sf_dir, "labels"))
-    return quality.passing(docs, model)
+    """Documents scored 0.5 or more. Only labelled documents' features are made to learn from; then the model is applied while the documents stream by."""
+    chosen = cut(quality.lessons(docs, table(spark, sf_dir, "labels")))
+    labelled = docs.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")  # at most quality.MAX_ROWS ids
+    return quality.passing(docs, quality.learn(quality.feature_rows(labelled), chosen))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard_join.join_components(docs)
     # the rows of one document are few, unless ids are missing: those are ranked by text
     own = Window.partitionBy("component_id", "text_hash").orderBy("n_shingles")
-    kept = found.where("doc_id = component_id or component_id is null").withColumn("_n", F.row_number().over(own))
-    kept = _keyed(kept.where("_n = 1")).select("_id", F.col("text_hash").alias("_hash")).distinct()
-    rows = _keyed(docs).withColumn("_hash", F.xxhash64("text")).join(kept, ["_id", "_hash"], "left_semi")
-    return rows.dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    kept = found.where("doc_id = component_id or component_id is null").withColumn("n", F.row_number().over(own))
+    kept = kept.where("n = 1").select(_key().alias("id"), F.col("text_hash").alias("hash")).distinct()
+    return _rows(docs).join(kept, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"]).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = mixing.mix(docs).where("times > 0").groupBy("doc_id", "text_hash", "source").agg(F.sum("times").alias("_times"), F.count("*").alias("_rows"))
-    found = _keyed(found).select(F.col("_id").alias("_at"), F.col("text_hash").alias("_as"), F.col("source").alias("_of"), "_times")
-    rows = _keyed(docs).withColumn("_hash", F.xxhash64("text")).withColumn("_source", F.col("source"))
-    one = rows.dropDuplicates(["_id", "_hash", "_source"])  # rows alike in these are interchangeable; the takes of all of them are summed
-    same = (F.col("_id") == F.col("_at")) & (F.col("_hash") == F.col("_as")) & F.col("_source").eqNullSafe(F.col("_of"))
-    out = one.join(found, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-    return out.select(*docs.columns)
+    found = mixing.mix(docs).where("times > 0").groupBy("doc_id", "text_hash", "source").agg(F.sum("times").alias("times"))
+    found = found.select(_key().alias("at"), F.col("text_hash").alias("as"), F.col("source").alias("of"), "times")
+    one = _rows(docs).dropDuplicates(["id", "hash", "origin"])  # rows alike in these are interchangeable; the takes of all of them are summed
+    same = (F.col("id") == F.col("at")) & (F.col("hash") == F.col("as")) & F.col("origin").eqNullSafe(F.col("of"))
+    taken = one.join(found, same)
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
