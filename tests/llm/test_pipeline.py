@@ -51,3 +51,16 @@ def test_odd_tables(spark: SparkSession, sf_dir: str) -> None:
             if i == 1:
                 assert docs.where("text is not null and text <> ''").count() <= 2
         docs.count()
+
+
+def test_columns_of_any_name_come_out_unchanged(spark: SparkSession, sf_dir: str) -> None:
+    names = ("_hash", "_id", "_source", "_times", "_copy", "row", "id", "hash", "origin", "times", "at", "n", "col")
+    text = "These are words of a plain sentence, and they go on for a while until it ends. " * 4
+    rows = [(i, f"{text} Number {i} has its own end here, {i} times over.", "en", "a", 9, *(1000 * i + k for k in range(len(names)))) for i in range(1, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} long" for n in names))
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = cut(stage(spark, docs, sf_dir))
+        assert docs.columns[5:] == list(names)
+        for r in docs.collect():
+            assert [r[n] for n in names] == [1000 * r["doc_id"] + k for k in range(len(names))]
+    assert docs.count()
