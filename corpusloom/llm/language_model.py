@@ -10,18 +10,21 @@ an unseen word and the probabilities add up to 1.
 Training covers all training texts. In each of `ROUNDS` rounds the tasks take their share of the texts
 (each text belongs to one round), make minibatch gradient updates (step sizes by row, from the sum of
 squared gradients) starting from the common weights, and their weights are averaged row by row,
-weighted by how often each task used the row. Averaging streams through fixed blocks of rows.
+weighted by how often each task used the row. Averaging streams through fixed blocks of rows. Which texts a task trains on
+follows the partitions of the input.
 
-Features of the words themselves follow: the skip (w2, w), the pair (w1, w) and the triple (w2, w1, w). Each step is
-P(w | history) = (count(feature) + s * P'(w | history)) / (count(its history) + s), where P' is the step before. That is the
+Features of the words themselves follow: the pair (w1, w), then the triple (w2, w1, w). Each step is
+P(w | history) = (count(feature) + s * P'(w | history)) / (count(its history) + s), where P' is the step before and s is
+k * (count(its history) + 1) ^ e (`STRENGTH`: k and e). That is the
 exponential model P' * exp(weight) / Z whose weight for a feature is log(1 + count / (s * P')) and Z is 1 + count(history) / s:
 the weights are set in closed form, not by gradient, and the probabilities still add up to 1. The counts cover every
 feature of all training texts; a training text's own features are among them.
 
-Counting and scoring: tokens are 64-bit word hashes, features 64-bit hashes of them. Words frequent enough for a table of at most
-`FREQUENT` entries are looked up inside the tasks. All other words and all features meet in blocks of the key space, whose
-number grows with the input (`feature_counts`); a chunk of texts sends each of its keys once and gets the count over all
-training texts back, so nothing that grows with the vocabulary is broadcast and a common key is no larger than a rare one.
+Counting and scoring: texts are packed into chunks of about `CHUNK` bytes. Word features are hashed to a table of at least 64 slots
+for each byte of text, so its size grows with the input (two features in one slot are rare; a count is never taken as more than its history's).
+Words frequent enough for a table of at most `FREQUENT` entries are looked up inside the tasks. All other words (by their whole hashes) and all
+features meet in blocks of the key space, whose number grows with the input (`key_counts`); a chunk sends each of its keys once and gets the
+count over all training texts back, so nothing that grows with the vocabulary is broadcast and a common key is no larger than a rare one.
 
 Cases: null and empty texts consist of the end token alone. Null doc_ids are scored and count as held
 out (their remainder is null). Repeated rows are counted and scored as often as they stand. Without training rows all
@@ -30,7 +33,6 @@ counts are 0, N and V are 0, and the class softmax is uniform. An empty table gi
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,8 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, release, table
-from .textkernel import mix, runs, utf8, word_bounds, word_hashes
+from .common import cut, table
+from .textkernel import mix, packed, runs, unpacked, utf8, word_bounds, word_hashes
 
 FOLDS, HELD_OUT = 5, 1
 CLASSES, WORD_CLASSES = 64, 31
@@ -51,10 +53,9 @@ BATCH = 4096
 RATE = 0.4
 BLOCK = 256
 COUNTED = 1 << 20
-CHUNK = 4 << 20
-BLOCK_KEYS = 1 << 22
-PASSES = 4
-STRENGTH = (20.0, 10.0, 4.0)
+CHUNK = 8 << 20
+BLOCK_KEYS = 1 << 21
+STRENGTH = ((4.0, 1.0), (2.0, 0.8))
 END = np.uint64(0x5BD1E9955BD1E995)
 _START = CLASSES
 
@@ -167,8 +168,63 @@ def _fold(column: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % FOLDS, F.lit(HELD_OUT))
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """w, tail and c of every token type of docs; counted over about COUNTED tokens at a time, then by Spark before and after the shuffle."""
+def _packed_texts(held: list[pa.RecordBatch]) -> bytes:
+    """doc_ids and texts as one compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        for b in held:
+            out.write_batch(b)
+    return sink.getvalue().to_pybytes()
+
+
+def _texts(body: pa.BinaryScalar) -> pa.Table:
+    return pa.ipc.open_stream(body.as_buffer()).read_all().combine_chunks()
+
+
+def chunked(docs: DataFrame, train: F.Column | None = None) -> DataFrame:
+    """docs as rows of about CHUNK bytes of text (chunk, train, size, body), either of training texts or of others; written once, so a chunk stays what it is."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bool, list[pa.RecordBatch]] = {True: [], False: []}
+        sizes = {True: 0, False: 0}
+
+        def whole(learns: bool) -> pa.RecordBatch:
+            number, body = held[learns][0]["rid"][:1], _packed_texts([x.select(["doc_id", "text"]) for x in held[learns]])
+            out = pa.RecordBatch.from_arrays([number, pa.array([learns]), pa.array([sizes[learns]]), pa.array([body], pa.binary())], ["chunk", "train", "size", "body"])
+            held[learns].clear()
+            sizes[learns] = 0
+            return out
+
+        for b in batches:
+            for learns in (True, False):
+                part = b.filter(b["train"] if learns else pa.compute.invert(b["train"]))
+                ends = np.cumsum(np.diff(utf8(part["text"])[1]))
+                i = 0
+                while i < part.num_rows:
+                    before = ends[i - 1] if i else 0
+                    j = min(part.num_rows, int(np.searchsorted(ends, before + CHUNK - sizes[learns], "left")) + 1)
+                    held[learns].append(part.slice(i, j - i))
+                    sizes[learns] += int(ends[j - 1] - before)
+                    i = j
+                    if sizes[learns] >= CHUNK:
+                        yield whole(learns)
+        for learns, parts in held.items():
+            if parts:
+                yield whole(learns)
+
+    rows = docs.select("doc_id", "text", (_fold() != HELD_OUT if train is None else train).alias("train"), F.monotonically_increasing_id().alias("rid"))
+    return cut(rows.mapInArrow(make, "chunk long, train boolean, size long, body binary"))
+
+
+def _pieces(texts: pa.Array, lo: int = 0, hi: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Token hashes, tail codes and offsets of the texts from lo to before hi, in runs."""
+    raw, offsets = utf8(texts.slice(lo, None if hi is None else hi - lo))
+    for i, j in runs(offsets):
+        yield _tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+
+
+def count_words(chunks: DataFrame) -> DataFrame:
+    """w, tail and c of every token type of the chunks; counted over about COUNTED tokens at a time, then by Spark before and after the shuffle."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -180,20 +236,20 @@ def count_words(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(tail[first].astype(np.int32)), pa.array(c)], ["w", "tail", "c"])
 
         for b in batches:
-            raw, offsets = utf8(b.column("text"))
-            for i, j in runs(offsets):
-                held.append(_tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])[:2])
-                if sum(len(h) for h, _ in held) > COUNTED:
-                    yield counted()
+            for body in b["body"]:
+                for h, tail, _ in _pieces(_texts(body)["text"]):
+                    held.append((h, tail))
+                    if sum(len(x) for x, _ in held) > COUNTED:
+                        yield counted()
         if held:
             yield counted()
 
-    return docs.select("text").mapInArrow(make, "w long, tail int, c long").groupBy("w").agg(F.min("tail").alias("tail"), F.sum("c").alias("c"))
+    return chunks.select("body").mapInArrow(make, "w long, tail int, c long").groupBy("w").agg(F.min("tail").alias("tail"), F.sum("c").alias("c"))
 
 
 def prepare(counts: DataFrame, frequent: int = FREQUENT) -> Model:
-    """A model without training from the count table; what is collected has at most `frequent` rows (or one for each distinct count)."""
-    levels = counts.groupBy("c").count().orderBy(F.desc("c")).collect()
+    """A model without training from the count table; what is collected has at most about `frequent` rows."""
+    levels = counts.groupBy("c").count().orderBy(F.desc("c")).limit(frequent + 1).collect()  # each level holds a word at least
     held, least = 0, None
     for c, n in levels:
         held += n
@@ -229,22 +285,21 @@ def prepare(counts: DataFrame, frequent: int = FREQUENT) -> Model:
     return Model(w, c, own[order], own_class[order], bias, norm, int(total), int(distinct), np.zeros((ROWS, CLASSES), np.float32))
 
 
-def train(docs: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
-    """One pass over docs in `rounds` parts; after each, the tasks' weights are averaged."""
-    context = docs.sparkSession.sparkContext
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
+def train(chunks: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
+    """One pass over the chunks' texts in `rounds` parts; after each, the tasks' weights are averaged."""
+    context = chunks.sparkSession.sparkContext
     for r in range(rounds):
         held = context.broadcast(model)  # fixed size
 
-        def learn(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+        def learn(batches: Iterator[pa.RecordBatch], held=held, r=r) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             m = held.value
             weights, squares, used = m.weights.copy(), np.zeros(ROWS, np.float32), np.zeros(ROWS, np.int64)
             for b in batches:
-                raw, offsets = utf8(b.column("text"))
-                for i, j in runs(offsets):
-                    h, tail, at = _tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                    cls = m.classes(h, tail)
-                    update(weights, squares, used, m.bias, cls, features(cls, at))
+                for body in b["body"]:
+                    texts = _texts(body)["text"]
+                    for h, tail, at in _pieces(texts, r * len(texts) // rounds, (r + 1) * len(texts) // rounds):
+                        cls = m.classes(h, tail)
+                        update(weights, squares, used, m.bias, cls, features(cls, at))
             for k in range(0, ROWS, BLOCK):
                 if used[k : k + BLOCK].any():
                     yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([weights[k : k + BLOCK].tobytes()], pa.binary()), pa.array([used[k : k + BLOCK].tobytes()], pa.binary())], ["block", "weights", "used"])
@@ -262,7 +317,7 @@ def train(docs: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([w.tobytes()], pa.binary()), pa.array([u.tobytes()], pa.binary())], ["block", "weights", "used"])
 
         schema = "block long, weights binary, used binary"
-        pieces = docs.where(part == r).select("text").mapInArrow(learn, schema)
+        pieces = chunks.select("body").mapInArrow(learn, schema)
         # first inside groups of tasks, then over all: no task gets every other task's block
         salted = pieces.repartition("block", F.spark_partition_id() % 16).mapInArrow(average_sums(average), schema)
         for row in salted.repartition("block").mapInArrow(average_sums(average), schema).collect():  # the weight table: fixed size
@@ -287,209 +342,173 @@ def average_sums(sums):  # noqa: ANN001, ANN201
     return make
 
 
-def keys_of(h: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
-    """64-bit keys of each token's word features: (w1, w), (w2, w1, w), the skip (w2, w), and the skip's history (w2)."""
-    place = np.arange(len(h)) - np.repeat(at[:-1], np.diff(at))
-    back = lambda x, d: np.concatenate([np.zeros(min(d, len(x)), np.uint64), x[: max(len(x) - d, 0)]])
-    w1, w2 = (np.where(place >= d, back(h, d), np.uint64(d)) for d in (1, 2))
-    two = mix(mix(w1 + np.uint64(0xB1)) + h)
-    past = mix(w2 + np.uint64(0x5C1B))
-    return {"two": two, "three": mix(mix(back(two, 1) + np.uint64(0x731)) + h), "skip": mix(past + h), "past": past, "place": place}
-
-
-def _pieces(keys: np.ndarray, counts: np.ndarray, blocks: int, lo: int, hi: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Sorted keys and their counts by block of the key space, for the blocks lo to hi - 1."""
-    bounds = np.searchsorted(keys, _bounds(blocks)[lo : hi + 1]) if hi < blocks else np.append(np.searchsorted(keys, _bounds(blocks)[lo:hi]), len(keys))
-    for k, (i, j) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-        if j > i:
-            yield lo + k, keys[i:j], counts[i:j]
-
-
-def _bounds(blocks: int) -> np.ndarray:
-    return np.array([(k << 64) // blocks for k in range(blocks)], np.uint64)
-
-
-def _chunk_keys(model: Model, texts: pa.Array, train: np.ndarray, lo: np.uint64 = np.uint64(0), hi: np.uint64 | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys of a chunk from lo to before hi, and how often its training texts have each. Words are there too, but are counted elsewhere."""
-    raw, offsets = utf8(texts)
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    for i, j in runs(offsets):
-        h, _, at = _tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-        learns = np.repeat(train[i:j], np.diff(at))
-        features_ = keys_of(h, at)
-        late, place = features_["place"] >= 2, features_["place"]
-        rare = ~model.holds(h)
-        for key, use, counted in ((h, rare, False), (features_["two"], None, True), (features_["three"], place >= 1, True), (features_["skip"], late, True), (features_["past"], late, True)):
-            inside = key >= lo if hi is None else (key >= lo) & (key < hi)
-            inside = inside if use is None else inside & use
-            found.append((key[inside], learns[inside] & counted))
-    keys, counted = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0, bool))
-    order = np.argsort(keys)
-    keys = keys[order]
-    if not len(keys):
-        return keys, np.zeros(0, np.uint32)
-    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[start], np.add.reduceat(counted[order].astype(np.uint32), start)
-
-
-def chunked(docs: DataFrame) -> DataFrame:
-    """docs as rows of about CHUNK bytes of text: number, doc_ids, texts and which of them are training texts; written once, so a chunk stays what it is."""
-    kind = dict(docs.dtypes)["doc_id"]
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-
-        def packed() -> pa.RecordBatch:
-            t = pa.Table.from_batches(held).combine_chunks()
-            whole = lambda c: pa.ListArray.from_arrays(pa.array([0, t.num_rows], pa.int32()), t[c].combine_chunks())
-            return pa.RecordBatch.from_arrays([t["rid"].combine_chunks()[:1], whole("doc_id"), whole("text"), whole("train")], ["chunk", "doc_id", "text", "train"])
-
-        for b in batches:
-            width = np.diff(utf8(b.column("text"))[1])
-            i = 0
-            for j in range(b.num_rows):
-                size += int(width[j])
-                if size >= CHUNK:
-                    held.append(b.slice(i, j + 1 - i))
-                    yield packed()
-                    held.clear()
-                    i, size = j + 1, 0
-            if i < b.num_rows:
-                held.append(b.slice(i))
-        if held:
-            yield packed()
-
-    rows = docs.select("doc_id", "text", (_fold() != HELD_OUT).alias("train"), F.monotonically_increasing_id().alias("rid"))
-    return cut(rows.mapInArrow(make, f"chunk long, doc_id array<{kind}>, text array<string>, train array<boolean>"))
-
-
-def feature_counts(chunks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """(chunk, block, c): how often the training texts have each of a chunk's keys, in the order of the keys.
-
-    The key space is cut into blocks of about BLOCK_KEYS keys, whose number grows with the input; a chunk sends each key once to its block,
-    where all chunks' counts meet. PASSES parts of the space follow each other, so that only one part's keys are on disk at a time.
+@dataclass
+class Chunk:
+    """A chunk's tokens, and the slots of their word features."""
+
+    h: np.ndarray
+    tail: np.ndarray
+    at: np.ndarray
+    two: np.ndarray
+    three: np.ndarray
+
+    @classmethod
+    def of(cls, texts: pa.Array, bits: int) -> Chunk:
+        """Slots are the top `bits` bits of the features' hashes: those of (w1, w), and of (w2, w1, w) for all but a text's first token."""
+        parts = list(_pieces(texts))
+        h, tail = (np.concatenate([x[k] for x in parts]) for k in (0, 1))
+        at = np.concatenate([[0], *(np.diff(x[2]) for x in parts)]).cumsum()
+        before = np.concatenate([[np.uint64(1)], h[:-1]])
+        before[at[:-1]] = 1
+        two = mix(mix(before + np.uint64(0xB1)) + h)
+        past = np.concatenate([[np.uint64(0)], two[:-1]])
+        three = mix(mix(past + np.uint64(0x731)) + h)
+        keep = np.ones(len(h), bool)
+        keep[at[:-1]] = False
+        shift = np.uint64(64 - bits)
+        return cls(h, tail, at, two >> shift, three[keep] >> shift)
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct slots in rising order, how often each stands here, and the place among them of each slot of `two` and `three`."""
+        every = np.concatenate([self.two, self.three])
+        order = np.argsort(every)
+        new = np.concatenate([[True], np.diff(every[order]) > 0])
+        place = np.empty(len(every), np.int64)
+        place[order] = np.cumsum(new) - 1
+        start = np.flatnonzero(new)
+        return every[order[start]], np.diff(np.append(start, len(every))), place
+
+    def rare(self, model: Model) -> np.ndarray:
+        """The distinct words that the model doesn't hold, in rising order."""
+        return np.unique(self.h[~model.holds(self.h)])
+
+
+def slot_bits(size: int) -> int:
+    """Bits of a slot's number for so many bytes of text."""
+    return min(60, max(20, int(size).bit_length()) + 6)
+
+
+def _dealt(keys: np.ndarray, counts: np.ndarray, blocks: int, bits: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Sorted keys of so many bits, as steps from one to the next, and their counts, by block of the key space."""
+    low = np.array([(k << bits) // blocks for k in range(blocks)], np.uint64)
+    at = np.append(np.searchsorted(keys, low), len(keys))
+    for k in np.flatnonzero(np.diff(at)):
+        part = slice(at[k], at[k + 1])
+        yield int(k), packed(np.diff(keys[part], prepend=low[k])), packed(counts[part])
+
+
+def key_counts(chunks: DataFrame, counts: DataFrame, model: Model, bits: int) -> DataFrame:
+    """(chunk, block, c): how often the training texts have each of a chunk's rare words and slots, in their order.
+
+    The key space is cut into blocks of about BLOCK_KEYS keys, first those of words, then those of slots; a chunk sends each key once to
+    its block, where all chunks' counts meet.
     """
     spark = chunks.sparkSession
     held = spark.sparkContext.broadcast(model)
-    size = chunks.select(F.sum(F.aggregate("text", F.lit(0).cast("long"), lambda n, t: n + F.coalesce(F.octet_length(t), F.lit(0))))).first()[0] or 0
-    blocks = PASSES * max(1, -(-size // (PASSES * BLOCK_KEYS * 2)))  # a text has about one distinct key for every two bytes
-    schema = "chunk long, block int, keys binary, counts binary"
+    size = chunks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // (4 * BLOCK_KEYS)))  # a text has about one distinct slot for every four bytes
+    of_words = max(1, -(-max(0, model.distinct - len(model.words)) // BLOCK_KEYS))
     least = int(model.counts.min()) if len(model.counts) else 1 << 62
     rest = counts.where(F.col("c") < least).select("w", "c")  # the words that aren't in the model
     names = ["chunk", "block", "keys", "counts"]
+    types = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
 
-    def row(chunk: int, k: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([k], pa.int32()), pa.array([keys.tobytes()], pa.binary()), pa.array([n.astype(np.int64).tobytes() if chunk < 0 else n.astype(np.uint32).tobytes()], pa.binary())], names)
+    def rows(found: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), types, strict=True)], names)
+
+    def of_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for number, learns, body in zip(b["chunk"].to_pylist(), b["train"].to_pylist(), b["body"], strict=True):
+                chunk = Chunk.of(_texts(body)["text"], bits)
+                words = chunk.rare(held.value)
+                yield from rows([(number, *x) for x in _dealt(words, np.zeros(len(words), np.int64), of_words, 64)])
+                keys, n, _ = chunk.keys()
+                yield from rows([(number, of_words + k, *x) for k, *x in _dealt(keys, n if learns else np.zeros(len(n), np.int64), blocks, bits)])
+
+    def of_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            w, c = b["w"].to_numpy().view(np.uint64), b["c"].to_numpy()
+            order = np.argsort(w)
+            yield from rows([(None, *x) for x in _dealt(w[order], c[order], of_words, 64)])
 
     def meet(group: pa.Table) -> pa.Table:
-        chunk, block = group["chunk"].to_pylist(), group["block"][0].as_py()
-        keys = [np.frombuffer(x, np.uint64) for x in group["keys"].to_pylist()]
-        n = [np.frombuffer(x, np.int64 if c < 0 else np.uint32) for c, x in zip(chunk, group["counts"].to_pylist(), strict=True)]
+        number, block = group["chunk"].to_pylist(), group["block"][0].as_py()
+        keys = [np.cumsum(unpacked(x.as_buffer())) for x in group["keys"]]
         space = np.unique(np.concatenate(keys))
-        sums = np.zeros(len(space), np.int64)
-        for k, c in zip(keys, n, strict=True):
-            sums[np.searchsorted(space, k)] += c
-        out = [(c, zlib.compress(sums[np.searchsorted(space, k)].tobytes(), 1)) for c, k in zip(chunk, keys, strict=True) if c >= 0]
-        return pa.table({"chunk": pa.array([c for c, _ in out], pa.int64()), "block": pa.array([block] * len(out), pa.int32()), "c": pa.array([x for _, x in out], pa.binary())})
-
-    parts = []
-    for p in range(PASSES):
-        lo, hi = p * blocks // PASSES, (p + 1) * blocks // PASSES
-
-        def of_chunks(batches: Iterator[pa.RecordBatch], lo=lo, hi=hi) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            edges = _bounds(blocks)
-            for b in batches:
-                for i in range(b.num_rows):
-                    keys, n = _chunk_keys(held.value, b.column("text")[i].values, np.asarray(b.column("train")[i].values.to_numpy(zero_copy_only=False), bool), edges[lo], edges[hi] if hi < blocks else None)
-                    for k, x, y in _pieces(keys, n, blocks, lo, hi):
-                        yield row(b.column("chunk")[i].as_py(), k, x, y)
+        sums, places = np.zeros(len(space), np.uint64), []
+        for k, x in zip(keys, group["counts"], strict=True):
+            places.append(np.searchsorted(space, k))
+            sums[places[-1]] += unpacked(x.as_buffer())
+        out = [(i, block, packed(sums[at])) for i, at in zip(number, places, strict=True) if i is not None]
+        return pa.table([pa.array([x[k] for x in out], types[k]) for k in range(3)], ["chunk", "block", "c"])
 
-        def of_words(batches: Iterator[pa.RecordBatch], lo=lo, hi=hi) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            for b in batches:
-                w, c = b.column("w").to_numpy().view(np.uint64), b.column("c").to_numpy()
-                order = np.argsort(w)
-                for k, x, y in _pieces(w[order], c[order], blocks, lo, hi):
-                    yield row(-1, k, x, y)
-
-        both = chunks.select("chunk", "text", "train").mapInArrow(of_chunks, schema).union(rest.mapInArrow(of_words, schema))
-        parts.append(cut(both.groupBy("block").applyInArrow(meet, "chunk long, block int, c binary")))
-        del both
-        release(spark)
-    found = parts[0]
-    for x in parts[1:]:
-        found = found.union(x)
-    return found
-
-
-def score(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score of every row of docs; counts are those of the words of docs' training folds."""
-    chunks = chunked(docs)
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    kind = dict(docs.dtypes)["doc_id"]
+    schema = "chunk long, block int, keys binary, counts binary"
+    both = chunks.select("chunk", "train", "body").mapInArrow(of_chunks, schema).union(rest.mapInArrow(of_counts, schema))
+    return both.groupBy("block").applyInArrow(meet, "chunk long, block int, c binary")
+
+
+def score(chunks: DataFrame, counts: DataFrame, model: Model, kind: str = "bigint") -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score of every text of the chunks; counts are those of the training chunks' words."""
+    held = chunks.sparkSession.sparkContext.broadcast(model)
     floor = float(np.log10(model.total + 0.5 * (model.distinct + 1)))
+    bits = slot_bits(chunks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         for b in batches:
-            for r in range(b.num_rows):
-                ids, texts = b.column("doc_id")[r].values, b.column("text")[r].values
-                train = np.zeros(len(texts), bool)
-                keys, _ = _chunk_keys(m, texts, train)
-                parts = sorted((x["block"], x["c"]) for x in (b.column("parts")[r].as_py() or []))
-                found = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(zlib.decompress(x), np.int64) for _, x in parts)])
-                assert len(found) == len(keys), "a chunk's counts don't fit its keys"
-                look = lambda k: found[np.minimum(np.searchsorted(keys, k), len(keys) - 1)]  # noqa: E731, B023
-                raw, offsets = utf8(texts)
-                for i, j in runs(offsets):
-                    h, tail, at = _tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                    c = np.zeros(len(h), np.int64)
-                    hit = m.holds(h)
-                    c[hit] = m.counts[np.searchsorted(m.words, h[hit])]
-                    if not hit.all():
-                        c[~hit] = look(h[~hit])
-                    logs = np.log10(c + 0.5)
-                    cls = m.classes(h, tail)
-                    shared = (cls > WORD_CLASSES) | (cls > len(m.own))  # classes of several words
-                    p = 10 ** (class_scores(m, cls, at) - m.norm[cls] + np.where(shared, logs, 0.0))
-                    p = with_words(p, h, at, c, look)
-                    owner = np.repeat(np.arange(j - i), np.diff(at))
-                    total = lambda x: np.bincount(owner, weights=x, minlength=j - i)  # noqa: E731, B023
-                    n = np.diff(at)
-                    yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(n), pa.array(total(c > 0).astype(np.int64)), pa.array(total(logs) - n * floor), pa.array(total(np.log10(np.maximum(p, 1e-300))))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
-
-    parts = feature_counts(chunks, counts, model).groupBy("chunk").agg(F.collect_list(F.struct("block", "c")).alias("parts"))
-    rows = chunks.join(parts, "chunk", "left").select("doc_id", "text", "parts")
+            for body, parts in zip(b["body"], b["parts"], strict=True):
+                texts = _texts(body)
+                chunk = Chunk.of(texts["text"], bits)
+                words, place = chunk.rare(m), chunk.keys()[2]
+                found = [unpacked(x["c"].as_buffer()) for x in sorted(parts or (), key=lambda x: x["block"].as_py())]
+                found = np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
+                if len(found) != len(words) + place.max() + 1:
+                    raise ValueError("a chunk's counts don't fit its keys")
+                c = np.zeros(len(chunk.h), np.int64)
+                hit = m.holds(chunk.h)
+                c[hit] = m.counts[np.searchsorted(m.words, chunk.h[hit])]
+                c[~hit] = found[np.searchsorted(words, chunk.h[~hit])]
+                logs = np.log10(c + 0.5)
+                classes = m.classes(chunk.h, chunk.tail)
+                shared = (classes > WORD_CLASSES) | (classes > len(m.own))  # classes of several words
+                p = 10 ** (class_scores(m, classes, chunk.at) - m.norm[classes] + np.where(shared, logs, 0.0))
+                p = with_words(p, chunk.at, c, found[len(words) :][place])
+                n = np.diff(chunk.at)
+                owner = np.repeat(np.arange(len(n)), n)
+                total = lambda x: np.bincount(owner, weights=x, minlength=len(n))  # noqa: E731, B023
+                out = [pa.array(n), pa.array(total(c > 0).astype(np.int64)), pa.array(total(logs) - n * floor), pa.array(total(np.log10(np.maximum(p, 1e-300))))]
+                yield pa.RecordBatch.from_arrays([texts["doc_id"].combine_chunks(), *out], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    parts = key_counts(chunks, counts, model, bits).groupBy("chunk").agg(F.collect_list(F.struct("block", "c")).alias("parts"))
+    rows = chunks.select("chunk", "body").join(parts, "chunk", "left").select("body", "parts")
     return rows.mapInArrow(make, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
 
 
-def with_words(p: np.ndarray, h: np.ndarray, at: np.ndarray, c: np.ndarray, look) -> np.ndarray:  # noqa: ANN001
-    """p of each token after the skip, pair and triple features of the words: each step is (count + STRENGTH * p) / (history's count + STRENGTH).
+def with_words(p: np.ndarray, at: np.ndarray, c: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """p of each token after the pair and triple features of the words: each step is (count + s * p) / (history's count + s).
 
     The history of a pair is its first word, or the start of a text (as many as ends); that of a triple is the pair before it.
     """
-    f = keys_of(h, at)
-    place = f["place"]
-    late, later = place >= 1, place >= 2
-    count = np.zeros((2, len(h)), np.int64)
-    count[0, later], count[1, later] = look(f["skip"][later]), look(f["past"][later])
-    p = (count[0] + STRENGTH[0] * p) / (count[1] + STRENGTH[0])
-    two = look(f["two"])
-    before = np.repeat(c[at[1:] - 1], np.diff(at))
-    before[late] = c[np.flatnonzero(late) - 1]
-    p = (two + STRENGTH[1] * p) / (before + STRENGTH[1])
-    count[:] = 0
-    count[0, late], count[1, late] = look(f["three"][late]), two[np.flatnonzero(late) - 1]
-    return (count[0] + STRENGTH[2] * p) / (count[1] + STRENGTH[2])
+    two, three = found[: len(p)], np.zeros(len(p), np.int64)
+    late = np.ones(len(p), bool)
+    late[at[:-1]] = False
+    three[late] = found[len(p) :]
+    first, pair = np.repeat(c[at[1:] - 1], np.diff(at)), np.zeros(len(p), np.int64)
+    first[late], pair[late] = c[np.flatnonzero(late) - 1], two[np.flatnonzero(late) - 1]
+    for count, past, (k, e) in ((two, first, STRENGTH[0]), (three, pair, STRENGTH[1])):
+        s = k * (past + 1.0) ** e
+        p = (np.minimum(count, past) + s * p) / (past + s)
+    return p
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """Learns from the training folds of docs and scores all rows."""
-    docs = docs.select("doc_id", "text")
-    training = docs.where(_fold() != HELD_OUT)
+    chunks = chunked(docs)
+    training = chunks.where("train")
     counts = cut(count_words(training))
     model = train(training, prepare(counts))
-    found = score(docs, counts, model)
+    found = score(chunks, counts, model, dict(docs.dtypes)["doc_id"])
     return found.select("doc_id", (_fold() == HELD_OUT).alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 

@@ -48,6 +48,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Integers from 0 as planes of bytes, the lowest first, as many as the largest needs; sparse planes compress well in a shuffle."""
+    x = np.ascontiguousarray(x, np.uint64)
+    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpacked(data: bytes | pa.Buffer) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8)
+    planes = planes[1:].reshape(planes[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : len(planes)] = planes.T
+    return out.reshape(-1).view(np.uint64)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and its row offsets into them (nulls: empty)."""
     if isinstance(column, pa.ChunkedArray):
