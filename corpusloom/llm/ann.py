@@ -9,13 +9,14 @@ merged and reranked by the exact cosine of the original vectors in double precis
 
 Equal vectors form one class, of which the `k` + 1 smallest ids are kept (ties go to smaller ids, so no others can be
 among the k nearest), so that a very common vector costs no more than any other. Buckets are grouped
-into slots of about `SLOT` vectors, a slot with more is cut into blocks, and queries visit all blocks of
-their slots, so no task holds an unbounded bucket. A query that finds fewer than k rows in its
-buckets is searched exactly, against all classes, in blocks of queries.
+into slots of about `SLOT` vectors. A slot with more is cut into blocks, and so are the queries that visit a slot (`QUERIES_AT_ONCE`
+in a block); every block of queries meets every block of the slot in a cell of its own, so no task holds an unbounded bucket or set of
+queries. A query that finds fewer than k rows in its buckets is searched exactly, against all classes, in blocks of queries.
 
-Every valid row is indexed; nothing is sampled. Defaults reach a recall of about 0.97 on noise in 64
-dimensions, where neighbours are hardly nearer than others and about seven tenths of all rows must be visited
-for that; clustered vectors need far less.
+Every valid row is indexed. The number of projections, their cells' width and the number of buckets that a query visits are fitted (`tune`):
+the true neighbours of `SAMPLE_QUERIES` queries are searched among all rows, and of the settings that find at least `RECALL` of
+them that which visits the smallest share of `SAMPLE_ROWS` rows is taken. Noise, whose neighbours are hardly nearer than other rows,
+has no cheap setting; clustered vectors need to visit a small share. Where no setting finds enough, all queries are searched exactly.
 
 Cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, as query or
 candidate, nor do vectors whose dimension isn't the most frequent one (ties: the smaller). Rows without vec_id
@@ -25,8 +26,9 @@ fewer all are returned; a table with one valid row gives an empty result. Only v
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import product
+from itertools import combinations, product
 
 import numpy as np
 import pandas as pd
@@ -38,21 +40,39 @@ from .common import cut, table
 
 EVERY = 50
 NEAREST = 5
-TABLES, DIMS, WIDTH, PROBES = 6, 6, 2.0, 30
+TABLES = 6
+SETTINGS = tuple(product((3, 4, 6, 8, 12, 16), (1.5, 2.0, 3.0)))
+RECALL = 0.95
+SAMPLE_QUERIES, SAMPLE_ROWS = 128, 2000
+MOVES = 3000
 SLOT = 4000
 QUERIES_AT_ONCE = 2048
 SEED = 404
 
 
+def _moves(dims: int) -> np.ndarray:
+    """Perturbations: steps of -1, 0 and 1 in each projection, with as many steps at once as keep their number within MOVES."""
+    out: list[np.ndarray] = [np.zeros((1, dims), int)]
+    for steps in range(1, dims + 1):
+        more = [(at, way) for at in combinations(range(dims), steps) for way in product((-1, 1), repeat=steps)] if math.comb(dims, steps) << steps <= MOVES else []
+        if not more or sum(map(len, out)) + len(more) > MOVES:
+            break
+        rows = np.zeros((len(more), dims), int)
+        for row, (at, way) in zip(rows, more, strict=True):
+            row[list(at)] = way
+        out.append(rows)
+    return np.concatenate(out)
+
+
 class Hasher:
     """`tables` independent p-stable hash tables for vectors of one dimension."""
 
-    def __init__(self, dim: int, tables: int = TABLES, dims: int = DIMS, width: float = WIDTH, seed: int = SEED) -> None:
+    def __init__(self, dim: int, tables: int, dims: int, width: float, seed: int = SEED) -> None:
         rng = np.random.default_rng(seed)
         self.a = rng.standard_normal((tables, dim, dims))
         self.b = rng.uniform(0, width, (tables, dims))
         self.width, self.dims, self.tables = width, dims, tables
-        self.moves = np.array(list(product((0, -1, 1), repeat=dims)))
+        self.moves = _moves(dims)
         self.mixer = rng.integers(1, 1 << 62, dims) * 2 + 1
 
     def cells(self, x: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,11 +92,27 @@ class Hasher:
     def probes(self, x: np.ndarray, t: int, n: int) -> np.ndarray:
         """The n buckets of each vector that most likely hold near ones, likeliest first."""
         cell, inside = self.cells(x, t)
-        cost = np.stack([np.zeros_like(inside), (1 - inside) ** 2, inside**2], -1)  # moves 0, +1, -1
-        total = sum(cost[:, d, :][:, self.moves[:, d]] for d in range(self.dims))
-        best = np.argsort(total, axis=1, kind="stable")[:, :n]
+        best = np.argsort(self.costs(inside), axis=1, kind="stable")[:, :n]
         return self.code(cell[:, None, :] + self.moves[best])
 
+    def costs(self, inside: np.ndarray) -> np.ndarray:
+        """The sum of squared distances to the crossed borders of each move."""
+        cost = np.stack([np.zeros_like(inside), (1 - inside) ** 2, inside**2], -1)  # moves 0, +1, -1
+        return sum(cost[:, d, :][:, self.moves[:, d]] for d in range(self.dims))
+
+    def turns(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How many buckets each vector of x visits before it meets the vectors of y (those beside it: one matrix of y for each x), in the best table."""
+        out = np.full(y.shape[:2], len(self.moves))
+        for t in range(self.tables):
+            cell, inside = self.cells(x, t)
+            order = np.sort(self.costs(inside), axis=1)
+            step = self.cells(y, t)[0] - cell[:, None, :]
+            cost = np.where(step == 0, 0, np.where(step == 1, (1 - inside[:, None, :]) ** 2, np.where(step == -1, inside[:, None, :] ** 2, np.inf))).sum(-1)
+            cost[(step != 0).sum(-1) > np.abs(self.moves).sum(1).max()] = np.inf  # more steps at once than any move has
+            for i, row in enumerate(order):
+                out[i] = np.minimum(out[i], np.searchsorted(row, cost[i] - 1e-12))
+        return out
+
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(column.flatten(), np.float64).reshape(-1, dim)
@@ -100,8 +136,39 @@ def valid(vectors: DataFrame) -> DataFrame:
     return rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<double>").alias("embedding"))
 
 
-def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, tables: int = TABLES, dims: int = DIMS, width: float = WIDTH, probes: int = PROBES) -> DataFrame:
-    """query_id, rank, vec_id and score: the k nearest of each row whose id is divisible by `every`."""
+def tune(classes: DataFrame, wanted: DataFrame, dim: int, k: int, tables: int = TABLES) -> tuple[int, float, int] | None:
+    """Projections, width and buckets to visit, fitted on a bounded sample of queries and rows; None if nothing finds enough."""
+    asked = wanted.orderBy(F.xxhash64("q"), "q").limit(SAMPLE_QUERIES).toArrow()
+    if not asked.num_rows:
+        return None
+    x, names = _unit(_matrix(asked["embedding"].combine_chunks(), dim)), asked["q"].to_numpy()
+    near = _scan(classes, classes.sparkSession, asked, dim, k).join(classes.select("cls", "embedding"), "cls").where("q <> cls").toArrow()
+    q, y = near["q"].to_numpy(), _unit(_matrix(near["embedding"].combine_chunks(), dim))
+    some = _unit(_matrix(classes.orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE_ROWS).toArrow()["embedding"].combine_chunks(), dim))
+    true, who = [], []
+    for i, name in enumerate(names):
+        mine = y[q == name]
+        if len(mine) >= k:
+            true.append(mine[np.argsort(-(mine @ x[i]), kind="stable")[:k]])
+            who.append(i)
+    if not who:
+        return None
+    x, true = x[who], np.stack(true)
+    best: tuple[float, int, int, float] | None = None
+    for dims, width in SETTINGS:
+        hasher = Hasher(dim, tables, dims, width)
+        turn = np.sort(hasher.turns(x, true).ravel())
+        n = int(turn[math.ceil(RECALL * len(turn)) - 1]) + 1
+        if n > len(hasher.moves):
+            continue
+        share = np.mean([hasher.turns(x[i : i + 8], np.broadcast_to(some, (len(x[i : i + 8]), *some.shape))) < n for i in range(0, len(x) // 8 * 8 or len(x), 8)])
+        if best is None or (share, n) < best[:2]:
+            best = (float(share), n, dims, width)
+    return best and (best[2], best[3], best[1])
+
+
+def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, tables: int = TABLES, setting: tuple[int, float, int] | None = None) -> DataFrame:
+    """query_id, rank, vec_id and score: the k nearest of each row whose id is divisible by `every`. setting: projections, width and buckets, instead of fitted ones."""
     spark = vectors.sparkSession
     rows = cut(valid(vectors))
     size = rows.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
@@ -116,6 +183,7 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, tables: in
     asking = cut(asking)
     wanted = cut(asking.select("q").distinct().join(classes.select(F.col("cls").alias("q"), "embedding"), "q"))
     slots = max(1, classes.count() // SLOT)
+    dims, width, probes = setting or tune(classes, wanted, dim, k, tables) or (1, 1.0, 0)  # visiting no bucket leaves all to the exact search
     hasher = Hasher(dim, tables, dims, width)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,10 +210,14 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, tables: in
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), t, np.int32)), pa.array(np.full(len(who), s, np.int64)), lists, part.column("q").take(take), v.take(take)], ["t", "slot", "codes", "q", "v"])
 
     data = classes.select("cls", "embedding").mapInArrow(index, "t int, slot long, code long, cls long, v array<float>")
-    counts = data.groupBy("t", "slot").agg(F.ceil(F.count("*") / (2.0 * SLOT)).alias("blocks"))
-    data = data.join(counts, ["t", "slot"]).select("t", "slot", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("block"), "code", "cls", "v")
-    asked = wanted.mapInArrow(ask, "t int, slot long, codes array<long>, q long, v array<float>")
-    asked = asked.join(counts, ["t", "slot"]).select("t", "slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "codes", "q", "v")
+    asked = cut(wanted.mapInArrow(ask, "t int, slot long, codes array<long>, q long, v array<float>"))
+    # a slot's rows and the queries that visit it are both cut into blocks
+    rows_in = data.groupBy("t", "slot").agg(F.ceil(F.count("*") / (2.0 * SLOT)).alias("blocks"))
+    asked_in = asked.groupBy("t", "slot").agg(F.ceil(F.count("*") / QUERIES_AT_ONCE).alias("lots"))
+    counts = cut(rows_in.join(asked_in, ["t", "slot"]))  # slots that no query visits are gone
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    data = data.join(counts, ["t", "slot"]).select("t", "slot", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("block"), upto("lots").alias("lot"), "code", "cls", "v")
+    asked = asked.join(counts, ["t", "slot"]).select("t", "slot", upto("blocks").alias("block"), F.pmod(F.xxhash64("q"), F.col("lots")).alias("lot"), "codes", "q", "v")
 
     def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """The k + 1 nearest classes in this block for each query, among the rows of the buckets it visits."""
@@ -174,7 +246,8 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, tables: in
             scores.append(score[best].astype(float))
         return pd.DataFrame({"q": np.concatenate(asked), "cls": np.concatenate(names), "score": np.concatenate(scores)}) if asked else empty
 
-    grouped = data.groupBy("t", "slot", "block").cogroup(asked.groupBy("t", "slot", "block"))
+    cell = ["t", "slot", "block", "lot"]
+    grouped = data.groupBy(*cell).cogroup(asked.groupBy(*cell))
     found = grouped.applyInPandas(rerank, "q long, cls long, score double").groupBy("q", "cls").agg(F.max("score").alias("score"))
     found = _best(found, k)
     ranked = cut(_answers(found, wanted, classes, asking, dim, k))
@@ -207,9 +280,10 @@ def _scan(classes: DataFrame, spark: SparkSession, block: pa.Table, dim: int, k:
         for b in batches:
             cls, x = np.asarray(b.column("cls")), _unit(_matrix(b.column("embedding"), dim))
             score = y @ x.T
-            for i in range(len(q)):
-                best = np.lexsort((cls, -score[i]))[: k + 1]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), q[i])), pa.array(cls[best]), pa.array(score[i][best])], ["q", "cls", "score"])
+            best = [np.lexsort((cls, -row))[: k + 1] for row in score]
+            at = np.concatenate(best)
+            of = np.repeat(np.arange(len(q)), [len(x) for x in best])
+            yield pa.RecordBatch.from_arrays([pa.array(q[of]), pa.array(cls[at]), pa.array(score[of, at])], ["q", "cls", "score"])
 
     return _best(classes.select("cls", "embedding").mapInArrow(scan, "q long, cls long, score double"), k)
 

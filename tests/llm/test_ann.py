@@ -73,3 +73,35 @@ def test_few_rows(spark: SparkSession, n: int) -> None:
     found = _found(ann.nearest(spark.createDataFrame([(i, v, 1, "", "", "") for i, v in rows], ROWS)))
     want = {q: b for q, b in _exact(rows).items() if b}
     assert {q: [o for o, _ in b] for q, b in found.items()} == {q: [o for o, _ in b] for q, b in want.items()}
+
+
+def test_both_sides_of_a_slot_are_cut_into_blocks(spark: SparkSession, monkeypatch: pytest.MonkeyPatch) -> None:
+    """More queries and rows in one slot than a block holds: the answers are those of one block."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(8).astype(np.float32).tolist()) for i in range(600)]
+    df = spark.createDataFrame([(i, v, 1, "t", "s", "q") for i, v in rows], ROWS)
+    setting = (3, 2.0, 27)
+    one = _found(ann.nearest(df, every=2, setting=setting))
+    monkeypatch.setattr(ann, "QUERIES_AT_ONCE", 32)
+    monkeypatch.setattr(ann, "SLOT", 40)
+    many = _found(ann.nearest(df, every=2, setting=setting))
+    assert len(one) == 300 and set(many) == set(one) and _recall(many, _exact(rows, 2)) >= 0.9
+    same = sum([o for o, _ in many[q]] == [o for o, _ in one[q]] for q in one)
+    assert same == len(one)
+
+
+def test_fitted_setting_visits_few_rows_of_clustered_vectors(spark: SparkSession) -> None:
+    rng = np.random.default_rng(5)
+    centre = rng.standard_normal((300, 32))
+    rows = [(i, (centre[i % 300] + 0.1 * rng.standard_normal(32)).astype(np.float32).tolist()) for i in range(6000)]
+    classes = spark.createDataFrame(rows, "cls long, embedding array<double>")
+    wanted = classes.where("cls % 50 = 0").withColumnRenamed("cls", "q")
+    dims, width, probes = ann.tune(classes, wanted, 32, 5)
+    hasher, x = ann.Hasher(32, ann.TABLES, dims, width), ann._unit(np.array([v for _, v in rows], float))
+    ask = x[::50]
+    visited = np.zeros((len(ask), len(x)), bool)
+    for t in range(ann.TABLES):
+        visited |= (hasher.probes(ask, t, probes)[:, :, None] == hasher.buckets(x, t)[None, None, :]).any(axis=1)
+    assert visited.mean() < 0.05
+    near = np.argsort(-(ask @ x.T), axis=1)[:, 1:6]
+    assert np.take_along_axis(visited, near, 1).mean() >= 0.9
