@@ -2,7 +2,7 @@
 
 A page is read into text lines, one for each block, in page order, without those of menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts and styles (by element, or by class, id and role words): they are never
-main text, also where they differ from page to page. Each page is paired with its nearest page by URL path within its host (of the
+main text, also where they differ from page to page. What is around the longest article or main element is never taken for such a part. Each page is paired with its nearest page by URL path within its host (of the
 pages before and after it in path order the one with the longer common start, else the one before), the two pages' lines are aligned by longest common subsequence, and shared lines are
 deleted as the host's boilerplate. Structure then restores shared lines inside article and main elements, so an
 article under two URLs stays. Pages without such elements whose lines are all shared are mirrors of each other, which says
@@ -14,8 +14,8 @@ ranges beside it, so every page meets its nearest URL however many pages its hos
 ranges never decide the result.
 
 Cases: a null html is an empty page, and a page without main text gives an empty text. A null url is of the empty host
-and path. Repeated rows are neighbours of each other; as mirrors they keep their lines. Unclosed
-elements end with the page; an unclosed script or style hides the rest. Character references are decoded once, also
+and path. Repeated rows are neighbours of each other; as mirrors they keep their lines. Paragraphs, list items and table cells end
+where the next one begins, other unclosed elements with the element around them or the page, end tags of nothing count for nothing; an unclosed script or style hides the rest. Character references are decoded once, also
 those without a semicolon where HTML allows it. An empty table gives an empty result. Only page_id, url and
 html are read.
 """
@@ -44,19 +44,43 @@ OWN = frozenset(("article", "main"))
 #: Elements that never hold main text, and those that don't outside an article.
 NEVER = frozenset("nav footer aside form menu button dialog head".split())
 OUTSIDE = frozenset(("header",))
-#: Words of class, id and role that mark such parts, anywhere and outside an article.
+#: Words of class, id and role that mark such parts, anywhere and outside an article; and words that make a name a mere state.
 NEVER_WORDS = frozenset("ad ads advert advertisement adverts advertising sponsor sponsored promo cookie cookies consent gdpr newsletter subscribe sidebar nav navbar navigation menu breadcrumb breadcrumbs pagination comment comments disqus related share sharing social popup modal notice footer".split())
 OUTSIDE_WORDS = frozenset("header masthead banner toolbar topbar widget search login contentinfo complementary".split())
+STATES = frozenset("is has no not with without enabled disabled open opened closed on off active inactive free ready allowed".split())
+#: Elements of running text: only their classes count, as their ids name what they say.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption blockquote pre summary".split())
+#: What a start tag closes if it is open, and the elements past which it doesn't look.
+_ROW, _TABLE = frozenset(("td", "th")), frozenset(("table",))
+IMPLIED = {
+    "li": (frozenset(("li",)), frozenset(("ul", "ol", "menu"))), "dt": (frozenset(("dt", "dd")), frozenset(("dl",))), "dd": (frozenset(("dt", "dd")), frozenset(("dl",))),
+    "td": (_ROW, _TABLE), "th": (_ROW, _TABLE), "tr": (_ROW | {"tr"}, _TABLE), "body": (frozenset(("head",)), frozenset()),
+} | {x: (_ROW | {"tr", "tbody", "thead", "tfoot"}, _TABLE) for x in ("tbody", "thead", "tfoot")}
+_P, _CELLS = frozenset(("p", "head")), frozenset(("table", "td", "th", "caption", "button"))
+
+
+def _marks(name: str, attributes: str, inside: bool) -> bool:
+    """Whether class, id or role words tell that an element is no main text."""
+    for a in _ATTRIBUTE.finditer(attributes):
+        if name in RUNNING and a[1].lower() != "class":
+            continue
+        for one in (a[2] or a[3] or a[4] or "").split():
+            words = {w.lower() for w in _WORDS.findall(one)}
+            if not words & STATES and (words & NEVER_WORDS or (not inside and words & OUTSIDE_WORDS)):
+                return True
+    return False
 
 
 def lines(page: str) -> tuple[list[str], list[bool]]:
     """Text lines in page order and whether each is open (outside any article element). Lines of known boilerplate are left out."""
     page = _HIDDEN.sub(" ", page)
-    out: list[str] = []
-    open_: list[bool] = []
+    found: list[tuple[str, int, int]] = []  # a line, its outermost article and its innermost boilerplate element (-1: none)
     part: list[str] = []
-    own = 0
-    skip: list[str] = []  # the skipped element and elements of its name inside it
+    stack: list[tuple[str, int, int]] = []  # open blocks: name, and both of these inside it
+    count: dict[str, int] = {}
+    around: list[int] = []  # of each article: the boilerplate element that it is in
+    above: list[int] = []  # of each boilerplate element: the next one outside it
+    own = bad = -1
     at = 0
 
     def flush() -> None:
@@ -64,42 +88,71 @@ def lines(page: str) -> tuple[list[str], list[bool]]:
             text = " ".join(_html.unescape("".join(part)).split())
             part.clear()
             if text:
-                out.append(text)
-                open_.append(own == 0)
+                found.append((text, own, bad))
+
+    def drop(depth: int) -> None:
+        nonlocal own, bad
+        for name, *_ in stack[depth:]:
+            count[name] -= 1
+        del stack[depth:]
+        own, bad = stack[-1][1:] if stack else (-1, -1)
+
+    def close(names: frozenset, stop: frozenset) -> None:
+        """Drops the outermost open element of these names that no element of `stop` is around."""
+        if any(count.get(n) for n in names):
+            depth = None
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] in names:
+                    depth = i
+                elif stack[i][0] in stop:
+                    break
+            if depth is not None:
+                drop(depth)
 
     for m in _TAG.finditer(page):
-        if not skip and m.start() > at:
+        if m.start() > at:
             part.append(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
-        name, close = m[2].lower(), bool(m[1])
-        if skip:
-            if name == skip[0]:
-                if close:
-                    skip.pop()
-                elif name not in VOID:
-                    skip.append(name)
-            continue
+        name = m[2].lower()
         if name not in BLOCKS and name != "button":
             continue
         flush()
-        if close:
-            own -= name in OWN and own > 0
-            continue
         if name in VOID:
             continue
-        bad = name in NEVER or (not own and name in OUTSIDE)
-        if not bad and name not in OWN and name not in ("body", "html") and m[3]:
-            words = {w.lower() for a in _ATTRIBUTE.finditer(m[3]) for w in _WORDS.findall(a[2] or a[3] or a[4] or "")}
-            bad = bool(words & NEVER_WORDS) or (not own and bool(words & OUTSIDE_WORDS))
-        if bad:
-            skip = [name]
-        own += name in OWN
-    if not skip:
-        part.append(page[at:])
+        if m[1]:
+            if count.get(name):
+                drop(max(i for i, x in enumerate(stack) if x[0] == name))
+            continue
+        if name in IMPLIED:
+            close(*IMPLIED[name])
+        if name not in ("html", "head", "body", "button"):
+            close(_P, _CELLS)
+        inside = own >= 0
+        if name not in OWN and name not in ("body", "html") and (name in NEVER or (not inside and name in OUTSIDE) or (m[3] and _marks(name, m[3], inside))):
+            above.append(bad)
+            bad = len(above) - 1
+        if name in OWN and own < 0:
+            around.append(bad)
+            own = len(around) - 1
+        stack.append((name, own, bad))
+        count[name] = count.get(name, 0) + 1
+    part.append(page[at:])
     flush()
-    return out, open_
+    # what is around the longest article is no boilerplate
+    size = [0] * len(around)
+    for text, o, b in found:
+        if o >= 0 and b == around[o]:
+            size[o] += len(text)
+    kept = {-1}
+    if size:
+        x = around[size.index(max(size))]
+        while x >= 0:
+            kept.add(x)
+            x = above[x]
+    rest = [(text, o < 0) for text, o, b in found if b in kept]
+    return [text for text, _ in rest], [o for _, o in rest]
 
 
 def shared(a: list[str], b: list[str]) -> list[bool]:

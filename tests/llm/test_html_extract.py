@@ -98,3 +98,57 @@ def test_large_hosts_by_the_default_ranges(spark: SparkSession) -> None:
     rows = [(i, f"http://h/{i // 3:04d}/{i % 3}", page(i), "", "", "") for i in range(1200)]
     found = html_extract.extract(spark.createDataFrame(rows, PAGES)).collect()
     assert {r["text"] for r in found} == {f"Story {i}" for i in range(1200)}
+
+
+BROKEN = [
+    ('<div class="content share-enabled"><article><p>Main text</p></article></div>', "Main text"),
+    ('<div id="page" class="site right-sidebar comments-open"><main><p>Main text</p></main></div>', "Main text"),
+    ('<div class="sidebar-layout"><p>Lead</p><article><p>A long main text here</p></article><p>End</p></div>', "Lead A long main text here End"),
+    ('<article><p id="ad-hoc">Ad hoc.</p><h2 id="related-work">Related work</h2><p>Text</p></article>', "Ad hoc. Related work Text"),
+    ('<article><p>One.<p class="promo">Buy now<p>Two body text.<p>Three.</article>', "One. Two body text. Three."),
+    ('<article><ul><li class="related">X<li>Real point</ul><p>After list.</article>', "Real point After list."),
+    ('<article><div class="ad">Buy</span></section></div><p>Text</p></article>', "Text"),
+    ('<form id="whole"><article><p>Inside a page form</p><form>Search</form></article></form>', "Inside a page form"),
+    ('<article><p>Story of some length</p></article><div class="related"><article>Teaser</article></div><section class="comments"><article>First!</article></section>', "Story of some length"),
+    ('<table><tr><td class="ad">Buy<td>Cell<tr><td>Next</table><p>End', "Cell Next End"),
+    ("<head><meta charset=utf-8><p>No body tag</p>", "No body tag"),
+    ('<nav><ul><li>Menu</nav><p>Text', "Text"),
+]
+
+
+@pytest.mark.parametrize(("html", "want"), BROKEN)
+def test_broken_and_odd_markup(html: str, want: str) -> None:
+    assert " ".join(html_extract.lines(html)[0]) == want
+
+
+def _plain(rows: list[tuple]) -> dict:
+    """Each page's nearest URL by comparing it with all pages of its host, and the lines that a plain table of both pages leaves."""
+    out = {}
+    parts = {}
+    for i, url, html in rows:
+        rest = (url or "").split("://", 1)[-1]
+        host, _, path = rest.partition("/")
+        parts[i] = (host.split("?")[0].split("#")[0].lower(), ("/" + path if _ else "").split("?")[0].split("#")[0], html_extract.lines(html or ""))
+    for i, (host, path, (own, open_)) in parts.items():
+        before = [(p, j) for j, (h, p, _) in parts.items() if h == host and (p, j) < (path, i)]
+        after = [(p, j) for j, (h, p, _) in parts.items() if h == host and (p, j) > (path, i)]
+        alike = lambda x: len([1 for k in range(min(len(x[0]), len(path))) if x[0][: k + 1] == path[: k + 1]])  # noqa: B023, E731
+        near = ([max(before)] if before else []) + ([min(after)] if after else [])
+        if not near:
+            out[i] = " ".join(own)
+            continue
+        other = parts[max(near, key=alike)[1]][2][0]
+        gone = html_extract.shared(own, other)
+        kept = [x for x, g, o in zip(own, gone, open_, strict=True) if not g or not o]
+        out[i] = " ".join(kept or own)
+    return out
+
+
+def test_against_a_plain_version(spark: SparkSession, sf_dir: str) -> None:
+    rows = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    found = {r["page_id"]: r["text"] for r in html_extract.op7_html_difference(spark, sf_dir).collect()}
+    assert found == _plain(rows)
+    rng = random.Random(4)
+    rows = [(i, f"http://h{rng.randrange(3)}/{rng.choice('ab')}/{rng.choice('cd')}{rng.randrange(40)}", "".join(f"<p>{rng.choice(['Menu', 'Rights', 'Next', f'Story {i}', f'More {i}', 'Old'])}</p>" for _ in range(rng.randrange(8)))) for i in range(300)]
+    df = spark.createDataFrame([(*r, "", "", "") for r in rows], PAGES)
+    assert {r["page_id"]: r["text"] for r in html_extract.extract(df, 9).collect()} == _plain(rows)
