@@ -5,10 +5,9 @@ a * h + b (mod 2^64, a odd) are applied to the whole set in vectorised numpy, an
 mixed bits of each function's smallest value make the fingerprint (four hex digits each). The likeness of two
 fingerprints is the share of equal places, an estimate of the sets' Jaccard similarity.
 
-`near_pairs` joins the bands of the signatures in Spark: documents that agree in all places of a band
-meet the leader of that band's bucket, and each such pair is verified by the exact Jaccard of the
-sets. Only leaders are paired with the others of a bucket, so a huge group of copies gives one
-row for each copy and band, not all pairs; equal texts share one representative first.
+`near_duplicates` joins the bands of the signatures in Spark: sets that agree in all places of a band share that band's bucket. Equal sets are one
+class first. Each class of a bucket meets the bucket's leader, then classes of a bucket that are still in different components meet in
+blocks, and each such pair is verified by the exact Jaccard of the sets, so no link of two sets that share a bucket is lost.
 
 `edited` finds each document's successor in doc_id order without a global sort in one task: rows are
 dealt to ranges of ids, whose bounds are approximate quantiles; the first row of a range is also sent
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, table
-from .jaccard_join import overlap
+from .jaccard_join import DEN, NUM, answers, class_keys, classes_of, linked_components, memberships
 from .textkernel import mix, runs, shingle_sets, utf8
 
 PERMS = 128
@@ -89,7 +88,7 @@ def with_successors(docs: DataFrame, parts: int | None = None) -> DataFrame:
     extra = rows.join(F.broadcast(ghosts), "key").select("key", "doc_id", "text", F.col("to").alias("part"), F.lit(1).alias("ghost"))
     both = rows.select("key", "doc_id", "text", "part", F.lit(0).alias("ghost")).union(extra)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return both.repartitionByRange(n, "part").sortWithinPartitions("part", "ghost", "key", "text").select("part", "doc_id", "text", "ghost")
+    return both.repartition(n, "part").sortWithinPartitions("part", "ghost", "key", "text").select("part", "doc_id", "text", "ghost")
 
 
 def edited(docs: DataFrame, k: int = K, parts: int | None = None) -> DataFrame:
@@ -135,49 +134,35 @@ def edited(docs: DataFrame, k: int = K, parts: int | None = None) -> DataFrame:
     return with_successors(docs, parts).mapInArrow(make, schema)
 
 
-def near_pairs(docs: DataFrame, least: float = 0.8, bands: int = BANDS, k: int = K) -> DataFrame:
-    """(a, b, jaccard) with a > b: representatives' doc_ids whose bands met and whose sets have at least this Jaccard; with each copy's own row (jaccard 1)."""
-    texts = cut(docs.groupBy(F.xxhash64("text").alias("text_hash"), F.md5("text").alias("md5")).agg(F.min("doc_id").alias("rep")))
-    same = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.md5("text").alias("md5")).join(texts, ["text_hash", "md5"])
-    copies = same.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"), F.lit(1.0).alias("jaccard"))
-    chosen = docs.select(F.col("doc_id").alias("rep"), "text").join(texts.select("rep"), "rep").dropDuplicates(["rep"])
-    rows = PERMS // bands
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            prints = fingerprints(b.column("text"), k)
-            full = np.flatnonzero(~(prints == 0xFFFF).all(axis=1))
-            for band in range(bands):
-                keys = [bytes([band]) + x.tobytes() for x in prints[full, band * rows : (band + 1) * rows]]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), b.column("rep").take(pa.array(full))], ["bucket", "rep"])
-
-    kind = dict(chosen.dtypes)["rep"]
-    buckets = cut(chosen.mapInArrow(make, f"bucket binary, rep {kind}"))
-    leads = buckets.groupBy("bucket").agg(F.min("rep").alias("lead"))
-    pairs = buckets.join(leads, "bucket").where("rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
-    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    picked = chosen.join(needed, "rep")
-    keyed = picked.select("rep", F.xxhash64("text").alias("text_hash"), "text")
-    sets = cut(_sets_by_rep(keyed, k))
-    side = lambda x: sets.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("hashes").alias(f"hashes_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "hashes_a", "hashes_b")
-    exact = both.mapInArrow(overlap, f"a {kind}, b {kind}, n_a long, n_b long, shared long")
-    jaccard = F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
-    return exact.select("a", "b", jaccard.alias("jaccard")).where(F.col("jaccard") >= least).union(copies)
-
-
-def _sets_by_rep(rows: DataFrame, k: int) -> DataFrame:
-    kind = dict(rows.dtypes)["rep"]
+def band_rows(docs: DataFrame, bands: int = BANDS, k: int = K) -> DataFrame:
+    """(tile, cls): the buckets of each set's bands, a bucket being a band and its places."""
+    width = PERMS // bands
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw, offsets = utf8(b.column("text"))
             for i, j in runs(offsets):
                 h, at = shingle_sets(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
-                hashes = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column("rep").slice(i, j - i), pa.array(np.diff(at)), hashes], ["rep", "n", "hashes"])
-
-    return rows.mapInArrow(make, f"rep {kind}, n long, hashes array<long>")
+                cls, prints = class_keys(h, at)[0].view(np.int64), minhashes(h, at).astype(np.uint64)
+                full = np.flatnonzero(np.diff(at) > 0)
+                for band in range(bands):
+                    key = np.full(len(full), band + 1, np.uint64)
+                    for p in range(band * width, (band + 1) * width):
+                        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + prints[full, p])
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(cls[full])], ["tile", "cls"])
+
+    return docs.select("text").mapInArrow(make, "tile long, cls long").distinct()
+
+
+def near_duplicates(docs: DataFrame, bands: int = BANDS, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
+    """doc_id, text_hash, n_shingles, class_id and component_id of every row of docs: texts whose bands met and whose sets link, num / den being the least Jaccard."""
+    members = cut(memberships(docs, k, num, den))
+    classes = cut(classes_of(members))
+    rows = cut(band_rows(docs, bands, k))
+    shared = rows.groupBy("tile").agg(F.count("*").alias("held")).where("held > 1")
+    rows = rows.join(shared, "tile")
+    rows = cut(rows.join(rows.groupBy("cls").agg(F.sum("held").alias("weight")), "cls").select("tile", "cls", "weight"))
+    return answers(members, classes, linked_components(rows, classes, docs, k, num, den))
 
 
 def op8_minhash_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,6 +46,7 @@ K = 5
 NUM, DEN = 80, 100
 BITS = 1024
 BLOCK = 1024
+HOT = 500
 _U = np.uint64
 
 
@@ -433,32 +434,51 @@ def leader_pairs(rows: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("cls", "lead").alias("a"), F.least("cls", "lead").alias("b")).distinct()
 
 
-def join_components(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
-    """doc_id, text_hash, n_shingles, class_id (smallest id with an equal set) and component_id of every row of docs (doc_id, text)."""
-    members = cut(memberships(docs, k, num, den))
+def classes_of(members: DataFrame) -> DataFrame:
+    """One row for each set that isn't empty: its keys, smallest doc_id, a representative row, its signature and how many rows have it."""
     key = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "text_hash")
-    classes = members.where("n > 0").groupBy("cls", "cls2", "n", "need0", "need1").agg(F.min("doc_id").alias("class_id"), F.min(key).alias("rep"), F.min("bits").alias("bits"))
-    classes = cut(classes)
-    found = cut(tile_rows(docs, k, num, den))
-    release(docs.sparkSession)
-    rows = cut(candidates(found, classes))
-    del found
-    release(docs.sparkSession)
+    kept = members.where("n > 0").groupBy("cls", "cls2", "n", "need0", "need1")
+    return kept.agg(F.min("doc_id").alias("class_id"), F.min(key).alias("rep"), F.min("bits").alias("bits"), F.count("*").alias("copies"))
+
 
+def linked_components(rows: DataFrame, classes: DataFrame, docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
+    """(node, comp) of the classes that link with others, from candidate rows (tile, cls, weight): first each with its tile's leader, then what is left in blocks."""
     first = cut(linked(cut(bounded(leader_pairs(rows), classes, num, den)), classes, docs, k, num, den))
     release(docs.sparkSession)
     comp = cut(components(first))
     rest = cut(rest_pairs(rows, comp, classes, num, den))
-    if not rest.isEmpty():
-        comp = components(first.union(linked(rest, classes, docs, k, num, den)))
+    return comp if rest.isEmpty() else components(first.union(linked(rest, classes, docs, k, num, den)))
+
+
+def answers(members: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, class_id and component_id of every row of members.
 
-    near = classes.drop("bits", "need0", "need1").join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    near = cut(near.select("cls", "cls2", "n", "class_id", "comp"))
+    Sets that over one in `HOT` rows have are at most HOT, and meet their rows by broadcast; rows with an empty set need no class. So no
+    set's rows gather in one task.
+    """
+    near = classes.select("cls", "cls2", "n", "class_id", "copies").join(comp.select(F.col("node").alias("cls"), "comp"), "cls", "left")
+    near = cut(near.withColumn("comp", F.coalesce("comp", "cls")))
     lowest = near.groupBy("comp").agg(F.min("class_id").alias("component_id"))
-    ids = near.join(lowest, "comp").select("cls", "cls2", "n", "class_id", "component_id")
-    out = members.drop("bits", "need0", "need1").join(ids, ["cls", "cls2", "n"], "left")
+    ids = cut(near.join(lowest, "comp").select("cls", "cls2", "n", "class_id", "component_id", "copies"))
+    rows, keys = members.select("doc_id", "text_hash", "cls", "cls2", "n"), ["cls", "cls2", "n"]
+    common = F.col("copies") > F.lit(members.count() / HOT)
+    many, few = ids.where(common).drop("copies"), ids.where(~common).drop("copies")
+    full, empty = rows.where("n > 0"), rows.where("n = 0").withColumns({"class_id": F.lit(None).cast("long"), "component_id": F.lit(None).cast("long")})
+    out = full.join(F.broadcast(many), keys).unionByName(full.join(F.broadcast(many.select(*keys)), keys, "left_anti").join(few, keys, "left")).unionByName(empty)
     return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def join_components(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
+    """doc_id, text_hash, n_shingles, class_id (smallest id with an equal set) and component_id of every row of docs (doc_id, text)."""
+    members = cut(memberships(docs, k, num, den))
+    classes = cut(classes_of(members))
+    found = cut(tile_rows(docs, k, num, den))
+    release(docs.sparkSession)
+    rows = cut(candidates(found, classes))
+    del found
+    release(docs.sparkSession)
+    return answers(members, classes, linked_components(rows, classes, docs, k, num, den))
+
+
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")

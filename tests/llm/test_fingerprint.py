@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import hashlib
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from corpusloom.llm import fingerprint
 
-from .brute import jaccard, shingles
+from .brute import components, jaccard, shingles
 
 DOCS = "doc_id long, text string, part string, ghost string, key string"
 
@@ -54,10 +55,31 @@ def test_edge_cases(spark: SparkSession) -> None:
     assert fingerprint.edited(spark.createDataFrame([], DOCS)).count() == 0
 
 
-def test_pairs_by_bands_are_verified(spark: SparkSession) -> None:
+def test_near_duplicates_by_bands(spark: SparkSession) -> None:
     base = [f"w{i}" for i in range(120)]
     near = [*base[:60], "new", *base[60:]]
-    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(base)), (4, " ".join(base[:60])), (5, "other words stand here and there")]
-    found = {(r["a"], r["b"]): r["jaccard"] for r in fingerprint.near_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert set(found) == {(2, 1), (3, 1)}
-    assert found[(2, 1)] == pytest.approx(jaccard(shingles(rows[0][1]), shingles(rows[1][1])))
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(base)), (4, " ".join(base[:60])), (5, "other words stand here and there"), (6, None), (7, ""), (None, " ".join(near))]
+    found = {r["doc_id"]: r["component_id"] for r in fingerprint.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6, 7: 7, None: 1}
+    assert fingerprint.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_chains_in_large_groups_keep_their_links(spark: SparkSession) -> None:
+    """Variants of three texts, each a few words from the one before: most links are between texts that lead no bucket."""
+    rng = random.Random(6)
+    rows = []
+    for g in range(3):
+        text = [f"g{g}w{i}" for i in range(200)]
+        for _ in range(110):
+            text = list(text)
+            for _ in range(2):
+                text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(text)))
+    rng.shuffle(rows)
+    want = components(rows)
+    found = {r["doc_id"]: r["component_id"] for r in fingerprint.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len({c for _, c in want.values()}) < 30
+    same = sum(found[i] == c for i, (_, c) in want.items())
+    assert same >= 0.9 * len(rows)
+    root = {i: c for i, (_, c) in want.items()}
+    assert all(root[i] == root[c] for i, c in found.items())  # nothing is linked that isn't
