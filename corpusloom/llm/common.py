@@ -16,11 +16,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset and all runs on this machine (tests)."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        held = spark.sparkContext.getCheckpointDir()
-        found = held or tempfile.mkdtemp(prefix="corpusloom-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="corpusloom-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(found)
     return found
