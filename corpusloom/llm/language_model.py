@@ -45,7 +45,7 @@ from .common import cut, table
 from .textkernel import mix, packed, runs, unpacked, utf8, word_bounds, word_hashes
 
 FOLDS, HELD_OUT = 5, 1
-CLASSES, WORD_CLASSES = 64, 31
+CLASSES, WORD_CLASSES = 32, 15
 ROWS = 1 << 14
 ROUNDS = 2
 FREQUENT = 1 << 18
@@ -342,13 +342,27 @@ def average_sums(sums):  # noqa: ANN001, ANN201
     return make
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values in rising order, how often each stands there, and the place of each value among them."""
+    order = np.argsort(x)
+    rising = x[order]
+    new = np.ones(len(x), bool)
+    np.not_equal(rising[1:], rising[:-1], out=new[1:])
+    place = np.empty(len(x), np.int64)
+    place[order] = np.cumsum(new) - 1
+    start = np.flatnonzero(new)
+    return rising[start], np.diff(np.append(start, len(x))), place
+
+
 @dataclass
 class Chunk:
-    """A chunk's tokens, and the slots of their word features."""
+    """A chunk's tokens, its distinct words in rising order with each token's place among them, and the slots of the tokens' word features."""
 
     h: np.ndarray
     tail: np.ndarray
     at: np.ndarray
+    words: np.ndarray
+    word: np.ndarray
     two: np.ndarray
     three: np.ndarray
 
@@ -366,21 +380,12 @@ class Chunk:
         keep = np.ones(len(h), bool)
         keep[at[:-1]] = False
         shift = np.uint64(64 - bits)
-        return cls(h, tail, at, two >> shift, three[keep] >> shift)
+        words, _, word = _distinct(h)
+        return cls(h, tail, at, words, word, two >> shift, three[keep] >> shift)
 
     def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The distinct slots in rising order, how often each stands here, and the place among them of each slot of `two` and `three`."""
-        every = np.concatenate([self.two, self.three])
-        order = np.argsort(every)
-        new = np.concatenate([[True], np.diff(every[order]) > 0])
-        place = np.empty(len(every), np.int64)
-        place[order] = np.cumsum(new) - 1
-        start = np.flatnonzero(new)
-        return every[order[start]], np.diff(np.append(start, len(every))), place
-
-    def rare(self, model: Model) -> np.ndarray:
-        """The distinct words that the model doesn't hold, in rising order."""
-        return np.unique(self.h[~model.holds(self.h)])
+        return _distinct(np.concatenate([self.two, self.three]))
 
 
 def slot_bits(size: int) -> int:
@@ -421,7 +426,7 @@ def key_counts(chunks: DataFrame, counts: DataFrame, model: Model, bits: int) ->
         for b in batches:
             for number, learns, body in zip(b["chunk"].to_pylist(), b["train"].to_pylist(), b["body"], strict=True):
                 chunk = Chunk.of(_texts(body)["text"], bits)
-                words = chunk.rare(held.value)
+                words = chunk.words[~held.value.holds(chunk.words)]
                 yield from rows([(number, *x) for x in _dealt(words, np.zeros(len(words), np.int64), of_words, 64)])
                 keys, n, _ = chunk.keys()
                 yield from rows([(number, of_words + k, *x) for k, *x in _dealt(keys, n if learns else np.zeros(len(n), np.int64), blocks, bits)])
@@ -435,12 +440,11 @@ def key_counts(chunks: DataFrame, counts: DataFrame, model: Model, bits: int) ->
     def meet(group: pa.Table) -> pa.Table:
         number, block = group["chunk"].to_pylist(), group["block"][0].as_py()
         keys = [np.cumsum(unpacked(x.as_buffer())) for x in group["keys"]]
-        space = np.unique(np.concatenate(keys))
-        sums, places = np.zeros(len(space), np.uint64), []
-        for k, x in zip(keys, group["counts"], strict=True):
-            places.append(np.searchsorted(space, k))
-            sums[places[-1]] += unpacked(x.as_buffer())
-        out = [(i, block, packed(sums[at])) for i, at in zip(number, places, strict=True) if i is not None]
+        space, _, place = _distinct(np.concatenate(keys))
+        counts = np.concatenate([unpacked(x.as_buffer()) for x in group["counts"]])
+        sums = np.bincount(place, weights=counts, minlength=len(space)).astype(np.uint64)  # exact up to 2 ** 53
+        sums = np.split(sums[place], np.cumsum([len(x) for x in keys])[:-1])
+        out = [(i, block, packed(x)) for i, x in zip(number, sums, strict=True) if i is not None]
         return pa.table([pa.array([x[k] for x in out], types[k]) for k in range(3)], ["chunk", "block", "c"])
 
     schema = "chunk long, block int, keys binary, counts binary"
@@ -460,20 +464,21 @@ def score(chunks: DataFrame, counts: DataFrame, model: Model, kind: str = "bigin
             for body, parts in zip(b["body"], b["parts"], strict=True):
                 texts = _texts(body)
                 chunk = Chunk.of(texts["text"], bits)
-                words, place = chunk.rare(m), chunk.keys()[2]
+                there, place = m.holds(chunk.words), chunk.keys()[2]
                 found = [unpacked(x["c"].as_buffer()) for x in sorted(parts or (), key=lambda x: x["block"].as_py())]
                 found = np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
-                if len(found) != len(words) + place.max() + 1:
+                n_rare = int((~there).sum())
+                if len(found) != n_rare + place.max() + 1:
                     raise ValueError("a chunk's counts don't fit its keys")
-                c = np.zeros(len(chunk.h), np.int64)
-                hit = m.holds(chunk.h)
-                c[hit] = m.counts[np.searchsorted(m.words, chunk.h[hit])]
-                c[~hit] = found[np.searchsorted(words, chunk.h[~hit])]
+                of_words = np.empty(len(chunk.words), np.int64)
+                of_words[there] = m.counts[np.searchsorted(m.words, chunk.words[there])]
+                of_words[~there] = found[:n_rare]
+                c = of_words[chunk.word]
                 logs = np.log10(c + 0.5)
                 classes = m.classes(chunk.h, chunk.tail)
                 shared = (classes > WORD_CLASSES) | (classes > len(m.own))  # classes of several words
                 p = 10 ** (class_scores(m, classes, chunk.at) - m.norm[classes] + np.where(shared, logs, 0.0))
-                p = with_words(p, chunk.at, c, found[len(words) :][place])
+                p = with_words(p, chunk.at, c, found[n_rare:][place])
                 n = np.diff(chunk.at)
                 owner = np.repeat(np.arange(len(n)), n)
                 total = lambda x: np.bincount(owner, weights=x, minlength=len(n))  # noqa: E731, B023
