@@ -81,8 +81,11 @@ def token_bytes(texts: list[str | None], path: str, end_id: int = END_ID) -> Ite
             yield b"".join(map(cache.__getitem__, w)) + end
 
 
-def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """doc_id, text_hash, piece, start, length and ids_crc32 (and ids) of every piece of docs (doc_id, text)."""
+def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False, remember: bool = True) -> DataFrame:
+    """doc_id, text_hash, piece, start, length and ids_crc32 (and ids) of every piece of docs (doc_id, text).
+
+    Unless told to `remember`, a worker drops its tokenised words with each task, for steps of other kinds that follow.
+    """
     names = ["doc_id", "text_hash", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     df = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     schema = f"doc_id {dict(df.dtypes)['doc_id']}, text_hash long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
@@ -100,6 +103,9 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_I
             take = pa.array(of, pa.int64())
             columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=False)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("text_hash").take(take), *columns], names)
+        if not remember:
+            _held.clear()
+            _cache.clear()
 
     return df.mapInArrow(make, schema)
 
@@ -244,8 +250,8 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> DataFrame:
-    return pack(cut(pieces(docs, path or default_tokenizer(), length)), length)
+def pack_documents(docs: DataFrame, path: str | None = None, length: int = LENGTH, remember: bool = True) -> DataFrame:
+    return pack(cut(pieces(docs, path or default_tokenizer(), length, remember=remember)), length)
 
 
 def op6_pack_complement(spark: SparkSession, sf_dir: str) -> DataFrame:

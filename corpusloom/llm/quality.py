@@ -290,7 +290,9 @@ def passing(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(held.value.score(features(*utf8(b.column(text_col)))) >= least))
+            for i in range(0, b.num_rows, 1000):
+                part = b.slice(i, 1000)
+                yield part.filter(pa.array(held.value.score(features(*utf8(part.column(text_col)))) >= least))
 
     return docs.mapInArrow(make, docs.schema)
 
