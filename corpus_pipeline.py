@@ -56,7 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = packing.pack_documents(docs)
+    found = packing.pack_documents(docs, remember=False)
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
