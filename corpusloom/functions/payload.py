@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -56,3 +56,17 @@ def at_least(labels: Column, confidences: Column, threshold: float) -> Column:
 def messages(rules: Sequence[tuple[Column, str]]) -> Column:
     """The messages of the rules that are broken (whose column is true)."""
     return F.array_compact(F.array(*[F.when(broken, F.lit(text)) for broken, text in rules]))
+
+
+def salvage_number(text: Column, name: str) -> Column:
+    """The number that stands after a quoted name, also in a text that is cut off behind it."""
+    return F.nullif(F.regexp_extract(text, rf'"{name}"\s*:\s*(-?\d+(?:\.\d+)?)', 1), F.lit("")).try_cast("double")
+
+
+def evidence(rows: DataFrame, v: str) -> DataFrame:
+    """Rows of a VARIANT that holds lists by label, or one list, as a row for each excerpt, with its label (null in the second form)."""
+    by_label = F.try_variant_get(v, "$", "map<string,array<string>>")
+    plain = F.try_variant_get(v, "$", "array<string>")
+    kept = [c for c in rows.columns if c != v]
+    one = rows.where(F.schema_of_variant(v).startswith("OBJECT")).select(*kept, F.explode(by_label).alias("label", "es")).select(*kept, "label", F.explode("es").alias("excerpt"))
+    return one.union(rows.where(F.schema_of_variant(v).startswith("ARRAY")).select(*kept, F.lit(None).cast("string").alias("label"), F.explode(plain).alias("excerpt")))

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,3 +143,63 @@ def sequence_ratio(pairs: DataFrame, a: str, b: str, most: int = 6000) -> DataFr
             yield f.assign(ratio=[SequenceMatcher(None, (x or "")[:most], (y or "")[:most]).ratio() for x, y in zip(f[a], f[b], strict=True)])
 
     return pairs.mapInPandas(make, schema)
+
+
+PREFIX, GRAM = 100, 16
+
+
+def anchors(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, gram, first): hashes of the 16-character windows that are the smallest of some 85 neighbouring ones, so of any 100 characters; `first` marks that of the text's start.
+
+    Two texts that share 100 characters share the hash of the smallest window among them. Texts under 100 characters have none.
+    """
+    kind = dict(texts.dtypes)[key]
+    span = PREFIX - GRAM + 1
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        power = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(GRAM)], np.uint64)
+        for b in batches:
+            of, grams, starts = [np.zeros(0, int)], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+            for i in range(b.num_rows):
+                value = b.column(1)[i].as_py()
+                if value is None or len(value) < PREFIX:
+                    continue
+                points = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+                h = np.zeros(len(points) - GRAM + 1, np.uint64)
+                for k in range(GRAM):
+                    h += points[k : k + len(h)] * power[k]
+                h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                least = h.copy()
+                done = 1
+                while done < span:  # the smallest of each `span` windows, by doubling
+                    step = min(done, span - done)
+                    least = np.minimum(least[:-step], least[step:])
+                    done += step
+                found = np.unique(least)
+                of.append(np.full(len(found), i))
+                grams.append(found)
+                starts.append(found == least[0])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate(of))), pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(starts))], [key, "gram", "first"])
+
+    return texts.select(key, text).mapInArrow(make, f"`{key}` {kind}, gram long, first boolean")
+
+
+def prefix_contained(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, first_id): the smallest other key whose text holds this text's first 100 characters, or the other way round.
+
+    Equal prefixes are one, and of a prefix only the two smallest keys on either side count, so a prefix that very many texts share costs a row for each of them.
+    """
+    rows = texts.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"))
+    found = anchors(rows, "k", "t")
+    starts = rows.where(F.length("t") >= PREFIX).select("k", F.left("t", F.lit(PREFIX)).alias("p")).join(found.where("first").select("k", "gram"), "k")
+    low = starts.groupBy("p", "gram").agg(F.min("k").alias("lo"))
+    second = starts.join(low.select("p", "lo"), "p").where("k <> lo").groupBy("p").agg(F.min("k").alias("next"))
+    low = low.join(second, "p", "left").select("p", "gram", "lo", "next")
+    holds = low.join(found.select("gram", "k").distinct(), "gram").join(rows, "k").where(F.contains("t", F.col("p"))).select("p", "k", "lo", "next").distinct()
+    # a text that holds a prefix meets the prefix's smallest other owner
+    owner = holds.select("k", F.when(F.col("k") == F.col("lo"), F.col("next")).otherwise(F.col("lo")).alias("other")).where("other is not null")
+    # a prefix's owners meet the smallest other text that holds it
+    first = holds.groupBy("p").agg(F.min("k").alias("lo"))
+    after = holds.select("p", "k").join(first, "p").where("k <> lo").groupBy("p").agg(F.min("k").alias("next"))
+    holder = starts.join(first.join(after, "p", "left"), "p").select("k", F.when(F.col("k") == F.col("lo"), F.col("next")).otherwise(F.col("lo")).alias("other")).where("other is not null")
+    return owner.union(holder).groupBy("k").agg(F.min("other").alias("first_id")).withColumnRenamed("k", key)

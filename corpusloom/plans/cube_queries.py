@@ -195,13 +195,16 @@ def firm_year_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""{_ROLL_SQL} SELECT owner, year, round(coalesce(avg(mat) FILTER (WHERE label = 'R') / 3 * (1 - max(gov) FILTER (WHERE label = 'R')), 0.0), 4) AS gap FROM rows GROUP BY ALL""")
+@query(f"""{_ROLL_SQL}, g AS (SELECT owner, year, CAST(sum(mat) FILTER (WHERE label = 'R') AS BIGINT) * (100 - CAST(round(100 * max(gov) FILTER (WHERE label = 'R')) AS BIGINT)) AS num, 300 * count(*) FILTER (WHERE label = 'R') AS den FROM rows GROUP BY ALL)
+SELECT owner, year, CASE WHEN den > 0 THEN (num * 20000 + den) // (2 * den) / 10000.0 ELSE 0.0 END AS gap FROM g""")
 def mitigation_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean severity over 3 times what governance leaves open, rounded half up to four decimals on whole numbers, so that no rounding edge depends on the order of sums."""
     rows = _mentions(spark, sf_dir)
     risky = F.col("label") == RISK
-    severity = F.avg(F.when(risky, lookup(F.col("materiality"), MATERIALITY, 0))) / 3
-    best = F.max(F.when(risky, lookup(F.col("governance"), GOVERNANCE, 0.0)))
-    return rows.groupBy("owner", "year").agg(F.round(F.coalesce(severity * (1 - best), F.lit(0.0)), 4).alias("gap"))
+    severity = F.sum(F.when(risky, lookup(F.col("materiality"), MATERIALITY, 0)).cast("long"))
+    open_part = 100 - F.round(100 * F.max(F.when(risky, lookup(F.col("governance"), GOVERNANCE, 0.0)))).cast("long")
+    sums = rows.groupBy("owner", "year").agg((severity * open_part).alias("num"), (300 * F.count_if(risky)).alias("den"))
+    return sums.select("owner", "year", F.when(F.col("den") > 0, F.expr("(num * 20000 + den) div (2 * den)") / 10000.0).otherwise(0.0).alias("gap"))
 
 
 @query("""SELECT l_orderkey AS report, l_linenumber AS line, least(greatest(l_quantity / 50, 0.0), 1.0) AS unit_signal,

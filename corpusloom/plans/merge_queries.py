@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import content_signature, name_key
+from ..functions.text import name_key
 from ..operators import lookup, merge
 from .base import FILINGS_SQL, filings
 from .registry import query, table
@@ -260,13 +260,12 @@ def universe_with_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seeds.join(facts, "report", "full").select("report", F.coalesce("facts", F.lit(0)).cast("long").alias("facts"), F.coalesce("seeded", F.lit(False)).alias("seeded"))
 
 
-@query("""WITH a AS (SELECT doc_id, lower(regexp_replace(left(text, 100), '[^A-Za-z0-9]+', '', 'g')) AS k FROM documents WHERE text IS NOT NULL), m AS (SELECT k, min(doc_id) AS first_id, count(*) AS n FROM a WHERE k <> '' GROUP BY k HAVING count(*) > 1)
-SELECT a.doc_id, m.first_id FROM a JOIN m ON a.k = m.k WHERE a.doc_id <> m.first_id""")
+@query("""WITH d AS (SELECT doc_id, text, left(text, 100) AS p FROM documents WHERE text IS NOT NULL), u AS (SELECT p, min(doc_id) AS lo, count(*) AS n FROM d WHERE length(p) >= 100 GROUP BY p),
+ h AS (SELECT u.p, d.doc_id AS t FROM u JOIN d ON contains(d.text, u.p)), x AS (SELECT d.doc_id AS a, h.t AS b FROM h JOIN d ON d.p = h.p WHERE d.doc_id <> h.t)
+SELECT doc_id, min(other) AS first_id FROM (SELECT a AS doc_id, b AS other FROM x UNION ALL SELECT b, a FROM x) GROUP BY doc_id""")
 def prefix_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts whose first 100 characters have the same letters and digits (the measure's own prefix), with the first such text: an equality on the signature, not a nested loop."""
-    rows = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", content_signature(F.substring("text", 1, 100)).alias("k")).where("k <> ''")
-    first = rows.groupBy("k").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    return rows.join(first, "k").where("doc_id <> first_id").select("doc_id", "first_id")
+    """Texts one of which holds the other's first 100 characters (the measure's own prefix) anywhere, with the smallest such partner of each."""
+    return lookup.prefix_contained(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 @query("SELECT l_orderkey AS report, l_linenumber AS chunk, max(l_quantity) AS answer FROM lineitem GROUP BY ALL")

@@ -33,13 +33,13 @@ def keyword_counts_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT doc_id, CAST(len(regexp_extract_all(text, '[^ \\t\\r\\n\\f]+')) AS INTEGER) AS words, len(text) - len(replace(text, chr(10), '')) <= 1 OR length(text) >= 20000 AS malformed,
- lower(regexp_replace(left(text, 200), '[^A-Za-z0-9]+', '', 'g')) AS signature, regexp_replace(left(text, 400), '[^0-9]+', '', 'g') AS digits FROM documents""")
+ lower(regexp_replace(text, '[^A-Za-z0-9]+', '', 'g')) AS signature, regexp_replace(text, '[^0-9]+', '', 'g') AS digits FROM documents""")
 def text_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     ends = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
     return _docs(spark, sf_dir).select(
         "doc_id", rules.word_count(text).alias("words"), ((ends <= 1) | (F.length(text) >= 20000)).alias("malformed"),
-        rules.content_signature(F.left(text, F.lit(200))).alias("signature"), rules.digits_only(F.left(text, F.lit(400))).alias("digits"),
+        rules.content_signature(text).alias("signature"), rules.digits_only(text).alias("digits"),
     )
 
 
@@ -186,10 +186,9 @@ def sentence_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select("item_id", F.size(parts).alias("sentences"), longest.alias("longest"))
 
 
-@query("""WITH d AS (SELECT doc_id, list_distinct(list_filter(string_split_regex(lower(left(text, 2000)), '[^a-z0-9]+'), lambda w: w <> '')) AS ws FROM documents WHERE lang = 'en'), p AS (SELECT *, unnest(ws) AS w FROM d)
+@query("""WITH d AS (SELECT doc_id, list_distinct(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda w: w <> '')) AS ws FROM documents), p AS (SELECT *, unnest(ws) AS w FROM d)
 SELECT w AS token, count(*) AS documents FROM p WHERE length(w) > 3 GROUP BY w ORDER BY documents DESC, w LIMIT 50""")
 def frequent_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report of the 50 words that most English documents hold in their first 2,000 characters (an excerpt's length)."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").where("lang = 'en'")
-    words = docs.select(F.explode(rules.tokens(F.left("text", F.lit(2000)))).alias("token")).where(F.length("token") > 3)
+    """A report of the 50 words that most documents hold."""
+    words = _docs(spark, sf_dir).select(F.explode(rules.tokens(F.col("text"))).alias("token")).where(F.length("token") > 3)
     return words.groupBy("token").agg(F.count("*").alias("documents")).orderBy(F.desc("documents"), "token").limit(50)
