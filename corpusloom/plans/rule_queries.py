@@ -385,3 +385,11 @@ def span_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of a report's spans with a zero-padded counter."""
     own = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     return _lines(spark, sf_dir, "l_partkey", "l_suppkey").select(F.col("l_orderkey").alias("report"), F.col("l_linenumber").alias("line"), F.format_string("%d_%04d", "l_orderkey", F.row_number().over(own)).alias("span_id"))
+
+
+@query(f"WITH {PAIRS_SQL} SELECT id, label, CASE WHEN id % 3 = 0 THEN c WHEN id % 3 = 1 THEN 0.5 END AS confidence FROM conf WHERE in_guess = 1 AND id % 3 < 2")
+def resolved_confidences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confidences given by label, or one for all labels, or none at all."""
+    k = F.col("id") % 3
+    given, scalar = F.when(k == 0, F.col("confidences")), F.when(k == 1, F.lit(0.5))
+    return pairs(spark, sf_dir).select("id", F.explode(payload.confidence_map(F.col("guess"), given, scalar)).alias("label", "confidence"))

@@ -160,15 +160,18 @@ def streaming_unique_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.drain(streaming.unique_events(rows.select("event_id", "user_id", "ts"), late=_late(spark, sf_dir))).select("event_id", "user_id")
 
 
-@query("""WITH l AS (SELECT user_id, ts, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
+_SESSIONS = """WITH l AS (SELECT user_id, ts, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
  s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM l)
-SELECT user_id, min(ts) AS "start", max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM s GROUP BY user_id, k""")
+SELECT user_id, min(ts) AS "start", max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM s GROUP BY user_id, k"""
+
+
+@query(_SESSIONS)
 def batch_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions by inactivity, as a batch; the stream's form is the same function with a watermark."""
     return streaming.sessions(table(spark, sf_dir, "events"))
 
 
-@query()
+@query(_SESSIONS)
 def streaming_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sessions of the stream, also the last ones, which no watermark passes: each batch gives all sessions, and the last one counts."""
     return streaming.drain(streaming.sessions(_events(spark, sf_dir), late=_late(spark, sf_dir)), "complete")

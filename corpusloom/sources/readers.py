@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def csv(spark: SparkSession, path: str, trim: bool = False) -> DataFrame:
-    """CSV with a header, all columns strings."""
-    return spark.read.csv(path, header=True, encoding="UTF-8", ignoreLeadingWhiteSpace=trim, ignoreTrailingWhiteSpace=trim, escape='"')
+def csv(spark: SparkSession, path: str, trim: bool = False, lines: bool = False) -> DataFrame:
+    """CSV with a header, all columns strings; with `lines`, cells may hold line ends."""
+    return spark.read.csv(path, header=True, encoding="UTF-8", multiLine=lines, lineSep="\n" if lines else None, ignoreLeadingWhiteSpace=trim, ignoreTrailingWhiteSpace=trim, escape='"')
 
 
 def csv_after_preamble(spark: SparkSession, path: str, first_cells: tuple[str, str], columns: list[str]) -> DataFrame:
@@ -67,3 +67,40 @@ def stubs(files: DataFrame, size: str, head: str, markers: list[str]) -> DataFra
     """Adds `stub`: under 5,000 bytes, or under 50,000 with a marker in the first 500."""
     marked = F.exists(F.array(*[F.lit(m) for m in markers]), lambda m: F.contains(F.substring(F.col(head), 1, 500), m))
     return files.withColumn("stub", F.when(F.col(size) >= 50_000, False).when(F.col(size) < 5_000, True).otherwise(F.coalesce(marked, F.lit(True))))
+
+
+def by_suffix(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Parquet or JSON lines by the path's suffix; where nothing is there, the other form beside it."""
+    stem, suffix = path.rsplit(".", 1)
+    reads = {"parquet": lambda p: spark.read.schema(schema).parquet(p), "jsonl": lambda p: json_lines(spark, p, schema)}
+    other = {"parquet": "jsonl", "jsonl": "parquet"}[suffix]
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
+    return reads[suffix](path) if there else reads[other](f"{stem}.{other}")
+
+
+def _either(df: DataFrame, names: tuple[str, ...], default: str | None = None) -> Column:
+    """The first of these columns that isn't blank, whatever the case of its name."""
+    known = {c.lower(): c for c in df.columns}
+    found = [F.nullif(F.trim(F.col(f"`{known[n]}`")), F.lit("")) for n in names if n in known]
+    return F.coalesce(*found, F.lit(default).cast("string"))
+
+
+def universe(df: DataFrame) -> DataFrame:
+    """id, name, sector and year of a report list, by any of the known headers, from 2020 on and with an id."""
+    year = _either(df, ("report_year", "year", "fiscal_year")).try_cast("int")
+    rows = df.select(_either(df, ("company_id", "lei", "company_number", "id")).alias("id"), _either(df, ("company_name", "company", "name"), "Unknown").alias("name"), _either(df, ("cni_sector", "sector"), "Other").alias("sector"), year.alias("year"))
+    return rows.where("id is not null and year >= 2020")
+
+
+def companies(df: DataFrame) -> DataFrame:
+    """name and number of a list of companies; numbers of digits alone are padded to eight."""
+    number = _either(df, ("company_number", "companynumber", "number"))
+    return df.select(_either(df, ("company_name", "company name", "company", "name")).alias("name"), F.when(F.regexp_like(number, F.lit(r"^\d+$")), F.lpad(number, 8, "0")).otherwise(number).alias("number"))
+
+
+def first_answer(candidates: Column, between: str = "\n") -> Column:
+    """The joined text parts of the first candidate that has any."""
+    texts = F.transform(candidates, lambda c: F.transform(c["content"]["parts"], lambda p: p["text"]))
+    first = F.get(F.filter(texts, lambda t: F.size(t) > 0), F.lit(0))
+    return F.array_join(first, between)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def csv(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
-    df.select(*(columns or df.columns)).write.mode("overwrite").csv(path, header=True, escape='"')
+    df.select(*(columns or df.columns)).write.mode("overwrite").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="", lineSep="\n")
 
 
 def csv_union(parts: list[DataFrame], path: str) -> None:
@@ -39,3 +39,9 @@ def markdown_table(df: DataFrame, most: int = 200) -> str:
     rows = df.limit(most).collect()
     lines = [df.columns, ["---"] * len(df.columns), *[["" if v is None else str(v) for v in r] for r in rows]]
     return "\n".join("| " + " | ".join(x) + " |" for x in lines)
+
+
+def csv_cell(value: Column) -> Column:
+    """A cell as an export writes it: quoted, with doubled quotes, where it holds a quote, a comma or a line end."""
+    quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(F.regexp_like(value, F.lit('[",\n]')), quoted).otherwise(value)

@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def work_folder(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, or a local one where that is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base}/stream-{uuid.uuid4().hex}" if base else tempfile.mkdtemp(prefix="corpusloom-stream-")
+from ..session import work_folder
 
 
 def stream(spark: SparkSession, path: str, files: int = 8) -> DataFrame:
@@ -54,7 +47,7 @@ def drain(result: DataFrame, mode: str = "append", keys: list[str] | None = None
     holds the whole result, also what a watermark hasn't passed; the last batch counts.
     """
     spark = result.sparkSession
-    folder = work_folder(spark)
+    folder = work_folder(spark, "stream")
     if mode == "append":
         query = result.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
         query.awaitTermination()
