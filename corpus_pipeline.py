@@ -21,9 +21,11 @@ from corpusloom.llm.common import cut, table
 LOWEST = -(1 << 63)
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    """Whole rows as one column `row`, so that no column of theirs can clash, beside what decides on them."""
-    return docs.select(F.struct("*").alias("row"), _key().alias("id"), F.xxhash64("text").alias("hash"), F.col("source").alias("origin"))
+def _fresh(docs: DataFrame, *names: str) -> list[str]:
+    """These names, with as many underscores before them as keep them apart from the columns of docs."""
+    taken = {c.lower() for c in docs.columns}
+    longest = max((len(c) - len(c.lstrip("_")) for c in taken), default=0)
+    return ["_" * (longest + 1) + n for n in names]
 
 
 def _key() -> Column:
@@ -38,21 +40,24 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    key, text = _fresh(docs, "key", "text")
     found = jaccard_join.join_components(docs)
     # the rows of one document are few, unless ids are missing: those are ranked by text
     own = Window.partitionBy("component_id", "text_hash").orderBy("n_shingles")
     kept = found.where("doc_id = component_id or component_id is null").withColumn("n", F.row_number().over(own))
-    kept = kept.where("n = 1").select(_key().alias("id"), F.col("text_hash").alias("hash")).distinct()
-    return _rows(docs).join(kept, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"]).select("row.*")
+    kept = kept.where("n = 1").select(_key().alias(key), F.col("text_hash").alias(text)).distinct()
+    rows = docs.withColumns({key: _key(), text: F.xxhash64("text")}).join(kept, [key, text], "left_semi")
+    return rows.dropDuplicates([key, text]).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = mixing.mix(docs).where("times > 0").groupBy("doc_id", "text_hash", "source").agg(F.sum("times").alias("times"))
-    found = found.select(_key().alias("at"), F.col("text_hash").alias("as"), F.col("source").alias("of"), "times")
-    one = _rows(docs).dropDuplicates(["id", "hash", "origin"])  # rows alike in these are interchangeable; the takes of all of them are summed
-    same = (F.col("id") == F.col("at")) & (F.col("hash") == F.col("as")) & F.col("origin").eqNullSafe(F.col("of"))
-    taken = one.join(found, same)
-    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")
+    key, text, origin, at, of_text, of, times, copy = _fresh(docs, "key", "text", "origin", "at", "of_text", "of", "times", "copy")
+    found = mixing.mix(docs).where("times > 0").groupBy("doc_id", "text_hash", "source").agg(F.sum("times").alias(times))
+    found = found.select(_key().alias(at), F.col("text_hash").alias(of_text), F.col("source").alias(of), times)
+    rows = docs.withColumns({key: _key(), text: F.xxhash64("text"), origin: F.col("source")})
+    one = rows.dropDuplicates([key, text, origin])  # rows alike in these are interchangeable; the takes of all of them are summed
+    same = (F.col(key) == F.col(at)) & (F.col(text) == F.col(of_text)) & F.col(origin).eqNullSafe(F.col(of))
+    return one.join(found, same).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
