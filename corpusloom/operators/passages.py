@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def _placed(rows: DataFrame, keys: list[str], size: Column) -> DataFrame:
-    """Adds `start`, the sizes' sum over the earlier pieces (column k) of the same text."""
-    before = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    """Adds `start`, the sizes' sum over the earlier pieces (column _k) of the same text."""
+    before = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("start", F.coalesce(F.sum(size).over(before), F.lit(0)).cast("long"))
 
 
@@ -18,7 +18,7 @@ def hits(texts: DataFrame, key: str, text: str, patterns: dict[str, str]) -> Dat
     for name, pattern in sorted(patterns.items()):
         found = texts.where(F.regexp_like(text, F.lit(pattern)))
         pairs = F.arrays_zip(F.split(text, pattern).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
-        rows = found.select(key, F.xxhash64(text).alias("_text"), F.posexplode(pairs).alias("k", "x")).select(key, "_text", "k", "x.gap", "x.hit").where("hit is not null")
+        rows = found.select(key, F.xxhash64(text).alias("_text"), F.posexplode(pairs).alias("_k", "_x")).select(key, "_text", "_k", "_x.gap", "_x.hit").where("hit is not null")
         rows = _placed(rows, [key, "_text"], F.length("gap") + F.length("hit"))
         start = F.col("start") + F.length("gap")
         rows = rows.select(key, F.lit(name).alias("name"), "hit", start.alias("start"), (start + F.length("hit")).alias("end"))
@@ -28,9 +28,9 @@ def hits(texts: DataFrame, key: str, text: str, patterns: dict[str, str]) -> Dat
 
 def sentences_with(texts: DataFrame, key: str, text: str, pattern: str) -> DataFrame:
     """(key, start, end) of the sentences (which end at a full stop, question or exclamation mark before white space) that the pattern hits."""
-    rows = texts.select(key, F.xxhash64(text).alias("_text"), F.posexplode(F.split(text, r"[.!?][ \n]")).alias("k", "s"))
-    rows = _placed(rows, [key, "_text"], F.length("s") + 2).where(F.regexp_like("s", F.lit(pattern)))
-    return rows.select(key, "start", (F.col("start") + F.length("s")).alias("end"))
+    rows = texts.select(key, F.xxhash64(text).alias("_text"), F.posexplode(F.split(text, r"[.!?][ \n]")).alias("_k", "_s"))
+    rows = _placed(rows, [key, "_text"], F.length("_s") + 2).where(F.regexp_like("_s", F.lit(pattern)))
+    return rows.select(key, "start", (F.col("start") + F.length("_s")).alias("end"))
 
 
 def heading_kind(line: Column) -> Column:
