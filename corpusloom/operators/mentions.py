@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -105,27 +105,18 @@ def limited_batches(items: DataFrame, key: str, order: str, size: str, most_size
 
 
 def joined_lines(lines: DataFrame, key: str, order: str, text: str) -> DataFrame:
-    """(key, paragraph, text): a line goes on with the paragraph so far unless that ends a sentence or the line begins like a new one (a heading mark, a bullet)."""
-    kind = dict(lines.dtypes)[key]
-
-    def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for k, parts in zip(f[key], f["_lines"], strict=True):
-                done: list[str] = []
-                for line in parts:
-                    line = line.strip()
-                    if not line:
-                        continue
-                    if done and not done[-1].endswith((".", "!", "?", ":")) and not line.startswith(("#", "-", "*", "•")) and not done[-1].startswith("#"):
-                        done[-1] += f" {line}"
-                    else:
-                        done.append(line)
-                rows += [(k, i, t) for i, t in enumerate(done)]
-            yield pd.DataFrame(rows, columns=[key, "paragraph", "text"])
-
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text])
-    return lines.groupBy(key).agg(ordered.alias("_lines")).mapInPandas(make, f"{key} {kind}, paragraph int, text string")
+    """(key, paragraph, text): a line goes on with the paragraph so far unless that ends a sentence or is a heading, or the line begins like a new one (a heading mark, a bullet).
+
+    Whether a line begins a paragraph shows in it and the line before, so places are running sums and no text is walked.
+    """
+    rows = lines.select(key, order, F.regexp_replace(text, r"^\s+|\s+$", "").alias("_t")).where("_t <> ''")
+    own = Window.partitionBy(key).orderBy(order, "_t")
+    before = F.lag("_t").over(own)
+    fresh = before.isNull() | F.regexp_like(before, F.lit(r"[.!?:]$|^#")) | F.regexp_like("_t", F.lit("^[#*•-]"))
+    rows = rows.withColumn("_new", fresh.cast("int")).withColumn("paragraph", (F.sum("_new").over(own.rowsBetween(Window.unboundedPreceding, 0)) - 1).cast("int"))
+    parts = F.array_sort(F.collect_list(F.struct(order, "_t")))
+    return rows.groupBy(key, "paragraph").agg(F.array_join(F.transform(parts, lambda x: x["_t"]), " ").alias("text"))
+
 
 
 def notice_changes(notices: DataFrame, text: str) -> DataFrame:

@@ -76,13 +76,18 @@ def best_candidate_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.best_by_year(own.union(rows.select("owner", F.col("year") - 1, "pk", F.col("size") - 260)), "owner", "year", "pk", "score")
 
 
-@query()
+@query("""WITH RECURSIVE o AS (SELECT conv_id, turn, length(text) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations WHERE text IS NOT NULL),
+ r AS (SELECT conv_id, turn, size, k, 0 AS batch, size AS total, 1 AS n FROM o WHERE k = 1 UNION ALL SELECT o.conv_id, o.turn, o.size, o.k, CASE WHEN r.total + o.size > 600 OR r.n = 4 THEN batch + 1 ELSE batch END,
+  CASE WHEN r.total + o.size > 600 OR r.n = 4 THEN o.size ELSE r.total + o.size END, CASE WHEN r.total + o.size > 600 OR r.n = 4 THEN 1 ELSE r.n + 1 END FROM r JOIN o ON o.conv_id = r.conv_id AND o.k = r.k + 1)
+SELECT conv_id, turn, size, batch FROM r""")
 def limited_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _turns(spark, sf_dir).select("conv_id", "turn", F.length("text").alias("size"))
     return mentions.limited_batches(turns, "conv_id", "turn", "size", 600, 4)
 
 
-@query()
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents), s AS (SELECT doc_id, k, regexp_replace(t, '^\\s+|\\s+$', '', 'g') AS t FROM l),
+ b AS (SELECT *, lag(t) OVER (PARTITION BY doc_id ORDER BY k) AS p FROM s WHERE t <> ''), n AS (SELECT *, CASE WHEN p IS NULL OR regexp_matches(p, '[.!?:]$|^#') OR regexp_matches(t, '^[#*•-]') THEN 1 ELSE 0 END AS new FROM b),
+ c AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY k) - 1 AS q FROM n) SELECT doc_id, CAST(q AS INTEGER) AS paragraph, string_agg(t, ' ' ORDER BY k) AS text FROM c GROUP BY doc_id, q""")
 def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "documents", "doc_id", "text").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
     return mentions.joined_lines(lines, "doc_id", "line", "t")
