@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import titles
-from corpusloom.operators import html_tables, lookup, passages
+from corpusloom.operators import html_tables, lookup, mentions, passages
 from corpusloom.sources import readers
 
 
@@ -64,3 +64,40 @@ def test_strict_json_lines_fail_at_a_bad_line(spark: SparkSession, tmp_path) ->
     with pytest.raises(Exception, match="(?i)malformed|parse|json"):
         readers.json_lines(spark, str(tmp_path), "a int").collect()
     assert readers.json_lines(spark, str(tmp_path), "a int", "lenient").where("a is not null").count() == 1
+
+
+def test_each_year_takes_its_best_item_once(spark: SparkSession) -> None:
+    """Against repeated passes that look, one year at a time, for the year with the fewest candidates of those still open."""
+    rng = random.Random(8)
+    rows = [(k, 2000 + rng.randrange(5), rng.randrange(6), float(rng.randrange(4))) for k in range(40) for _ in range(rng.randrange(1, 12))]
+    want = set()
+    for k in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == k]
+        open_, used = {r[1] for r in mine}, set()
+        while open_:
+            items = {y: {r[2] for r in mine if r[1] == y} for y in open_}
+            y = min(open_, key=lambda y: (len(items[y]), y))
+            left = [r for r in mine if r[1] == y and r[2] not in used] or [r for r in mine if r[1] == y]
+            top = max(r[3] for r in left)
+            best = min(r[2] for r in left if r[3] == top)
+            used.add(best)
+            open_.remove(y)
+            want.add((k, y, best))
+    df = spark.createDataFrame(rows, "k int, year int, item int, score double").repartition(5)
+    assert {tuple(r) for r in mentions.best_by_year(df, "k", "year", "item", "score").collect()} == want
+
+
+def test_greedy_matches_use_each_side_once(spark: SparkSession) -> None:
+    """Against picking, again and again, the first pair in order whose sides are both free."""
+    rng = random.Random(9)
+    rows = list({(k, rng.randrange(5), rng.randrange(5)): rng.randrange(9) for k in range(40) for _ in range(rng.randrange(1, 10))}.items())
+    rows = [(k, a, b, 10 - a, gap) for (k, a, b), gap in rows]
+    want = set()
+    for k in {r[0] for r in rows}:
+        free = [r for r in rows if r[0] == k]
+        while free:
+            r = min(free, key=lambda r: (r[3], r[1], r[4], r[2]))
+            want.add((k, r[1], r[2]))
+            free = [x for x in free if x[1] != r[1] and x[2] != r[2]]
+    df = spark.createDataFrame(rows, "k int, a int, b int, turn int, gap int").repartition(5)
+    assert {tuple(r) for r in lookup.greedy_assign(df, "k", ["turn"], ["gap"], "a", "b").collect()} == want
