@@ -17,6 +17,20 @@ LISTING_ENTITIES = ((4, 3), (2, 2), (1, 1))
 LISTING_ADDRESSES = ((2, 2), (1, 1))
 LISTING_COMMAS = ((12, 2), (8, 1))
 LISTING_DROP = 6
+SECTION_PATTERNS = (
+    r"principal\s+risks?(?:\s+and\s+uncertainties)?",
+    r"risk\s+(?:management|factors|review)",
+    r"strategic\s+report",
+    r"directors'?\s+report",
+    r"governance\s+report",
+    r"sustainability\s+report",
+    r"esg\s+report",
+    r"environmental,?\s+social\s+and\s+governance",
+    r"operational\s+review",
+    r"business\s+review",
+    r"financial\s+review",
+    r"notes\s+to\s+(?:the\s+)?financial\s+statements",
+)
 
 
 def word_count(text: Column) -> Column:
@@ -199,3 +213,31 @@ def jaccard(a: Column, b: Column) -> Column:
     """Of two arrays as sets; two empty ones are alike."""
     union = F.size(F.array_union(a, b))
     return F.when(union > 0, F.size(F.array_intersect(a, b)) / union).otherwise(1.0)
+
+
+def section_of(text: Column) -> Column:
+    """The section that a text names by the first pattern it holds, in lower case with underscores for spaces; else null."""
+    low = F.lower(text)
+    return F.replace(F.coalesce(*[F.nullif(F.regexp_extract(low, p, 0), F.lit("")) for p in SECTION_PATTERNS]), F.lit(" "), F.lit("_"))
+
+
+def section_title(heading: Column) -> Column:
+    """A heading that names a section, without its number, with single spaces and capital initials; else null."""
+    bare = F.regexp_replace(heading, r"^\d+\.(\d+\.?)?\s+", "")
+    return F.when(section_of(heading).isNotNull(), F.initcap(collapse_space(bare)))
+
+
+def stitched(segments: Column) -> Column:
+    """Segments of a text joined by spaces, or by nothing where two look like one cut word or number: two digits meet, or two letters of which one side has at most
+    three characters, or both are lower case and the right has at most four. Each decision sees what the left side has grown to."""
+    parts = F.filter(F.transform(segments, lambda x: F.trim(x)), lambda x: x != "")
+
+    def add(done: Column, part: Column) -> Column:
+        left = F.substring_index(done, "\x01", -1)
+        digits = F.regexp_like(left, F.lit(r"\p{Nd}$")) & F.regexp_like(part, F.lit(r"^\p{Nd}"))
+        letters = F.regexp_like(left, F.lit(r"\p{L}$")) & F.regexp_like(part, F.lit(r"^\p{L}"))
+        small = (F.lower(left) == left) & (F.lower(part) == part) & (F.length(part) <= 4)
+        one = digits | (letters & ((F.length(left) <= 3) | (F.length(part) <= 3) | small))
+        return F.concat(done, F.when(one | (done == ""), "").otherwise("\x01"), part)
+
+    return F.translate(F.aggregate(parts, F.lit(""), add), "\x01", " ")

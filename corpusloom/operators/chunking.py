@@ -1,22 +1,24 @@
 """Markdown to keyword-gated chunks.
 
 Splitting into blocks, carrying headings, finding keyword blocks and forming windows are DataFrame steps; a document's blocks
-are exploded rows, so a long document isn't one task's burden beyond its own text. Only cutting a long text into word-limited parts,
+are exploded rows, so a long document isn't one task's burden beyond its own text. Only packing a text into parts of limited size,
 where each cut depends on the one before, walks in Python, in Arrow batches.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import chunk_id
+from ..functions.text import chunk_id, sentences
+from . import passages
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
+_BLANK = re.compile(r"\n\s*\n")
 
 
 def blocks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -79,47 +81,146 @@ def keyword_chunks(docs: DataFrame, patterns: dict[str, str], before: int = 2, a
     return out.select(chunk_id(F.col(key).cast("string"), F.col("first"), F.col("last")).alias("chunk_id"), key, "first", "last", "start", "end", "chunk_text", "keywords", "sections")
 
 
-def _units(text: str, most: int) -> Iterator[str]:
-    for paragraph in re.split(r"\n\s*\n", text):
-        if len(paragraph.split()) <= most:
-            yield paragraph
-            continue
-        for sentence in _SENTENCE.split(paragraph):
-            words = sentence.split()
-            step = most - min(40, most // 10)
-            if len(words) <= most:
-                yield sentence
-            else:
-                yield from (" ".join(words[i : i + most]) for i in range(0, max(len(words) - (most - step), 1), max(step, 1)))
+def _pack(units: Iterable[str | None], most: int, size: Callable[[str], int], joint: str, overlap: int = 0, gap: int = 0) -> Iterator[str]:
+    """Runs of units of at most `most` in all, each unit costing its size and a gap; None ends a run. A run begins with the last `overlap` units of the one before where the next unit still fits."""
+    run: list[str] = []
+    total = 0
+    for unit in units:
+        if run and (unit is None or total + size(unit) > most):
+            yield joint.join(run)
+            run = run[-overlap:] if overlap and unit is not None else []
+            total = sum(size(u) + gap for u in run)
+            if unit is not None and total + size(unit) > most:
+                run, total = [], 0
+        if unit is not None:
+            run.append(unit)
+            total += size(unit) + gap
+    if run:
+        yield joint.join(run)
 
 
-def split_words(chunks: DataFrame, most: int, text: str = "chunk_text") -> DataFrame:
-    """Each chunk as rows (`part` from 0) of at most `most` words where its units allow; units are paragraphs, sentences, then word runs. most <= 0: no split."""
-    if most <= 0:
-        return chunks.withColumn("part", F.lit(0))
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in chunks.dtypes), "part int"])
+def _words(text: str) -> int:
+    return len(text.split())
+
+
+def _word_runs(sentence: str, most: int) -> Iterator[str]:
+    """The sentence, or runs of `most` of its words, each with the last 40 words (at most a tenth) of the one before."""
+    words, step = sentence.split(), max(most - min(40, most // 10), 1)
+    if len(words) <= most:
+        yield sentence
+        return
+    yield from (" ".join(words[i : i + most]) for i in range(0, len(words) - most + step, step))
+
+
+def _word_parts(text: str, most: int, overlap: int) -> Iterator[str]:
+    if _words(text) <= most:
+        yield text
+        return
+
+    def units() -> Iterator[str]:
+        for paragraph in filter(None, map(str.strip, _BLANK.split(text))):
+            pieces = [paragraph]
+            if _words(paragraph) > most:
+                pieces = _pack((r for s in _SENTENCE.split(paragraph) for r in _word_runs(s, most)), most, _words, " ", overlap)
+            yield from pieces
+
+    yield from _pack(units(), most, _words, "\n\n")
+
+
+def _rows(df: DataFrame, text: str, parts: Callable[[object], Iterable[str]]) -> DataFrame:
+    """Each row once for each part of its `text`, numbered in `part` from 0; a row without parts keeps an empty one."""
+    kinds = {c: "string" if c == text else t for c, t in df.dtypes}
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in kinds.items()), "part int"])
 
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            parts = []
-            for t in f[text]:
-                out: list[str] = []
-                size = most + 1
-                for unit in _units(t or "", most):
-                    n = len(unit.split())
-                    if size + n <= most:
-                        out[-1] += "\n\n" + unit
-                        size += n
-                    else:
-                        out.append(unit)
-                        size = n
-                parts.append(out or [""])
-            rows = f.loc[f.index.repeat([len(p) for p in parts])].copy()
-            rows[text] = [x for p in parts for x in p]
-            rows["part"] = [i for p in parts for i in range(len(p))]
+            found = [list(parts(t)) or [""] for t in f[text]]
+            rows = f.loc[f.index.repeat([len(p) for p in found])].copy()
+            rows[text] = [x for p in found for x in p]
+            rows["part"] = [i for p in found for i in range(len(p))]
             yield rows
 
-    return chunks.mapInPandas(make, schema)
+    return df.mapInPandas(make, schema)
+
+
+def split_words(chunks: DataFrame, most: int, text: str = "chunk_text", overlap: int = 1) -> DataFrame:
+    """Each chunk as rows (`part` from 0) of at most `most` words; a text that fits stays as it is. most <= 0: no split.
+
+    Paragraphs are packed together. One that is too long is first cut at sentences, each piece repeating the last `overlap`
+    sentences of the one before; a sentence that is too long is cut by words. A null text becomes an empty part.
+    """
+    return chunks.withColumn("part", F.lit(0)) if most <= 0 else _rows(chunks, text, lambda t: _word_parts(t or "", most, overlap))
+
+
+def split_chars(texts: DataFrame, most: int, text: str = "text", by: str = "paragraph") -> DataFrame:
+    """Each text as rows (`part` from 0): its paragraphs, or sentences, packed greedily to at most `most` characters, a space after each counted, and joined by a space.
+
+    A paragraph (which also ends at three spaces) over the limit starts a new part and is packed by its sentences; a sentence over the limit stays whole. Null and blank texts become one empty part.
+    """
+    filled = lambda c: F.filter(F.transform(c, lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+    whole, cut = F.lit(None).cast("string"), lambda c: filled(sentences(c))
+    units = cut(F.col(text))
+    if by == "paragraph":
+        pieces = filled(F.split(text, r"\n\s*\n|\s{3,}"))
+        units = F.flatten(F.transform(pieces, lambda p: F.when(F.length(p) > most, F.concat(F.array(whole), cut(p))).otherwise(F.array(p))))
+    return _rows(texts.withColumn(text, units), text, lambda u: _pack(u if u is not None else (), most, len, " ", gap=1))
+
+
+LONG = 20_000  # characters of a paragraph from which a text counts as malformed
+
+
+def malformed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, paragraphs, sections) of the documents that paragraphs can't cut: one line end or fewer, one paragraph or fewer, or one of LONG characters."""
+    body = blocks(docs, key, text).where("not heading")
+    shape = body.groupBy(key).agg(F.count("*").alias("paragraphs"), F.max(F.length("text")).alias("_longest"), F.array_sort(F.collect_set("section")).alias("sections"))
+    ends = docs.where(F.col(text).isNotNull()).select(key, F.regexp_count(text, F.lit("\n")).alias("_ends"))
+    found = ends.join(shape, key, "left").where(f"_ends <= 1 or coalesce(paragraphs, 0) <= 1 or _longest >= {LONG}")
+    return found.select(key, F.coalesce("paragraphs", F.lit(0)).alias("paragraphs"), F.coalesce("sections", F.array().cast("array<string>")).alias("sections"))
+
+
+def hit_windows(docs: DataFrame, patterns: dict[str, str], radius: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, start, end, keywords): `radius` characters around each hit, widened to sentence ends or blank lines; windows that overlap are one.
+
+    Hits and sentence ends are rows, so a text isn't repeated for each of its hits.
+    """
+    sizes = docs.where(F.col(text).isNotNull()).select(key, F.length(text).alias("_size"))
+    found = passages.hits(docs, key, text, patterns).join(sizes, key)
+    seeds = found.select(key, "name", "start", F.col("end").alias("stop"), F.greatest(F.col("start") - radius, F.lit(0)).alias("low"), F.least(F.col("end") + radius, "_size").alias("high"), "_size")
+    # a mark is the first of two characters that end a sentence or a paragraph
+    marks = passages.hits(docs, key, text, {"mark": r"[.!?](?=[ \n])|\n(?=\n)"})
+    none = F.lit(None).cast("long")
+    own = lambda at: [key, "name", "start", "stop", "low", "high", "_size", F.col(at).alias("_at")]
+    blank = [key, *[F.lit(None).cast(t).alias(c) for c, t in seeds.dtypes if c != key]]
+
+    def meet(at: str, place: Column, value: Column, low: int, high: int, pick: Callable[[str], Column]) -> DataFrame:
+        both = seeds.select(*own(at), none.alias("_v")).union(marks.select(*blank, place.alias("_at"), value.alias("_v")))
+        span = Window.partitionBy(key).orderBy("_at").rangeBetween(low, high)
+        return both.withColumn("_v", pick("_v").over(span)).where("name is not null")
+
+    first, last = F.col("start"), F.when(F.col("hit") == "\n", F.col("start") + 1).otherwise(F.col("start") + 2)
+    seeds = meet("low", first + 2, first + 2, Window.unboundedPreceding, 0, F.max).withColumn("low", F.when(F.col("low") <= 0, 0).otherwise(F.coalesce("_v", F.lit(0)))).drop("_at", "_v")
+    ends = meet("high", first, last, 0, Window.unboundedFollowing, F.min)
+    windows = ends.withColumn("high", F.when(F.col("high") >= F.col("_size"), F.col("_size")).otherwise(F.coalesce("_v", "_size"))).where("high > low")
+    order = Window.partitionBy(key).orderBy("start", "stop", "name")
+    before = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    islands = windows.withColumn("_island", F.sum(F.when(F.col("low") < before, 0).otherwise(1)).over(order))
+    merged = islands.groupBy(key, "_island").agg(F.min("low").alias("start"), F.max("high").alias("end"), F.array_sort(F.collect_set("name")).alias("keywords"))
+    return merged.drop("_island")
+
+
+def document_chunks(docs: DataFrame, patterns: dict[str, str], before: int = 2, after: int = 2, most: int = 600, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Chunks of all documents: paragraph windows, and character windows for malformed documents (their `first` and `last` span all paragraphs). Keys are distinct."""
+    bad = malformed(docs, key, text)
+    radius = max(1200, min(4000, (most or 600) * 3))
+    good = keyword_chunks(docs.join(bad.select(key), key, "left_anti"), patterns, before, after, key, text)
+    rough = docs.join(bad.select(key), key, "left_semi").select(key, text)
+    spans = hit_windows(rough, patterns, radius, key, text).groupBy(key).agg(F.collect_list(F.struct("start", "end", "keywords")).alias("_w"))
+    cut = F.transform("_w", lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.substring(F.col(text), (w["start"] + 1).cast("int"), (w["end"] - w["start"]).cast("int")).alias("chunk_text"), w["keywords"].alias("keywords")))
+    rows = rough.join(spans, key).join(bad, key).select(key, "paragraphs", "sections", F.inline(cut))
+    whole = F.regexp_replace("chunk_text", r"^\s+|\s+$", "")
+    rows = rows.withColumn("chunk_text", whole).where("chunk_text <> ''").withColumns({"first": F.lit(0), "last": F.greatest(F.col("paragraphs") - 1, F.lit(0)).cast("int")})
+    named = rows.select(chunk_id(F.col(key).cast("string"), F.col("start"), F.col("end")).alias("chunk_id"), key, "first", "last", "start", "end", "chunk_text", "keywords", "sections")
+    return good.unionByName(named)
 
 
 def repeated_lines(docs: DataFrame, least: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ A lookup table is broadcast only if its size, as counted, is within SMALL rows;
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -111,25 +111,72 @@ def greedy_assign(pairs: DataFrame, key: str, visit: list[str], prefer: list[str
     return pairs.groupBy(key).applyInPandas(walk, f"{key} {kinds[key]}, {left_id} {kinds[left_id]}, {right_id} {kinds[right_id]}")
 
 
-def best_token_match(source: DataFrame, target: DataFrame, least: float, id_a: str = "a", id_b: str = "b", text: str = "text") -> DataFrame:
-    """For each source the target with the largest Dice score of token sets, at least `least`; ties go to the smaller target id.
+def dice_pairs(a: DataFrame, b: DataFrame, least: float, id_a: str, id_b: str, within: Sequence[str] = ()) -> DataFrame:
+    """(within, id_a, id_b, ta, tb, score) of rows of a (within, id_a, ta) and b (within, id_b, tb) whose token sets have a Dice score of at least `least` (over 0).
 
     Candidates share a token: a Dice score of at least t needs a common token among each side's first
     (1 - t / (2 - t)) of tokens in a global order, here by rising document frequency (prefix filter), so frequent words form no pairs.
     """
-    a = source.select(F.col(id_a), tokens(F.col(text)).alias("ta"))
-    b = target.select(F.col(id_b), tokens(F.col(text)).alias("tb"))
     frequency = a.select(F.explode("ta").alias("token")).union(b.select(F.explode("tb"))).groupBy("token").agg(F.count("*").alias("df"))
 
     def prefix(df: DataFrame, key: str, column: str) -> DataFrame:
-        rows = df.select(key, F.size(column).alias("_n"), F.explode(column).alias("token")).join(frequency, "token")
-        place = F.row_number().over(Window.partitionBy(key).orderBy("df", "token"))
-        keep = F.col("_n") - F.ceil(F.col("_n") * (least / (2 - least))) + 1
-        return rows.withColumn("_place", place).where(F.col("_place") <= keep).select(key, "token")
-
-    pairs = prefix(a, id_a, "ta").join(prefix(b, id_b, "tb"), "token").select(id_a, id_b).distinct()
-    scored = pairs.join(a, id_a).join(b, id_b).withColumn("score", dice(F.col("ta"), F.col("tb"))).where(F.col("score") >= least)
-    return pick_best(scored.select(id_a, id_b, "score"), [id_a], [F.desc("score"), F.col(id_b)])
+        rows = df.select(*within, key, F.size(column).alias("_n"), F.explode(column).alias("token")).join(frequency, "token")
+        place = F.row_number().over(Window.partitionBy(*within, key).orderBy("df", "token"))
+        # no rounding may leave out a token, so a hair is taken off
+        keep = F.col("_n") - F.ceil(F.col("_n") * (least / (2 - least)) - 1e-9) + 1
+        return rows.withColumn("_place", place).where(F.col("_place") <= keep).select(*within, key, "token")
+
+    pairs = prefix(a, id_a, "ta").join(prefix(b, id_b, "tb"), [*within, "token"]).select(*within, id_a, id_b).distinct()
+    return pairs.join(a, [*within, id_a]).join(b, [*within, id_b]).withColumn("score", dice(F.col("ta"), F.col("tb"))).where(F.col("score") >= least)
+
+
+def best_token_match(source: DataFrame, target: DataFrame, least: float, id_a: str = "a", id_b: str = "b", text: str = "text") -> DataFrame:
+    """For each source the target with the largest Dice score of token sets, at least `least`; ties go to the smaller target id."""
+    a = source.select(F.col(id_a), tokens(F.col(text)).alias("ta"))
+    b = target.select(F.col(id_b), tokens(F.col(text)).alias("tb"))
+    return pick_best(dice_pairs(a, b, least, id_a, id_b).select(id_a, id_b, "score"), [id_a], [F.desc("score"), F.col(id_b)])
+
+
+# Fixed values of the combined measure: the weights of its two parts.
+DICE_PART, RATIO_PART = 0.65, 0.35
+
+
+def best_similar(source: DataFrame, target: DataFrame, least: float, within: Sequence[str] = (), id_a: str = "a", id_b: str = "b", text: str = "text") -> DataFrame:
+    """(within, id_a, id_b, score): each source's target of the same `within` with the largest combined similarity, if at least `least`; ties go to the smaller target id.
+
+    The measure is 0.65 of the Dice score of words of three letters or digits and more, and 0.35 of the matching-blocks ratio. As the
+    ratio is at most 1, and at most what the two lengths allow, only pairs that can reach `least` are compared letter by letter. Equal texts are compared once. Null texts, `within` or ids match nothing.
+    """
+    floor = (least - RATIO_PART) / DICE_PART
+    if floor <= 0:
+        raise ValueError(f"least must be over {RATIO_PART}: below it texts without a common word could match")
+    plain = F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
+    a = source.select(*within, id_a, plain.alias("_t"), F.sha2(plain, 256).alias("_a"))
+    b = target.where(F.col(id_b).isNotNull()).groupBy(*within, plain.alias("_u")).agg(F.min(id_b).alias(id_b)).withColumn("_b", F.sha2("_u", 256))
+    words = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: F.length(w) >= 3))
+    left = a.select(*within, "_a", "_t").distinct().select(*within, "_a", "_t", words(F.col("_t")).alias("ta"))
+    right = b.select(*within, "_b", "_u", id_b, words(F.col("_u")).alias("tb"))
+    pairs = dice_pairs(left, right, floor - 1e-9, "_a", "_b", within)
+    size = lambda c: F.least(F.length(c), F.lit(6000))
+    most = 2 * F.least(size("_t"), size("_u")) / (size("_t") + size("_u"))
+    open_ = pairs.where(DICE_PART * F.col("score") + RATIO_PART * most >= least - 1e-9)
+    scored = sequence_ratio(open_.select(*within, "_a", id_b, "score", "_t", "_u"), "_t", "_u").withColumn("score", DICE_PART * F.col("score") + RATIO_PART * F.col("ratio"))
+    best = pick_best(scored.where(F.col("score") >= least).select(*within, "_a", id_b, "score"), [*within, "_a"], [F.desc("score"), F.col(id_b)])
+    return a.where(F.col(id_a).isNotNull()).select(*within, id_a, "_a").join(best, [*within, "_a"]).select(*within, id_a, id_b, "score")
+
+
+def two_way_overlap(source: DataFrame, target: DataFrame, least: float, within: Sequence[str], id_a: str = "a", id_b: str = "b", text: str = "text") -> DataFrame:
+    """By `within`: the share of rows matched each way, the mean score of the matches, and how many matches a matched row of the other side draws on average; 0 where there is nothing."""
+
+    def way(x: DataFrame, y: DataFrame, i: str, j: str, name: str) -> DataFrame:
+        found = best_similar(x, y, least, within, i, j, text)
+        drawn = found.groupBy(*within, j).agg(F.count("*").alias("_n"), F.sum("score").alias("_s"))
+        sums = drawn.groupBy(*within).agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s"), F.count("*").alias("_d"))
+        both = x.groupBy(*within).agg(F.count("*").alias("_all")).join(sums, list(within), "left")
+        return both.select(*within, (F.coalesce("_n", F.lit(0)) / F.col("_all")).alias(f"{name}_overlap"), (F.col("_s") / F.col("_n")).alias(f"{name}_score"), (F.col("_n") / F.col("_d")).alias(f"{name}_fan_in"))
+
+    both = way(source, target, id_a, id_b, "a_to_b").join(way(target, source, id_b, id_a, "b_to_a"), list(within), "full")
+    return both.fillna(0.0, [c for c in both.columns if c not in within])
 
 
 def sequence_ratio(pairs: DataFrame, a: str, b: str, most: int = 6000) -> DataFrame:

@@ -52,3 +52,12 @@ def normalise(text: Column) -> Column:
 def merged_letters(text: Column) -> Column:
     """Words spelled in single letters put together: `A n n u a l report` to `Annual report`."""
     return F.regexp_replace(text, r"(?<=\b[A-Za-z]) (?=[A-Za-z]\b)", "")
+
+
+def markdown(spans: DataFrame, key: str, order: str) -> DataFrame:
+    """(key, markdown) of spans (key, order, text, heading, size): headings over 16 points are of the first level, all others of the second; paragraphs have single spaces, blank ones go."""
+    head = F.concat(F.when(F.col("size") > 16, "\n# ").otherwise("\n## "), F.col("text"), F.lit("\n"))
+    plain = F.trim(F.regexp_replace("text", r"\s+", " "))
+    part = F.when(F.col("heading"), head).when(plain != "", F.concat(plain, F.lit("\n")))
+    rows = spans.groupBy(key).agg(F.array_sort(F.collect_list(F.when(part.isNotNull(), F.struct(F.col(order).alias("k"), part.alias("part"))))).alias("_parts"))
+    return rows.select(key, F.array_join(F.transform("_parts", lambda x: x["part"]), "\n").alias("markdown"))
