@@ -393,3 +393,37 @@ def resolved_confidences(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("id") % 3
     given, scalar = F.when(k == 0, F.col("confidences")), F.when(k == 1, F.lit(0.5))
     return pairs(spark, sf_dir).select("id", F.explode(payload.confidence_map(F.col("guess"), given, scalar)).alias("label", "confidence"))
+
+
+# faulty answers: by id, one without signals, one whose labels are no list, one with a repeated signal, one with an unknown label
+_CHECKED_SQL = """lab AS (SELECT l_orderkey AS id, CASE l_returnflag WHEN 'R' THEN 'cyber' WHEN 'A' THEN 'market' ELSE 'none' END AS label, CAST(round(max(l_discount) * 40) AS BIGINT) AS s FROM lineitem GROUP BY 1, l_returnflag),
+ g AS (SELECT id, list_sort(list(label)) AS types, list(s ORDER BY label) AS scores FROM lab GROUP BY id),
+ a AS (SELECT id, types, CASE id % 7 WHEN 2 THEN list_concat(types, types[1:1]) WHEN 3 THEN list_concat(types, ['other']) ELSE types END AS seen,
+   CASE WHEN id % 7 IN (2, 3) THEN list_concat(scores, scores[1:1]) ELSE scores END AS scores, id % 7 <> 1 AS lt, id % 7 <> 0 AS ls FROM g)"""
+_CHECKS_SQL = """list_filter([CASE WHEN NOT ls THEN 'missing field: risk_signals' END, CASE WHEN NOT lt THEN 'risk_types must be a list' END, CASE WHEN lt AND ls AND list_contains(types, 'none') AND len(types) > 1 THEN 'none with other labels' END,
+ CASE WHEN lt AND id % 7 = 3 THEN 'signals without label: other' END, CASE WHEN ls AND id % 7 = 3 THEN 'unknown label in risk_signals: other' END, CASE WHEN id % 7 = 2 THEN 'repeated label: ' || types[1] END,
+ CASE id % 5 WHEN 0 THEN 'confidence must be between 0 and 1' WHEN 1 THEN 'unknown level' WHEN 2 THEN 'missing field: substantiveness' WHEN 3 THEN 'confidence must be numeric' END], lambda x: x IS NOT NULL)"""
+
+
+@query(f"""WITH {_CHECKED_SQL}, m AS (SELECT id, list_concat({_CHECKS_SQL}, CASE WHEN ls THEN list_transform(list_filter(scores, lambda x: x > 3 OR x = 0), lambda x: CASE WHEN x = 0 THEN 'selected labels need a signal of 1 to 3' ELSE 'signal must be between 0 and 3' END) ELSE CAST([] AS VARCHAR[]) END) AS ms FROM a)
+SELECT id, array_to_string(list_sort(ms), '; ') AS messages FROM m""")
+def risk_answer_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules that each answer breaks; the answers are JSON and many are at fault."""
+    label = F.when(F.col("l_returnflag") == "R", "cyber").when(F.col("l_returnflag") == "A", "market").otherwise("none")
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_returnflag", "l_discount")
+    best = lines.groupBy(F.col("l_orderkey").alias("id"), label.alias("type")).agg(F.round(F.max("l_discount") * 40).cast("long").alias("signal"))
+    rows = best.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("type", "signal"))).alias("e"))
+    fault, odd = F.col("id") % 7, F.col("id") % 5
+    first = F.slice("e", 1, 1)
+    entries = F.when(fault == 2, F.concat("e", first)).when(fault == 3, F.concat("e", F.transform(first, lambda x: F.struct(F.lit("other").alias("type"), x["signal"].alias("signal"))))).otherwise(F.col("e"))
+    types = F.to_json(F.transform("e", lambda x: x["type"]))
+    parts = [
+        F.concat(F.lit('"risk_types":'), F.when(fault == 1, F.lit('"cyber"')).otherwise(types)),
+        F.when(fault != 0, F.concat(F.lit('"risk_signals":'), F.to_json(entries))),
+        F.when(odd != 2, F.concat(F.lit('"substantiveness":'), F.when(odd == 1, F.lit('"unclear"')).otherwise(F.lit('" Moderate "')))),
+        F.concat(F.lit('"confidence":'), F.when(odd == 0, F.lit("1.5")).when(odd == 3, F.lit('"high"')).otherwise(F.lit("0.5"))),
+    ]
+    raw = F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*parts)), ","), F.lit("}"))
+    answers = rows.select("id", F.try_parse_json(raw).alias("v"))  # parsed once: the rules name it many times
+    found = payload.risk_messages(answers, "v", ("cyber", "market", "none"), ("boilerplate", "moderate", "substantive"))
+    return found.select("id", F.array_join(F.array_sort("messages"), "; ").alias("messages"))

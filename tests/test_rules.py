@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions import titles
+from corpusloom.functions import payload, titles
 from corpusloom.operators import html_tables, lookup, mentions, passages
 from corpusloom.sources import readers
 
@@ -101,3 +101,21 @@ def test_greedy_matches_use_each_side_once(spark: SparkSession) -> None:
             free = [x for x in free if x[1] != r[1] and x[2] != r[2]]
     df = spark.createDataFrame(rows, "k int, a int, b int, turn int, gap int").repartition(5)
     assert {tuple(r) for r in lookup.greedy_assign(df, "k", ["turn"], ["gap"], "a", "b").collect()} == want
+
+
+def test_risk_answers_name_every_broken_rule(spark: SparkSession) -> None:
+    good = '"risk_types": ["cyber"], "risk_signals": [{"type": "cyber", "signal": 2}], "substantiveness": "low", "confidence": 0.5'
+    cases = {
+        "{" + good + "}": [],
+        "{}": ["missing field: risk_signals", "missing field: risk_types", "missing field: substantiveness"],
+        '{"risk_types": "cyber", "risk_signals": 3, "substantiveness": 4}': ["risk_signals must be a list", "risk_types must be a list", "unknown level"],
+        "{" + good.replace('"signal": 2', '"signal": 1.5').replace("0.5", "true") + "}": ["confidence must be numeric", "signal must be an integer"],
+        "{" + good.replace('"signal": 2', '"signal": "2"').replace("0.5", "-1") + "}": ["confidence must be between 0 and 1", "signal must be numeric"],
+        "{" + good.replace('["cyber"]', '["cyber", "none"]').replace('"signal": 2', '"signal": 0') + "}": ["labels without signal: none", "none with other labels", "selected labels need a signal of 1 to 3"],
+        "{" + good.replace('["cyber"]', '["war"]') + "}": ["labels without signal: war", "signals without label: cyber", "unknown label in risk_types: war"],
+        "{" + good.replace('"signal": 2}', '"signal": 2}, {"type": "cyber", "signal": 9}') + "}": ["repeated label: cyber", "signal must be between 0 and 3"],
+        "{" + good.replace('"type": "cyber"', '"kind": "cyber"') + "}": ["labels without signal: cyber", "unknown label in risk_signals: null"],
+    }
+    rows = spark.createDataFrame(list(enumerate(cases)), "id int, raw string").select("id", F.try_parse_json("raw").alias("v"))
+    got = dict(map(tuple, payload.risk_messages(rows, "v", ("cyber", "market", "none"), ("low", "high")).select("id", F.array_sort("messages")).collect()))
+    assert got == dict(enumerate(cases.values()))
