@@ -47,3 +47,12 @@ def diverse(df: DataFrame, owner: str, order: list[Column], n: int) -> DataFrame
     """n rows in order, first one for each owner, then filled with the best of the rest."""
     first = ranked(df, [owner], order, "_own").withColumn("_fill", F.col("_own") > 1)
     return first.orderBy("_fill", *order).limit(n).drop("_own", "_fill")
+
+
+def locale_order(name: str, section: str | None = None, fixed: tuple[str, ...] = ()) -> list[Column]:
+    """An order for names as readers expect it (root locale: accents and case only break ties); with a section, the fixed sections come first in their order, then the others by the same rule."""
+    by_name = F.collate(F.col(name), "UNICODE")
+    if section is None:
+        return [by_name]
+    place = F.nullif(F.array_position(F.array(*map(F.lit, fixed)), F.col(section)), F.lit(0)) if fixed else F.lit(None).cast("long")
+    return [F.asc_nulls_last(place), F.collate(F.col(section), "UNICODE"), by_name]

@@ -137,3 +137,11 @@ def ready_score_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = filings(spark, sf_dir).where(F.col("year").isin(1996, 1997))
     scores = rows.groupBy("owner").agg(F.sum(lookup(F.col("kind"), KIND_RANK, 0)).alias("ready"), F.count("*").alias("reports"))
     return scores.orderBy(F.desc("ready"), F.desc("reports"), "owner").limit(25)
+
+
+@query("""SELECT n_name AS name, r_name AS section, CAST(row_number() OVER (PARTITION BY n_nationkey % 2 ORDER BY coalesce(list_position(['EUROPE', 'ASIA'], r_name), 9), r_name, n_name) AS INTEGER) AS rank FROM nation JOIN region ON r_regionkey = n_regionkey""")
+def locale_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in readers' order inside sections, two of which come first."""
+    rows = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    rows = rows.select(F.col("n_name").alias("name"), F.col("r_name").alias("section"), (F.col("n_nationkey") % 2).alias("half"))
+    return select.ranked(rows, ["half"], select.locale_order("name", "section", ("EUROPE", "ASIA"))).select("name", "section", "rank")

@@ -11,7 +11,7 @@ from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as rules
-from corpusloom.operators import chunking, lookup, passages
+from corpusloom.operators import chunking, html_spans, lookup, passages, select
 
 
 def _texts(seed: int, n: int, ends: tuple[str, ...]) -> list[str]:
@@ -183,3 +183,40 @@ def test_markdown_of_spans(spark: SparkSession) -> None:
     spans = [Row(k=1, i=2, text=" a \n b ", heading=False, size=None), Row(k=1, i=1, text="Top", heading=True, size=18), Row(k=1, i=3, text=" ", heading=False, size=9), Row(k=1, i=4, text="Sub", heading=True, size=None), Row(k=2, i=1, text=None, heading=False, size=None)]
     got = dict(map(tuple, passages.markdown(spark.createDataFrame(spans, "k int, i int, text string, heading boolean, size int"), "k", "i").collect()))
     assert got == {1: "\n# Top\n\na b\n\n\n## Sub\n", 2: ""}
+
+
+def test_paragraph_windows(spark: SparkSession) -> None:
+    """Windows of one paragraph each way: equal ones are one chunk, others may overlap, and headings between count as text only."""
+    text = "# One\na 11\n\nb\n\n# Two\n\nc 22\n\nd 22 xx\n\ne"
+    df = spark.createDataFrame([(7, text), (8, "a\n\nb 11"), (9, None)], "doc_id int, text string")
+    got = sorted(chunking.keyword_chunks(df, {"n": "[0-9]{2}", "x": "xx"}, 1, 1).collect(), key=lambda r: (r["doc_id"], r["first"], r["last"]))
+    want = [(7, 0, 1, "a 11\n\nb", ["n"], ["One"]), (7, 1, 3, "b\n\n# Two\n\nc 22\n\nd 22 xx", ["n"], ["Two"]), (7, 2, 4, "c 22\n\nd 22 xx\n\ne", ["n", "x"], ["Two"]), (8, 0, 1, "a\n\nb 11", ["n"], [])]
+    assert [(r["doc_id"], r["first"], r["last"], r["chunk_text"], r["keywords"], r["sections"]) for r in got] == want
+    assert all(text[r["start"] : r["end"]] == r["chunk_text"] for r in got if r["doc_id"] == 7)
+
+
+def test_html_spans(spark: SparkSession) -> None:
+    cases = {
+        "<h1>Top &amp; more</h1><p>One <b>two</b>\n three<br>four</p>": [("heading", "Top & more"), ("text", "One two three"), ("text", "four")],
+        "<head><title>x</title></head><div>a<script>b</script><div style='display: none'>c</div>d</div>": None,
+        "<p>open<p>next": [("text", "open"), ("text", "next")],
+        "": [],
+        None: [],
+    }
+    pages = spark.createDataFrame(list(enumerate(cases)), "page_id int, html string")
+    got: dict[int, list] = {}
+    for r in sorted(html_spans.spans(pages).collect(), key=lambda r: (r["page_id"], r["span"])):
+        got.setdefault(r["page_id"], []).append((r["kind"], r["text"]))
+    for i, want in enumerate(cases.values()):
+        if want is not None:
+            assert got.get(i, []) == want
+    assert "".join(t for _, t in got[1]) == "ad"  # neither hidden parts nor scripts
+
+
+def test_names_in_readers_order(spark: SparkSession) -> None:
+    rows = [("s", n) for n in ("Zed", "apple", "Éclair", "eclair", "Banana")] + [("first", "z"), ("A", "q"), ("b", "p"), ("late", "x")]
+    df = spark.createDataFrame(rows, "section string, name string")
+    by_name = [r["name"] for r in df.where("section = 's'").orderBy(*select.locale_order("name")).collect()]
+    assert by_name == ["apple", "Banana", "eclair", "Éclair", "Zed"]
+    both = [r["section"] for r in df.orderBy(*select.locale_order("name", "section", ("late", "first"))).select("section").collect()]
+    assert both == ["late", "first", "A", "b", *["s"] * 5]
