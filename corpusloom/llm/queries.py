@@ -1,4 +1,4 @@
-"""The queries of the ten operators and of the pipeline, by name, with their SQL where SQL can express them."""
+"""The queries of the thirteen operators and of the pipeline, by name, with their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, fingerprint, html_extract, jaccard_join, language_model, mixing, packing, quality, sharding, warc
+from . import ann, byte_bpe, conversations, fingerprint, html_extract, jaccard_join, language_model, mixing, packing, quality, sharding, warc, yinyang
 
 
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_fingerprint": fingerprint.op8_minhash_fingerprint,
         "op9_quality_gam": quality.op9_quality_gam,
         "op10_shard_minimax": sharding.op10_shard_minimax,
+        "op11_yinyang_clusters": yinyang.op11_yinyang_clusters,
+        "op12_byte_bpe": byte_bpe.op12_byte_bpe,
+        "op13_repair_conversations": conversations.op13_repair_conversations,
         "pipeline": _pipeline,
     }
 
@@ -50,4 +53,4 @@ SELECT page_id, url, payload_bytes, payload_digest, CASE WHEN first IS NOT NULL
 
 def oracle_sql() -> dict[str, str]:
     """For the operators whose rows SQL can express; the others are tested against plain versions."""
-    return {"op1_jaccard_join": JACCARD_SQL, "op2_warc_normalise": WARC_SQL, "op5_mix_sources": mixing.SQL}
+    return {"op1_jaccard_join": JACCARD_SQL, "op2_warc_normalise": WARC_SQL, "op5_mix_sources": mixing.SQL, "op11_yinyang_clusters": yinyang.SQL, "op13_repair_conversations": conversations.SQL}
