@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import sentences
+from .select import pick_best
 
 
 def strategy_filter(spans: DataFrame, key: str, order: str, hit: Column, heading: Column, strategy: str = "full", context: bool = False, section: Column | None = None, sections: Sequence[str] = ()) -> DataFrame:
@@ -65,26 +66,27 @@ def target_manifest(filings: DataFrame, registry: DataFrame, companies: DataFram
     return own.union(holes).union(listed).union(rest.select(key, F.lit(None).cast("int"), F.lit("investigate")))
 
 
-def best_by_year(candidates: DataFrame, key: str, year: str, item: str, score: str) -> DataFrame:
-    """(key, year, item): years with the fewest candidates choose first, each its best unused item; used ones are taken again only if nothing else is left.
+def best_by_year(candidates: DataFrame, key: str, year: str, item: str, order: list[Column], years: Sequence[int]) -> DataFrame:
+    """(key, year, item): years with the fewest candidates choose first (then the earlier), each its first unused item by order; where all are used, its first.
 
-    Choices depend on each other, so a key's candidates (a few for each year) are walked in order.
+    A year can lose at most one item to each other year, so its first len(years) candidates decide. Those are found by a
+    ranking whose limit is pushed below the shuffle, and a fold over at most len(years) squared of them chooses.
     """
+    most = len(years)
+    own = Window.partitionBy(key, year)
+    candidates = pick_best(candidates, [key, year, item], order)  # an item counts once for a year
+    counts = candidates.groupBy(key, year).agg(F.count("*").alias("_n"))
+    first = candidates.withColumn("_k", F.row_number().over(own.orderBy(*order))).where(F.col("_k") <= most)
+    pools = first.groupBy(key, year).agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", item))), lambda x: x[item]).alias("_items"))
+    pools = pools.join(counts, [key, year]).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_n", year, "_items"))).alias("_pools"))
     kinds = dict(candidates.dtypes)
+    none = F.array().cast(f"array<struct<{year}:{kinds[year]},{item}:{kinds[item]}>>")
 
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        by_year: dict[int, list[tuple]] = {}
-        for y, i, v in zip(rows[year].tolist(), rows[item].tolist(), rows[score].tolist(), strict=True):
-            by_year.setdefault(y, []).append((-v, i))
-        used, out = set(), []
-        for y in sorted(by_year, key=lambda y: (len({i for _, i in by_year[y]}), y)):
-            mine = sorted(by_year[y])
-            best = next((i for _, i in mine if i not in used), mine[0][1])
-            used.add(best)
-            out.append((rows[key].iloc[0], y, best))
-        return pd.DataFrame(out, columns=[key, year, item])
-
-    return candidates.groupBy(key).applyInPandas(walk, f"{key} {kinds[key]}, {year} {kinds[year]}, {item} {kinds[item]}")
+    def choose(done: Column, pool: Column) -> Column:
+        left = F.filter(pool["_items"], lambda i: ~F.exists(done, lambda d: d[item] == i))
+        return F.concat(done, F.array(F.struct(pool[year].alias(year), F.coalesce(F.try_element_at(left, F.lit(1)), pool["_items"][0]).alias(item))))
+
+    return pools.select(key, F.explode(F.aggregate("_pools", none, choose)).alias("_x")).select(key, f"_x.{year}", f"_x.{item}")
 
 
 def limited_batches(items: DataFrame, key: str, order: str, size: str, most_size: int, most_items: int) -> DataFrame:

@@ -68,14 +68,6 @@ def target_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.target_manifest(rows.where("kind = 'F' and owner % 3 <> 0"), rows.where("kind = 'O' and owner % 2 = 0"), companies, "owner", _YEARS)
 
 
-@query()
-def best_candidate_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each filing is a candidate for its own year and, with a lower score, the one before."""
-    rows = filings(spark, sf_dir)
-    own = rows.select("owner", "year", "pk", F.col("size").alias("score"))
-    return mentions.best_by_year(own.union(rows.select("owner", F.col("year") - 1, "pk", F.col("size") - 260)), "owner", "year", "pk", "score")
-
-
 @query("""WITH RECURSIVE o AS (SELECT conv_id, turn, length(text) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations WHERE text IS NOT NULL),
  r AS (SELECT conv_id, turn, size, k, 0 AS batch, size AS total, 1 AS n FROM o WHERE k = 1 UNION ALL SELECT o.conv_id, o.turn, o.size, o.k, CASE WHEN r.total + o.size > 600 OR r.n = 4 THEN batch + 1 ELSE batch END,
   CASE WHEN r.total + o.size > 600 OR r.n = 4 THEN o.size ELSE r.total + o.size END, CASE WHEN r.total + o.size > 600 OR r.n = 4 THEN 1 ELSE r.n + 1 END FROM r JOIN o ON o.conv_id = r.conv_id AND o.k = r.k + 1)

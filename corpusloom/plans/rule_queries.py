@@ -191,11 +191,7 @@ def series_in_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _TITLES = """t AS (SELECT o_orderkey AS pk, o_custkey AS owner, CAST(o_orderdate + INTERVAL 25 YEAR AS DATE) AS released, y + 25 AS y,
  CASE o_orderkey % 6 WHEN 0 THEN 'Annual Report ' || (y + 24) || '/' || lpad(CAST((y + 25) % 100 AS VARCHAR), 2, '0') WHEN 1 THEN 'Interim results for ' || (y + 25) WHEN 2 THEN 'Half-year report' WHEN 3 THEN 'Annual Financial Report ' || (y + 24) || '-' || (y + 25)
-  WHEN 4 THEN 'Final results' ELSE 'Report of ' || (y + 24) || ' and ' || (y + 23) END AS title FROM (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)),
-e AS (SELECT *, regexp_extract(title, '\\b(20\\d{2})\\s*[/-]\\s*(\\d{2}|20\\d{2})\\b', 1) AS a, regexp_extract(title, '\\b(20\\d{2})\\s*[/-]\\s*(\\d{2}|20\\d{2})\\b', 2) AS b, regexp_extract_all(title, '\\b(20\\d{2})\\b', 1) AS ys FROM t),
-f AS (SELECT *, TRY_CAST(CASE WHEN length(b) = 2 THEN left(a, 2) || b ELSE b END AS INTEGER) AS r_end,
- CASE WHEN regexp_matches(title, '(?i)annual') THEN 3 ELSE 0 END + CASE WHEN regexp_matches(title, '(?i)report') THEN 2 ELSE 0 END + CASE WHEN regexp_matches(title, '\\b(20\\d{2})\\b') THEN 2 ELSE 0 END
- + CASE WHEN regexp_matches(title, '(?i)financial') THEN 1 ELSE 0 END - CASE WHEN regexp_matches(title, '(?i)interim|half') THEN 4 ELSE 0 END AS quality FROM e)"""
+  WHEN 4 THEN 'Final results' ELSE 'Report of ' || (y + 24) || ' and ' || (y + 23) END AS title FROM (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders))"""
 
 
 def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,27 +215,6 @@ def annual_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _titles(spark, sf_dir).where(titles.annual(F.col("title"))).select("pk", "title")
 
 
-@query(f"""WITH {_TITLES}, g AS (SELECT *, CAST(coalesce(r_end, list_max(list_transform(ys, lambda x: CAST(x AS INTEGER))), year(released) - 1) AS INTEGER) AS report_year FROM f)
-SELECT pk, quality, report_year, CASE WHEN report_year <= year(released) + 1 THEN report_year END AS fiscal_year FROM g""")
-def title_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A title's quality, the year it reports on, and that year if it isn't too far behind the release."""
-    year = titles.report_year(F.col("title"), F.col("released"))
-    rows = _titles(spark, sf_dir).select("pk", "released", titles.quality(F.col("title")).alias("quality"), year.alias("report_year"))
-    return rows.select("pk", "quality", "report_year", titles.guarded_year(F.col("report_year"), F.col("released")).alias("fiscal_year"))
-
-
-@query(f"""WITH {_TITLES}, w AS (SELECT f.*, CAST(wy AS INTEGER) AS wy FROM f, (SELECT unnest([2021, 2022, 2023]) AS wy)),
-s AS (SELECT pk, owner, wy AS year, 10 * greatest(CASE WHEN r_end = wy THEN 3 ELSE 0 END, CASE WHEN list_contains(ys, CAST(wy AS VARCHAR)) THEN 1 ELSE 0 END) + CASE WHEN year(released) = wy + 1 THEN 5 WHEN year(released) = wy THEN 2 ELSE 0 END + quality AS score FROM w),
-r AS (SELECT *, row_number() OVER (PARTITION BY owner, year ORDER BY score DESC, pk) AS k FROM s WHERE score >= 10) SELECT owner, year, pk, score FROM r WHERE k = 1""")
-def best_title_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each owner's best filing for each wanted year, by the title's year signals, the release and the title's quality."""
-    wanted = (2021, 2022, 2023)
-    rows = _titles(spark, sf_dir).withColumn("signals", titles.year_signals(F.col("title"), wanted)).withColumn("year", F.explode(F.array(*[F.lit(y) for y in wanted])))
-    rows = rows.withColumn("score", titles.candidate_score(F.col("signals"), F.col("year"), F.col("released"), F.col("title"))).where("score >= 10")
-    best = Window.partitionBy("owner", "year").orderBy(F.desc("score"), "pk")
-    return rows.withColumn("k", F.row_number().over(best)).where("k = 1").select("owner", "year", "pk", "score")
-
-
 @query("""WITH s AS (SELECT o_orderkey AS pk, CAST(o_orderdate AS DATE) AS d, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders), g AS (SELECT *, CAST(abs(date_diff('day', make_date(y, 12, 31), d)) AS INTEGER) AS gap FROM s)
 SELECT pk, gap FROM g WHERE gap <= 60""")
 def snapshot_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,7 +84,7 @@ def test_each_year_takes_its_best_item_once(spark: SparkSession) -> None:
             open_.remove(y)
             want.add((k, y, best))
     df = spark.createDataFrame(rows, "k int, year int, item int, score double").repartition(5)
-    assert {tuple(r) for r in mentions.best_by_year(df, "k", "year", "item", "score").collect()} == want
+    assert {tuple(r) for r in mentions.best_by_year(df, "k", "year", "item", [F.desc("score"), F.col("item")], range(2000, 2005)).collect()} == want
 
 
 def test_greedy_matches_use_each_side_once(spark: SparkSession) -> None:
