@@ -7,9 +7,10 @@ token's rank. A piece that is itself a token is taken whole. The tokenizer trave
 is that of the vocabulary. Two cuts of one token can compete only where they overlap (a token that begins as it
 ends); tests hold such texts, and every code point, against the rank file's own library.
 
-A match of the pattern never runs from other characters into white space, except that it may begin with one space.
-So texts are cut into units there, a worker remembers the ids and character offsets of short units (up to
-CACHE_BYTES), and long texts go through in blocks of BLOCK characters, each cut before white space.
+Each match of the pattern is a piece. A worker writes pieces that it sees for the first time in mapped characters, has the library
+merge many of them at once, and remembers their ids and offsets (up to CACHE_BYTES) in arrays, from which a text's ids are gathered. Long
+texts go through in blocks of BLOCK characters, each cut before white space: matches of such patterns never run from other characters into it,
+except that they may begin with one space.
 
 An offset pair holds the characters that a token touches: a token that ends inside a character, and the next
 one, both name it. Decoding maps each id's characters back to bytes by the reversed table, over the whole document,
@@ -37,11 +38,10 @@ from pyspark.sql import functions as F
 from .common import table
 
 BLOCK = 1 << 20
-CACHE_BYTES = 96 << 20
-LONG_UNIT = 48
+CACHE_BYTES = 64 << 20
+PIECES_AT_ONCE = 50
 #: The characters of Unicode's White_Space property.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_units = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]").findall
 _before_space = re.compile(f"(?<=[^{SPACES}])(?=[{SPACES}])").search
 _held: dict[str, Encoder] = {}
 
@@ -59,9 +59,9 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def tokenizer_json(path: str, pattern: str) -> str:
+def tokenizer_json(path: str) -> str:
     """The tokenizers library's form of a rank file; every cut of a token into two others is a merge with its rank."""
-    from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+    from tokenizers import Tokenizer, models
 
     ranks, shown = read_ranks(path), byte_characters()
     written = {token: "".join(map(shown.__getitem__, token)) for token in ranks}
@@ -69,10 +69,7 @@ def tokenizer_json(path: str, pattern: str) -> str:
     for token in sorted(ranks, key=ranks.__getitem__):
         cuts = ((token[:i], token[i:]) for i in range(1, len(token)))
         merges += [(written[a], written[b]) for a, b in cuts if a in ranks and b in ranks]
-    made = Tokenizer(models.BPE(vocab={written[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True))
-    split = pre_tokenizers.Split(Regex(pattern), "isolated")
-    made.pre_tokenizer = pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False, trim_offsets=False)])
-    return made.to_str()
+    return Tokenizer(models.BPE(vocab={written[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True)).to_str()
 
 
 def _blocks(text: str) -> Iterator[str]:
@@ -87,40 +84,81 @@ def _blocks(text: str) -> Iterator[str]:
 
 
 class Encoder:
-    """One worker's tokenizer with what it remembers: unit -> (ids, starts, ends as int32 bytes, number of ids)."""
+    """One worker's tokenizer with what it remembers: the number of each piece, and by number where its ids begin, how many they are and its characters."""
 
-    def __init__(self, made: str) -> None:
+    def __init__(self, made: str, pattern: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.known, self.size = Tokenizer.from_str(made), {}, 0
-
-    def _learn(self, units: set[str]) -> list[str]:
-        fresh = list(units.difference(self.known))
-        for unit, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-            offsets = np.array(e.offsets, np.int32).reshape(-1, 2)
-            self.known[unit] = (np.array(e.ids, np.int32).tobytes(), offsets[:, 0].tobytes(), offsets[:, 1].tobytes(), len(e.ids))
-            self.size += 400 + 16 * len(e.ids)
-        return [u for u in fresh if len(u) > LONG_UNIT]
-
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """ids, and the first and behind-last character of each."""
-        parts, base = [], 0
-        for block in _blocks(text):
-            units = _units(block)
-            long = self._learn(set(units))
-            found = list(map(self.known.__getitem__, units))
-            lengths = np.fromiter(map(len, units), np.int64, len(units))
-            shift = np.repeat(base + np.cumsum(lengths) - lengths, np.fromiter((f[3] for f in found), np.int64, len(found)))
-            ids, starts, ends = (np.frombuffer(b"".join([f[i] for f in found]), np.int32) for i in range(3))
-            parts.append((ids, starts + shift, ends + shift))
-            base += len(block)
-            for u in long:
-                self.size -= 400 + 16 * self.known.pop(u)[3]
-            if self.size > CACHE_BYTES:
-                self.known.clear()
-                self.size = 0
-        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+        import regex
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, self.find = Tokenizer.from_str(made), regex.compile(pattern).findall
+        self.tokenizer.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")  # mapped pieces hold none
+        self.shown = dict(enumerate(byte_characters()))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.first, self.count, self.length = (np.zeros(0, np.int64) for _ in range(3))
+        self.ids, self.starts, self.ends = (np.zeros(0, np.int32) for _ in range(3))
+        self.size = 0
+
+    def _learn(self, pieces: set[str]) -> None:
+        fresh = list(pieces.difference(self.known))
+        if not fresh:
+            return
+        raw = [p.encode() for p in fresh]
+        mapped = [r.decode("latin-1").translate(self.shown) for r in raw]
+        lines = ["\n".join(mapped[i : i + PIECES_AT_ONCE]) for i in range(0, len(mapped), PIECES_AT_ONCE)]
+        found = self.tokenizer.encode_batch(lines, add_special_tokens=False)
+        base = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in found])
+        places = np.concatenate([np.array(e.offsets, np.int64).reshape(-1, 2) + b for e, b in zip(found, base.tolist(), strict=True)])
+        # an id's piece, and its bytes in it: places count mapped characters, which are bytes, and a line feed after each piece
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        at = np.cumsum(size + 1) - size - 1
+        first = np.searchsorted(places[:, 0], at)
+        count = np.diff(np.append(first, len(ids)))
+        of = np.repeat(np.arange(len(raw)), count)
+        # from bytes to characters: a character begins at each byte that doesn't continue one
+        whole = np.frombuffer(b"".join(raw), np.uint8)
+        character = np.cumsum((whole & 0xC0) != 0x80) - 1
+        begin = np.cumsum(size) - size
+        low, high = (character[places[:, k] - at[of] + begin[of] - k] - character[begin[of]] + k for k in (0, 1))
+        self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
+        self.first, self.count = np.append(self.first, first + len(self.ids)), np.append(self.count, count)
+        self.length = np.append(self.length, np.fromiter(map(len, fresh), np.int64, len(fresh)))
+        self.ids, self.starts, self.ends = np.append(self.ids, ids), np.append(self.starts, low.astype(np.int32)), np.append(self.ends, high.astype(np.int32))
+        self.size += 150 * len(fresh) + int(size.sum()) + 12 * len(ids)
+
+    def _some(self, blocks: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        if self.size > CACHE_BYTES:
+            self._forget()
+        cut = list(map(self.find, blocks))
+        self._learn(set().union(*cut))
+        out = []
+        for pieces in cut:
+            numbers = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+            count, length = self.count[numbers], self.length[numbers]
+            at = np.repeat(self.first[numbers] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            shift = np.repeat(np.cumsum(length) - length, count)
+            out.append((self.ids[at], self.starts[at] + shift, self.ends[at] + shift))
+        return out
+
+    def texts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each text ids, and the first and behind-last character of each. Blocks of several texts are learnt together."""
+        blocks = [(i, b) for i, t in enumerate(texts) for b in _blocks(t)]
+        parts: list[list] = [[] for _ in texts]
+        base, at = [0] * len(texts), 0
+        while at < len(blocks):
+            held, to = 0, at
+            while to < len(blocks) and held < BLOCK:
+                held, to = held + len(blocks[to][1]), to + 1
+            for (i, b), (ids, starts, ends) in zip(blocks[at:to], self._some([b for _, b in blocks[at:to]]), strict=True):
+                parts[i].append((ids, starts + base[i], ends + base[i]) if base[i] else (ids, starts, ends))
+                base[i] += len(b)
+            at = to
+        for p in parts:
+            yield p[0] if len(p) == 1 else tuple(np.concatenate(x) for x in zip(*p, strict=True))
 
 
 def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
@@ -144,18 +182,18 @@ def _slices(batches: Iterator[pa.RecordBatch], weight: str) -> Iterator[pa.Recor
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, ids, starts and ends (characters) of every row of docs (doc_id, text)."""
     spark = docs.sparkSession
-    text = tokenizer_json(path or default_ranks(), pattern or default_pattern())
-    made, name = spark.sparkContext.broadcast(text), hashlib.md5(text.encode()).hexdigest()  # as large as the vocabulary
+    text, pattern = tokenizer_json(path or default_ranks()), pattern or default_pattern()
+    made, name = spark.sparkContext.broadcast(text), hashlib.md5(f"{pattern}\n{text}".encode()).hexdigest()  # as large as the vocabulary
     df = docs.select("doc_id", "text")
     schema = f"doc_id {dict(df.dtypes)['doc_id']}, ids array<int>, starts array<long>, ends array<long>"
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _held:  # a worker keeps its encoder, and what that remembers, for its next tasks
             _held.clear()
-            _held[name] = Encoder(made.value)
+            _held[name] = Encoder(made.value, pattern)
         encoder = _held[name]
         for b in _slices(batches, "text"):
-            found = [encoder(t or "") for t in b.column("text").to_pylist()]
+            found = list(encoder.texts([t or "" for t in b.column("text").to_pylist()]))
             columns = [_lists([f[i] for f in found], kind) for i, kind in enumerate((pa.int32(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns], ["doc_id", "ids", "starts", "ends"])
 
