@@ -17,6 +17,18 @@ LISTING_ENTITIES = ((4, 3), (2, 2), (1, 1))
 LISTING_ADDRESSES = ((2, 2), (1, 1))
 LISTING_COMMAS = ((12, 2), (8, 1))
 LISTING_DROP = 6
+TABLE_ROW = r"\|.*\|"
+TABLE_RULE = r"^\|?\s*:?-{2,}.*\|.*$"
+LISTING_KEEP = (
+    r"(?i)\b(ai|artificial intelligence|machine learning|\bml\b|gen(?:erative)?\s*ai|llm|algorithm|risk|principal risk|mitigation|control|governance|opportunit(?:y|ies)|threat|compliance|regulat(?:ion|ory))\b"
+)
+LISTING_PERCENT = r"\d+(?:\.\d+)?%"
+LISTING_YEAR = r"\b20\d{2}\b"
+POSTCODE = r"(?i)\b[A-Z]{1,2}\d[A-Z\d]?\s?\d[A-Z]{2}\b"
+ENTITY_TERMS = ("limited", "ltd", "llp", "plc", "holdco", "holdings", "nominee", "ordinary", "spv", "fund", "oeic", "sicav", "company", "group", "partners", "partnership", "trust")
+ADDRESS_TERMS = (
+    "road", "street", "st ", "avenue", "drive", "house", "court", "park", "building", "floor", "unit", "united kingdom", "london", "glasgow", "edinburgh", "reading", "cardiff", "plymouth", "warrington", "york",
+)
 SECTION_PATTERNS = (
     r"principal\s+risks?(?:\s+and\s+uncertainties)?",
     r"risk\s+(?:management|factors|review)",
@@ -161,23 +173,42 @@ def _points(value: Column, steps: Sequence[tuple[int, int]]) -> Column:
     return out.otherwise(0)
 
 
-def listing_score(line: Column, entities: Sequence[str], addresses: Sequence[str], keep: Sequence[str] = ()) -> Column:
+def listing_row(line: Column) -> Column:
+    """A table line that may be a listing: no rule, no word that keeps it, and not a row of figures without entities or places."""
+    entity, address, postcode = term_hits(line, ENTITY_TERMS), term_hits(line, ADDRESS_TERMS), F.regexp_like(line, F.lit(POSTCODE))
+    figures = ((F.regexp_count(line, F.lit(LISTING_YEAR)) >= 2) | F.regexp_like(line, F.lit(LISTING_PERCENT))) & (entity < 2) & (address == 0) & ~postcode
+    return F.regexp_like(line, F.lit(TABLE_ROW)) & ~F.regexp_like(line, F.lit(TABLE_RULE)) & ~F.regexp_like(line, F.lit(LISTING_KEEP)) & ~figures
+
+
+def listing_score(line: Column) -> Column:
     """How much a table line looks like a listing of entities and addresses; LISTING_DROP or more is noise."""
-    entity, address = term_hits(line, entities), term_hits(line, addresses)
-    postcode = F.regexp_like(line, F.lit(r"\b[A-Z]{1,2}\d[A-Z\d]? ?\d[A-Z]{2}\b"))
-    years, percent = F.regexp_count(line, F.lit(r"\b(?:19|20)\d{2}\b")), F.contains(line, F.lit("%"))
-    exempt = ((years >= 2) | percent) & (entity < 2) & (address == 0) & ~postcode
-    table = F.regexp_like(line, F.lit(r"\|.*\|")) & ~F.regexp_like(line, F.lit(r"^[\s|:-]+$"))
     score = (
         _points(F.regexp_count(line, F.lit(r"\|")), LISTING_PIPES)
         + _points(F.length(line), LISTING_LENGTHS)
-        + _points(entity, LISTING_ENTITIES)
-        + _points(address, LISTING_ADDRESSES)
-        + F.when(postcode, 2).otherwise(0)
+        + _points(term_hits(line, ENTITY_TERMS), LISTING_ENTITIES)
+        + _points(term_hits(line, ADDRESS_TERMS), LISTING_ADDRESSES)
+        + F.when(F.regexp_like(line, F.lit(POSTCODE)), 2).otherwise(0)
         + _points(F.regexp_count(line, F.lit(",")), LISTING_COMMAS)
     )
-    kept = term_hits(line, keep) > 0 if keep else F.lit(False)
-    return F.when(table & ~exempt & ~kept, score).otherwise(0)
+    return F.when(listing_row(line), score).otherwise(0)
+
+
+def cleaned_lines(text: Column, keep: Sequence[str]) -> Column:
+    """(text, rules, listings): a text without blank lines, table rules and listings, and how many of the two went; a line that a pattern hits always stays."""
+    rows = F.transform(F.split(text, "\\r?\\n"), lambda t: F.struct(t.alias("t"), F.regexp_replace(t, r"(?U)^\s+|\s+$", "").alias("s")))
+    hit = lambda r: F.lit(False) if not keep else _any([F.regexp_like(r["s"], F.lit(p)) for p in keep])
+    kind = lambda r: F.when(r["s"] == "", "blank").when(hit(r), "kept").when(F.regexp_like(r["s"], F.lit(TABLE_RULE)), "rule").when(listing_score(r["s"]) >= LISTING_DROP, "listing").otherwise("kept")
+    marked = F.transform(rows, lambda r: F.struct(r["t"].alias("t"), kind(r).alias("k")))
+    of = lambda name: F.filter(marked, lambda r: r["k"] == name)
+    kept = F.regexp_replace(F.array_join(F.transform(of("kept"), lambda r: r["t"]), "\n"), r"(?U)^\s+|\s+$", "")
+    return F.struct(kept.alias("text"), F.size(of("rule")).alias("rules"), F.size(of("listing")).alias("listings"))
+
+
+def _any(tests: Sequence[Column]) -> Column:
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return out
 
 
 def truncate_middle(text: Column, most: int = 30_000, side: int = 15_000, mark: str = "\n...\n") -> Column:

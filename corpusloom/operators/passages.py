@@ -33,25 +33,54 @@ def sentences_with(texts: DataFrame, key: str, text: str, pattern: str) -> DataF
     return rows.select(key, "start", (F.col("start") + F.length("_s")).alias("end"))
 
 
-def heading_kind(line: Column) -> Column:
-    """numbered, upper or title for short lines that look like a heading, else null."""
-    upper, letters = F.regexp_count(line, F.lit("[A-Z]")), F.regexp_count(line, F.lit("[A-Za-z]"))
-    short = F.length(line).between(4, 90) & (F.regexp_count(line, F.lit(r"[^ \t]+")) <= 12) & ~F.regexp_like(line, F.lit("[.;,]$"))
-    kind = F.when(F.regexp_like(line, F.lit(r"^[0-9]+(\.[0-9]+)*\.? +[A-Z]")), "numbered").when((letters >= 4) & (upper * 10 >= letters * 7), "upper")
-    return F.when(short, kind.when(F.regexp_like(line, F.lit(r"^([A-Z][a-z]+ ){1,7}[A-Z][a-z]+$")), "title"))
+# Limits of the heading rules.
+HEADING = {"longest": 60, "upper share": 0.6, "upper words": 8, "title words": 6, "larger": 1.2}
+
+
+def looks_like_heading(text: Column) -> Column:
+    """A short text that is mostly upper case in few words, or whose few words all begin with a capital (those that begin with a letter)."""
+    words = F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
+    upper, letters = F.regexp_count(text, F.lit(r"\p{Lu}")), F.regexp_count(text, F.lit(r"\p{L}"))
+    capital = F.forall(words, lambda w: ~F.regexp_like(w, F.lit(r"^\p{L}")) | F.regexp_like(w, F.lit(r"^\p{Lu}")))
+    shouted = (upper > F.greatest(letters, F.lit(1)) * HEADING["upper share"]) & (F.size(words) <= HEADING["upper words"])
+    return (F.length(text) <= HEADING["longest"]) & (F.size(words) > 0) & (shouted | ((F.size(words) <= HEADING["title words"]) & capital))
+
+
+def is_heading(text: Column, size: Column, average: Column) -> Column:
+    """A line in letters clearly larger than the average, in capitals only and few words, or numbered."""
+    capitals = F.regexp_like(text, F.lit(r"\p{Lu}")) & ~F.regexp_like(text, F.lit(r"\p{Ll}")) & (F.size(F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")) <= HEADING["upper words"])
+    return F.coalesce(size > average * HEADING["larger"], F.lit(False)) | capitals | F.regexp_like(text, F.lit(r"^\d+\.(\d+\.?)?\s+[A-Z]"))
 
 
 def normalise(text: Column) -> Column:
-    """Hard spaces, replacement characters, words cut at line ends, dotted leaders, gaps in numbers, joined words and runs of white space."""
-    text = F.replace(F.replace(text, F.lit(" "), F.lit(" ")), F.lit("�"), F.lit(""))
-    for pattern, to in (("([A-Za-z])-\n([a-z])", "$1$2"), (r"\.{4,}", " "), (r"([0-9]) ([0-9]{3})\b", "$1$2"), ("([a-z])([A-Z])", "$1 $2"), ("[ \t\r\n\f]+", " ")):
+    """The conservative rewrites of extracted markup, in their fixed order: entity numbers with dates, dates, units, spelled words, tags, page leaders, gaps in numbers, broken and joined words."""
+    space = lambda t: F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
+    text = space(text)
+    for pattern, to in (
+        (r"(?U)\b[A-Z0-9]{18,20}\b(?:\s+\d{4}-\d{2}-\d{2}(?:\s+\d{4}-\d{2}-\d{2})?)*", ""), (r"(?U)\b\d{4}-\d{2}-\d{2}\b", ""), (r"(?U)\b(?:iso4217|xbrli):[A-Za-z]+\b", ""),
+    ):
         text = F.regexp_replace(text, pattern, to)
-    return F.trim(text)
+    text = merged_spelling(text)
+    for pattern, to in (
+        (r"(?U)\b[a-z0-9]{2,}(?:-[a-z0-9]{2,})?:[A-Za-z][A-Za-z0-9_-]*\b", ""), (r"(?U)\s*\.{3,}\s*\d+\b", ""), (r"(?U)(\d)\s+(\d)", "$1$2"), (r"(?U)(\d)\s+,\s+(\d)", "$1,$2"), (r"(?U)(\d)\s+\.\s+(\d)", "$1.$2"),
+        (r"(?U)(\d)\s+%", "$1%"), (r"(?U)([£$€])\s+(\d)", "$1$2"), (r"(?U)([A-Za-z])-\s+([A-Za-z])", "$1$2"), ("(?<=[a-z])(?=[A-Z])", " "),
+    ):
+        text = F.regexp_replace(text, pattern, to)
+    return space(F.replace(text, F.lit("�"), F.lit("")))
+
+
+def merged_spelling(text: Column) -> Column:
+    """Three or more single letters in a row put together (`A n n u a l`). The rewrite depends on the match, so the text is cut at matches and put together from the pieces."""
+    pattern = r"(?U)(?:\b[A-Za-z]\b(?:\s+|&nbsp;)+){2,}\b[A-Za-z]\b"
+    letters = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.regexp_replace(m, "[^A-Za-z]", ""))
+    pieces = F.zip_with(F.split(text, pattern, -1), letters, lambda gap, word: F.concat(gap, F.coalesce(word, F.lit(""))))
+    return F.array_join(pieces, "")
 
 
 def merged_letters(text: Column) -> Column:
-    """Words spelled in single letters put together: `A n n u a l report` to `Annual report`."""
-    return F.regexp_replace(text, r"(?<=\b[A-Za-z]) (?=[A-Za-z]\b)", "")
+    """A stray consonant or vowel other than a and i joins the word behind it (unless that is a small connecting one), then the word before it: `c ustomer`, `risk s`."""
+    text = F.regexp_replace(text, r"(?U)(?<=\s)([b-hj-z])\s+(?!(?:and|the|for|with|to|of|in|on|at)\b)([a-z]{3,})", "$1$2")
+    return F.regexp_replace(text, r"(?U)([a-z]{3,})\s+([b-hj-z])(?=\s|[,.;:\)]|\z)", "$1$2")
 
 
 def markdown(spans: DataFrame, key: str, order: str) -> DataFrame:

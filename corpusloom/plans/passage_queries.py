@@ -1,4 +1,4 @@
-"""Queries for passages: hits with places, spans, lines, headings, sections, snippets and tables."""
+"""Queries for passages: hits with places, spans, snippets, pages, blocks and listing markup."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as rules
-from ..operators import html_tables, passages
+from ..operators import passages
 from .registry import query, table
 
 PATTERNS = {"mean": r"\bthe\b", "number": "[0-9]{3}", "time": r"(?i)\b(?:time|year|day)s?\b"}
@@ -50,39 +50,6 @@ def hit_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.sentences_with(_docs(spark, sf_dir), "doc_id", "text", PATTERNS["number"])
 
 
-_RULE = "^[ \\t|:+=-]*[|:+=-]{3}[ \\t|:+=-]*$"
-
-
-@query(f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents),
- s AS (SELECT *, regexp_matches(t, '{_RULE}') AS ruled, len(t) - len(replace(t, '|', '')) >= 4 AS listed, regexp_matches(t, '\\bthe\\b') AS hit FROM l)
-SELECT doc_id, CAST(count(*) FILTER (WHERE ruled AND NOT hit) AS BIGINT) AS rules_dropped, CAST(count(*) FILTER (WHERE listed AND NOT ruled AND NOT hit) AS BIGINT) AS rows_dropped, CAST(coalesce(sum(length(t)) FILTER (WHERE hit OR NOT (ruled OR listed)), 0) AS BIGINT) AS kept_chars FROM s GROUP BY doc_id""")
-def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table rules and rows of four pipes or more go, unless a keyword hits them; with counts of both."""
-    ruled = lambda t: F.regexp_like(t, F.lit(_RULE))
-    listed = lambda t: F.length(t) - F.length(F.replace(t, F.lit("|"), F.lit(""))) >= 4
-    hit = lambda t: F.regexp_like(t, F.lit(PATTERNS["mean"]))
-    lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda t: hit(t) | ~(ruled(t) | listed(t)))
-    count = lambda f: F.size(F.filter(lines, f)).cast("long")
-    rows = _docs(spark, sf_dir).where("text is not null")
-    return rows.select("doc_id", count(lambda t: ruled(t) & ~hit(t)).alias("rules_dropped"), count(lambda t: listed(t) & ~ruled(t) & ~hit(t)).alias("rows_dropped"), F.aggregate(kept, F.lit(0).cast("long"), lambda n, t: n + F.length(t)).alias("kept_chars"))
-
-
-@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents), m AS (SELECT *, len(regexp_extract_all(t, '[A-Z]')) AS up, len(regexp_extract_all(t, '[A-Za-z]')) AS a, len(regexp_extract_all(t, '[^ \\t]+')) AS words FROM l WHERE length(t) BETWEEN 4 AND 90)
-SELECT doc_id, line, CASE WHEN regexp_matches(t, '^[0-9]+(\\.[0-9]+)*\\.? +[A-Z]') THEN 'numbered' WHEN a >= 4 AND up * 10 >= a * 7 THEN 'upper' WHEN regexp_matches(t, '^([A-Z][a-z]+ ){1,7}[A-Z][a-z]+$') THEN 'title' END AS kind FROM m
-WHERE words <= 12 AND NOT regexp_matches(t, '[.;,]$') AND (regexp_matches(t, '^[0-9]+(\\.[0-9]+)*\\.? +[A-Z]') OR (a >= 4 AND up * 10 >= a * 7) OR regexp_matches(t, '^([A-Z][a-z]+ ){1,7}[A-Z][a-z]+$'))""")
-def heading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short lines that look like headings: numbered, mostly in capitals, or in title case."""
-    lines = _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
-    return lines.select("doc_id", F.col("line").cast("long").alias("line"), passages.heading_kind(F.col("t")).alias("kind")).where("kind is not null")
-
-
-@query(r"""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(text, chr(160), ' '), chr(65533), ''), '([A-Za-z])-\n([a-z])', '\1\2', 'g'), '\.{4,}', ' ', 'g'), '([0-9]) ([0-9]{3})\b', '\1\2', 'g'), '([a-z])([A-Z])', '\1 \2', 'g'), '[ \t\r\n\f]+', ' ', 'g'), ' ')) AS normalised FROM documents""")
-def normalised_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of texts after the conservative rewrites of extracted markup."""
-    return _docs(spark, sf_dir).select("doc_id", F.md5(passages.normalise(F.col("text"))).alias("normalised"))
-
-
 @query("SELECT doc_id, left(text, 500) AS snippet, left(replace(replace(text, chr(13), ' '), chr(10), ' '), 160) AS preview FROM documents")
 def snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snippet of 500 characters and a preview of 160 on one line (the feature's own lengths)."""
@@ -107,16 +74,6 @@ def block_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "blocks", (F.xxhash64("text") == F.col("hash")).alias("same"))
 
 
-@query("""SELECT c_nationkey AS page, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS INTEGER) AS row, c_name AS name, 'T' || c_custkey AS ticker FROM customer""")
-def table_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names and tickers read from the tables of pages (one for each nation, which also holds a smaller table and one without heads)."""
-    cell = F.concat(F.lit("<tr><td>"), F.col("c_name"), F.lit("<td>x<td>T"), F.col("c_custkey").cast("string"), F.lit("</tr>"))
-    rows = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("page")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", cell.alias("cell")))).alias("cells"))
-    body = F.array_join(F.transform("cells", lambda c: c["cell"]), "\n")
-    html = F.concat(F.lit("<table><tr><td>a<td>b</table><table><tr><th>Issuer name<th>Note<th>EPIC"), body, F.lit("</table>"))
-    return html_tables.records(html_tables.tables(rows.select("page", html.alias("html")), "page", "html"), "page").drop("place")
-
-
 @query("""WITH r AS (SELECT *, o_orderkey || '|' || o_orderstatus || CASE WHEN o_orderkey % 2 = 0 THEN '|' || o_orderpriority ELSE '' END AS payload FROM orders) SELECT o_orderkey AS pk, o_orderstatus AS status, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE '' END AS priority FROM r""")
 def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows scraped from listing markup whose payload is joined by pipes and padded to three fields."""
@@ -127,15 +84,6 @@ def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(part(0).cast("long").alias("pk"), part(1).alias("status"), part(2).alias("priority"))
 
 
-@query(f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents) SELECT doc_id, k - 1 AS line,
- CASE WHEN regexp_matches(t, '\\|.*\\|') AND NOT regexp_matches(t, '^[ \\t|:-]+$') THEN CASE WHEN length(t) >= 900 THEN 3 WHEN length(t) >= 500 THEN 2 WHEN length(t) >= 300 THEN 1 ELSE 0 END
-  + CASE WHEN len(t) - len(replace(t, '|', '')) >= 14 THEN 2 WHEN len(t) - len(replace(t, '|', '')) >= 10 THEN 1 ELSE 0 END + CASE WHEN len(t) - len(replace(t, ',', '')) >= 12 THEN 2 WHEN len(t) - len(replace(t, ',', '')) >= 8 THEN 1 ELSE 0 END ELSE 0 END AS score FROM l WHERE contains(t, '|')""")
-def listing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How much lines with pipes look like listings, by length, pipes and commas (no entity or address words are given here, and no post codes stand in these texts)."""
-    lines = _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).where(F.contains("t", F.lit("|")))
-    return lines.select("doc_id", F.col("line").cast("long").alias("line"), rules.listing_score(F.col("t"), [], []).alias("score"))
-
-
 @query(r"""SELECT item_id, trim(regexp_replace(text, '[ \t\r\n\f]+', ' ', 'g'), ' ') AS collapsed, len(list_filter(string_split_regex(text, '\n[ \t]*\n'), lambda p: trim(p) <> '')) AS paragraphs,
  CAST(contains(lower(text), 'the') AS INTEGER) + CAST(contains(lower(text), 'and') AS INTEGER) AS terms FROM benchmark WHERE text IS NOT NULL""")
 def text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ def test_tables_of_constituents(spark: SparkSession, heads: tuple[str, str], row
     body = "".join(f"<tr><td>Company &amp; Sons {i}</td><td>\n T{i}<br>X </td></tr>" for i in range(rows))
     html = f"<p>x<table><tr><th>a</th></tr></table><table><thead><tr><th>{heads[0]}</th><th>{heads[1]}</th></tr></thead><tbody>{body}</tbody></table>"
     pages = spark.createDataFrame([(1, html), (2, None), (3, "<table></table>"), (4, "<td>stray</td></table>")], "page int, html string")
-    found = sorted(html_tables.records(html_tables.tables(pages, "page", "html"), "page").collect(), key=lambda r: r["row"])
+    found = sorted(html_tables.records(html_tables.tables(pages, "page", "html"), "page", F.lit(rows)).collect(), key=lambda r: r["row"])
     assert [(r["page"], r["name"], r["ticker"]) for r in found] == [(1, f"Company & Sons {i}", f"T{i} X") for i in range(rows)]
 
 
@@ -51,7 +51,7 @@ def test_hits_have_their_places(spark: SparkSession) -> None:
 
 def test_small_rules(spark: SparkSession) -> None:
     one = lambda c: spark.range(1).select(c).first()[0]
-    assert one(passages.merged_letters(F.lit("A n n u a l report of a company"))) == "Annual report of a company"
+    assert one(passages.merged_spelling(F.lit("A n n u a l report of a company"))) == "Annual report of a company"
     assert one(titles.range_end(F.lit("Annual Report 2021/22"))) == 2022
     assert one(titles.range_end(F.lit("Annual Report"))) is None
     assert one(titles.annual(F.lit("Annual results"))) and not one(titles.annual(F.lit("Half-year report after annual results")))
