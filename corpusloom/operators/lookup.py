@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import dice, tokens
+from . import sequences
 from .select import pick_best
 
 SMALL = 100_000
@@ -160,7 +161,8 @@ def best_similar(source: DataFrame, target: DataFrame, least: float, within: Seq
     size = lambda c: F.least(F.length(c), F.lit(6000))
     most = 2 * F.least(size("_t"), size("_u")) / (size("_t") + size("_u"))
     open_ = pairs.where(DICE_PART * F.col("score") + RATIO_PART * most >= least - 1e-9)
-    scored = sequence_ratio(open_.select(*within, "_a", id_b, "score", "_t", "_u"), "_t", "_u").withColumn("score", DICE_PART * F.col("score") + RATIO_PART * F.col("ratio"))
+    need = (least - 1e-9 - DICE_PART * F.col("score")) / RATIO_PART
+    scored = sequences.with_ratio(open_.select(*within, "_a", id_b, "score", "_t", "_u"), "_t", "_u", need).where("ratio is not null").withColumn("score", DICE_PART * F.col("score") + RATIO_PART * F.col("ratio"))
     best = pick_best(scored.where(F.col("score") >= least).select(*within, "_a", id_b, "score"), [*within, "_a"], [F.desc("score"), F.col(id_b)])
     return a.where(F.col(id_a).isNotNull()).select(*within, id_a, "_a").join(best, [*within, "_a"]).select(*within, id_a, id_b, "score")
 
@@ -179,19 +181,6 @@ def two_way_overlap(source: DataFrame, target: DataFrame, least: float, within:
     return both.fillna(0.0, [c for c in both.columns if c not in within])
 
 
-def sequence_ratio(pairs: DataFrame, a: str, b: str, most: int = 6000) -> DataFrame:
-    """Adds `ratio`, the matching-blocks similarity of the first `most` characters (a rule of the measure) of two texts."""
-    from difflib import SequenceMatcher
-
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in pairs.dtypes), "ratio double"])
-
-    def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f.assign(ratio=[SequenceMatcher(None, (x or "")[:most], (y or "")[:most]).ratio() for x, y in zip(f[a], f[b], strict=True)])
-
-    return pairs.mapInPandas(make, schema)
-
-
 PREFIX, GRAM = 100, 16
 
 
