@@ -2,15 +2,20 @@
 
 A page is read into text lines, one for each block, in page order, without those of menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts and styles (by element, or by class, id and role words): they are never
-main text, also where they differ from page to page. What is around the longest article or main element is never taken for such a part. Each page is paired with its nearest page by URL path within its host (of the
+main text, also where they differ from page to page. Outside an article such a word may stand anywhere in a name. Inside one a name must be that word
+(`ad`) or that word and others for mere boxes (`related-posts`); other names with it (`related-work`, `share-price`) count only on a
+wrapper whose text is mostly links. Running text (paragraphs, headings, items, cells) goes only if its class is the word itself.
+
+The main article is the longest of the articles that nothing of the kind is around; only if there is none, the longest of
+the others, those of readers' comments last. What is around the main article is never taken for boilerplate. Each page is paired with its nearest page by URL path within its host (of the
 pages before and after it in path order the one with the longer common start, else the one before), the two pages' lines are aligned by longest common subsequence, and shared lines are
 deleted as the host's boilerplate. Structure then restores shared lines inside article and main elements, so an
 article under two URLs stays. Pages without such elements whose lines are all shared are mirrors of each other, which says
 nothing about boilerplate, so they keep their lines. Lines outside the article stay if the neighbour lacks them: they may
 be the story of a page whose article elements are only teasers.
 
-Pages are sorted by host, path and page_id in ranges, and each range's first and last page are known to the
-ranges beside it, so every page meets its nearest URL however many pages its host has, and no host is gathered in one task. The bounds of the
+Pages are sorted by host, path and page_id in ranges, and the first and last page of each range meet those of the
+ranges beside it by a join, so every page meets its nearest URL however many pages its host has, and no host is gathered in one task. The bounds of the
 ranges never decide the result.
 
 Cases: a null html is an empty page, and a page without main text gives an empty text. A null url is of the empty host
@@ -29,12 +34,12 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, table
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|object|title|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|object|title|annotation|annotation-xml)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)(/?)>|<[!?/][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -48,8 +53,15 @@ OUTSIDE = frozenset(("header",))
 NEVER_WORDS = frozenset("ad ads advert advertisement adverts advertising sponsor sponsored promo cookie cookies consent gdpr newsletter subscribe sidebar nav navbar navigation menu breadcrumb breadcrumbs pagination comment comments disqus related share sharing social popup modal notice footer".split())
 OUTSIDE_WORDS = frozenset("header masthead banner toolbar topbar widget search login contentinfo complementary".split())
 STATES = frozenset("is has no not with without enabled disabled open opened closed on off active inactive free ready allowed".split())
+#: Words that only name a box: a name of these and a marking word is that word's box.
+BOX_WORDS = frozenset("area bar block body bottom box btn button buttons col column container content contents entries form group head heading icons inner item items js label left link links list media module outer panel post posts right row section set slot stories story thread title tools top unit widget wrap wrapper wrapping".split())
+COMMENT_WORDS = frozenset("comment comments disqus".split())
+#: A wrapper inside an article with a doubtful name goes if so much of its text is links.
+LINKS = 0.5
 #: Elements of running text: only their classes count, as their ids name what they say.
 RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption blockquote pre summary".split())
+#: Rows of one answer's batch.
+ROWS = 1000
 #: What a start tag closes if it is open, and the elements past which it doesn't look.
 _ROW, _TABLE = frozenset(("td", "th")), frozenset(("table",))
 IMPLIED = {
@@ -59,36 +71,54 @@ IMPLIED = {
 _P, _CELLS = frozenset(("p", "head")), frozenset(("table", "td", "th", "caption", "button"))
 
 
-def _marks(name: str, attributes: str, inside: bool) -> bool:
+#: How sure a name is: no mark, one that links must confirm, a sure one, and one of readers' comments.
+NONE, DOUBT, SURE, READERS = range(4)
+
+
+def _marks(name: str, attributes: str, inside: bool) -> int:
     """Whether class, id or role words tell that an element is no main text."""
+    found = NONE
     for a in _ATTRIBUTE.finditer(attributes):
-        if name in RUNNING and a[1].lower() != "class":
+        if (name in RUNNING or name in OWN) and a[1].lower() != "class":
             continue
         for one in (a[2] or a[3] or a[4] or "").split():
             words = {w.lower() for w in _WORDS.findall(one)}
-            if not words & STATES and (words & NEVER_WORDS or (not inside and words & OUTSIDE_WORDS)):
-                return True
-    return False
+            marking = words & NEVER_WORDS if inside or name in OWN else words & (NEVER_WORDS | OUTSIDE_WORDS)
+            if not marking or words & STATES:
+                continue
+            if name in RUNNING or name in OWN:
+                sure = len(words) == 1
+            else:
+                sure = not inside or words <= NEVER_WORDS | OUTSIDE_WORDS | BOX_WORDS
+            if sure:
+                found = max(found, READERS if marking & COMMENT_WORDS else SURE)
+            elif name not in RUNNING and name not in OWN:
+                found = max(found, DOUBT)
+    return found
 
 
 def lines(page: str) -> tuple[list[str], list[bool]]:
     """Text lines in page order and whether each is open (outside any article element). Lines of known boilerplate are left out."""
     page = _HIDDEN.sub(" ", page)
-    found: list[tuple[str, int, int]] = []  # a line, its outermost article and its innermost boilerplate element (-1: none)
+    found: list[tuple[str, int, int, int]] = []  # a line, its outermost article, its innermost boilerplate element (-1: none) and how many of its characters are links
     part: list[str] = []
     stack: list[tuple[str, int, int]] = []  # open blocks: name, and both of these inside it
     count: dict[str, int] = {}
     around: list[int] = []  # of each article: the boilerplate element that it is in
     above: list[int] = []  # of each boilerplate element: the next one outside it
+    sure: list[int] = []  # and how sure it is
     own = bad = -1
-    at = 0
+    at = links = 0
+    linked = False
 
     def flush() -> None:
+        nonlocal links
         if part:
             text = " ".join(_html.unescape("".join(part)).split())
             part.clear()
             if text:
-                found.append((text, own, bad))
+                found.append((text, own, bad, min(links, len(text))))
+        links = 0
 
     def drop(depth: int) -> None:
         nonlocal own, bad
@@ -112,10 +142,13 @@ def lines(page: str) -> tuple[list[str], list[bool]]:
     for m in _TAG.finditer(page):
         if m.start() > at:
             part.append(page[at : m.start()])
+            links += (m.start() - at) * linked
         at = m.end()
         if m[2] is None:
             continue
         name = m[2].lower()
+        if name == "a":
+            linked = not m[1]
         if name not in BLOCKS and name != "button":
             continue
         flush()
@@ -130,8 +163,10 @@ def lines(page: str) -> tuple[list[str], list[bool]]:
         if name not in ("html", "head", "body", "button"):
             close(_P, _CELLS)
         inside = own >= 0
-        if name not in OWN and name not in ("body", "html") and (name in NEVER or (not inside and name in OUTSIDE) or (m[3] and _marks(name, m[3], inside))):
+        mark = SURE if name in NEVER or (not inside and name in OUTSIDE) else _marks(name, m[3], inside) if m[3] and name not in ("body", "html", "main") else NONE
+        if mark:
             above.append(bad)
+            sure.append(mark)
             bad = len(above) - 1
         if name in OWN and own < 0:
             around.append(bad)
@@ -140,19 +175,45 @@ def lines(page: str) -> tuple[list[str], list[bool]]:
         count[name] = count.get(name, 0) + 1
     part.append(page[at:])
     flush()
-    # what is around the longest article is no boilerplate
+    rest = _kept(found, around, above, sure)
+    return [text for text, _ in rest], [o for _, o in rest]
+
+
+def _kept(found: list[tuple[str, int, int, int]], around: list[int], above: list[int], sure: list[int]) -> list[tuple[str, bool]]:
+    """The lines that no boilerplate element holds, and whether each is outside any article."""
+    # doubtful elements without many links hold main text
+    text_of, links_of = [0] * len(above), [0] * len(above)
+    for text, _, b, links in found:
+        while b >= 0:
+            text_of[b] += len(text)
+            links_of[b] += links
+            b = above[b]
+    real = [mark > DOUBT or links >= LINKS * max(1, size) for mark, size, links in zip(sure, text_of, links_of, strict=True)]
+
+    def holder(b: int) -> int:
+        while b >= 0 and not real[b]:
+            b = above[b]
+        return b
+
+    def kind(b: int) -> int:
+        """The surest mark around an article."""
+        most = NONE
+        while (b := holder(b)) >= 0:
+            most, b = max(most, sure[b]), above[b]
+        return most
+
     size = [0] * len(around)
-    for text, o, b in found:
-        if o >= 0 and b == around[o]:
+    for text, o, b, _ in found:
+        if o >= 0 and holder(b) == holder(around[o]):
             size[o] += len(text)
     kept = {-1}
     if size:
-        x = around[size.index(max(size))]
-        while x >= 0:
-            kept.add(x)
-            x = above[x]
-    rest = [(text, o < 0) for text, o, b in found if b in kept]
-    return [text for text, _ in rest], [o for _, o in rest]
+        main = min(range(len(size)), key=lambda o: (kind(around[o]) == READERS, kind(around[o]) != NONE, -size[o], o))
+        b = holder(around[main])
+        while b >= 0:
+            kept.add(b)
+            b = holder(above[b])
+    return [(text, o < 0) for text, o, b, _ in found if holder(b) in kept]
 
 
 def shared(a: list[str], b: list[str]) -> list[bool]:
@@ -213,16 +274,65 @@ def _alike(a: str, b: str) -> int:
     return len(os.path.commonprefix([a, b]))
 
 
-def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first and the last row of a range."""
-    first = last = None
+PLACE = ("host", "path", "page")
+_PLACE = "struct<host:string,path:string,page:binary>"
+
+
+def _nearest(own: tuple, others: list[tuple | None]) -> tuple | None:
+    """Of the pages before and after one that of its host with the longer common start; the one before, if both are as near."""
+    return max((x for x in others if x is not None and x[0] == own[0]), key=lambda x: _alike(own[1], x[1]), default=None)
+
+
+def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, tuple | None, tuple, tuple | None]]:
+    """(batch, place in it, the page before, the page, the page after) of a range's rows; None where the range ends."""
+    before: tuple | None = None
+    now: tuple | None = None
+    for b in batches:
+        for i, place in enumerate(zip(*(b.column(c).to_pylist() for c in PLACE), strict=True)):
+            if now is not None:
+                yield now[0], now[1], before, now[2], place
+                before = now[2]
+            now = (b, i, place)
+    if now is not None:
+        yield now[0], now[1], before, now[2], None
+
+
+def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Main texts of the rows that have both neighbours in their range."""
+    out: list[tuple] = []
+
+    def taken() -> pa.RecordBatch:
+        ids, urls, texts = zip(*out, strict=True)
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(urls), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+    for b, i, before, own, after in _triples(batches):
+        if before is not None and after is not None:
+            other = _nearest(own, [before, after])
+            out.append((b.column("page_id").slice(i, 1), b.column("url").slice(i, 1), " ".join(main_lines(own[2], other and other[2]))))
+        if len(out) >= ROWS:
+            yield taken()
+    if out:
+        yield taken()
+
+
+def _outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A range's first and last row with the neighbours that they have inside it."""
+    struct = pa.struct([("host", pa.string()), ("path", pa.string()), ("page", pa.binary())])
+    as_struct = lambda x: pa.array([None if x is None else dict(zip(PLACE, x, strict=True))], struct)
+    for b, i, before, own, after in _triples(batches):
+        if before is None or after is None:
+            yield pa.RecordBatch.from_arrays([*b.slice(i, 1).columns, as_struct(own), as_struct(before), as_struct(after)], [*b.schema.names, "own", "before", "after"])
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        if b.num_rows:
-            first = b.slice(0, 1) if first is None else first
-            last = b.slice(b.num_rows - 1)
-    if first is not None:
-        for end, row in enumerate((first, last)):
-            yield pa.RecordBatch.from_arrays([pa.array([end], pa.int32()), *row.columns], ["end", *row.schema.names])
+        texts = []
+        for own, *others in zip(*(b.column(c).to_pylist() for c in ("own", "before", "after", "left", "right")), strict=True):
+            own, *others = (None if x is None else tuple(x[c] for c in PLACE) for x in (own, *others))
+            other = _nearest(own, [others[0] or others[2], others[1] or others[3]])
+            texts.append(" ".join(main_lines(own[2], other and other[2])))
+        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame, parts: int | None = None) -> DataFrame:
@@ -235,43 +345,16 @@ def extract(pages: DataFrame, parts: int | None = None) -> DataFrame:
     rows = _parsed(pages).select("page_id", "url", "page", host.alias("host"), path.alias("path"))
     parts = parts or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = cut(rows.repartitionByRange(parts, *order[:3]).sortWithinPartitions(*order)).withColumn("range", F.spark_partition_id())
-    near = rows.select("range", "host", "path", "page")
-    found = near.mapInArrow(_edges, "end int, range int, host string, path string, page binary").collect()  # two rows for each range
-    edges = {(r["range"], r["end"]): (r["host"], r["path"], bytes(r["page"])) for r in found}
-    ranges = sorted({k for k, _ in edges})
-    beside = {k: (edges.get((before, 1)), edges.get((after, 0))) for before, k, after in zip([None, *ranges], ranges, [*ranges[1:], None], strict=False)}
-    held = pages.sparkSession.sparkContext.broadcast(beside)
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = after = now = None
-        out: list[tuple] = []
-
-        def answer(row: tuple, before: tuple | None, after: tuple | None) -> None:
-            own_id, own_url, own = row
-            others = [x for x in (before, after) if x is not None and x[0] == own[0]]
-            other = max(others, key=lambda x: _alike(own[1], x[1]), default=None)  # the one before, if both are as near
-            out.append((own_id, own_url, " ".join(main_lines(own[2], other and other[2]))))
-
-        def taken() -> pa.RecordBatch:
-            ids, urls, texts = zip(*out, strict=True)
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.concat_arrays(ids), pa.array(urls, pa.string()), pa.array(texts, pa.string())], ["page_id", "url", "text"])
-
-        for b in batches:
-            for i, (k, u, *own) in enumerate(zip(*(b.column(c).to_pylist() for c in ("range", "url", "host", "path", "page")), strict=True)):
-                if now is None:
-                    before, after = held.value[k]
-                else:
-                    answer(now, before, tuple(own))
-                    before = now[2]
-                now = (b.column("page_id").slice(i, 1), u, tuple(own))
-            if out:
-                yield taken()
-        if now is not None:
-            answer(now, before, after)
-            yield taken()
-
-    return rows.mapInArrow(make, f"page_id {kind}, url string, text string")
+    schema = f"page_id {kind}, url string, text string"
+    inner = rows.mapInArrow(_inner, schema)
+    # at most two rows for each range, joined to those of the nearest ranges that hold any
+    outer = cut(rows.mapInArrow(_outer, ", ".join([*(f"`{c}` {t}" for c, t in rows.dtypes), f"own {_PLACE}, before {_PLACE}, after {_PLACE}"])))
+    beside = Window.orderBy("range")
+    ranges = outer.select("range").distinct().select("range", F.lag("range").over(beside).alias("previous"), F.lead("range").over(beside).alias("next"))  # a number for each range
+    lasts = outer.where("after is null").select(F.col("range").alias("previous"), F.col("own").alias("left"))
+    firsts = outer.where("before is null").select(F.col("range").alias("next"), F.col("own").alias("right"))
+    ends = outer.join(ranges, "range").join(lasts, "previous", "left").join(firsts, "next", "left").select("page_id", "url", "own", "before", "after", "left", "right")
+    return inner.unionByName(ends.mapInArrow(_ends, schema))
 
 
 def op7_html_difference(spark: SparkSession, sf_dir: str) -> DataFrame:

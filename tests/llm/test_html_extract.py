@@ -113,6 +113,20 @@ BROKEN = [
     ('<table><tr><td class="ad">Buy<td>Cell<tr><td>Next</table><p>End', "Cell Next End"),
     ("<head><meta charset=utf-8><p>No body tag</p>", "No body tag"),
     ('<nav><ul><li>Menu</nav><p>Text', "Text"),
+    ('<article><p class="share-price">Shares rose 5%.</p><div class="related-work"><p>Earlier studies.</p></div><table class="navigation-data"><tr><td>12 knots</table></article>', "Shares rose 5%. Earlier studies. 12 knots"),
+    ('<article><p>Story.</p></article><div class="comments"><article>A comment that is much longer than the story itself, by far.</article></div>', "Story."),
+    ('<article><p>Story.</p></article><article class="comment">A comment that is much longer than the story itself, by far.</article>', "Story."),
+    ('<article class="comment">Only this one is here.</article>', "Only this one is here."),
+    ('<div class="comments"><article>First comment, long enough.</article></div><div class="sidebar-layout"><article>Story.</article></div>', "Story."),
+    ('<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be.</p></article>', "Let x=2 be."),
+    ('<article><p>Text</p><div class="more-related-here"><a href=1>One link</a> <a href=2>Two</a></div><div class="more-related-here">One fact <a href=1>x</a></div></article>', "Text One fact x"),
+    ('<article><p>Text</p><div class="related-posts"><p>Other story</p></div><ul class="social-links"><li>Like</ul><div class="ad-slot">Buy</div></article>', "Text"),
+    ('<main class="nav-main"><p>Text</p><div class="newsletter-box">Join</div></main>', "Text"),
+    ('<article><h2 class="title share">Kept? no</h2><h2 class="share-title">Kept</h2></article>', "Kept"),
+    ('<article><blockquote class="social-history">Old times</blockquote><section id="notice-and-takedown"><p>Law</p></section></article>', "Old times Law"),
+    ('<article><p>One</p><article class="related">Teaser</article><p>Two</p></article>', "One Two"),
+    ('<div class="content"><p>Lead</p><div id="comment-list"><p>Reader</p></div></div>', "Lead"),
+    ('<article><div class="commentary"><p>The commentary</p></div><div class="advice">Do this</div></article>', "The commentary Do this"),
 ]
 
 
