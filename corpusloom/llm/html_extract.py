@@ -242,7 +242,7 @@ def shared(a: list[str], b: list[str]) -> list[bool]:
 
 def _packed(text: list[str], open_: list[bool]) -> bytes:
     """Lines (which hold no line feed), each after a mark of whether it is open."""
-    return zlib.compress("\n".join("ao"[o] + x for x, o in zip(text, open_, strict=True)).encode("utf-8", "replace"), 1)
+    return zlib.compress("\n".join("ao"[o] + x for x, o in zip(text, open_, strict=True)).encode("utf-8", "replace"), 6)
 
 
 def _unpacked(page: bytes) -> list[str]:
@@ -341,10 +341,11 @@ def extract(pages: DataFrame, parts: int | None = None) -> DataFrame:
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
     kind = dict(pages.dtypes)["page_id"]
-    order = ["host", "path", "page_id", "page"]
-    rows = _parsed(pages).select("page_id", "url", "page", host.alias("host"), path.alias("path"))
+    order = [host, path, F.col("page_id"), F.col("page")]
     parts = parts or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = cut(rows.repartitionByRange(parts, *order[:3]).sortWithinPartitions(*order)).withColumn("range", F.spark_partition_id())
+    # host and path are made from the url again where they are needed, so that they are neither shuffled nor written
+    rows = cut(_parsed(pages).repartitionByRange(parts, *order[:3]).sortWithinPartitions(*order))
+    rows = rows.select("page_id", "url", "page", host.alias("host"), path.alias("path"), F.spark_partition_id().alias("range"))
     schema = f"page_id {kind}, url string, text string"
     inner = rows.mapInArrow(_inner, schema)
     # at most two rows for each range, joined to those of the nearest ranges that hold any
