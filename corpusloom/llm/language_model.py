@@ -45,7 +45,7 @@ from .common import cut, table
 from .textkernel import mix, packed, runs, unpacked, utf8, word_bounds, word_hashes
 
 FOLDS, HELD_OUT = 5, 1
-CLASSES, WORD_CLASSES = 32, 15
+CLASSES, WORD_CLASSES = 64, 31
 ROWS = 1 << 14
 ROUNDS = 2
 FREQUENT = 1 << 18
@@ -127,41 +127,47 @@ def features(cls: np.ndarray, token_at: np.ndarray) -> np.ndarray:
     return np.stack([(mix(p) % np.uint64(ROWS)).astype(np.int64) for p in parts])
 
 
-def _probabilities(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = weights[rows[0]]
+def _probabilities(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, held: np.ndarray | None = None) -> np.ndarray:
+    """Class probabilities of each token; `held` is room for two such tables, used again from batch to batch."""
+    n = rows.shape[1]
+    z, more = (np.empty((2, n, weights.shape[1]), np.float32) if held is None else held)[:, :n]
+    np.take(weights, rows[0], 0, z, "clip")
     for r in rows[1:]:
-        z += weights[r]
+        z += np.take(weights, r, 0, more, "clip")
     z += bias
     z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
+    z *= 1 / (z @ np.ones(z.shape[1], np.float32))[:, None]
     return z
 
 
 def class_scores(model: Model, cls: np.ndarray, token_at: np.ndarray) -> np.ndarray:
     """log10 P(class | history) of each token."""
     rows, out = features(cls, token_at), np.empty(len(cls))
+    held = np.empty((2, BATCH, model.weights.shape[1]), np.float32)
     for i in range(0, len(cls), BATCH):
-        p = _probabilities(model.weights, model.bias, rows[:, i : i + BATCH])
+        p = _probabilities(model.weights, model.bias, rows[:, i : i + BATCH], held)
         out[i : i + BATCH] = np.log10(np.maximum(p[np.arange(len(p)), cls[i : i + BATCH]], 1e-30))
     return out
 
 
 def update(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, bias: np.ndarray, cls: np.ndarray, rows: np.ndarray, rate: float = RATE) -> None:
     """Minibatch gradient updates of the weights in place."""
+    held, sorted_ = np.empty((2, BATCH, weights.shape[1]), np.float32), np.empty((BATCH, weights.shape[1]), np.float32)
     for i in range(0, len(cls), BATCH):
         part, want = rows[:, i : i + BATCH], cls[i : i + BATCH]
-        g = _probabilities(weights, bias, part)
+        g = _probabilities(weights, bias, part, held)
         g[np.arange(len(g)), want] -= 1
-        for r in part:
+        for r in part.astype(np.uint16):  # ROWS fit; numbers this short are sorted by their digits
             order = np.argsort(r, kind="stable")
-            start = np.flatnonzero(np.concatenate([[True], np.diff(r[order]) > 0]))
-            row = r[order[start]]
-            size = np.diff(np.append(start, len(r)))
-            step = np.add.reduceat(g[order], start, axis=0)
-            squares[row] += (step * step).sum(axis=1)
-            used[row] += size
-            weights[row] -= rate * step / np.sqrt(squares[row] + 1.0)[:, None]
+            r = r[order]
+            start = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+            row = r[start].astype(np.int64)
+            step = np.add.reduceat(np.take(g, order, 0, sorted_[: len(g)], "clip"), start, axis=0)
+            squares[row] += np.einsum("ij,ij->i", step, step)
+            used[row] += np.diff(np.append(start, len(r)))
+            step *= (rate / np.sqrt(squares[row] + 1.0))[:, None]
+            weights[row] -= step
 
 
 def _fold(column: str = "doc_id") -> F.Column:
