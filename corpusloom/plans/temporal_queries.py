@@ -149,9 +149,9 @@ def _late(spark: SparkSession, sf_dir: str) -> str:
 
 @query('SELECT date_trunc(\'hour\', ts) AS "start", event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL')
 def streaming_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = streaming.windowed_counts(_events(spark, sf_dir), late=_late(spark, sf_dir))
-    done = streaming.drain(counts, "update", ["start", "event_type"])
-    return done.withColumn("total", F.round("total", 4))
+    """Counts by hour and type with a watermark of one day: windows behind it are closed and leave the state, and their late rows are added from the side output."""
+    found = streaming.drain(streaming.counts_with_late(_events(spark, sf_dir)), "update")
+    return streaming.settled(found).withColumn("total", F.round("total", 4))
 
 
 @query("SELECT event_id, any_value(user_id) AS user_id FROM events GROUP BY event_id")
