@@ -52,7 +52,7 @@ FREQUENT = 1 << 18
 BATCH = 4096
 RATE = 0.4
 BLOCK = 256
-COUNTED = 1 << 20
+COUNTED = 1 << 19
 CHUNK = 8 << 20
 BLOCK_KEYS = 1 << 21
 STRENGTH = ((4.0, 1.0), (2.0, 0.8))
