@@ -21,6 +21,13 @@ def keyword_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.strategy_filter(_turns(spark, sf_dir), "conv_id", "turn", hit, F.col("role") == "system", "keyword", context=True).select("conv_id", "turn")
 
 
+@query("SELECT conv_id, turn FROM conversations WHERE text IS NOT NULL")
+def full_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All spans, whatever they hold."""
+    none = F.lit(False)
+    return mentions.strategy_filter(_turns(spark, sf_dir), "conv_id", "turn", none, none, "full").select("conv_id", "turn")
+
+
 @query("SELECT conv_id, turn FROM conversations WHERE text IS NOT NULL AND (contains(lower(role), 'user') OR contains(lower(role), 'tool'))")
 def section_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(False)

@@ -217,3 +217,10 @@ def stub_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that are stubs by size, or by a marker near their start (the rule's own 500 characters)."""
     rows = table(spark, sf_dir, "pages", "page_id", "html").where("html is not null").withColumn("size", F.octet_length("html"))
     return readers.stubs(rows, "size", "html", ["noscript", "redirect"]).select("page_id", "stub")
+
+
+@query("""SELECT c_nationkey AS nation, '## ' || c_nationkey || chr(10) || chr(10) || '| c_custkey | c_name | c_mktsegment |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || c_custkey || ' | ' || c_name || ' | ' || c_mktsegment || ' |', chr(10) ORDER BY c_custkey) AS report FROM customer GROUP BY c_nationkey""")
+def markdown_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report with a table of customers for each nation."""
+    rows = table(spark, sf_dir, "customer", "c_nationkey", "c_custkey", "c_name", "c_mktsegment")
+    return writers.markdown_reports(rows, "c_nationkey", "c_custkey", ["c_custkey", "c_name", "c_mktsegment"]).withColumnRenamed("c_nationkey", "nation")

@@ -34,11 +34,13 @@ def front_matter(df: DataFrame, text: str, fields: list[str]) -> DataFrame:
     return df.withColumn("document", F.concat_ws("\n", F.lit("---"), *head, F.lit("---"), F.lit(""), F.col(text)))
 
 
-def markdown_table(df: DataFrame, most: int = 200) -> str:
-    """A small result as a markdown table (a report's limit of rows)."""
-    rows = df.limit(most).collect()
-    lines = [df.columns, ["---"] * len(df.columns), *[["" if v is None else str(v) for v in r] for r in rows]]
-    return "\n".join("| " + " | ".join(x) + " |" for x in lines)
+def markdown_reports(df: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
+    """(key, report): for each key a heading and a Markdown table of its rows in order. Pipes and line ends inside cells are escaped; a report is one text, so a key's rows must fit one."""
+    cell = lambda c: F.regexp_replace(F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|"), F.lit("\\|")), r"\\s*\\n\\s*", "<br>")
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *map(cell, columns)), F.lit(" |"))
+    rows = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("k"), line.alias("line")))).alias("_rows"))
+    head = F.concat(F.lit("## "), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("\n\n| " + " | ".join(columns) + " |\n|" + " --- |" * len(columns) + "\n"))
+    return rows.select(key, F.concat(head, F.array_join(F.transform("_rows", lambda r: r["line"]), "\n")).alias("report"))
 
 
 def csv_cell(value: Column) -> Column:
