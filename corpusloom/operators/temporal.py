@@ -76,3 +76,32 @@ def fiscal_cascade(df: DataFrame, title: str, released: str, document_year: str
         F.when(release.isNotNull(), answer(F.year(release), "LOW", "release")),
     ]
     return df.withColumn("_fy", F.coalesce(*steps, answer(F.lit(None), "LOW", "none"))).select("*", "_fy.*").drop("_fy")
+
+
+CONFIDENCE = ("LOW", "MEDIUM", "HIGH")
+
+
+def propagated(df: DataFrame, key: str, released: str, item: str, days: int = 90) -> DataFrame:
+    """The cascade's answers (fy, confidence, fy_source, anomaly) after each cluster of a key's releases has been looked at as one.
+
+    A cluster whose members name several years is an anomaly of all of them. Otherwise members less sure than its surest one (the
+    first of them) take over that one's year, confidence and source.
+    """
+    rows = clusters(df, key, released, days, item)
+    own = Window.partitionBy(key, "cluster")
+    rank = F.array_position(F.array(*map(F.lit, CONFIDENCE)), F.coalesce("confidence", F.lit(CONFIDENCE[0])))
+    rows = rows.withColumn("_rank", rank).withColumn("_at", F.row_number().over(own.orderBy(released, item)))
+    best = F.max_by(F.struct("fy", "confidence", "fy_source", "_rank"), F.struct("_rank", -F.col("_at"))).over(own)
+    rows = rows.withColumn("_best", best).withColumn("_years", F.size(F.collect_set("fy").over(own)))
+    torn, taken = F.col("_years") > 1, (F.col("_years") <= 1) & (F.col("_rank") < F.col("_best._rank"))
+    answer = {
+        "fy": F.when(taken, F.col("_best.fy")).otherwise(F.col("fy")), "confidence": F.when(taken, F.col("_best.confidence")).otherwise(F.col("confidence")),
+        "fy_source": F.when(taken, F.concat(F.lit("cluster_propagated("), F.col("_best.fy_source"), F.lit(")"))).otherwise(F.col("fy_source")), "anomaly": F.when(torn, "ANOMALY_CLUSTER").otherwise(F.col("anomaly")),
+    }
+    return rows.withColumns(answer).drop("_rank", "_at", "_best", "_years")
+
+
+def outcomes(df: DataFrame, manifest: str) -> DataFrame:
+    """Rows that need something: `qa` for every anomaly, `correction` for a sure enough year other than the manifest's."""
+    sure = F.col("fy").isNotNull() & ~F.col("fy").eqNullSafe(F.col(manifest)) & F.col("confidence").isin(*CONFIDENCE[1:])
+    return df.withColumn("outcome", F.when(F.col("anomaly").isNotNull(), "qa").when(sure, "correction")).where("outcome is not null")

@@ -129,6 +129,23 @@ def fiscal_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temporal.fiscal_cascade(_titles(spark, sf_dir), "title", "released").select("pk", "fy", "confidence", "fy_source", "anomaly")
 
 
+@query(f"""WITH {_TITLES}, a AS (SELECT t.pk, o_custkey AS owner, released, y, CASE WHEN t.pk % 7 = 0 AND y - 1 BETWEEN 2015 AND 2030 THEN y - 1 END AS d, form FROM titles t JOIN orders ON o_orderkey = t.pk),
+ f AS (SELECT pk, owner, released, y, CAST(CASE WHEN d IS NOT NULL THEN d WHEN form = 0 THEN y + 1 WHEN form = 1 THEN CASE WHEN released < make_date(y, 12, 31) THEN y - 1 ELSE y END WHEN form = 2 THEN y + 1 WHEN form = 3 THEN y WHEN month(released) <= 4 THEN y - 1 ELSE y END AS INTEGER) AS fy,
+  CASE WHEN d IS NOT NULL OR form = 1 THEN 2 WHEN form IN (0, 2, 3) OR month(released) <= 4 THEN 1 ELSE 0 END AS k, CASE WHEN d IS NOT NULL THEN 'document' WHEN form = 1 THEN 'title_date' WHEN form IN (0, 2, 3) THEN 'title_year' WHEN month(released) <= 4 THEN 'release_early' ELSE 'release' END AS src,
+  CASE WHEN d IS NULL AND form = 1 AND released < make_date(y, 12, 31) THEN 'ANOMALY_PUB_BEFORE_END' END AS anomaly FROM a),
+ g AS (SELECT *, CASE WHEN date_diff('day', lag(released) OVER (PARTITION BY owner ORDER BY released, pk), released) < 90 THEN 0 ELSE 1 END AS fresh FROM f), c AS (SELECT *, sum(fresh) OVER (PARTITION BY owner ORDER BY released, pk) AS cl FROM g),
+ b AS (SELECT owner, cl, count(DISTINCT fy) AS years, max(k) AS top FROM c GROUP BY owner, cl), w AS (SELECT c.owner, c.cl, arg_min(fy, (released, pk)) AS fy, arg_min(src, (released, pk)) AS src FROM c JOIN b ON b.owner = c.owner AND b.cl = c.cl AND c.k = b.top GROUP BY c.owner, c.cl),
+ r AS (SELECT c.pk, c.y, CASE WHEN years = 1 AND k < top THEN w.fy ELSE c.fy END AS fy, CASE WHEN years = 1 THEN top ELSE k END AS k, CASE WHEN years = 1 AND k < top THEN 'cluster_propagated(' || w.src || ')' ELSE c.src END AS src, CASE WHEN years > 1 THEN 'ANOMALY_CLUSTER' ELSE anomaly END AS anomaly
+  FROM c JOIN b ON b.owner = c.owner AND b.cl = c.cl JOIN w ON w.owner = c.owner AND w.cl = c.cl)
+SELECT pk, CAST(y AS INTEGER) AS manifest_fy, fy, ['LOW', 'MEDIUM', 'HIGH'][k + 1] AS confidence, src AS fy_source, anomaly, CASE WHEN anomaly IS NOT NULL THEN 'qa' ELSE 'correction' END AS outcome FROM r WHERE anomaly IS NOT NULL OR (fy <> y AND k > 0)""")
+def fiscal_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cascade with documents' own years, its clusters of ninety days, and what is to be corrected or looked at."""
+    owners = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey").select(F.col("o_orderkey").alias("pk"), F.col("o_custkey").alias("owner"))
+    rows = _titles(spark, sf_dir).join(owners, "pk").withColumn("manifest_fy", F.year("released")).withColumn("doc", F.when(F.col("pk") % 7 == 0, F.year("released") - 1))
+    found = temporal.propagated(temporal.fiscal_cascade(rows, "title", "released", "doc"), "owner", "released", "pk")
+    return temporal.outcomes(found, "manifest_fy").select("pk", "manifest_fy", "fy", "confidence", "fy_source", "anomaly", "outcome")
+
+
 @query(f"""WITH {FILINGS_SQL}, n AS (SELECT owner, CAST(date_diff('day', make_date(year, 1, 1), filed) / 60 AS BIGINT) AS lag FROM filings), c AS (SELECT owner, lag, count(*) AS n FROM n GROUP BY ALL)
 SELECT owner, arg_max(lag, (n, -lag)) AS typical_lag FROM c GROUP BY owner""".replace("CAST(date_diff('day', make_date(year, 1, 1), filed) / 60 AS BIGINT)", "date_diff('day', make_date(year, 1, 1), filed) // 60"))
 def typical_lag(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import titles
-from corpusloom.operators import mentions
+from corpusloom.operators import mentions, temporal
 
 
 def _one(spark: SparkSession, c: Column) -> object:
@@ -93,3 +94,36 @@ def test_years_with_few_candidates_choose_first(spark: SparkSession) -> None:
     df = spark.createDataFrame(rows, "owner long, year int, pk long, score int")
     found = mentions.best_by_year(df, "owner", "year", "pk", [F.desc("score"), F.col("pk")], (1, 2, 3, 4))
     assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
+def test_clusters_hand_on_their_surest_year(spark: SparkSession) -> None:
+    """Against a walk over each owner's releases."""
+    rng = random.Random(21)
+    rank = {"LOW": 0, "MEDIUM": 1, "HIGH": 2}
+    rows = []
+    for owner in range(60):
+        day = dt.date(2020, 1, 1)
+        for k in range(rng.randrange(1, 8)):
+            day += dt.timedelta(rng.choice([1, 30, 89, 90, 200]))
+            rows.append((owner * 100 + k, owner, None if rng.random() < 0.05 else day, rng.choice([2020, 2020, 2021, None]), rng.choice(list(rank)), f"s{k}", rng.choice([None, None, "OLD"])))
+    df = spark.createDataFrame(rows, "id int, owner int, released date, fy int, confidence string, fy_source string, anomaly string")
+    want = {}
+    for owner in range(60):
+        mine = sorted((r for r in rows if r[1] == owner), key=lambda r: (r[2] is not None, r[2] or dt.date.min, r[0]))
+        groups: list[list] = []
+        for r in mine:
+            if groups and r[2] and groups[-1][-1][2] and (r[2] - groups[-1][-1][2]).days < 90:
+                groups[-1].append(r)
+            else:
+                groups.append([r])
+        for g in groups:
+            best, years = max(g, key=lambda r: rank[r[4]]), {r[3] for r in g if r[3]}
+            for r in g:
+                if len(years) > 1:
+                    want[r[0]] = (*r[3:6], "ANOMALY_CLUSTER")
+                elif rank[r[4]] < rank[best[4]]:
+                    want[r[0]] = (best[3], best[4], f"cluster_propagated({best[5]})", r[6])
+                else:
+                    want[r[0]] = r[3:]
+    found = temporal.propagated(df, "owner", "released", "id").collect()
+    assert {r["id"]: (r["fy"], r["confidence"], r["fy_source"], r["anomaly"]) for r in found} == want
