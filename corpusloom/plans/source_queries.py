@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_folder
-from ..sources import readers, writers
+from ..sources import publish, readers, writers
 from .registry import query, table
 
 _ORDERS = "SELECT o_orderkey AS pk, o_custkey AS owner, o_orderpriority AS priority, o_totalprice AS size FROM orders"
@@ -224,3 +224,15 @@ def markdown_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report with a table of customers for each nation."""
     rows = table(spark, sf_dir, "customer", "c_nationkey", "c_custkey", "c_name", "c_mktsegment")
     return writers.markdown_reports(rows, "c_nationkey", "c_custkey", ["c_custkey", "c_name", "c_mktsegment"]).withColumnRenamed("c_nationkey", "nation")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal >= 0")
+def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table published twice, then replaced by a third version that is rolled back, read as what is current."""
+    rows = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_acctbal")
+    store = publish.Published(spark, work_folder(spark, "published"))
+    store.publish(rows)
+    store.publish(rows.where("c_acctbal >= 0"))
+    store.publish(rows.where("c_acctbal < 0"))
+    store.roll_back()
+    return store.read()
