@@ -114,17 +114,23 @@ class Model:
 
 
 def features(cls: np.ndarray, token_at: np.ndarray) -> np.ndarray:
-    """Rows of the weight table for each token."""
-    place = np.arange(len(cls)) - np.repeat(token_at[:-1], np.diff(token_at))
+    """Rows of the weight table for each token, as short numbers (ROWS fit)."""
+    place = np.arange(len(cls), dtype=np.int32) - np.repeat(token_at[:-1].astype(np.int32), np.diff(token_at))
     back = []
     for d in (1, 2, 3):
-        c = np.full(len(cls), _START, np.uint64)
+        c = np.full(len(cls), _START, np.uint16)
         c[d:] = cls[:-d] if d < len(cls) else cls[:0]
         c[place < d] = _START
         back.append(c)
-    c1, c2, c3 = back
-    parts = (c1, c2 + np.uint64(1 << 8), c3 + np.uint64(2 << 8), (c1 << np.uint64(16)) + (c2 << np.uint64(24)) + np.uint64(3 << 8), (c1 << np.uint64(16)) + (c3 << np.uint64(24)) + np.uint64(4 << 8))
-    return np.stack([(mix(p) % np.uint64(ROWS)).astype(np.int64) for p in parts])
+    rows = np.empty((5, len(cls)), np.uint16)
+    for k, (near, far) in enumerate(((0, None), (1, None), (2, None), (0, 1), (0, 2))):
+        part = back[near].astype(np.uint64)
+        if far is not None:
+            part <<= np.uint64(16)
+            part += back[far].astype(np.uint64) << np.uint64(24)
+        part += np.uint64(k << 8)
+        rows[k] = mix(part) % np.uint64(ROWS)
+    return rows
 
 
 def _probabilities(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, held: np.ndarray | None = None) -> np.ndarray:
