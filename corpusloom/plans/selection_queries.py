@@ -145,3 +145,15 @@ def locale_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
     rows = rows.select(F.col("n_name").alias("name"), F.col("r_name").alias("section"), (F.col("n_nationkey") % 2).alias("half"))
     return select.ranked(rows, ["half"], select.locale_order("name", "section", ("EUROPE", "ASIA"))).select("name", "section", "rank")
+
+
+@query("SELECT o_orderstatus AS status, least(count(*), 50) AS found, least(count(*), 50) AS fitting FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderstatus")
+def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scans that stop when fifty rows of a status are found (the limit is the feature), and how many of what they found fit."""
+    orders = table(spark, sf_dir, "orders", "o_orderstatus", "o_totalprice")
+    out = None
+    for status in ("F", "O", "P"):
+        fits = (F.col("o_orderstatus") == status) & (F.col("o_totalprice") > 100000)
+        found = orders.where(fits).limit(50).agg(F.lit(status).alias("status"), F.count("*").alias("found"), F.count_if(fits).alias("fitting")).where("found > 0")
+        out = found if out is None else out.union(found)
+    return out

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_folder
-from ..sources import publish, readers, writers
+from ..sources import publish, readers, store, writers
 from .registry import query, table
 
 _ORDERS = "SELECT o_orderkey AS pk, o_custkey AS owner, o_orderpriority AS priority, o_totalprice AS size FROM orders"
@@ -236,3 +236,24 @@ def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.publish(rows.where("c_acctbal < 0"))
     store.roll_back()
     return store.read()
+
+
+_FILTERS = (
+    ("none", {}, {}), ("status", {"status": "F"}, {}), ("statuses", {"status": ["F", "P"], "priority": None}, {}), ("years", {}, {"year": (1996, 1998)}), ("all", {"status": "O", "priority": "1-URGENT"}, {"year": (1997, None), "total": (None, 200000.0)}),
+    ("nothing", {"status": []}, {}), ("quotes", {"priority": "1' OR '1'='1"}, {}),
+)
+_FILTERS_SQL = {"none": "TRUE", "status": "status = 'F'", "statuses": "status IN ('F', 'P')", "years": "year BETWEEN 1996 AND 1998", "all": "status = 'O' AND priority = '1-URGENT' AND year >= 1997 AND total <= 200000", "nothing": "FALSE", "quotes": "FALSE"}
+
+
+@query("WITH o AS (SELECT o_orderkey AS pk, o_orderstatus AS status, o_orderpriority AS priority, o_totalprice AS total, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders) " + " UNION ALL ".join(f"SELECT '{k}' AS filters, pk, status, year FROM o WHERE {w}" for k, w in _FILTERS_SQL.items()))
+def filtered_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table stored by year and status, read by every set of optional filters."""
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate")
+    rows = orders.select(F.col("o_orderkey").alias("pk"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("total"), F.year("o_orderdate").alias("year"))
+    path = work_folder(spark, "stored")
+    store.save(rows, path, ["year", "status"])
+    out = None
+    for name, filters, ranges in _FILTERS:
+        found = store.read(spark, path, filters, ranges).select(F.lit(name).alias("filters"), "pk", "status", "year")
+        out = found if out is None else out.union(found)
+    return out
