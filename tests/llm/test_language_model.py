@@ -148,3 +148,44 @@ def test_word_features_match_plain_counts(spark: SparkSession, monkeypatch: pyte
                 p = (count + s * p) / (past + s)
             total += math.log10(p)
         assert got[i] == pytest.approx(total, abs=1e-6)
+
+
+def test_class_probabilities_and_features_by_hand() -> None:
+    """The softmax over summed weight rows, and the rows of n-grams and skips, token by token."""
+    rng = np.random.default_rng(8)
+    weights, bias = rng.normal(size=(lm.ROWS, lm.CLASSES)).astype(np.float32), rng.normal(size=lm.CLASSES).astype(np.float32)
+    none = np.zeros(0, np.uint64)
+    model = lm.Model(none, none.astype(np.int64), none, none.astype(np.int64), bias, np.zeros(lm.CLASSES), 1, 1, weights)
+    cls, at = rng.integers(0, lm.CLASSES, 300), np.array([0, 1, 3, 3, 120, 300])
+    rows, found = lm.features(cls, at), lm.class_scores(model, cls, at)
+    one = lambda x: int(lm.mix(np.array([x], np.uint64))[0]) % lm.ROWS
+    for a, b in zip(at, at[1:], strict=False):
+        for i in range(a, b):
+            c1, c2, c3 = (int(cls[i - d]) if i - d >= a else lm.CLASSES for d in (1, 2, 3))
+            keys = [c1, c2 + 256, c3 + 512, (c1 << 16) + (c2 << 24) + 768, (c1 << 16) + (c3 << 24) + 1024]
+            want = [one(k) for k in keys]
+            assert rows[:, i].tolist() == want
+            z = bias.astype(float) + sum(weights[r].astype(float) for r in want)
+            p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+            assert abs(found[i] - np.log10(p[cls[i]])) < 1e-4
+
+
+def test_updates_follow_the_gradient() -> None:
+    """One batch against sums of single tokens' gradients, feature by feature."""
+    rng = np.random.default_rng(9)
+    cls, at = rng.integers(0, lm.CLASSES, 500), np.array([0, 200, 500])
+    rows, bias = lm.features(cls, at), rng.normal(size=lm.CLASSES).astype(np.float32)
+    weights, squares, used = np.zeros((lm.ROWS, lm.CLASSES), np.float32), np.zeros(lm.ROWS, np.float32), np.zeros(lm.ROWS, np.int64)
+    lm.update(weights, squares, used, bias, cls, rows)
+    p = np.exp(bias.astype(float)) / np.exp(bias.astype(float)).sum()
+    want, sums, seen = np.zeros((lm.ROWS, lm.CLASSES)), np.zeros(lm.ROWS), np.zeros(lm.ROWS, int)
+    for feature in rows:
+        step = np.zeros((lm.ROWS, lm.CLASSES))
+        for r, c in zip(feature, cls, strict=True):
+            step[r] += p
+            step[r, c] -= 1
+            seen[r] += 1
+        sums += (step**2).sum(1)
+        touched = np.unique(feature)
+        want[touched] -= lm.RATE * step[touched] / np.sqrt(sums[touched] + 1)[:, None]
+    assert np.allclose(weights, want, atol=1e-4) and np.allclose(squares, sums, rtol=1e-3) and (used == seen).all()
