@@ -102,11 +102,11 @@ def json_map_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS chars, count(DISTINCT md5(text)) AS texts FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL AND text <> ''")
 def front_matter_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with front matter in whole files, a file for each partition, cut at their front matter again."""
+    """Documents with front matter, a mark after each, read record by record and parted from their front matter again."""
     path = work_folder(spark, "md")
     docs = table(spark, sf_dir, "documents", "doc_id", "text").where("doc_id is not null and text <> ''")
-    writers.front_matter(docs, "text", ["doc_id"]).select(F.concat("document", F.lit("\n\x1e")).alias("value")).write.text(path)
-    found = readers.texts(spark, path).select(F.explode(F.regexp_extract_all("text", F.lit("(?s)---\ndoc_id: \\d+\n---\n\n(.*?)\n\x1e"), F.lit(1))).alias("t"))
+    writers.front_matter(docs, "text", ["doc_id"]).select(F.col("document").alias("value")).write.text(path, lineSep="\x1e")
+    found = readers.texts(spark, path, "\x1e").select(F.regexp_extract("text", r"(?s)^---\ndoc_id: \d+\n---\n\n(.*)\z", 1).alias("t"))
     return found.agg(F.count("*").alias("documents"), F.sum(F.length("t")).alias("chars"), F.count_distinct(F.md5("t")).alias("texts"))
 
 
@@ -166,31 +166,25 @@ def quoted_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT page_id, length(html) AS chars, md5(html) AS digest FROM pages WHERE html IS NOT NULL AND page_id IS NOT NULL")
 def decoded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as records of files, half of them in a folder whose files hold a line in Latin-1, decoded by what the file is."""
+    """Pages as records of files, a mark after each, decoded by what each record is."""
     path = work_folder(spark, "files")
-    rows = table(spark, sf_dir, "pages", "page_id", "html").where("html is not null and page_id is not null").select("page_id", F.concat(F.col("page_id").cast("string"), F.lit("\x1f"), "html", F.lit("\x1e")).alias("value"))
-    rows.select("value").write.text(path, lineSep="\n")
-    found = readers.decoded(spark, f"{path}/*.txt").select(F.explode(F.regexp_extract_all("text", F.lit("(?s)(\\d+\x1f.*?)\x1e"), F.lit(1))).alias("r"))
-    page = F.substring_index("r", "\x1f", 1)
-    html = F.substr("r", F.length(page) + 2, F.length("r"))
+    rows = table(spark, sf_dir, "pages", "page_id", "html").where("html is not null and page_id is not null")
+    rows.select(F.concat(F.col("page_id").cast("string"), F.lit("\x1f"), "html").alias("value")).write.text(path, lineSep="\x1e")
+    found = readers.decoded(spark, path, "\x1e")
+    page = F.substring_index("text", "\x1f", 1)
+    html = F.substr("text", F.length(page) + 2, F.length("text"))
     return found.select(page.cast("long").alias("page_id"), F.length(html).cast("long").alias("chars"), F.md5(html).alias("digest"))
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS stem, CASE WHEN c_custkey % 3 = 0 THEN '.html' ELSE '.md' END AS suffix FROM customer WHERE c_custkey < 20")
+@query("SELECT lpad(CAST(n_nationkey AS VARCHAR), 8, '0') AS stem, CASE WHEN n_nationkey % 3 = 0 THEN '.html' ELSE '.md' END AS suffix FROM nation")
 def first_file_by_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the files of one stem that whose suffix comes first (20 small files, listed and not read)."""
+    """Of the files of one number (of eight digits) that whose format comes first, listed and not read."""
     path = work_folder(spark, "stems")
-    rows = table(spark, sf_dir, "customer", "c_custkey").where("c_custkey < 20").collect()  # at most 20 rows
-    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = jvm.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for (key,) in rows:
-        for suffix in (".html", ".pdf") if key % 3 == 0 else (".pdf", ".md", ".html"):
-            out = fs.create(jvm.Path(root, f"{key}{suffix}"))
-            out.write(10)
-            out.close()
-    found = readers.first_by_stem(spark, path, [".md", ".html", ".pdf"])
-    return found.select("stem", F.regexp_extract("path", r"(\.[^.]+)$", 1).alias("suffix"))
+    suffixes = F.when(F.col("n_nationkey") % 3 == 0, F.array(F.lit(".html"), F.lit(".pdf"))).otherwise(F.array(F.lit(".pdf"), F.lit(".md"), F.lit(".html")))
+    rows = table(spark, sf_dir, "nation", "n_nationkey", "n_name").select(F.lpad(F.col("n_nationkey").cast("string"), 8, "0").alias("number"), "n_name", F.explode(suffixes).alias("suffix"))
+    rows.select(F.concat("number", "suffix").alias("file"), "n_name").write.partitionBy("file").text(path)
+    found = readers.first_by_stem(spark, path, [".md", ".html", ".pdf"], "/file=([^/]+)/")
+    return found.select("stem", F.regexp_extract("name", r"(\.[^.]+)$", 1).alias("suffix"))
 
 
 @query("SELECT event_id, user_id FROM events WHERE event_id % 3 <> 0")

@@ -40,25 +40,24 @@ def json_map(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "value"))
 
 
-def texts(spark: SparkSession, path: str) -> DataFrame:
-    """(file, text) of whole text files."""
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+def texts(spark: SparkSession, path: str, mark: str | None = None) -> DataFrame:
+    """(file, text) of whole small files, or with a mark that ends each, of the records of files of any size (such files are split among tasks)."""
+    rows = spark.read.text(path, wholetext=True) if mark is None else spark.read.text(path, lineSep=mark)
+    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
 
 
-def decoded(spark: SparkSession, path: str) -> DataFrame:
-    """(file, size, text) of files in UTF-8, or in Latin-1 if they aren't valid UTF-8."""
-    files = spark.read.format("binaryFile").load(path)
-    text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")).otherwise(F.decode("content", "ISO-8859-1"))
-    return files.select(F.col("path").alias("file"), F.col("length").alias("size"), text.alias("text"))
+def decoded(spark: SparkSession, path: str, mark: str | None = None) -> DataFrame:
+    """(file, size, text) of files, or of records that a mark ends, in UTF-8, or in Latin-1 where they aren't valid UTF-8; size counts bytes."""
+    rows = texts(spark, path, mark)
+    text = F.when(F.is_valid_utf8("text"), F.col("text")).otherwise(F.decode(F.col("text").cast("binary"), "ISO-8859-1"))
+    return rows.select("file", F.octet_length("text").cast("long").alias("size"), text.alias("text"))
 
 
-def first_by_stem(spark: SparkSession, path: str, suffixes: list[str]) -> DataFrame:
-    """For each file stem the file whose suffix comes first in the list; contents aren't read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
-    name = F.element_at(F.split("path", "/"), -1)
-    suffix = F.regexp_extract(name, r"(\.[^.]+)$", 1)
-    place = F.array_position(F.array(*[F.lit(s) for s in suffixes]), suffix)
-    rows = files.withColumn("stem", F.regexp_replace(name, r"\.[^.]+$", "")).withColumn("_place", place).where("_place > 0")
+def first_by_stem(spark: SparkSession, path: str, suffixes: list[str], name: str = "([^/]+)$") -> DataFrame:
+    """For each stem the file whose suffix comes first in the list; contents aren't read. `name` finds a file's name in its path (such as a folder's, where a writer names the files)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").withColumn("name", F.regexp_extract("path", name, 1))
+    place = F.array_position(F.array(*[F.lit(s) for s in suffixes]), F.regexp_extract("name", r"(\.[^.]+)$", 1))
+    rows = files.withColumn("stem", F.regexp_replace("name", r"\.[^.]+$", "")).withColumn("_place", place).where("_place > 0")
     best = Window.partitionBy("stem").orderBy("_place", "path")
     return rows.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n", "_place")
 

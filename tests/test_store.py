@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.sources import store
+from corpusloom.sources import readers, store
 
 
 @pytest.fixture(scope="module")
@@ -46,3 +46,12 @@ def test_folders_are_pruned_by_a_joined_dimension(spark: SparkSession, stored: s
     years = spark.createDataFrame([(2020, "a"), (2023, "b")], "year int, name string").where("name = 'b'")
     found = store.read(spark, stored).join(F.broadcast(years), "year")
     assert found.count() == 80 and "dynamicpruning" in _plan(found)
+
+
+def test_records_in_two_encodings(spark: SparkSession, tmp_path: Path) -> None:
+    (tmp_path / "a.txt").write_bytes("été\x1e".encode() + "été\n2".encode("latin-1") + b"\x1e" + "漢字".encode() + b"\x1e")
+    found = readers.decoded(spark, f"file://{tmp_path}", "\x1e").collect()
+    assert sorted((r["text"], r["size"]) for r in found) == sorted([("été", 5), ("été\n2", 5), ("漢字", 6)])
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "whole.txt").write_bytes("né\nb".encode("latin-1"))
+    assert [r["text"] for r in readers.decoded(spark, f"file://{tmp_path}/b").collect()] == ["né\nb"]
