@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LABELS = ("mention", "adoption", "risk", "vendor")
-#: Families of facts: labels, levels of signals, bands of substantiveness, and measures.
+#: One annotation: its labels, the levels of its signals and the bands of its substantiveness.
 CHUNK = "struct<mention:array<string>,adoption:array<string>,risk:array<string>,vendor:array<string>,adoption_signals:array<int>,risk_signals:array<int>,vendor_signals:array<int>,adoption_bands:array<string>,risk_bands:array<string>,vendor_bands:array<string>>"
 # Names of levels and bands, strongest first, of series, and of market slices with the segments in each.
 LEVELS = ("3-explicit", "2-strong_implicit", "1-weak_implicit")
