@@ -360,8 +360,8 @@ def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rising = x[order]
     new = np.ones(len(x), bool)
     np.not_equal(rising[1:], rising[:-1], out=new[1:])
-    place = np.empty(len(x), np.int64)
-    place[order] = np.cumsum(new) - 1
+    place = np.empty(len(x), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
     start = np.flatnonzero(new)
     return rising[start], np.diff(np.append(start, len(x))), place
 
