@@ -2,9 +2,10 @@
 
 A report row has owner, year, month (yyyy-MM or null), sector, isic, segment and `chunks`, an array of structs with the labels
 and signals of one annotation each (CHUNK). Its rows are read once: each report, and each of its chunks, spells out its facts (a
-family and a label), a number with one bit for each slice that the report belongs to goes along, and the grouping sets count the
-facts for each slice. Zeros come from the year and month totals themselves, so nothing is read again to learn which years
-there are. A hot year or sector is summed in each task before the one shuffle; the second shuffle moves sums only.
+family and a label), and a number with one bit for each slice that the report belongs to goes along. Equal facts are first counted in
+each task by month, by year, sector and isic, and by owner, with the number of slices as it is; the grouping sets then see these counts
+only and sum them for each slice. Zeros come from the year and month totals themselves, so nothing is read again to learn which years
+there are. A hot year or sector is summed in each task before the first shuffle; later shuffles move sums only.
 """
 
 from __future__ import annotations
@@ -62,11 +63,12 @@ def slice_bits(cni: Column, segments: Mapping[str, Sequence[str]] = SEGMENTS) ->
     return bits
 
 
-def _gathered() -> Column:
-    """A report's chunks as one: labels once, signals and bands as often as they stand."""
+def _units() -> Column:
+    """(basis, labels, signals and bands) of the report and of each of its chunks; a report's chunks as one have labels once, signals and bands as often as they stand."""
     fields = [f.split(":")[0] for f in CHUNK[7:-1].split(",")]
     all_of = lambda f: F.flatten(F.transform("chunks", lambda c: c[f]))
-    return F.struct(*((F.array_distinct(all_of(f)) if f in LABELS else all_of(f)).alias(f) for f in fields))
+    whole = F.struct(F.lit("report").alias("basis"), *((F.array_distinct(all_of(f)) if f in LABELS else all_of(f)).alias(f) for f in fields))
+    return F.concat(F.array(whole), F.transform("chunks", lambda c: F.struct(F.lit("chunk").alias("basis"), *(c[f].alias(f) for f in fields))))
 
 
 def majority(bands: Column) -> Column:
@@ -83,27 +85,44 @@ def _level(signal: Column) -> Column:
     return F.when(signal >= 3, LEVELS[0]).when(signal >= 2, LEVELS[1]).otherwise(LEVELS[2])
 
 
-def _facts(c: Column, basis: str) -> Column:
-    """(basis, family, label) of one report or chunk."""
-    fact = lambda family, label: F.struct(F.lit(basis).alias("basis"), F.lit(family).alias("family"), label.alias("label"))
+def _facts() -> Column:
+    """(family, label) of one report or chunk, from its columns; bands are told by their majorities, tests by columns of their names."""
+    fact = lambda family, label: F.struct(F.lit(family).alias("family"), label.alias("label"))
     parts = []
 
     def each(family: str, values: Column, name) -> None:  # noqa: ANN001
         parts.append(F.transform(values, lambda x: fact(family, name(x))))
 
     for f in LABELS:
-        each(f, F.array_distinct(c[f]), lambda x: x)
+        each(f, F.array_distinct(f), lambda x: x)
     for f in LABELS[1:]:
-        each(f"{f}_level", c[f"{f}_signals"], _level)
-        each(f"{f}_band", F.array_compact(F.array(majority(c[f"{f}_bands"]))), lambda x: x)
-    mention, none = c["mention"], F.array(F.lit("none"))
-    ai = F.size(F.array_except(mention, none)) > 0
-    risky = F.array_contains(mention, "risk") | (F.size(c["risk"]) > 0)
-    tests = {"total": F.lit(True), "ai": ai, "no_ai": ~ai, "ai_risk": risky, "no_ai_risk": ~risky, **{f"{m}_mention": F.array_contains(mention, m) for m in ("adoption", "risk", "vendor")}}
-    parts.append(F.array_compact(F.array(*(F.when(test, fact("measure", F.lit(m))) for m, test in tests.items()))))
+        each(f"{f}_level", F.col(f"{f}_signals"), _level)
+    bands = [F.when(F.col(f"_{f}_band").isNotNull(), fact(f"{f}_band", F.col(f"_{f}_band"))) for f in LABELS[1:]]
+    ai, risky = F.col("_ai"), F.col("_risky")
+    tests = {"total": F.lit(True), "ai": ai, "no_ai": ~ai, "ai_risk": risky, "no_ai_risk": ~risky, **{f"{m}_mention": F.array_contains("mention", m) for m in ("adoption", "risk", "vendor")}}
+    parts.append(F.array_compact(F.array(*bands, *(F.when(test, fact("measure", F.lit(m))) for m, test in tests.items()))))
     return F.concat(*parts)
 
 
+def _counted(reports: DataFrame, bits: Column) -> DataFrame:
+    """(part, basis, family, label, owner, year, month, sector, isic, bits, n): how often each fact stands in each month; year, sector and isic; and, of totals, owner."""
+    dims = ("owner", "year", "month", "sector", "isic")
+    units = reports.select(*dims, bits.alias("bits"), F.inline(_units()))
+    tests = {"_ai": F.size(F.array_except("mention", F.array(F.lit("none")))) > 0, "_risky": F.array_contains("mention", "risk") | (F.size("risk") > 0)}
+    units = units.withColumns({**tests, **{f"_{f}_band": majority(F.col(f"{f}_bands")) for f in LABELS[1:]}})
+    facts = units.select(*dims, "bits", "basis", F.inline(_facts()))
+    types = dict(reports.dtypes)
+
+    def part(name: str, *columns: str) -> Column:
+        return F.struct(F.lit(name).alias("part"), *((F.col(c) if c in columns else F.lit(None).cast(types[c])).alias(c) for c in dims))
+
+    total = (F.col("family") == "measure") & (F.col("label") == "total")
+    two = [part("month", "month"), part("rest", "year", "sector", "isic")]
+    parts = F.when(total, F.array(*two, part("owner", "owner"))).otherwise(F.array(*two))
+    facts = facts.select("basis", "family", "label", "bits", F.inline(parts))
+    return facts.groupBy("part", "basis", "family", "label", "bits", *dims).agg(F.count("*").alias("n"))
+
+
 def _series_of() -> Column:
     """(series, label) of a family, label and set; null for what no series holds."""
     names: list[Column] = []
@@ -137,13 +156,11 @@ def dashboard(reports: DataFrame, vocabulary: Mapping[str, Sequence[str]], secto
     Trends, heatmaps and blind spots have all years (and the months of their slice) with zeros for the vocabulary's labels; counts by sector and year have all
     given sectors; label-by-sector series have only what occurs. cni tells from a report whether it belongs to the narrow scope.
     """
-    spelt = F.concat(_facts(_gathered(), "report"), F.flatten(F.transform("chunks", lambda c: _facts(c, "chunk"))))
-    facts = reports.select("owner", "year", "month", "sector", "isic", slice_bits(cni, segments).alias("bits"), F.explode(spelt).alias("_f")).select("*", "_f.basis", "_f.family", "_f.label")
+    facts = _counted(reports, slice_bits(cni, segments))
     total = (F.col("family") == "measure") & (F.col("label") == "total")
-    facts = facts.withColumn("owner", F.when(total, F.col("owner")))
     names = slice_names(segments)
-    fixed, free = ("basis", "family", "label"), ("owner", "year", "month", "sector", "isic")
-    sums = [F.sum(F.getbit("bits", F.lit(i))).alias(f"n{i}") for i in range(len(names))]
+    fixed, free = ("part", "basis", "family", "label"), ("owner", "year", "month", "sector", "isic")
+    sums = [F.sum(F.getbit("bits", F.lit(i)) * F.col("n")).alias(f"n{i}") for i in range(len(names))]
     at = None
     for name, columns in SETS.items():
         test = F.lit(True)
@@ -151,7 +168,7 @@ def dashboard(reports: DataFrame, vocabulary: Mapping[str, Sequence[str]], secto
             test = test & (F.grouping(c) == (0 if c in columns else 1))
         at = F.when(test, name) if at is None else at.when(test, name)
     counted = facts.groupingSets([[*fixed, *columns] for columns in SETS.values()], *fixed, *free).agg(*sums, F.bit_or("bits").alias("seen"), at.alias("at"))
-    counted = counted.where("(at <> 'month' or month is not null) and (at <> 'owner' or owner is not null)").withColumn("_s", _series_of())
+    counted = counted.where("part = if(at in ('month', 'owner'), at, 'rest') and (at <> 'month' or month is not null) and (at <> 'owner' or owner is not null)").withColumn("_s", _series_of())
     year_zeros, month_zeros = _zeros(vocabulary, sectors, isic)
     head = F.when(total & (F.col("at") == "year"), year_zeros).when(total & (F.col("at") == "month"), month_zeros)
     value = lambda i: F.when(F.col("at") == "owner", F.getbit("seen", F.lit(i)).cast("long")).otherwise(F.col(f"n{i}"))

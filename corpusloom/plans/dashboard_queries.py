@@ -6,7 +6,7 @@ discount its signal and the tax its substantiveness. Customers give sector, regi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scores import signal_level
@@ -26,17 +26,25 @@ def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     some = lambda test, v: F.array_compact(F.array(F.when(test, v)))
     level = signal_level(F.col("l_discount") * 10)
     band = F.when(F.col("l_tax") >= 0.06, "substantive").when(F.col("l_tax") >= 0.03, "moderate").otherwise("boilerplate")
-    label = lambda c, k, n: F.concat(F.lit(c), (F.col(k) % n).cast("string"))
-    adopts, risks = flag == "A", flag == "R"
-    chunk = F.struct(
-        F.concat(F.array(F.when(adopts, "adoption").when(risks, "risk").otherwise("none")), some(tag, F.lit("vendor"))).alias("mention"),
-        some(adopts, label("a", "l_partkey", 3)).alias("adoption"),
-        some(risks & (F.col("l_quantity") > 25), label("r", "l_suppkey", 4)).alias("risk"),
-        some(tag, label("v", "l_suppkey", 4)).alias("vendor"),
-        *(some(test & (level > 0), level.cast("int")).alias(f"{f}_signals") for f, test in (("adoption", adopts), ("risk", risks), ("vendor", tag))),
-        *(some(test, band).alias(f"{f}_bands") for f, test in (("adoption", adopts), ("risk", risks), ("vendor", tag))),
-    )
-    chunks = lines.groupBy("l_orderkey").agg(F.collect_list(chunk).alias("chunks"))
+    label = lambda c, k, n: F.concat(F.lit(c), (k % n).cast("string"))
+    # a line is shuffled as a few numbers and spelt out when its order is whole
+    line = F.struct(
+        (flag == "A").alias("adopts"), (flag == "R").alias("risks"), tag.alias("tag"), (F.col("l_quantity") > 25).alias("much"), level.cast("int").alias("level"), band.alias("band"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"),
+    )
+
+    def chunk(x: Column) -> Column:
+        kinds = (("adoption", x["adopts"]), ("risk", x["risks"]), ("vendor", x["tag"]))
+        return F.struct(
+            F.concat(F.array(F.when(x["adopts"], "adoption").when(x["risks"], "risk").otherwise("none")), some(x["tag"], F.lit("vendor"))).alias("mention"),
+            some(x["adopts"], label("a", x["part"], 3)).alias("adoption"),
+            some(x["risks"] & x["much"], label("r", x["supplier"], 4)).alias("risk"),
+            some(x["tag"], label("v", x["supplier"], 4)).alias("vendor"),
+            *(some(test & (x["level"] > 0), x["level"]).alias(f"{f}_signals") for f, test in kinds),
+            *(some(test, x["band"]).alias(f"{f}_bands") for f, test in kinds),
+        )
+
+    chunks = lines.groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    chunks = chunks.select("l_orderkey", F.transform("lines", chunk).alias("chunks"))
     customers = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment").join(table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
     customers = customers.join(table(spark, sf_dir, "region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate").join(customers, F.col("o_custkey") == F.col("c_custkey")).join(chunks, F.col("o_orderkey") == F.col("l_orderkey"), "left")

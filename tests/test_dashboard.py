@@ -139,3 +139,14 @@ def test_tables_are_read_once(spark: SparkSession, sf_dir: str) -> None:
 def test_figures_have_all_data_sets(spark: SparkSession, sf_dir: str) -> None:
     found = queries.figure_data(spark, sf_dir).select("figure").distinct().collect()
     assert {r[0][:7] for r in found} == {f"figure{i}" for i in range(1, 9)}
+
+
+def test_grouping_sets_see_counts_not_facts(spark: SparkSession) -> None:
+    """Four times the reports give the same rows before the grouping sets, with four times the counts."""
+    reports = _reports(4)
+    rows = [(r["owner"], r["year"], r["month"], r["sector"], r["isic"], r["segment"], [tuple(c[f] for f in FIELDS) for c in r["chunks"]]) for r in reports]
+    schema = f"owner string, year int, month string, sector string, isic string, segment string, chunks array<{board.CHUNK}>"
+    once, often = (
+        {tuple(r)[:-1]: r["n"] for r in board._counted(spark.createDataFrame(x, schema), board.slice_bits(F.col("sector") != "Other")).collect()} for x in (rows, rows * 4)
+    )
+    assert often == {k: 4 * n for k, n in once.items()}
