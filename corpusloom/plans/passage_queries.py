@@ -14,6 +14,8 @@ _HITS = "n AS (" + " UNION ALL ".join(
     f"""SELECT doc_id, '{k}' AS name, unnest(regexp_extract_all(text, '{p}')) AS hit, unnest(list_slice(string_split_regex(text, '{p}'), 1, -2)) AS gap, generate_subscripts(regexp_extract_all(text, '{p}'), 1) AS k FROM documents WHERE regexp_matches(text, '{p}')"""
     for k, p in PATTERNS.items()
 ) + """), hits AS (SELECT doc_id, name, hit, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, name ORDER BY k) - length(hit) AS BIGINT) AS start FROM n)"""
+#: As Spark sees them.
+BOUNDED = {k: rules.ascii_bounds(p) for k, p in PATTERNS.items()}
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +25,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f'WITH {_HITS} SELECT doc_id, name, hit, start, start + length(hit) AS "end" FROM hits')
 def keyword_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hit of every keyword pattern with its place in the text."""
-    return passages.hits(_docs(spark, sf_dir), "doc_id", "text", PATTERNS)
+    return passages.hits(_docs(spark, sf_dir), "doc_id", "text", BOUNDED)
 
 
 @query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents), k AS (SELECT * FROM l WHERE length(t) >= 50),
@@ -32,7 +34,7 @@ SELECT doc_id, line, name, count(*) AS hits FROM m GROUP BY ALL""")
 def candidate_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 50 characters or more with a row for each pattern that hits, and how often."""
     lines = _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).where(F.length("t") >= 50)
-    counts = F.array(*[F.struct(F.lit(k).alias("name"), F.regexp_count("t", F.lit(PATTERNS[k])).cast("long").alias("hits")) for k in ("mean", "number")])
+    counts = F.array(*[F.struct(F.lit(k).alias("name"), F.regexp_count("t", F.lit(BOUNDED[k])).cast("long").alias("hits")) for k in ("mean", "number")])
     return lines.select("doc_id", F.col("line").cast("long").alias("line"), F.inline(counts)).where("hits > 0")
 
 
@@ -40,14 +42,14 @@ def candidate_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def span_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _docs(spark, sf_dir).select("doc_id", F.explode(F.split("text", "\n")).alias("t"))
     long = F.length("t") >= 50
-    return lines.groupBy("doc_id").agg(F.count("*").alias("spans"), F.count_if(long).alias("long_spans"), F.count_if(long & F.regexp_like("t", F.lit(PATTERNS["mean"]))).alias("candidates"))
+    return lines.groupBy("doc_id").agg(F.count("*").alias("spans"), F.count_if(long).alias("long_spans"), F.count_if(long & F.regexp_like("t", F.lit(BOUNDED["mean"]))).alias("candidates"))
 
 
 @query("""WITH p AS (SELECT doc_id, unnest(string_split_regex(text, '[.!?][ \\n]')) AS s, generate_subscripts(string_split_regex(text, '[.!?][ \\n]'), 1) AS k FROM documents),
  w AS (SELECT *, CAST(sum(length(s) + 2) OVER (PARTITION BY doc_id ORDER BY k) - length(s) - 2 AS BIGINT) AS start FROM p) SELECT doc_id, start, start + length(s) AS "end" FROM w WHERE regexp_matches(s, '[0-9]{3}')""")
 def hit_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword hits widened to the bounds of their sentences."""
-    return passages.sentences_with(_docs(spark, sf_dir), "doc_id", "text", PATTERNS["number"])
+    return passages.sentences_with(_docs(spark, sf_dir), "doc_id", "text", BOUNDED["number"])
 
 
 @query("SELECT doc_id, left(text, 500) AS snippet, left(replace(replace(text, chr(13), ' '), chr(10), ' '), 160) AS preview FROM documents")

@@ -11,6 +11,7 @@ from ..operators import chunking, html_spans, profile
 from .registry import query, table
 
 PATTERNS = {"mean": r"\bthe\b", "number": r"[0-9]{3}", "time": r"(?i)\b(?:time|year|day)s?\b"}
+PATTERNS = {k: rules.ascii_bounds(p) for k, p in PATTERNS.items()}
 _HITS = """h AS (SELECT doc_id, text, list_filter([CASE WHEN regexp_matches(text, '\\bthe\\b') THEN 'mean' END, CASE WHEN regexp_matches(text, '[0-9]{3}') THEN 'number' END,
  CASE WHEN regexp_matches(text, '(?i)\\b(?:time|year|day)s?\\b') THEN 'time' END], lambda x: x IS NOT NULL) AS hits FROM documents)"""
 
