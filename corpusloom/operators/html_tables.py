@@ -126,7 +126,8 @@ def scored(found: DataFrame, expected: Column) -> DataFrame:
 def records(found: DataFrame, key: str, expected: Column) -> DataFrame:
     """(key, place, row, name, ticker): rows with a name of each page's best table (the first of equal ones) that scores enough; a page's tables travel once, as one row each."""
     best = Window.partitionBy(key).orderBy(F.desc("score"), "place")
-    rows = scored(found, expected).where(F.col("score") >= LEAST_SCORE).withColumn("_k", F.row_number().over(best)).where("_k = 1")
+    # tables are ranked before low scores go: a filter on the score right after it would be pushed down with all that the score is made of spelt out, for each row of each table again
+    rows = scored(found, expected).withColumn("_k", F.row_number().over(best)).where((F.col("_k") == 1) & (F.col("score") >= LEAST_SCORE))
     body = rows.select(key, "place", "name_at", "ticker_at", F.posexplode("body").alias("row", "r"))
     body = body.select(key, "place", (F.col("row") + 1).alias("row"), F.get("r", "name_at").alias("name"), F.coalesce(F.get("r", "ticker_at"), F.lit("")).alias("ticker"))
     return body.where("name <> ''")

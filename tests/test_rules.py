@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
@@ -11,8 +12,11 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import payload, titles
 from corpusloom.operators import html_tables, lookup, mentions, passages
+from corpusloom.plans import SQL, all_queries
 from corpusloom.sources import readers
 
+from .oracle import TABLES, differences
+
 
 @pytest.mark.parametrize(("heads", "rows"), [(("Company", "EPIC"), 100), (("Issuer name", "Ticker"), 250)])
 def test_tables_of_constituents(spark: SparkSession, heads: tuple[str, str], rows: int) -> None:
@@ -119,3 +123,21 @@ def test_risk_answers_name_every_broken_rule(spark: SparkSession) -> None:
     rows = spark.createDataFrame(list(enumerate(cases)), "id int, raw string").select("id", F.try_parse_json("raw").alias("v"))
     got = dict(map(tuple, payload.risk_messages(rows, "v", ("cyber", "market", "none"), ("low", "high")).select("id", F.array_sort("messages")).collect()))
     assert got == dict(enumerate(cases.values()))
+
+
+def test_words_end_at_letters_with_accents(spark: SparkSession, sf_dir: str, tmp_path: Path) -> None:
+    """A letter with an accent bounds a word, as it does in the queries' SQL."""
+    for t in TABLES:
+        (tmp_path / f"{t}.parquet").symlink_to(f"{sf_dir}/{t}.parquet")
+    (tmp_path / "conversations.parquet").unlink()
+    turns = [(1, 0, "user", "éla"), (1, 1, "user", "ela"), (1, 2, "user", "a"), (1, 3, "user", "dieñ x"), (2, 0, "user", "ofé. x"), (2, 1, "user", "_the")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    for name in ("keyword_strategy", "mention_units"):
+        assert differences(all_queries()[name](spark, str(tmp_path)), SQL[name], str(tmp_path)) == []
+
+
+def test_scores_of_tables_are_not_spelt_out_in_a_filter(spark: SparkSession) -> None:
+    """What a score is made of isn't worked out again in a filter under the projections."""
+    pages = spark.createDataFrame([(1, "<table><tr><td>a<td>b</table>")], "page int, html string")
+    plan = html_tables.records(html_tables.tables(pages, "page", "html"), "page", F.lit(100))._jdf.queryExecution().optimizedPlan().toString()
+    assert all(line.count("transform(") < 3 for line in plan.splitlines() if "Filter " in line)
