@@ -23,6 +23,8 @@ from ..functions.text import repair_accepted
 STICKY = ("and", "the", "for", "are", "was", "has", "its", "our", "all", "can", "may", "will", "not", "but", "also", "more", "most")
 AHEAD = 4
 SHORTEST = 4
+#: So many lookups leave a task together, and so many characters of texts are repaired together.
+MOST_LOOKUPS, MOST_CHARACTERS = 50_000, 1_000_000
 #: A sticky word leaves more than two letters beside it.
 BESIDE = 2
 #: Words of one or two letters; a corpus with broken words would teach many others.
@@ -116,23 +118,31 @@ def walk(tokens: list[str], words: set[str]) -> list[str]:
     return out
 
 
+def looked_up(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """(key, _hash, words) from batches of (key, _hash, text), in batches of MOST_LOOKUPS and at most one text more: a text's lookups are many times its size."""
+    for b in batches:
+        words: list[list[str]] = []
+        first = size = 0
+        for i in range(b.num_rows):
+            words.append(sorted(candidates((b.column(2)[i].as_py() or "").split())))
+            size += len(words[-1])
+            if size >= MOST_LOOKUPS or i == b.num_rows - 1:
+                part = b.slice(first, len(words))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(words, pa.list_(pa.string()))], [key, "_hash", "words"])
+                first, size, words = i + 1, 0, []
+
+
 def _lookups(texts: DataFrame, key: str, text: str) -> DataFrame:
     """(key, _hash, word) of what each text may need."""
     df = texts.where(F.col(text).isNotNull()).select(key, F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            words = [sorted(candidates((t or "").split())) for t in b.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(key), b.column("_hash"), pa.array(words, pa.list_(pa.string()))], [key, "_hash", "words"])
-
-    found = df.mapInArrow(make, f"`{key}` {dict(df.dtypes)[key]}, _hash long, words array<string>")
-    return found.select(key, "_hash", F.explode("words").alias("word")).distinct()
+    found = df.mapInArrow(lambda batches: looked_up(batches, key), f"`{key}` {dict(df.dtypes)[key]}, _hash long, words array<string>")
+    return found.select(key, "_hash", F.explode("words").alias("word"))
 
 
 def known_words(texts: DataFrame, key: str, text: str, words: DataFrame) -> DataFrame:
     """(key, _hash, _words): of each text's lookups those that are in the dictionary."""
     found = _lookups(texts, key, text).join(words.select("word").distinct(), "word", "left_semi")
-    return found.groupBy(key, "_hash").agg(F.collect_list("word").alias("_words"))
+    return found.groupBy(key, "_hash").agg(F.collect_set("word").alias("_words"))  # repeated rows look up the same words
 
 
 def validity(texts: DataFrame, key: str, text: str, words: DataFrame) -> DataFrame:
@@ -174,16 +184,21 @@ def repair(texts: DataFrame, key: str, text: str, words: DataFrame) -> DataFrame
     schema = ", ".join([*(f"`{c}` {t}" for c, t in df.dtypes), "repaired string, unknown_before int, unknown_after int"])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, of = names.index(text), names.index("_words")
         for b in batches:
             out: list[tuple] = []
-            for t, w in zip(b.column(text).to_pylist(), b.column("_words").to_pylist(), strict=True):
-                known, tokens = set(w), (t or "").split()
+            first = size = 0
+            for i in range(b.num_rows):
+                t = b.column(at)[i].as_py()
+                known, tokens = set(b.column(of)[i].as_py()), (t or "").split()
                 after = walk(tokens, known)
                 counts = (sum(x.isalpha() and x.lower() not in known for x in side) for side in (tokens, after))
                 out.append((None if t is None else " ".join(after), *counts))
-            columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.int32()), strict=True)] if out else []
-            if out:
-                yield pa.RecordBatch.from_arrays([*b.columns, *columns], [*names, "repaired", "unknown_before", "unknown_after"])
+                size += len(t or "")
+                if size >= MOST_CHARACTERS or i == b.num_rows - 1:
+                    columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.int32()), strict=True)]
+                    yield pa.RecordBatch.from_arrays([*b.slice(first, len(out)).columns, *columns], [*names, "repaired", "unknown_before", "unknown_after"])
+                    first, size, out = i + 1, 0, []
 
     df = df.mapInArrow(make, schema)
     kept = F.coalesce((F.col("unknown_after") < F.col("unknown_before")) & repair_accepted(F.col(text), F.col("repaired")), F.lit(False))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -183,3 +184,16 @@ def test_whole_texts_are_mended(spark: SparkSession, sf_dir: str) -> None:
     """Most of the unknown tokens that the query's damage makes are gone, and no number is."""
     found = queries.repaired_fragments(spark, sf_dir).where("kept").agg(F.sum("unknown_before"), F.sum("unknown_after"), F.count("*")).first()
     assert found[2] > 20 and found[1] < found[0]
+
+
+def test_lookups_leave_in_small_batches(spark: SparkSession) -> None:
+    """A batch of many texts doesn't become one batch of all their lookups, and lookups are shuffled by word only."""
+    texts = [" ".join(f"land{i}x{k}" for k in range(400)) for i in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(range(60)), pa.array(texts)], ["k", "_hash", "_text"])
+    out = list(fragments.looked_up(iter([batch]), "k"))
+    sizes = [len(b.column(2).flatten()) for b in out]
+    one = len(fragments.candidates(texts[0].split()))
+    assert len(out) > 1 and max(sizes) < fragments.MOST_LOOKUPS + 2 * one
+    assert [k for b in out for k in b.column(0).to_pylist()] == list(range(60))
+    df = spark.createDataFrame([(1, "a b")], "k int, t string")
+    assert "Exchange" not in fragments._lookups(df, "k", "t")._jdf.queryExecution().executedPlan().toString()
