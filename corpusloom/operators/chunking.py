@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +19,8 @@ from . import passages
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _BLANK = re.compile(r"\n\s*\n")
+#: Characters of parts that leave a task together.
+AT_ONCE = 1_000_000
 
 
 def blocks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -131,16 +133,25 @@ def _rows(df: DataFrame, text: str, parts: Callable[[object], Iterable[str]]) ->
     """Each row once for each part of its `text`, numbered in `part` from 0; a row without parts keeps an empty one."""
     kinds = {c: "string" if c == text else t for c, t in df.dtypes}
     schema = ", ".join([*(f"`{c}` {t}" for c, t in kinds.items()), "part int"])
-
-    def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            found = [list(parts(t)) or [""] for t in f[text]]
-            rows = f.loc[f.index.repeat([len(p) for p in found])].copy()
-            rows[text] = [x for p in found for x in p]
-            rows["part"] = [i for p in found for i in range(len(p))]
-            yield rows
-
-    return df.mapInPandas(make, schema)
+    return df.mapInArrow(lambda batches: cut_rows(batches, text, parts), schema)
+
+
+def cut_rows(batches: Iterable[pa.RecordBatch], text: str, parts: Callable[[object], Iterable[str]]) -> Iterator[pa.RecordBatch]:
+    """Each row once for each part of its `text`, with its number, in batches of AT_ONCE characters and at most one text more."""
+    for b in batches:
+        at = b.schema.names.index(text)
+        of, texts, places, size = [], [], [], 0
+        for i in range(b.num_rows):
+            found = list(parts(b.column(at)[i].as_py())) or [""]
+            of += [i] * len(found)
+            texts += found
+            places += range(len(found))
+            size += sum(map(len, found))
+            if size >= AT_ONCE or i == b.num_rows - 1:
+                rows = pa.array(of, pa.int64())
+                columns = [pa.array(texts, pa.string()) if k == at else c.take(rows) for k, c in enumerate(b.columns)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(places, pa.int32())], [*b.schema.names, "part"])
+                of, texts, places, size = [], [], [], 0
 
 
 def split_words(chunks: DataFrame, most: int, text: str = "chunk_text", overlap: int = 1) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import re
 from difflib import SequenceMatcher
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
@@ -220,3 +221,13 @@ def test_names_in_readers_order(spark: SparkSession) -> None:
     assert by_name == ["apple", "Banana", "eclair", "Éclair", "Zed"]
     both = [r["section"] for r in df.orderBy(*select.locale_order("name", "section", ("late", "first"))).select("section").collect()]
     assert both == ["late", "first", "A", "b", *["s"] * 5]
+
+
+def test_parts_leave_in_small_batches() -> None:
+    """A batch of many texts doesn't become one batch of all their parts."""
+    texts = ["a" * 300_000, None, "b" * 900_000, "c", ""] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(15)), pa.array(texts)], ["k", "text"])
+    out = list(chunking.cut_rows([batch], "text", lambda t: [t, t] if t else []))
+    assert len(out) > 2
+    assert [(k, p) for b in out for k, p in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)] == [(k, p) for k, t in enumerate(texts) for p in range(2 if t else 1)]
+    assert max(sum(map(len, b.column(1).to_pylist())) for b in out) < chunking.AT_ONCE + 2_000_000
