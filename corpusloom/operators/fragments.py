@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -145,16 +146,38 @@ def known_words(texts: DataFrame, key: str, text: str, words: DataFrame) -> Data
     return found.groupBy(key, "_hash").agg(F.collect_set("word").alias("_words"))  # repeated rows look up the same words
 
 
+def counted(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """(key, _hash, word, tokens, longer) from batches of (key, _hash, tokens, longer): how often each word of a text stands in either list; a text without words keeps a row."""
+    none = pa.array([], pa.string())
+    for b in batches:
+        of: list[int] = []
+        parts: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+        for i in range(b.num_rows):
+            tokens, longer = (b.column(k)[i].values if b.column(k)[i].is_valid else none for k in (2, 3))
+            both = pa.concat_arrays([tokens, longer]).dictionary_encode()
+            place, n = both.indices.to_numpy(), len(both.dictionary)
+            if n:
+                parts.append((both.dictionary, np.bincount(place[: len(tokens)], minlength=n), np.bincount(place[len(tokens) :], minlength=n)))
+            else:
+                parts.append((pa.nulls(1, pa.string()), np.zeros(1, int), np.zeros(1, int)))
+            of += [i] * max(n, 1)
+            if len(of) >= MOST_LOOKUPS or i == b.num_rows - 1:
+                at, (words, own, long) = pa.array(of, pa.int64()), zip(*parts, strict=True)
+                columns = [b.column(0).take(at), b.column(1).take(at), pa.concat_arrays(words), pa.array(np.concatenate(own)), pa.array(np.concatenate(long))]
+                yield pa.RecordBatch.from_arrays(columns, [key, "_hash", "word", "tokens", "longer"])
+                of, parts = [], []
+
+
 def validity(texts: DataFrame, key: str, text: str, words: DataFrame) -> DataFrame:
     """(key, unknown, suspicious, needs_repair) of each text: tokens of letters that aren't words, single letters other than a and i, and whether a longer text needs repair.
 
     It does if under 60 % of its longer words are valid, over 15 % are very long, or a connecting word is stuck between others.
     """
     column = F.col(text)
-    tokens = F.transform(F.filter(F.split(F.lower(column), r"(?U)\s+"), lambda t: F.regexp_like(t, F.lit(r"^\p{L}+\z"))), lambda t: F.struct(t.alias("word"), F.lit(1).alias("token"), F.lit(0).alias("longer")))
-    longer = F.transform(F.regexp_extract_all(column, F.lit("[A-Za-z]{3,}"), F.lit(0)), lambda t: F.struct(F.lower(t).alias("word"), F.lit(0).alias("token"), F.lit(1).alias("longer")))
-    rows = texts.select(key, F.xxhash64(text).alias("_hash"), F.explode_outer(F.concat(tokens, longer)).alias("_t"))
-    rows = rows.groupBy(key, "_hash", F.col("_t.word").alias("word")).agg(F.sum("_t.token").alias("tokens"), F.sum("_t.longer").alias("longer"))
+    tokens = F.filter(F.split(F.lower(column), r"(?U)\s+"), lambda t: F.regexp_like(t, F.lit(r"^\p{L}+\z")))
+    longer = F.transform(F.regexp_extract_all(column, F.lit("[A-Za-z]{3,}"), F.lit(0)), F.lower)
+    rows = texts.select(key, F.xxhash64(text).alias("_hash"), tokens.alias("_tokens"), longer.alias("_longer"))
+    rows = rows.mapInArrow(lambda batches: counted(batches, key), f"`{key}` {dict(texts.dtypes)[key]}, _hash long, word string, tokens long, longer long")
     rows = rows.join(words.select("word", F.lit(True).alias("known")).distinct(), "word", "left")
     sums = rows.groupBy(key, "_hash").agg(
         F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("tokens"))), F.lit(0)).alias("unknown"),

@@ -197,3 +197,12 @@ def test_lookups_leave_in_small_batches(spark: SparkSession) -> None:
     assert [k for b in out for k in b.column(0).to_pylist()] == list(range(60))
     df = spark.createDataFrame([(1, "a b")], "k int, t string")
     assert "Exchange" not in fragments._lookups(df, "k", "t")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_of_a_text_are_counted_before_the_shuffle(spark: SparkSession) -> None:
+    """A text's words travel once to the dictionary, not also to be counted."""
+    df = spark.createDataFrame([(1, "the the of"), (2, None), (3, "")], "k int, t string")
+    words = spark.createDataFrame([("the",)], "word string")
+    found = fragments.validity(df, "k", "t", words)
+    assert sorted((r["k"], r["unknown"], r["needs_repair"]) for r in found.collect()) == [(1, 1, False), (2, 0, False), (3, 0, False)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2  # the dictionary and the sums
