@@ -14,6 +14,7 @@ from corpusloom.functions import names
 from corpusloom.functions import text as rules
 from corpusloom.operators import fragments, html_tables, passages
 from corpusloom.plans import extraction_queries as queries
+from corpusloom.plans import text_queries
 
 
 def _one(spark: SparkSession, c: Column) -> object:
@@ -206,3 +207,9 @@ def test_words_of_a_text_are_counted_before_the_shuffle(spark: SparkSession) ->
     found = fragments.validity(df, "k", "t", words)
     assert sorted((r["k"], r["unknown"], r["needs_repair"]) for r in found.collect()) == [(1, 1, False), (2, 0, False), (3, 0, False)]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2  # the dictionary and the sums
+
+
+def test_answers_are_not_read_again_in_a_filter(spark: SparkSession, sf_dir: str) -> None:
+    plan = text_queries.json_signals_normalise(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter " in line and "parse" in line.lower()]
+    assert plan.count("StructsToJsonEvaluator") <= 8
