@@ -5,12 +5,13 @@ and signals of one annotation each (CHUNK). Its rows are read once: each report,
 family and a label), and a number with one bit for each slice that the report belongs to goes along. Equal facts are first counted in
 each task by month, by year, sector and isic, and by owner, with the number of slices as it is; the grouping sets then see these counts
 only and sum them for each slice. Zeros come from the year and month totals themselves, so nothing is read again to learn which years
-there are. A hot year or sector is summed in each task before the first shuffle; later shuffles move sums only.
+there are. A hot year or sector is summed in each task before the first shuffle; later shuffles move sums only. Who needs some series or
+one basis only names them, and facts and dimensions of the others are never made.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,10 @@ MEASURES = {
     ("total", "sector_year"): ("reportCountBySectorYear", None), ("no_ai", "sector_year"): ("noAiBySectorYear", None), ("no_ai_risk", "sector_year"): ("noAiRiskBySectorYear", None),
     ("risk_mention", "sector_year"): ("riskMentionBySectorYear", None), ("total", "isic_year"): ("reportCountByIsicSectorYear", None), ("risk_mention", "isic_year"): ("riskMentionByIsicSectorYear", None),
 }
+BASES = ("report", "chunk")
+ZERO = "struct<series:string,label:string,sector:string>"
+#: What the figures are made from.
+FIGURE_SERIES = ("mentionTrend", "adoptionTrend", "riskTrend", "vendorTrend", "blindSpotTrend", "substantivenessHeatmap", "reportCountBySectorYear", "riskMentionBySectorYear", "noAiRiskBySectorYear")
 KEYS = ("basis", "segment", "scope", "series", "year", "month", "label", "sector")
 
 
@@ -63,12 +68,20 @@ def slice_bits(cni: Column, segments: Mapping[str, Sequence[str]] = SEGMENTS) ->
     return bits
 
 
-def _units() -> Column:
+def _made(series: Collection[str] | None) -> tuple[dict[tuple[str, str], str], dict[tuple[str, str], tuple[str, str | None]]]:
+    """SERIES and MEASURES of the named series, or all."""
+    some = lambda name: series is None or name in series
+    return {k: v for k, v in SERIES.items() if some(v)}, {k: v for k, v in MEASURES.items() if some(v[0])}
+
+
+def _units(bases: Collection[str], families: Collection[str]) -> Column:
     """(basis, labels, signals and bands) of the report and of each of its chunks; a report's chunks as one have labels once, signals and bands as often as they stand."""
     fields = [f.split(":")[0] for f in CHUNK[7:-1].split(",")]
+    fields = [f for f in fields if f in LABELS or f.replace("_signals", "_level").replace("_bands", "_band") in families]
     all_of = lambda f: F.flatten(F.transform("chunks", lambda c: c[f]))
     whole = F.struct(F.lit("report").alias("basis"), *((F.array_distinct(all_of(f)) if f in LABELS else all_of(f)).alias(f) for f in fields))
-    return F.concat(F.array(whole), F.transform("chunks", lambda c: F.struct(F.lit("chunk").alias("basis"), *(c[f].alias(f) for f in fields))))
+    units = {"report": F.array(whole), "chunk": F.transform("chunks", lambda c: F.struct(F.lit("chunk").alias("basis"), *(c[f].alias(f) for f in fields)))}
+    return F.concat(*(units[b] for b in BASES if b in bases))
 
 
 def majority(bands: Column) -> Column:
@@ -85,7 +98,7 @@ def _level(signal: Column) -> Column:
     return F.when(signal >= 3, LEVELS[0]).when(signal >= 2, LEVELS[1]).otherwise(LEVELS[2])
 
 
-def _facts() -> Column:
+def _facts(families: Collection[str], measures: Collection[str]) -> Column:
     """(family, label) of one report or chunk, from its columns; bands are told by their majorities, tests by columns of their names."""
     fact = lambda family, label: F.struct(F.lit(family).alias("family"), label.alias("label"))
     parts = []
@@ -94,87 +107,98 @@ def _facts() -> Column:
         parts.append(F.transform(values, lambda x: fact(family, name(x))))
 
     for f in LABELS:
-        each(f, F.array_distinct(f), lambda x: x)
+        if f in families:
+            each(f, F.array_distinct(f), lambda x: x)
     for f in LABELS[1:]:
-        each(f"{f}_level", F.col(f"{f}_signals"), _level)
-    bands = [F.when(F.col(f"_{f}_band").isNotNull(), fact(f"{f}_band", F.col(f"_{f}_band"))) for f in LABELS[1:]]
+        if f"{f}_level" in families:
+            each(f"{f}_level", F.col(f"{f}_signals"), _level)
+    bands = [F.when(F.col(f"_{f}_band").isNotNull(), fact(f"{f}_band", F.col(f"_{f}_band"))) for f in LABELS[1:] if f"{f}_band" in families]
     ai, risky = F.col("_ai"), F.col("_risky")
     tests = {"total": F.lit(True), "ai": ai, "no_ai": ~ai, "ai_risk": risky, "no_ai_risk": ~risky, **{f"{m}_mention": F.array_contains("mention", m) for m in ("adoption", "risk", "vendor")}}
-    parts.append(F.array_compact(F.array(*bands, *(F.when(test, fact("measure", F.lit(m))) for m, test in tests.items()))))
+    parts.append(F.array_compact(F.array(*bands, *(F.when(test, fact("measure", F.lit(m))) for m, test in tests.items() if m in measures))))
     return F.concat(*parts)
 
 
-def _counted(reports: DataFrame, bits: Column) -> DataFrame:
+def _counted(reports: DataFrame, bits: Column, bases: Collection[str] = BASES, families: Collection[str] = tuple({f for f, _ in SERIES}), measures: Collection[str] = tuple({m for m, _ in MEASURES}), sets: Collection[str] = tuple(SETS)) -> DataFrame:
     """(part, basis, family, label, owner, year, month, sector, isic, bits, n): how often each fact stands in each month; year, sector and isic; and, of totals, owner."""
     dims = ("owner", "year", "month", "sector", "isic")
-    units = reports.select(*dims, bits.alias("bits"), F.inline(_units()))
+    units = reports.select(*dims, bits.alias("bits"), F.inline(_units(bases, families)))
     tests = {"_ai": F.size(F.array_except("mention", F.array(F.lit("none")))) > 0, "_risky": F.array_contains("mention", "risk") | (F.size("risk") > 0)}
-    units = units.withColumns({**tests, **{f"_{f}_band": majority(F.col(f"{f}_bands")) for f in LABELS[1:]}})
-    facts = units.select(*dims, "bits", "basis", F.inline(_facts()))
+    units = units.withColumns({**tests, **{f"_{f}_band": majority(F.col(f"{f}_bands")) for f in LABELS[1:] if f"{f}_band" in families}})
+    facts = units.select(*dims, "bits", "basis", F.inline(_facts(families, measures)))
     types = dict(reports.dtypes)
 
     def part(name: str, *columns: str) -> Column:
         return F.struct(F.lit(name).alias("part"), *((F.col(c) if c in columns else F.lit(None).cast(types[c])).alias(c) for c in dims))
 
     total = (F.col("family") == "measure") & (F.col("label") == "total")
-    two = [part("month", "month"), part("rest", "year", "sector", "isic")]
-    parts = F.when(total, F.array(*two, part("owner", "owner"))).otherwise(F.array(*two))
+    used = {c for at in sets for c in SETS[at]}
+    two = [*([part("month", "month")] if "month" in used else []), part("rest", *(used & {"year", "sector", "isic"}))]
+    parts = F.array(*two)
+    if "owner" in used:
+        parts = F.when(total, F.array(*two, part("owner", "owner"))).otherwise(parts)
     facts = facts.select("basis", "family", "label", "bits", F.inline(parts))
     return facts.groupBy("part", "basis", "family", "label", "bits", *dims).agg(F.count("*").alias("n"))
 
 
-def _series_of() -> Column:
+def _series_of(made: Mapping[tuple[str, str], str], counts: Mapping[tuple[str, str], tuple[str, str | None]]) -> Column:
     """(series, label) of a family, label and set; null for what no series holds."""
     names: list[Column] = []
-    for (family, at), series in SERIES.items():
+    for (family, at), series in made.items():
         names += [F.lit(f"{family}/{at}"), F.struct(F.lit(series).alias("series"), F.lit("*").alias("label"))]
-    for (measure, at), (series, label) in MEASURES.items():
+    for (measure, at), (series, label) in counts.items():
         names += [F.lit(f"measure/{at}/{measure}"), F.struct(F.lit(series).alias("series"), F.lit(label).cast("string").alias("label"))]
     key = F.concat_ws("/", "family", "at", F.when(F.col("family") == "measure", F.col("label")))
     return F.try_element_at(F.create_map(*names), key)
 
 
-def _zeros(vocabulary: Mapping[str, Sequence[str]], sectors: Sequence[str], isic: Sequence[str]) -> tuple[Column, Column]:
+def _zeros(made: Mapping[tuple[str, str], str], counts: Mapping[tuple[str, str], tuple[str, str | None]], vocabulary: Mapping[str, Sequence[str]], sectors: Sequence[str], isic: Sequence[str]) -> tuple[Column, Column]:
     """(series, label, sector) that stand in every year, and in every month."""
     row = lambda series, label=None, sector=None: F.struct(F.lit(series).alias("series"), F.lit(label).cast("string").alias("label"), F.lit(sector).cast("string").alias("sector"))
-    yearly = [row(SERIES[f, "year"], v) for f in LABELS for v in vocabulary[f]]
-    yearly += [row(SERIES[f"{f}_{kind}", "year"], v) for f in LABELS[1:] for kind, values in (("level", LEVELS), ("band", BANDS)) for v in values]
-    monthly = [row(SERIES[f, "month"], v) for f in LABELS for v in vocabulary[f]]
-    for (_, at), (series, label) in MEASURES.items():
+    yearly = [row(made[f, "year"], v) for f in LABELS if (f, "year") in made for v in vocabulary[f]]
+    yearly += [row(made[f"{f}_{kind}", "year"], v) for f in LABELS[1:] for kind, values in (("level", LEVELS), ("band", BANDS)) if (f"{f}_{kind}", "year") in made for v in values]
+    monthly = [row(made[f, "month"], v) for f in LABELS if (f, "month") in made for v in vocabulary[f]]
+    for (_, at), (series, label) in counts.items():
         if at == "year":
             yearly.append(row(series, label))
         elif at == "month":
             monthly.append(row(series, label))
         elif at in ("sector_year", "isic_year"):
             yearly += [row(series, None, s) for s in (sectors if at == "sector_year" else isic)]
-    return F.array(*yearly), F.array(*monthly)
+    return tuple(F.array(*rows).cast(f"array<{ZERO}>") for rows in (yearly, monthly))
 
 
-def dashboard(reports: DataFrame, vocabulary: Mapping[str, Sequence[str]], sectors: Sequence[str], isic: Sequence[str], cni: Column, segments: Mapping[str, Sequence[str]] = SEGMENTS) -> DataFrame:
-    """(basis, segment, scope, series, year, month, label, sector, value): all series of all slices.
+def dashboard(reports: DataFrame, vocabulary: Mapping[str, Sequence[str]], sectors: Sequence[str], isic: Sequence[str], cni: Column, segments: Mapping[str, Sequence[str]] = SEGMENTS, series: Collection[str] | None = None, bases: Collection[str] = BASES) -> DataFrame:
+    """(basis, segment, scope, series, year, month, label, sector, value): all series of all slices, or the named series and bases only.
 
     Trends, heatmaps and blind spots have all years (and the months of their slice) with zeros for the vocabulary's labels; counts by sector and year have all
     given sectors; label-by-sector series have only what occurs. cni tells from a report whether it belongs to the narrow scope.
     """
-    facts = _counted(reports, slice_bits(cni, segments))
+    made, counts = _made(series)
+    measures = {"total", *(m for m, _ in counts)}  # zeros come with totals
+    sets = [at for at in SETS if at in {at for _, at in (*made, *counts)}]
+    if {"sector_year", "isic_year"} & set(sets) and "year" not in sets:
+        sets.append("year")
+    facts = _counted(reports, slice_bits(cni, segments), bases, {f for f, _ in made}, measures, sets)
     total = (F.col("family") == "measure") & (F.col("label") == "total")
     names = slice_names(segments)
     fixed, free = ("part", "basis", "family", "label"), ("owner", "year", "month", "sector", "isic")
     sums = [F.sum(F.getbit("bits", F.lit(i)) * F.col("n")).alias(f"n{i}") for i in range(len(names))]
     at = None
-    for name, columns in SETS.items():
+    for name in sets:
+        columns = SETS[name]
         test = F.lit(True)
         for c in free:
             test = test & (F.grouping(c) == (0 if c in columns else 1))
         at = F.when(test, name) if at is None else at.when(test, name)
-    counted = facts.groupingSets([[*fixed, *columns] for columns in SETS.values()], *fixed, *free).agg(*sums, F.bit_or("bits").alias("seen"), at.alias("at"))
-    counted = counted.where("part = if(at in ('month', 'owner'), at, 'rest') and (at <> 'month' or month is not null) and (at <> 'owner' or owner is not null)").withColumn("_s", _series_of())
-    year_zeros, month_zeros = _zeros(vocabulary, sectors, isic)
+    counted = facts.groupingSets([[*fixed, *SETS[name]] for name in sets], *fixed, *free).agg(*sums, F.bit_or("bits").alias("seen"), at.alias("at"))
+    counted = counted.where("part = if(at in ('month', 'owner'), at, 'rest') and (at <> 'month' or month is not null) and (at <> 'owner' or owner is not null)").withColumn("_s", _series_of(made, counts))
+    year_zeros, month_zeros = _zeros(made, counts, vocabulary, sectors, isic)
     head = F.when(total & (F.col("at") == "year"), year_zeros).when(total & (F.col("at") == "month"), month_zeros)
     value = lambda i: F.when(F.col("at") == "owner", F.getbit("seen", F.lit(i)).cast("long")).otherwise(F.col(f"n{i}"))
     each = F.array(*(F.struct(F.lit(s).alias("segment"), F.lit(c).alias("scope"), value(i).alias("value")) for i, (s, c) in enumerate(names)))
     own = F.struct(F.col("_s.series").alias("series"), F.when(F.col("_s.label") == "*", F.col("label")).otherwise(F.col("_s.label")).alias("label"), F.coalesce("sector", "isic").alias("sector"))
-    zero = F.transform(F.coalesce(head, F.array().cast("array<struct<series:string,label:string,sector:string>>")), lambda z: F.named_struct(F.lit("key"), z, F.lit("times"), F.lit(0)))
+    zero = F.transform(F.coalesce(head, F.array().cast(f"array<{ZERO}>")), lambda z: F.named_struct(F.lit("key"), z, F.lit("times"), F.lit(0)))
     mine = F.array_compact(F.array(F.when(F.col("_s").isNotNull(), F.struct(own.alias("key"), F.lit(1).alias("times")))))
     rows = counted.select("basis", "at", "year", "month", F.inline(each), mine.alias("_mine"), zero.alias("_zero"))
     rows = rows.where("value > 0 or at = 'year'").select("basis", "segment", "scope", "year", "month", "value", F.explode(F.concat("_mine", "_zero")).alias("_r"))
@@ -191,7 +215,7 @@ def _percent(part: Column, whole: Column) -> Column:
 
 
 def figures(cube: DataFrame, last: int, first: int, named: Sequence[str], opaque: Sequence[str], internal: str, other: str = "Other") -> DataFrame:
-    """(figure, key, year, measure, value): the eight figures' data, for the years up to `last`, from the dashboard's report rows in one pass.
+    """(figure, key, year, measure, value): the eight figures' data, for the years up to `last`, from the dashboard's report rows (of FIGURE_SERIES) in one pass.
 
     A cube row becomes parts of the figures that use it; a change needs a value both as its own year's and as the next year's
     earlier one. One shuffle puts a figure's parts side by side. named, opaque and internal are groups of vendor labels.

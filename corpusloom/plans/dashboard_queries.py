@@ -105,7 +105,11 @@ cube AS (SELECT basis, segment, scope, series, year, month, label, sector, CAST(
 @query(f"WITH {_BASE} SELECT * FROM cube")
 def dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 34 series and the summary of all slices, for reports and for chunks."""
-    return board.dashboard(_reports(spark, sf_dir), VOCABULARY, SECTORS, REGIONS, F.col("sector") != OTHER)
+    return _board(spark, sf_dir)
+
+
+def _board(spark: SparkSession, sf_dir: str, **some: tuple[str, ...]) -> DataFrame:
+    return board.dashboard(_reports(spark, sf_dir), VOCABULARY, SECTORS, REGIONS, F.col("sector") != OTHER, **some)
 
 
 _R1 = "floor(({}) * 10 + 0.5) / 10.0"
@@ -160,5 +164,5 @@ _FIGURES = " UNION ALL ".join([
 
 @query(f"WITH {_BASE}, w AS (SELECT * FROM cube WHERE basis = 'report' AND segment = 'All' AND scope = 'all' AND year IS NOT NULL AND month IS NULL), f AS ({_FIGURES}) SELECT figure, key, CAST(year AS INTEGER) AS year, m.measure AS measure, m.value AS value FROM f")
 def figure_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The data of the report's eight figures, from the dashboard."""
-    return board.figures(dashboard(spark, sf_dir), LAST, FIRST, ("v0", "v1"), ("v2",), "v3", OTHER)
+    """The data of the report's eight figures, from the series of the dashboard's reports that they show."""
+    return board.figures(_board(spark, sf_dir, series=board.FIGURE_SERIES, bases=("report",)), LAST, FIRST, ("v0", "v1"), ("v2",), "v3", OTHER)

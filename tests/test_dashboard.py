@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -136,6 +137,20 @@ def test_tables_are_read_once(spark: SparkSession, sf_dir: str) -> None:
         assert plan.count("FileScan parquet") == 5 and plan.count("Expand ") == 1
 
 
+@pytest.mark.parametrize(("series", "bases"), [(board.FIGURE_SERIES, ("report",)), (("blindSpotTrendMonthly", "riskBySector"), ("chunk",)), (("summary",), board.BASES), (("noAiBySectorYear",), ("report",))])
+def test_named_series_are_those_of_the_whole(spark: SparkSession, sf_dir: str, series: tuple[str, ...], bases: tuple[str, ...]) -> None:
+    """Some series of some bases have the rows that the whole dashboard has of them."""
+    whole = {tuple(r) for r in queries.dashboard(spark, sf_dir).where(F.col("series").isin(*series) & F.col("basis").isin(*bases)).collect()}
+    rows = [tuple(r) for r in queries._board(spark, sf_dir, series=series, bases=bases).collect()]
+    assert len(rows) == len(whole) > 0 and set(rows) == whole
+
+
+def test_figures_spell_out_their_own_facts_only(spark: SparkSession, sf_dir: str) -> None:
+    """No facts of chunks, months, owners or levels are made for figures that don't show them."""
+    plan = queries.figure_data(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "adoptionTrendMonthly" not in plan and "_level" not in plan and "date_format" not in plan
+
+
 def test_figures_have_all_data_sets(spark: SparkSession, sf_dir: str) -> None:
     found = queries.figure_data(spark, sf_dir).select("figure").distinct().collect()
     assert {r[0][:7] for r in found} == {f"figure{i}" for i in range(1, 9)}
