@@ -231,3 +231,19 @@ def test_parts_leave_in_small_batches() -> None:
     assert len(out) > 2
     assert [(k, p) for b in out for k, p in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)] == [(k, p) for k, t in enumerate(texts) for p in range(2 if t else 1)]
     assert max(sum(map(len, b.column(1).to_pylist())) for b in out) < chunking.AT_ONCE + 2_000_000
+
+
+@pytest.mark.parametrize("least", [0.4, 0.6, 0.9])
+def test_a_small_side_is_held_by_the_tasks(spark: SparkSession, monkeypatch: pytest.MonkeyPatch, least: float) -> None:
+    """Held sources, held targets and sides that meet by shuffles give the same rows; where a side is held, no words are shuffled."""
+    a, b = _sides(7)
+    left, right = spark.createDataFrame(a, "g string, a int, text string").repartition(3), spark.createDataFrame(b + b[:50], "g string, b int, text string").repartition(5)
+    got = []
+    for held in (10_000, 80, 0):  # both sides are small, and the first is held; only the left one is; none
+        monkeypatch.setattr(lookup, "HELD", held)
+        found = [lookup.best_similar(left, right, least, ["g"]), lookup.best_similar(right, left, least, ["g"], "b", "a")]
+        got.append([sorted((r[0], r[1], r[2], round(r[3], 12)) for r in df.collect()) for df in found])
+        assert [d for _, d in found[0].dtypes] == ["string", "int", "int", "double"]
+        for df in found:
+            assert ("hashpartitioning(token" in df._jdf.queryExecution().executedPlan().toString()) == (held == 0)
+    assert got[0] == got[1] == got[2] and len(got[0][0]) > 10
