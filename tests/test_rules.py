@@ -141,3 +141,17 @@ def test_scores_of_tables_are_not_spelt_out_in_a_filter(spark: SparkSession) ->
     pages = spark.createDataFrame([(1, "<table><tr><td>a<td>b</table>")], "page int, html string")
     plan = html_tables.records(html_tables.tables(pages, "page", "html"), "page", F.lit(100))._jdf.queryExecution().optimizedPlan().toString()
     assert all(line.count("transform(") < 3 for line in plan.splitlines() if "Filter " in line)
+
+
+def test_greedy_matches_pass_by_in_batches(spark: SparkSession) -> None:
+    """No call for each key: many keys and a key over several batches are walked by one map over sorted rows."""
+    rows = [(k, a, b, a, abs(a - b)) for k in range(30) for a in range(3) for b in range(3)] + [(99, a, b, a, b) for a in range(60) for b in range(60)] + [(None, 1, 2, 1, 0)]
+    df = spark.createDataFrame(rows, "k int, a int, b int, turn int, gap int").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        found = lookup.greedy_assign(df, "k", ["turn"], ["gap"], "a", "b")
+        assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()
+        got = [tuple(r) for r in found.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 151 and set(got) == {(k, a, a) for k in range(30) for a in range(3)} | {(99, a, a) for a in range(60)} | {(None, 1, 2)}
