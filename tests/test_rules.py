@@ -155,3 +155,18 @@ def test_greedy_matches_pass_by_in_batches(spark: SparkSession) -> None:
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(got) == 151 and set(got) == {(k, a, a) for k in range(30) for a in range(3)} | {(99, a, a) for a in range(60)} | {(None, 1, 2)}
+
+
+def test_a_frequent_passage_costs_each_text_a_few_rows(spark: SparkSession) -> None:
+    """Many different prefixes that share a passage don't meet as pairs: rows of joins grow with the texts, not with their square."""
+    passage = "this passage is the license line of every text and long enough to give anchors whatever it is that each has next "
+    rng = random.Random(3)
+    rows = [(i, f"{i:04d} " + passage + "".join(rng.choice("abcdefgh ") for _ in range(200))) for i in range(300)]
+    rows += [(1000 + i, "x " + t[:150]) for i, t in rows[:5]]
+    df = spark.createDataFrame(rows, "k long, t string")
+    found = lookup.prefix_contained(df, "k", "t")
+    assert {r["k"]: r["first_id"] for r in found.collect()} == {i: 1000 + i for i in range(5)} | {1000 + i: i for i in range(5)}
+    text = df.select("k", "t", F.array(F.lit(2), F.lit(2), F.lit(400), F.lit(-1)).alias("at"))
+    assert lookup._windows_at(text, "k", "t", "at").count() == len(rows)
+    heads = lookup.anchors(df.select("k", F.left("t", F.lit(100)).alias("t")), "k", "t")
+    assert heads.count() >= len(rows) > heads.select("gram", "place").distinct().count()
