@@ -213,3 +213,9 @@ def test_answers_are_not_read_again_in_a_filter(spark: SparkSession, sf_dir: str
     plan = text_queries.json_signals_normalise(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "Filter " in line and "parse" in line.lower()]
     assert plan.count("StructsToJsonEvaluator") <= 8
+
+
+def test_lines_are_told_apart_once(spark: SparkSession, sf_dir: str) -> None:
+    """The rules on a line stand once in the plan, not once for each of the text and the two counts."""
+    plan = queries.cleaned_lines(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("artificial intelligence") == 1 and plan.count("warrington") == 1
