@@ -8,7 +8,7 @@ from difflib import SequenceMatcher
 
 import pyarrow as pa
 import pytest
-from pyspark.sql import Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as rules
@@ -247,3 +247,37 @@ def test_a_small_side_is_held_by_the_tasks(spark: SparkSession, monkeypatch: pyt
         for df in found:
             assert ("hashpartitioning(token" in df._jdf.queryExecution().executedPlan().toString()) == (held == 0)
     assert got[0] == got[1] == got[2] and len(got[0][0]) > 10
+
+
+def _plan(df: DataFrame) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_not_shuffled_for_chunks(spark: SparkSession) -> None:
+    df = spark.createDataFrame([(1, "a 11\n\nb")], "doc_id int, text string").repartition(2, "text")
+    for found in (chunking.document_chunks(df, {"n": "[0-9]{2}"}), chunking.keyword_chunks(df, {"n": "[0-9]{2}"}), chunking.hit_windows(df, {"n": "[0-9]{2}"}, 9), chunking.malformed(df), chunking.blocks(df)):
+        plan = _plan(found)
+        assert plan.count("Exchange hashpartitioning(text") >= 1 and plan.count("Exchange") == plan.count("Exchange hashpartitioning(text") and "Window" not in plan
+    # a keyword is sought once in each paragraph, not again in a filter that was pushed down
+    assert _plan(chunking.keyword_chunks(df, {"n": "[0-9]{2}"})).count("[0-9]{2}") == 1
+    assert _plan(chunking.malformed(df)).count("ArrowEvalPython") == 1  # and a document's blocks once
+
+
+def test_windows_of_all_paragraphs_beside_others(spark: SparkSession) -> None:
+    """Two of four paragraphs see all of them: these are one window, the outer ones have windows of their own."""
+    text = "\n# H\n \na 1\nA\n\n\n## S #\nb 2\n\tc\n\n3\n \n \nd 4 x\n"
+    df = spark.createDataFrame([(1, text), (2, "\n"), (3, "# only\n#"), (4, "")], "doc_id int, text string")
+    got = sorted(chunking.keyword_chunks(df, {"n": "[0-9]", "x": "x"}).collect(), key=lambda r: (r["first"], r["last"]))
+    assert [(r["first"], r["last"], r["keywords"], r["sections"]) for r in got] == [(0, 2, ["n"], ["H"]), (0, 3, ["n"], ["S #"]), (1, 3, ["n", "x"], ["S #"])]
+    assert got[1]["chunk_text"] == "a 1\nA\n\n## S #\n\nb 2\n\tc\n\n3\n\nd 4 x" and text[got[1]["start"] : got[1]["end"]].startswith("a 1") and got[1]["end"] == len(text) - 1
+    rows = chunking.blocks(df).collect()
+    assert [r["block"] for r in rows if r["doc_id"] == 1] == list(range(6)) and [r["section"] for r in rows if r["doc_id"] == 3] == [None, "only"]
+    assert all({1: text, 3: "# only\n#"}[r["doc_id"]][r["start"] : r["end"]] == r["text"] for r in rows)
+
+
+def test_word_bounds_try_the_next_letter_first() -> None:
+    texts = ["time", "xtime times", "étime", "a day-year_ days", "The the_ the", "ab b ba", "", "3time time3"]
+    for p in (r"(?i)\b(?:time|year|day)s?\b", r"\bthe\b", r"\b(ab|b)", r"\b(?:a?|b)b", r"\ba?b", r"\b(?:b|a)?b\b", r"\b[ab]"):
+        bounded = rules.ascii_bounds(p)
+        assert all([m.span() for m in re.finditer(bounded, t)] == [m.span() for m in re.finditer(p, t, re.ASCII)] for t in texts), p
+        assert bounded.startswith(("(?=[", "(?i)(?=[")) == (p in (r"(?i)\b(?:time|year|day)s?\b", r"\bthe\b", r"\b(ab|b)"))
