@@ -128,17 +128,21 @@ def keyword_chunks(docs: DataFrame, patterns: dict[str, str], before: int = 2, a
 def _pack(units: Iterable[str | None], most: int, size: Callable[[str], int], joint: str, overlap: int = 0, gap: int = 0) -> Iterator[str]:
     """Runs of units of at most `most` in all, each unit costing its size and a gap; None ends a run. A run begins with the last `overlap` units of the one before where the next unit still fits."""
     run: list[str] = []
+    sizes: list[int] = []
     total = 0
     for unit in units:
-        if run and (unit is None or total + size(unit) > most):
+        own = 0 if unit is None else size(unit)
+        if run and (unit is None or total + own > most):
             yield joint.join(run)
-            run = run[-overlap:] if overlap and unit is not None else []
-            total = sum(size(u) + gap for u in run)
-            if unit is not None and total + size(unit) > most:
-                run, total = [], 0
+            kept = len(run) - (min(overlap, len(run)) if unit is not None else 0)
+            run, sizes = run[kept:], sizes[kept:]
+            total = sum(sizes)
+            if unit is not None and total + own > most:
+                run, sizes, total = [], [], 0
         if unit is not None:
             run.append(unit)
-            total += size(unit) + gap
+            sizes.append(own + gap)
+            total += own + gap
     if run:
         yield joint.join(run)
 
@@ -157,18 +161,20 @@ def _word_runs(sentence: str, most: int) -> Iterator[str]:
 
 
 def _word_parts(text: str, most: int, overlap: int) -> Iterator[str]:
-    if _words(text) <= most:
+    paragraphs = list(filter(None, map(str.strip, _BLANK.split(text))))
+    counts = {p: _words(p) for p in paragraphs}
+    if sum(counts[p] for p in paragraphs) <= most:
         yield text
         return
 
     def units() -> Iterator[str]:
-        for paragraph in filter(None, map(str.strip, _BLANK.split(text))):
+        for paragraph in paragraphs:
             pieces = [paragraph]
-            if _words(paragraph) > most:
+            if counts[paragraph] > most:
                 pieces = _pack((r for s in _SENTENCE.split(paragraph) for r in _word_runs(s, most)), most, _words, " ", overlap)
             yield from pieces
 
-    yield from _pack(units(), most, _words, "\n\n")
+    yield from _pack(units(), most, lambda u: counts[u] if u in counts else _words(u), "\n\n")
 
 
 def _rows(df: DataFrame, text: str, parts: Callable[[object], Iterable[str]]) -> DataFrame:

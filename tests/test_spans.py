@@ -281,3 +281,10 @@ def test_word_bounds_try_the_next_letter_first() -> None:
         bounded = rules.ascii_bounds(p)
         assert all([m.span() for m in re.finditer(bounded, t)] == [m.span() for m in re.finditer(p, t, re.ASCII)] for t in texts), p
         assert bounded.startswith(("(?=[", "(?i)(?=[")) == (p in (r"(?i)\b(?:time|year|day)s?\b", r"\bthe\b", r"\b(ab|b)"))
+
+
+def test_units_are_measured_once() -> None:
+    asked: list[str] = []
+    units = ["aa", "bbb", "c", "d", "eeeee", "f", None, "g"]
+    parts = list(chunking._pack(iter(units), 5, lambda u: asked.append(u) or len(u), " ", overlap=1))
+    assert parts == ["aa bbb", "bbb c d", "eeeee", "f", "g"] and asked == [u for u in units if u]
