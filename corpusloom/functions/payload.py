@@ -72,42 +72,48 @@ def evidence(rows: DataFrame, v: str) -> DataFrame:
     return one.union(rows.where(F.schema_of_variant(v).startswith("ARRAY")).select(*kept, F.lit(None).cast("string").alias("label"), F.explode(plain).alias("excerpt")))
 
 
-def number_messages(value: Column, name: str, low: int, high: int, whole: bool) -> Column:
-    """What is wrong with a VARIANT that should be a number from low to high, as an array of no or one message; a missing value is no number."""
-    kind, x = F.coalesce(F.schema_of_variant(value), F.lit("VOID")), F.try_variant_get(value, "$", "double")
-    numeric = F.regexp_like(kind, F.lit("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"))
-    text = F.when(~numeric, f"{name} must be numeric")
+def _kind(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+
+
+def number_messages(kind: Column, x: Column, name: str, low: int, high: int, whole: bool) -> Column:
+    """What is wrong with a VARIANT (its kind and its value as a double) that should be a number from low to high, or null; a missing value is no number."""
+    text = F.when(~F.left(kind, F.lit(3)).isin("BIG", "DOU", "FLO", "DEC"), f"{name} must be numeric")
     if whole:
         text = text.when(x != F.floor(x), f"{name} must be an integer")
-    return F.array_compact(F.array(text.when(~x.between(low, high), f"{name} must be between {low} and {high}")))
+    return text.when(~x.between(low, high), f"{name} must be between {low} and {high}")
 
 
 def risk_messages(rows: DataFrame, v: str, vocabulary: Sequence[str], levels: Sequence[str]) -> DataFrame:
     """Adds `messages`, all rules that a risk answer (VARIANT object in column v) breaks: missing fields, wrong kinds, unknown and repeated labels, scores, `none` beside
     others, labels and scores that don't match, an unknown level and a confidence out of bounds. Rules on labels need both lists; a label's message stands once for each time it breaks the rule."""
-    at = lambda name: F.try_variant_get(v, f"$.{name}", "variant")
-    is_list = lambda name: F.coalesce(F.schema_of_variant(at(name)).startswith("ARRAY"), F.lit(False))
-    none, both = F.array().cast("array<string>"), is_list("risk_types") & is_list("risk_signals")
-    allowed = F.array(*map(F.lit, vocabulary))
-    # read once, in steps: the rules name these columns many times
+    get, col, none = F.try_variant_get, F.col, F.array().cast("array<string>")
     kept = rows.columns
-    rows = rows.withColumns({"_types": F.coalesce(F.try_variant_get(v, "$.risk_types", "array<string>"), none), "_entries": F.coalesce(F.try_variant_get(v, "$.risk_signals", "array<variant>"), F.array().cast("array<variant>"))})
-    rows = rows.withColumn("_seen", F.transform("_entries", lambda e: F.try_variant_get(e, "$.type", "string"))).withColumn("_names", F.array_distinct(F.array_compact("_seen")))
-    types, entries, seen, names = map(F.col, ("_types", "_entries", "_seen", "_names"))
-    score = lambda e: F.try_variant_get(e, "$.signal", "variant")
-    zero = lambda e: F.when(F.floor(F.try_variant_get(e, "$.signal", "double")) == 0, F.array(F.lit("selected labels need a signal of 1 to 3"))).otherwise(none)
-    unknown = lambda labels, field: F.transform(F.filter(labels, lambda x: x.isNull() | ~F.array_contains(allowed, x)), lambda x: F.concat(F.lit(f"unknown label in {field}: "), F.coalesce(x, F.lit("null"))))
-    repeated = F.filter(F.transform(names, lambda n: F.when(F.array_contains(allowed, n) & (F.size(F.filter(seen, lambda x: x == n)) > 1), F.concat(F.lit("repeated label: "), n))), lambda x: x.isNotNull())
-    uneven = lambda a, b, text: F.when(F.size(F.array_except(a, b)) > 0, F.concat(F.lit(text), F.array_join(F.array_sort(F.array_except(a, b)), ", ")))
-    fields = [F.when(at(n).isNull(), f"missing field: {n}").when(~is_list(n), f"{n} must be a list") for n in ("risk_types", "risk_signals")]
-    level = F.lower(F.trim(F.try_variant_get(v, "$.substantiveness", "string")))
+    # read once, in steps: the rules name these columns many times. Whether a value is a list is told by its cast, since the schema of a list costs a walk through it
+    fields = {"_risk_types": "risk_types", "_risk_signals": "risk_signals", "_level": "substantiveness", "_confidence": "confidence"}
+    rows = rows.withColumns({c: get(v, f"$.{n}", "variant") for c, n in fields.items()})
+    rows = rows.withColumns({"_list": get("_risk_types", "$", "array<string>"), "_entries": get("_risk_signals", "$", "array<struct<type string, signal variant>>"), "_named": F.lower(F.trim(get("_level", "$", "string")))})
+    rows = rows.withColumns({
+        "_types": F.coalesce("_list", none), "_typed": col("_list").isNotNull(), "_scored": col("_entries").isNotNull(), "_seen": F.coalesce(col("_entries")["type"], none),
+        "_values": F.transform("_entries", lambda e: F.struct(_kind(e["signal"]).alias("kind"), get(e["signal"], "$", "double").alias("x"))),
+    })
+    rows = rows.withColumn("_names", F.array_distinct(F.array_compact("_seen")))
+    rows = rows.withColumns({"_less": F.array_except("_types", "_names"), "_more": F.array_except("_names", "_types")})
+    types, seen, names, both = col("_types"), col("_seen"), col("_names"), col("_typed") & col("_scored")
+    strange = lambda labels, field: F.transform(F.filter(labels, lambda x: x.isNull() | ~x.isin(*vocabulary)), lambda x: F.concat(F.lit(f"unknown label in {field}: "), F.coalesce(x, F.lit("null"))))
+    unknown = lambda labels, field: F.when(F.size(F.array_except(labels, F.array(*map(F.lit, vocabulary)))) > 0, strange(labels, field)).otherwise(none)
+    twice = F.filter(names, lambda n: n.isin(*vocabulary) & (F.size(F.filter(seen, lambda x: x == n)) > 1))
+    repeated = F.when(F.size(seen) > F.size(names), F.transform(twice, lambda n: F.concat(F.lit("repeated label: "), n))).otherwise(none)
+    uneven = lambda labels, text: F.when(both & (F.size(labels) > 0), F.concat(F.lit(text), F.array_join(F.array_sort(labels), ", ")))
+    zero = lambda e: F.when(F.floor(e["x"]) == 0, "selected labels need a signal of 1 to 3")
+    scores = F.flatten(F.transform("_values", lambda e: F.array(number_messages(e["kind"], e["x"], "signal", 0, 3, True), zero(e))))
     alone = [
+        *[F.when(col(c).isNull(), f"missing field: {fields[c]}").when(~listed, f"{fields[c]} must be a list") for c, listed in (("_risk_types", col("_typed")), ("_risk_signals", col("_scored")))],
         F.when(both & F.array_contains(types, "none") & (F.size(F.array_distinct(types)) > 1), "none with other labels"),
-        F.when(both, uneven(types, names, "labels without signal: ")),
-        F.when(both, uneven(names, types, "signals without label: ")),
-        F.when(at("substantiveness").isNull(), "missing field: substantiveness").when(level.isNull() | ~level.isin(*levels), "unknown level"),
+        uneven(col("_less"), "labels without signal: "),
+        uneven(col("_more"), "signals without label: "),
+        F.when(col("_level").isNull(), "missing field: substantiveness").when(col("_named").isNull() | ~col("_named").isin(*levels), "unknown level"),
+        F.when(col("_confidence").isNotNull(), number_messages(_kind(col("_confidence")), get("_confidence", "$", "double"), "confidence", 0, 1, False)),
     ]
-    confidence = F.when(at("confidence").isNotNull(), number_messages(at("confidence"), "confidence", 0, 1, False)).otherwise(none)
-    scores = F.flatten(F.transform(entries, lambda e: F.concat(number_messages(score(e), "signal", 0, 3, True), zero(e))))
-    found = F.concat(F.array_compact(F.array(*fields, *alone)), unknown(types, "risk_types"), unknown(seen, "risk_signals"), repeated, scores, confidence)
+    found = F.array_compact(F.concat(F.array(*alone), F.coalesce(scores, none), unknown(types, "risk_types"), unknown(seen, "risk_signals"), repeated))
     return rows.select(*kept, found.alias("messages"))

@@ -170,3 +170,15 @@ def test_a_frequent_passage_costs_each_text_a_few_rows(spark: SparkSession) -> N
     assert lookup._windows_at(text, "k", "t", "at").count() == len(rows)
     heads = lookup.anchors(df.select("k", F.left("t", F.lit(100)).alias("t")), "k", "t")
     assert heads.count() >= len(rows) > heads.select("gram", "place").distinct().count()
+
+
+def test_risk_answers_are_read_in_steps(spark: SparkSession) -> None:
+    """Kinds are asked of scores only, and lists with entries of all kinds are still lists."""
+    raw = '{"risk_types": [1, {"a": 2}, null, "cyber"], "risk_signals": [{"type": "cyber", "signal": 1}, 3, null, [1], {"type": null, "signal": {}}], "substantiveness": "low"}'
+    rows = spark.createDataFrame([(raw,)], "raw string").select(F.try_parse_json("raw").alias("v"))
+    found = payload.risk_messages(rows, "v", ("cyber",), ("low",))
+    messages = found.first()["messages"]
+    assert not any("must be a list" in m for m in messages)
+    assert messages.count("signal must be numeric") == 4 and messages.count("unknown label in risk_signals: null") == 4 and "unknown label in risk_types: 1" in messages
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower().replace("_", "")
+    assert 1 <= plan.count("schemaofvariant(") <= 4
