@@ -219,3 +219,45 @@ def test_lines_are_told_apart_once(spark: SparkSession, sf_dir: str) -> None:
     """The rules on a line stand once in the plan, not once for each of the text and the two counts."""
     plan = queries.cleaned_lines(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("artificial intelligence") == 1 and plan.count("warrington") == 1
+
+
+def _broken(rng: random.Random, n: int) -> list[str]:
+    parts = ["cus", "to", "mers", "and", "the", "re", "turns", "op", "era", "tions", "all", "our", "s", "x1", "Cus", "may", "ΟΔΟΣ", "İn", "é"]
+    return [rng.choice([" ", " "]).join("".join(rng.choice(parts) for _ in range(rng.choice([1, 1, 1, 2, 3]))) for _ in range(rng.randrange(25))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("common", [0, 5, 100])
+def test_sieve_leaves_no_word_out(spark: SparkSession, monkeypatch: pytest.MonkeyPatch, common: int) -> None:
+    """Repairs are the same whether all, some or none of the words are in every task."""
+    words = ["customers", "returns", "operations", "the", "and", "all", "our", "may", "to", "allour", "tomers", "operation", "οδος", "οδοσto", "éto", "inand"]
+    texts = _broken(random.Random(7), 200)
+    dictionary = spark.createDataFrame([(w, 9 - i % 4) for i, w in enumerate(words)], "word string, texts long")
+    monkeypatch.setattr(fragments, "MOST_COMMON", common)
+    kind, of = fragments.sieve(dictionary).__reduce__()
+    sieve = kind(*of)
+    assert len(sieve.common) <= common and sieve.whole == (common == 100)
+    for t, found in zip(texts, sieve.lookups(texts), strict=True):
+        assert fragments.candidates(t.split()) & set(words) <= sieve.common | found
+    df = spark.createDataFrame([*enumerate(texts), (None, None), (None, ""), (1, texts[0])], "k int, t string").repartition(3)
+    found = fragments.repair(df, "k", "t", dictionary).collect()
+    assert len(found) == len(texts) + 3
+    unknown = lambda tokens: sum(t.isalpha() and t.lower() not in words for t in tokens)
+    for r in found:
+        tokens = (r["t"] or "").split()
+        want = _plain_walk(tokens, set(words))
+        assert (r["unknown_before"], r["unknown_after"]) == (unknown(tokens), unknown(want))
+        assert r["repaired"] == (" ".join(want) if r["kept"] else r["t"])
+
+
+def test_lookups_are_few(spark: SparkSession, monkeypatch: pytest.MonkeyPatch) -> None:
+    """What a text may look up isn't shuffled but for the few strings that may be rare words; where all words are common, neither are texts."""
+    texts = _broken(random.Random(8), 100)
+    df = spark.createDataFrame(enumerate(texts), "k int, t string")
+    dictionary = spark.createDataFrame([("and", 9), ("the", 9), ("customers", 8), ("returns", 3)], "word string, texts long")
+    plan = fragments.repair(df, "k", "t", dictionary)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    monkeypatch.setattr(fragments, "MOST_COMMON", 3)
+    sent = spark.sparkContext.broadcast(fragments.sieve(dictionary))
+    found = {r["word"] for r in fragments._lookups(df, "k", "t", sent).select("word").collect()}
+    every = set().union(*(fragments.candidates(t.split()) for t in texts))
+    assert "returns" in found and len(found) < len(every) / 100
